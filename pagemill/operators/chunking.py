@@ -122,16 +122,6 @@ def recursive_chunks(
     return _explode_chunks(df, split(F.col(text)), text)
 
 
-def chunk_documents(df: DataFrame, text: str, key: str, config: ChunkingConfig) -> DataFrame:
-    """The method the configuration asks for."""
-    from pagemill.operators.semantic import semantic_chunks
-
-    if config.use_semantic_chunking:
-        return semantic_chunks(df, key, text, config)
-    chunks = recursive_chunks(df, text, config.chunk_size, config.chunk_overlap, config.separators)
-    return with_chunk_id(chunks, key).withColumn("chunking_method", F.lit("recursive"))
-
-
 def with_chunk_id(chunks: DataFrame, key: str) -> DataFrame:
     """A reproducible identifier from the document key and the chunk's position."""
     source = F.concat_ws("|", F.col(key).cast("string"), F.col("chunk_index").cast("string"))

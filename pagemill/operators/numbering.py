@@ -52,7 +52,8 @@ def _range_of(df: DataFrame, keys: list[str]) -> Column:
     key = F.struct(*key_columns)
     coarse = F.size(F.filter(table, lambda row: row[0] <= key))
     row = F.get(table, F.greatest(coarse - 1, F.lit(0)))
-    return coarse * width + F.size(F.filter(row, lambda point: point <= key))
+    # Never NULL, so that joining on it adds no second evaluation as a NULL filter.
+    return F.coalesce(coarse * width + F.size(F.filter(row, lambda point: point <= key)), F.lit(0))
 
 
 def number_rows(
@@ -68,23 +69,25 @@ def number_rows(
     """
     groups, order = list(partition_by), list(order_by)
     ranged = df.withColumn("_range", _range_of(df, groups + order))
+    if groups:
+        # As one struct the group compares equal to itself even where a column is NULL.
+        ranged = ranged.withColumn("_group", F.struct(*groups))
+    group = ["_group"] if groups else []
 
-    counts = ranged.groupBy(*groups, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    group_window = Window.partitionBy(*groups)
-    earlier = group_window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*group)
+    earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
-        F.col("_range").alias("_r"),
+        *group,
+        "_range",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_n").over(group_window).alias("_total"),
+        F.sum("_n").over(whole).alias("_total"),
     )
 
-    local = Window.partitionBy(*groups, "_range").orderBy(*order)
+    # The join has the keys of this window, so it reuses the window's partitioning.
+    local = Window.partitionBy(*group, "_range").orderBy(*order)
     numbered = ranged.withColumn("_local", F.row_number().over(local))
-    same_range = F.col("_range") == F.col("_r")
-    for i, g in enumerate(groups):
-        same_range = F.col(g).eqNullSafe(F.col(f"_g{i}")) & same_range
-    joined = numbered.join(offsets, same_range)
+    joined = numbered.join(offsets, [*group, "_range"])
     result = [*[F.col(c) for c in df.columns], (F.col("_before") + F.col("_local")).alias(number)]
     if total:
         result.append(F.col("_total").alias(total))

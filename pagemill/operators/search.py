@@ -76,6 +76,7 @@ def _best(
     threshold: float | None,
 ) -> pa.Table:
     """The ``k`` best rows of one block for every query, ties broken by identifier."""
+    block = block.filter(pc.is_valid(block[vector]))
     query, row, score = _nearest(_matrix(block[vector], queries.shape[1]), queries, k, threshold)
     found = block.drop_columns([vector]).take(pa.array(row))
     keys = {"query": pa.array(query), "score": pa.array(np.round(score, SCORE_DECIMALS))}
@@ -169,7 +170,6 @@ def nearest(
     """
     if k <= 0:
         raise ValueError("k must be positive")
-    store = store.where(F.col(vector).isNotNull())
     queries = queries.where(F.col(query_vector).isNotNull()).select(*query_ids, query_vector)
     payload = [f for f in store.schema.fields if f.name != vector]
     schema = T.StructType(

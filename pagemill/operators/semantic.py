@@ -4,24 +4,25 @@ Sentences are widened by a buffer of neighbours, represented by integer token co
 and compared by cosine distance. A document is broken after every sentence whose
 distance to the next lies above a percentile of the document's own distances.
 
-Shuffle plan: the text is repartitioned by document key once, *before* it is exploded
-into tokens. Every later grouping and window starts with that key, so the exploded
-rows (many times the size of the text) are never exchanged. A document is one input
-row, so no group can outgrow a row; copies of a document have their own keys.
+Nothing is shuffled: a document is one input row, its sentences, distances and breaks
+are arrays of that row, and chunks are exploded from it at the end. Copies of a
+document and documents of one source are independent rows, so there are no hot keys.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagemill.config import ChunkingConfig
+from pagemill.operators.chunking import with_chunk_id
 from pagemill.functions.tokens import sentences, token_buckets
 from pagemill.functions.vectors import cosine_distance
 
 TOKEN_DIM = 384
-# Every sentence gets one row in this bucket with weight 0, so that sentences without
-# a token are not lost from the groupings.
-MARKER = -1
+# Sentences whose token counts are held in memory at a time; few enough for the CPU cache.
+SLAB = 128
 
 
 def split_sentences(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -42,76 +43,73 @@ def sentence_groups(df: DataFrame, key: str, text: str, buffer: int) -> DataFram
     return listed.select(key, F.posexplode(groups).alias("sentence_no", "sentence_group"))
 
 
-def _by_key(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition by document. A fixed number keeps the small text partitions from
-    being merged before the explosion multiplies them."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+def _slab_distances(
+    buckets: np.ndarray, lengths: np.ndarray, first: int, last: int, buffer: int
+) -> np.ndarray:
+    """Distances between sentences ``first .. last`` and the next, from token counts.
 
-
-def _group_counts(df: DataFrame, key: str, text: str, buffer: int) -> DataFrame:
-    """``(key, sentence_no, bucket, n)``: token counts of each widened sentence."""
-    listed = _by_key(df.select(key, text), key).select(key, sentences(F.col(text)).alias("_s"))
-    per_sentence = listed.select(
-        key, F.size("_s").alias("_count"), F.posexplode("_s").alias("_i", "_sentence")
-    )
-    buckets = F.concat(F.array(F.lit(MARKER)), token_buckets(F.col("_sentence"), TOKEN_DIM))
-    per_token = per_sentence.select(key, "_count", "_i", F.explode(buckets).alias("bucket"))
-    single = per_token.groupBy(key, "_count", "_i", "bucket").agg(F.count(F.lit(1)).alias("_n"))
-    reach = F.sequence(
-        F.greatest(F.col("_i") - buffer, F.lit(0)),
-        F.least(F.col("_i") + buffer, F.col("_count") - 1),
-    )
-    widened = single.select(key, F.explode(reach).alias("sentence_no"), "bucket", "_n")
-    return widened.groupBy(key, "sentence_no", "bucket").agg(F.sum("_n").alias("n"))
-
-
-def _distance_lists(df: DataFrame, key: str, text: str, buffer: int) -> DataFrame:
-    """One row per document: its neighbour distances as an array of ``(sentence_no, distance)``.
-
-    The products with the next sentence come from a window inside (document, bucket),
-    so no self-join is needed. Counts are integers: the sums are exact in any order.
+    Counts are integers, so every sum is exact and the result does not depend on order.
     """
-    counts = _group_counts(df, key, text, buffer)
-    same_bucket = Window.partitionBy(key, "bucket").orderBy("sentence_no")
-    paired = counts.select(
-        key,
-        "sentence_no",
-        F.when(F.col("bucket") != MARKER, F.col("n")).otherwise(F.lit(0)).alias("n"),
-        F.when(
-            (F.lead("sentence_no").over(same_bucket) == F.col("sentence_no") + 1)
-            & (F.col("bucket") != MARKER),
-            F.lead("n").over(same_bucket),
-        )
-        .otherwise(F.lit(0))
-        .alias("next_n"),
-    )
-    products = paired.groupBy(key, "sentence_no").agg(
-        F.sum(F.col("n") * F.col("n")).alias("square"),
-        F.sum(F.col("n") * F.col("next_n")).alias("dot"),
-    )
-    listed = products.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("sentence_no", "square", "dot"))).alias("_p")
-    )
+    low, high = max(0, first - buffer), min(len(lengths), last + buffer + 2)
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    rows = np.repeat(np.arange(high - low), lengths[low:high])
+    cells = rows * TOKEN_DIM + buckets[ends[low] : ends[high]]
+    counts = np.bincount(cells, minlength=(high - low) * TOKEN_DIM).reshape(-1, TOKEN_DIM)
+    running = np.concatenate([np.zeros((1, TOKEN_DIM), np.int64), np.cumsum(counts, axis=0)])
+    at = np.arange(first, last + 2) - low
+    wide = running[np.minimum(at + buffer + 1, high - low)] - running[np.maximum(at - buffer, 0)]
+    square = (wide * wide).sum(axis=1)
+    length = np.where(square > 0, square, 1).astype(np.float64)
+    dot = (wide[:-1] * wide[1:]).sum(axis=1)
+    return 1.0 - dot / np.sqrt(length[:-1] * length[1:])
+
+
+def _document_distances(buckets: np.ndarray, lengths: np.ndarray, buffer: int) -> np.ndarray:
+    """All neighbour distances of one document, a bounded slab of sentences at a time."""
+    pairs = len(lengths) - 1
+    slabs = [
+        _slab_distances(buckets, lengths, first, min(first + SLAB, pairs) - 1, buffer)
+        for first in range(0, pairs, SLAB)
+    ]
+    return np.concatenate(slabs) if slabs else np.empty(0)
+
+
+def _distances(sentence_list: Column, buffer: int) -> Column:
+    """Array of the distances between each sentence of a document and the next one.
+
+    The JVM splits and hashes the text; the Arrow function only sees bucket numbers.
+    """
+
+    @F.arrow_udf("array<double>")
+    def distances(documents: pa.Array) -> pa.Array:
+        sentences_of = np.asarray(documents.value_lengths())
+        nested = documents.flatten()
+        lengths = np.asarray(nested.value_lengths())
+        buckets = np.asarray(nested.flatten()).astype(np.int64)
+        sentence_end = np.concatenate([[0], np.cumsum(sentences_of)])
+        bucket_end = np.concatenate([[0], np.cumsum(lengths)])
+        found = []
+        for start, end in zip(sentence_end, sentence_end[1:]):
+            part = buckets[bucket_end[start] : bucket_end[end]]
+            found.append(_document_distances(part, lengths[start:end], buffer))
+        offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+        return pa.ListArray.from_arrays(offsets, np.concatenate([np.empty(0), *found]))
 
-    def nonzero(square: Column) -> Column:
-        return F.when(square > 0, square).otherwise(F.lit(1)).cast("double")
+    return distances(F.transform(sentence_list, lambda s: token_buckets(s, TOKEN_DIM)))
 
-    def distance(p: Column, i: Column) -> Column:
-        following = nonzero(F.get("_p", i + 1)["square"])
-        return F.struct(
-            p["sentence_no"].alias("sentence_no"),
-            (1.0 - p["dot"].cast("double") / F.sqrt(nonzero(p["square"]) * following)).alias(
-                "distance"
-            ),
-        )
 
-    pairs = F.slice("_p", F.lit(1), F.size("_p") - 1)
-    return listed.select(key, F.transform(pairs, distance).alias("distances"))
+def _with_distances(df: DataFrame, text: str, buffer: int) -> DataFrame:
+    """Add ``_s``, the sentences, and ``_d``, their neighbour distances, to each document."""
+    listed = df.where(F.length(text) > 0).withColumn("_s", sentences(F.col(text)))
+    return listed.withColumn("_d", _distances(F.col("_s"), buffer))
 
 
 def neighbour_distances(df: DataFrame, key: str, text: str, buffer: int) -> DataFrame:
-    lists = _distance_lists(df, key, text, buffer)
-    return lists.select(key, F.explode("distances").alias("d")).select(key, "d.*")
+    found = _with_distances(df.select(key, text), text, buffer)
+    # An inner explode would add a filter on the array, which the optimizer pushes down by
+    # computing the distances a second time.
+    exploded = found.select(key, F.posexplode_outer("_d").alias("sentence_no", "distance"))
+    return exploded.where(F.col("sentence_no").isNotNull())
 
 
 def dense_neighbour_distances(groups: DataFrame, key: str, vector: str) -> DataFrame:
@@ -129,32 +127,36 @@ def _percentile_cut(sorted_values: Column, percentile: Column) -> Column:
     return F.get(sorted_values, position.cast("int"))
 
 
-def _sorted_distances(distances: Column) -> Column:
-    return F.array_sort(F.transform(distances, lambda d: d["distance"]))
+def _breaks(distances: Column, percentile: Column) -> Column:
+    """Positions of the sentences after which a document is broken."""
+    cut = _percentile_cut(F.array_sort(distances), percentile)
+    # Repeated into an array so that it is computed once and not for every element.
+    cuts = F.array_repeat(cut, F.size(distances))
+    above = F.zip_with(distances, cuts, lambda d, c: d > c)
+    return F.filter(F.transform(above, lambda a, i: F.when(a, i)), lambda i: i.isNotNull())
 
 
 def semantic_breakpoints(
     df: DataFrame, key: str, text: str, buffer: int, percentile: int
 ) -> DataFrame:
     """One row per document: the cut value and the sentences after which it is broken."""
-    lists = _distance_lists(df, key, text, buffer).withColumn(
-        "cut", _percentile_cut(_sorted_distances(F.col("distances")), F.lit(percentile))
-    )
-    above = F.filter("distances", lambda d: d["distance"] > F.col("cut"))
-    return lists.select(
-        key, "cut", F.transform(above, lambda d: d["sentence_no"]).alias("break_after")
+    found = _with_distances(df.select(key, text), text, buffer)
+    return found.select(
+        key,
+        _percentile_cut(F.array_sort("_d"), F.lit(percentile)).alias("cut"),
+        _breaks(F.col("_d"), F.lit(percentile)).alias("break_after"),
     )
 
 
 def semantic_chunks(df: DataFrame, key: str, text: str, config: ChunkingConfig) -> DataFrame:
     """Chunks are whole sentences in order; together they are the text again."""
-    breaks = semantic_breakpoints(
-        df, key, text, config.buffer_size, config.breakpoint_percentile_threshold
-    ).select(key, "break_after")
     inherited = [c for c in df.columns if c != text]
-    joined = _by_key(df, key).join(breaks, key).withColumn("_s", sentences(F.col(text)))
-    starts = F.concat(F.array(F.lit(0)), F.transform("break_after", lambda b: b + 1))
-    located = joined.withColumn("_starts", starts)
+    breaks = _breaks(F.col("_d"), F.lit(config.breakpoint_percentile_threshold))
+    located = _with_distances(df, text, config.buffer_size).select(
+        *inherited,
+        "_s",
+        F.concat(F.array(F.lit(0)), F.transform(breaks, lambda b: b + 1)).alias("_starts"),
+    )
 
     def chunk(start: Column, i: Column) -> Column:
         end = F.coalesce(F.get("_starts", i + 1), F.size("_s"))
@@ -163,8 +165,6 @@ def semantic_chunks(df: DataFrame, key: str, text: str, config: ChunkingConfig)
     chunks = located.select(
         *inherited, F.posexplode(F.transform("_starts", chunk)).alias("chunk_index", "chunk")
     )
-    from pagemill.operators.chunking import with_chunk_id
-
     return with_chunk_id(chunks, key).select(
         "*",
         F.length("chunk").alias("chunk_length"),
@@ -181,23 +181,20 @@ def threshold_sweep(
 ) -> DataFrame:
     """Number and mean size of the chunks each percentile would give.
 
-    Distances are computed once. The chunks of a document add up to its text, so the
-    sizes follow from the text length and the number of breaks.
+    Distances are computed once, and the chunks of a document add up to its text, so
+    only one small row per document and percentile is aggregated.
     """
-    lists = _distance_lists(df, key, text, buffer).select(
-        key, _sorted_distances(F.col("distances")).alias("_d")
+    found = _with_distances(df.select(key, text), text, buffer).select(
+        F.length(text).alias("chars"), F.array_sort("_d").alias("_sorted")
     )
-    breaks = lists.select(
-        key,
-        "_d",
-        F.explode(F.array(*[F.lit(p) for p in percentiles])).alias("threshold"),
-    ).select(
-        "threshold",
-        F.size(F.filter("_d", lambda d: d > _percentile_cut(F.col("_d"), F.col("threshold")))).alias("b"),
+    each = found.select(
+        "chars", "_sorted", F.explode(F.array(*[F.lit(p) for p in percentiles])).alias("threshold")
+    )
+    above = F.filter(
+        "_sorted", lambda d: d > _percentile_cut(F.col("_sorted"), F.col("threshold"))
     )
-    totals = df.where(F.length(text) > 0).agg(F.sum(F.length(text)).alias("chars")).scalar()
     return (
-        breaks.groupBy("threshold")
-        .agg(F.sum(F.col("b") + 1).alias("num_chunks"))
-        .withColumn("avg_size", totals / F.col("num_chunks"))
+        each.groupBy("threshold")
+        .agg(F.sum(F.size(above) + 1).alias("num_chunks"), F.sum("chars").alias("chars"))
+        .select("threshold", "num_chunks", (F.col("chars") / F.col("num_chunks")).alias("avg_size"))
     )

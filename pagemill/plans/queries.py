@@ -23,7 +23,7 @@ from pagemill.functions import formats, text as tx
 from pagemill.functions.vectors import l2_normalize
 from pagemill.operators import chunking, documents, failures, search, semantic, stats
 from pagemill.operators.embedding import HashEmbedder, sparse_weights
-from pagemill.session import scratch_path, table
+from pagemill.session import scratch_path, spread, table
 from pagemill.sources import files, parsing, report, store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,11 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents")
 
 
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents for work that is heavy per row."""
+    return spread(_documents(spark, sf).select("doc_id", "source", "text"), "doc_id")
+
+
 def _listing(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select(
         tx.without_query(F.col("url")).alias("path"),
@@ -67,8 +72,7 @@ def _page_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _windows(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _documents(spark, sf).select("doc_id", "source", "text")
-    return chunking.char_window_chunks(docs, "text", SIZE, OVERLAP)
+    return chunking.char_window_chunks(_texts(spark, sf), "text", SIZE, OVERLAP)
 
 
 def _embedded(chunks: DataFrame) -> DataFrame:
@@ -106,7 +110,7 @@ def _outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 def _parsed_pages(spark: SparkSession, sf: str) -> DataFrame:
     inputs = table(spark, sf, "pages").select(F.col("url").alias("file_path"), F.col("html").alias("content"))
-    return parsing.parse_files(inputs, parsing.HTML_PARSERS, F.lit(RUN_TIME).cast("timestamp"))
+    return parsing.parse_files(spread(inputs, "file_path"), parsing.HTML_PARSERS, F.lit(RUN_TIME).cast("timestamp"))
 
 
 def _score(hits: DataFrame) -> DataFrame:
@@ -346,14 +350,12 @@ def error_triage(spark, sf):
 
 @query
 def recursive_chunks_md(spark, sf):
-    docs = _documents(spark, sf).select("doc_id", "source", "text")
-    return chunking.recursive_chunks(docs, "text", SIZE, OVERLAP, MARKDOWN_SEPARATORS)
+    return chunking.recursive_chunks(_texts(spark, sf), "text", SIZE, OVERLAP, MARKDOWN_SEPARATORS)
 
 
 @query
 def recursive_chunks_plain(spark, sf):
-    docs = _documents(spark, sf).select("doc_id", "source", "text")
-    return chunking.recursive_chunks(docs, "text", 1000, 200, PLAIN_SEPARATORS)
+    return chunking.recursive_chunks(_texts(spark, sf), "text", 1000, 200, PLAIN_SEPARATORS)
 
 
 @query
@@ -363,22 +365,22 @@ def char_window_chunks(spark, sf):
 
 @query
 def split_sentences(spark, sf):
-    return semantic.split_sentences(_documents(spark, sf), "doc_id", "text")
+    return semantic.split_sentences(_texts(spark, sf), "doc_id", "text")
 
 
 @query
 def sentence_groups(spark, sf):
-    return semantic.sentence_groups(_documents(spark, sf), "doc_id", "text", 1)
+    return semantic.sentence_groups(_texts(spark, sf), "doc_id", "text", 1)
 
 
 @query
 def neighbour_distance(spark, sf):
-    return semantic.neighbour_distances(_documents(spark, sf), "doc_id", "text", 1)
+    return semantic.neighbour_distances(_texts(spark, sf), "doc_id", "text", 1)
 
 
 @query
 def semantic_breakpoints(spark, sf):
-    found = semantic.semantic_breakpoints(_documents(spark, sf), "doc_id", "text", 1, 95)
+    found = semantic.semantic_breakpoints(_texts(spark, sf), "doc_id", "text", 1, 95)
     return found.select(
         "doc_id",
         "cut",
@@ -389,18 +391,17 @@ def semantic_breakpoints(spark, sf):
 
 @query
 def semantic_chunks(spark, sf):
-    docs = _documents(spark, sf).select("doc_id", "source", "text")
-    return semantic.semantic_chunks(docs, "doc_id", "text", ChunkingConfig(use_semantic_chunking=True))
+    return semantic.semantic_chunks(_texts(spark, sf), "doc_id", "text", ChunkingConfig(use_semantic_chunking=True))
 
 
 @query
 def threshold_sweep(spark, sf):
-    return semantic.threshold_sweep(_documents(spark, sf), "doc_id", "text", 1, SWEEP_THRESHOLDS)
+    return semantic.threshold_sweep(_texts(spark, sf), "doc_id", "text", 1, SWEEP_THRESHOLDS)
 
 
 @query
 def chunking_comparison(spark, sf):
-    docs = _documents(spark, sf).select("doc_id", "text")
+    docs = _texts(spark, sf).drop("source")
     config = ChunkingConfig(use_semantic_chunking=True)
     return stats.chunking_comparison(
         {
