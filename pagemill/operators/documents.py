@@ -48,6 +48,7 @@ def parsed_to_documents(parsed: DataFrame, parser: str = "html", result_type: st
     )
     body = F.col("page_body")
     documents = exploded.select(
+        F.concat_ws("#", "file_path", (F.col("pos") + 1).cast("string")).alias("document_key"),
         choose_content(body["md"], body["text"]).alias("page_content"),
         F.col("file_path").alias("source_file"),
         basename(F.col("file_path")).alias("file_name"),

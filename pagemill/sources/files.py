@@ -15,7 +15,7 @@ from pagemill.operators.numbering import number_rows
 LISTING = "path string, size_bytes bigint, modified_at timestamp"
 
 
-def _glob(suffixes: Sequence[str]) -> str:
+def suffix_glob(suffixes: Sequence[str]) -> str:
     """A case-insensitive file name pattern."""
     def either_case(text: str) -> str:
         return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in text)
@@ -29,7 +29,7 @@ def discover_files(spark: SparkSession, folder: str, suffixes: Sequence[str] = (
     Only the listing is read, never a file's content. Order and numbers are added by
     :func:`file_listing`.
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", _glob(suffixes))
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffixes))
     try:
         found = reader.load(folder)
     except AnalysisException as error:
@@ -77,7 +77,7 @@ def load_contents(
     spark: SparkSession, folder: str, suffixes: Sequence[str], charset: str = "UTF-8"
 ) -> DataFrame:
     """The files of :func:`discover_files` with their decoded ``content``."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", _glob(suffixes))
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffixes))
     try:
         found = reader.load(folder)
     except AnalysisException as error:
