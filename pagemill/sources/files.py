@@ -73,10 +73,13 @@ def load_text(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def load_contents(
-    spark: SparkSession, folder: str, suffixes: Sequence[str], charset: str = "UTF-8"
-) -> DataFrame:
-    """The files of :func:`discover_files` with their decoded ``content``."""
+def utf8_text(content: Column) -> Column:
+    """Bytes as text; what is not UTF-8 becomes U+FFFD instead of failing the run."""
+    return F.make_valid_utf8(content.cast("string"))
+
+
+def load_contents(spark: SparkSession, folder: str, suffixes: Sequence[str]) -> DataFrame:
+    """The files of :func:`discover_files` with their text."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffixes))
     try:
         found = reader.load(folder)
@@ -84,4 +87,6 @@ def load_contents(
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], "file_path string, content string")
         raise
-    return found.select(F.col("path").alias("file_path"), F.decode("content", F.lit(charset)).alias("content"))
+    return found.select(
+        F.col("path").alias("file_path"), utf8_text(F.col("content")).alias("content")
+    )

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pagemill.sources.files import suffix_glob
+from pagemill.sources.files import suffix_glob, utf8_text
 from pagemill.sources.parsing import HTML_PARSERS, Parser, parse_files
 
 CONTENT = "path string, modificationTime timestamp, length bigint, content binary"
@@ -21,7 +21,7 @@ def arriving_files(spark: SparkSession, folder: str, suffixes: Sequence[str]) ->
     stream = spark.readStream.format("binaryFile").schema(CONTENT)
     found = stream.option("pathGlobFilter", suffix_glob(suffixes)).load(folder)
     return found.select(
-        F.col("path").alias("file_path"), F.decode("content", F.lit("UTF-8")).alias("content")
+        F.col("path").alias("file_path"), utf8_text(F.col("content")).alias("content")
     )
 
 
