@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagemill.config import DEFAULT_TEST_QUERIES, FILE_TYPES
+from pagemill.config import DEFAULT_TEST_QUERIES, FILE_TYPES, MARKDOWN_SEPARATORS, PLAIN_SEPARATORS
 from pagemill.functions.text import EMOJI_TAGS, WHITESPACE
 
 
@@ -58,6 +58,42 @@ RUN_STATS = """run AS (
   SELECT count(*) AS total_files, count(*) FILTER (status = 'ok') AS successful, count(*) FILTER (status = 'failed') AS failed,
     CAST(sum(n_pages) AS BIGINT) AS total_pages, sum(n_chars / 1024.0::DOUBLE) AS processing_time FROM outcomes)"""
 
+def _recursive(separators: list[str], size: int, overlap: int) -> str:
+    """Recursive splitting as tables: pieces level by level, then the chain of chunks."""
+    parts = ["big0 AS (SELECT doc_id, 0 AS s, length(text) AS e FROM documents)"]
+    levels = [sep for sep in separators if sep]
+    for n, sep in enumerate(levels):
+        literal = " || ".join(f"chr({ord(c)})" for c in sep)
+        parts.append(f"""pieces{n} AS (
+  SELECT doc_id, span, s + off - len AS s, s + off AS e, len FROM (
+    SELECT doc_id, s, s AS span, n, len, CAST(sum(len) OVER (PARTITION BY doc_id, s ORDER BY n) AS BIGINT) AS off FROM (
+      SELECT doc_id, s, n, length(part) + CASE WHEN n > 0 THEN {len(sep)} ELSE 0 END AS len FROM (
+        SELECT doc_id, s, unnest(range(0, len(p))) AS n, unnest(p) AS part FROM (
+          SELECT b.doc_id, s, string_split(substr(text, s + 1, e - s), {literal}) AS p FROM big{n} b JOIN documents USING (doc_id)))))
+  WHERE len > 0),
+small{n} AS (SELECT doc_id, {n} AS level, span, sum((len >= {size})::INTEGER) OVER (PARTITION BY doc_id, span ORDER BY s) AS run, s, e, len FROM pieces{n}),
+big{n + 1} AS (SELECT doc_id, s, e FROM pieces{n} WHERE len >= {size})""")
+    last, stride = f"big{len(levels)}", size - overlap
+    union = " UNION ALL ".join(f"SELECT * FROM small{n} WHERE len < {size}" for n in range(len(levels)))
+    parts.append(f"""runs AS (SELECT doc_id, level, span, run, s, e, row_number() OVER (PARTITION BY doc_id, level, span, run ORDER BY s) AS i,
+    count(*) OVER (PARTITION BY doc_id, level, span, run) AS n FROM ({union})),
+reach AS (SELECT a.*, b.i AS l, b.e AS le FROM runs a JOIN runs b USING (doc_id, level, span, run)
+  WHERE b.i >= a.i AND b.e - a.s <= {size} QUALIFY row_number() OVER (PARTITION BY doc_id, level, span, run, a.i ORDER BY b.i DESC) = 1),
+after AS (SELECT r.doc_id, r.level, r.span, r.run, r.i, min(f.i) AS nxt
+  FROM reach r JOIN runs z ON (z.doc_id, z.level, z.span, z.run) = (r.doc_id, r.level, r.span, r.run) AND z.i = r.l + 1
+  JOIN runs f ON (f.doc_id, f.level, f.span, f.run) = (r.doc_id, r.level, r.span, r.run) AND f.i > r.i AND f.i <= r.l + 1
+  WHERE f.i = r.l + 1 OR (r.le - f.s <= {overlap} AND z.e - f.s <= {size}) GROUP BY ALL),
+chain AS (SELECT doc_id, level, span, run, 1::BIGINT AS i FROM runs WHERE i = 1
+  UNION ALL SELECT c.doc_id, c.level, c.span, c.run, a.nxt FROM chain c JOIN after a USING (doc_id, level, span, run, i)),
+spans AS (SELECT doc_id, s, le AS e FROM chain JOIN reach USING (doc_id, level, span, run, i)
+  UNION ALL SELECT doc_id, s + w * {stride}, least(e, s + w * {stride} + {size}) FROM (
+    SELECT doc_id, s, e, unnest(range(0, greatest(1, CAST(ceil((e - s - {overlap}) / {stride}.0) AS BIGINT)))) AS w FROM {last})),
+cut AS (SELECT doc_id, source, s, {_strip('substr(text, CAST(s AS BIGINT) + 1, CAST(e - s AS BIGINT))')} AS chunk FROM spans JOIN documents USING (doc_id))
+SELECT doc_id, source, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS INTEGER) AS chunk_index, chunk,
+  CAST(length(chunk) AS INTEGER) AS chunk_length FROM cut WHERE chunk <> ''""")
+    return "WITH RECURSIVE " + ",\n".join(parts)
+
+
 TOKENS = r"list_filter(string_split_regex(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
 BUCKET = "CAST(CAST(concat('0x', substr(md5({}), 1, 8)) AS BIGINT) % 384 AS INTEGER)"
 
@@ -258,6 +294,8 @@ ORACLES: dict[str, str] = {
           WHEN 0 THEN 'check the connection and the file, then retry' WHEN 3 THEN 'check the connection and the file, then retry' END AS remedy
         FROM outcomes""",
     "char_window_chunks": f"WITH {WINDOWS} SELECT * FROM chunks",
+    "recursive_chunks_md": _recursive(MARKDOWN_SEPARATORS, 1500, 300),
+    "recursive_chunks_plain": _recursive(PLAIN_SEPARATORS, 1000, 200),
     "split_sentences": f"""WITH {SENTENCES} SELECT doc_id, i AS sentence_no, sentence, CAST(length(sentence) AS INTEGER) AS sentence_length FROM sentences""",
     "sentence_groups": f"""WITH {SENTENCES} SELECT doc_id, i AS sentence_no, coalesce(lag(sentence) OVER w, '') || sentence || coalesce(lead(sentence) OVER w, '') AS sentence_group
         FROM sentences WINDOW w AS (PARTITION BY doc_id ORDER BY i)""",
