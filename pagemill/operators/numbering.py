@@ -17,43 +17,50 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MAX_RANGES = 16384
+SAMPLE_PER_RANGE = 8
+HASH_STEPS = 1 << 30
 
 
-def _range_count(df: DataFrame) -> int:
+def _cut_points(df: DataFrame, keys: list[str]) -> list[str]:
+    """Keys, as JSON, that cut the sorted rows into ranges of similar size.
+
+    A uniform sample by hash of the key: the same on every run, and about
+    ``SAMPLE_PER_RANGE`` keys per range whatever the size of the table, so it is small
+    enough to be collected. Only cut points are sampled; every row is numbered. Any cut
+    points give right numbers, good ones make the ranges even.
+    """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(MAX_RANGES, 4 * partitions))
+    ranges = max(16, min(MAX_RANGES, 4 * partitions))
+    wanted = ranges * SAMPLE_PER_RANGE
+    narrow = df.select(*keys)
+    rows = narrow.count()
+    if rows > wanted:
+        step = F.pmod(F.xxhash64(*keys), F.lit(HASH_STEPS))
+        narrow = narrow.where(step < int(HASH_STEPS * wanted / rows) + 1)
+    as_json = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    sample = [row[0] for row in narrow.orderBy(*keys).select(as_json).collect()]
+    return sample[:: -(-len(sample) // ranges)] if sample else []
 
 
 def _range_of(df: DataFrame, keys: list[str]) -> Column:
-    """Number of the key range a row falls into, by comparing with sampled cut points.
+    """Number of the key range a row falls into.
 
-    The cut points are the keys with the smallest hashes: a uniform sample of bounded
-    size that is the same on every run. Any sample gives right numbers; a good one
-    makes the ranges even. They are held as rows of about sqrt(n) cut points, so a row
-    is located with 2 * sqrt(n) comparisons.
+    The cut points are held as rows of about sqrt(n), so that a row is located with
+    2 * sqrt(n) comparisons.
     """
-    wanted = _range_count(df)
-    key_columns = [F.col(k) for k in keys]
-    cuts = (
-        df.select(*key_columns)
-        .orderBy(F.xxhash64(*key_columns))
-        .limit(wanted)
-        .orderBy(*key_columns)
-        .select(F.to_json(F.struct(*key_columns), {"ignoreNullFields": "false"}))
-    )
-    points = [row[0] for row in cuts.collect()]
+    points = _cut_points(df, keys)
     if not points:
         return F.lit(0)
     width = math.isqrt(len(points) - 1) + 1
-    rows = [points[i : i + width] for i in range(0, len(points), width)]
-    nested = "[" + ",".join("[" + ",".join(row) + "]" for row in rows) + "]"
-    key_type = df.select(F.struct(*key_columns).alias("k")).schema["k"].dataType.simpleString()
+    lines = [points[i : i + width] for i in range(0, len(points), width)]
+    nested = "[" + ",".join("[" + ",".join(line) + "]" for line in lines) + "]"
+    key = F.struct(*keys)
+    key_type = df.select(key.alias("k")).schema["k"].dataType.simpleString()
     table = F.from_json(F.lit(nested), f"array<array<{key_type}>>")
-    key = F.struct(*key_columns)
-    coarse = F.size(F.filter(table, lambda row: row[0] <= key))
-    row = F.get(table, F.greatest(coarse - 1, F.lit(0)))
+    coarse = F.size(F.filter(table, lambda line: line[0] <= key))
+    line = F.get(table, F.greatest(coarse - 1, F.lit(0)))
     # Never NULL, so that joining on it adds no second evaluation as a NULL filter.
-    return F.coalesce(coarse * width + F.size(F.filter(row, lambda point: point <= key)), F.lit(0))
+    return F.coalesce(coarse * width + F.size(F.filter(line, lambda point: point <= key)), F.lit(0))
 
 
 def number_rows(

@@ -1,8 +1,8 @@
 """Exact nearest-neighbour search by squared Euclidean distance.
 
 A batch of queries whose matrix fits a stated number of bytes is broadcast and the
-store is scanned once: each Arrow batch of the store yields at most ``k`` rows per
-query, so vectors are never shuffled. A larger batch is compared block by block: store
+store is scanned once: each task yields at most ``k`` rows per query, so vectors are
+never shuffled. A larger batch is compared block by block: store
 and queries are cut into blocks, every pair of blocks meets in exactly one group, and
 each group again yields at most ``k`` rows per query. Both ways end in the same ranking
 and give the same rows.
@@ -23,6 +23,9 @@ from pagemill.functions.text import UNKNOWN, preview
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 8192
+QUERY_TILE = 1024
+# Names of the working columns.
+QUERY, SCORE = "_query_no", "score"
 # Scores are compared after rounding to this many decimals, then by identifier.
 SCORE_DECIMALS = 9
 
@@ -35,10 +38,10 @@ def _matrix(vectors: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     return np.asarray(array.flatten(), dtype=np.float64).reshape(len(array), dim)
 
 
-def _nearest(
-    store: np.ndarray, queries: np.ndarray, k: int, threshold: float | None
+def _candidates(
+    store: np.ndarray, queries: np.ndarray, k: int, border: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate ``(query, row, score)`` triples: all rows within the k-th smallest score.
+    """``(query, row, score)`` of all rows within the k-th smallest score and ``border``.
 
     A matrix product finds the candidates with a margin for its rounding error; their
     scores are then computed from the differences, free of cancellation. Ties at the
@@ -47,49 +50,60 @@ def _nearest(
     square = (store * store).sum(axis=1)
     query_square = (queries * queries).sum(axis=1)
     rough = square[None, :] - 2.0 * (queries @ store.T) + query_square[:, None]
-    margin = 1e-8 * (1.0 + square.max(initial=0.0) + query_square[:, None])
+    margin = 1e-8 * (1.0 + square.max(initial=0.0) + query_square)
     if k < store.shape[0]:
-        border = np.partition(rough, k - 1, axis=1)[:, k - 1 : k]
-    else:
-        border = np.full((queries.shape[0], 1), np.inf)
-    if threshold is not None:
-        border = np.minimum(border, threshold)
-    query, row = np.nonzero(rough <= border + margin)
+        border = np.minimum(border, np.partition(rough, k - 1, axis=1)[:, k - 1])
+    query, row = np.nonzero(rough <= (border + margin)[:, None])
     score = np.empty(len(query))
     for start in range(0, len(query), BLOCK_ROWS):
         part = slice(start, start + BLOCK_ROWS)
         gap = store[row[part]] - queries[query[part]]
         score[part] = (gap * gap).sum(axis=1)
-    if threshold is not None:
-        kept = score <= threshold
-        query, row, score = query[kept], row[kept], score[kept]
     return query, row, score
 
 
-def _best(
-    block: pa.Table,
-    vector: str,
-    ids: Sequence[str],
-    queries: np.ndarray,
-    query_ids: pa.Table,
-    k: int,
-    threshold: float | None,
-) -> pa.Table:
-    """The ``k`` best rows of one block for every query, ties broken by identifier."""
-    block = block.filter(pc.is_valid(block[vector]))
-    query, row, score = _nearest(_matrix(block[vector], queries.shape[1]), queries, k, threshold)
-    found = block.drop_columns([vector]).take(pa.array(row))
-    keys = {"query": pa.array(query), "score": pa.array(np.round(score, SCORE_DECIMALS))}
-    keys |= {f"id{n}": found[name] for n, name in enumerate(ids)}
-    order = pc.sort_indices(pa.table(keys), [(name, "ascending") for name in keys])
-    sorted_query = query[order.to_numpy()]
-    first = np.searchsorted(sorted_query, sorted_query, side="left")
-    best = order.filter(pa.array(np.arange(len(sorted_query)) - first < k))
-    result = query_ids.take(pa.array(query).take(best))
-    found = found.take(best)
-    for name in found.column_names:
-        result = result.append_column(name, found[name])
-    return result.append_column("score", pa.array(score).take(best))
+class _Best:
+    """The ``k`` best rows per query of everything seen so far, ties broken by identifier.
+
+    Holds at most ``k`` rows per query. The worst of them bounds what a further block
+    has to offer, so later blocks add few candidates.
+    """
+
+    def __init__(self, queries: np.ndarray, vector: str, ids: Sequence[str], k: int, threshold: float | None):
+        self.queries, self.vector, self.ids, self.k = queries, vector, list(ids), k
+        self.threshold = np.inf if threshold is None else threshold
+        self.border = np.full(len(queries), self.threshold)
+        self.rows: pa.Table | None = None
+
+    def add(self, block: pa.Table) -> None:
+        block = block.filter(pc.is_valid(block[self.vector]))
+        store = _matrix(block[self.vector], self.queries.shape[1])
+        payload = block.drop_columns([self.vector])
+        for start in range(0, len(self.queries), QUERY_TILE):
+            tile = slice(start, start + QUERY_TILE)
+            query, row, score = _candidates(store, self.queries[tile], self.k, self.border[tile])
+            kept = score <= self.threshold
+            found = payload.take(pa.array(row[kept]))
+            found = found.append_column(SCORE, pa.array(score[kept]))
+            self._merge(found.append_column(QUERY, pa.array(query[kept] + start)))
+
+    def _merge(self, found: pa.Table) -> None:
+        rows = found if self.rows is None else pa.concat_tables([self.rows, found])
+        keys = {QUERY: rows[QUERY], SCORE: pc.round(rows[SCORE], SCORE_DECIMALS)}
+        keys |= {f"id{n}": rows[name] for n, name in enumerate(self.ids)}
+        order = pc.sort_indices(pa.table(keys), [(name, "ascending") for name in keys])
+        query = np.asarray(rows[QUERY].take(order))
+        position = np.arange(len(query)) - np.searchsorted(query, query, side="left")
+        self.rows = rows.take(order.filter(pa.array(position < self.k)))
+        last = position == self.k - 1
+        worst = np.asarray(rows[SCORE].take(order))[last]
+        # A little above the worst score, for scores that are equal after rounding.
+        self.border[query[last]] = np.minimum(worst + 10.0**-SCORE_DECIMALS, self.threshold)
+
+    def result(self, query_ids: pa.Table) -> pa.Table:
+        names = query_ids.take(self.rows[QUERY])
+        columns = [*names.columns, *self.rows.drop_columns([QUERY]).columns]
+        return pa.table(columns, [*names.column_names, *self.rows.drop_columns([QUERY]).column_names])
 
 
 def _scan(
@@ -103,10 +117,12 @@ def _scan(
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, query_ids = shared.value
+        best = _Best(queries, vector, ids, k, threshold)
         for batch in batches:
             if batch.num_rows:
-                block = pa.Table.from_batches([batch])
-                yield from _best(block, vector, ids, queries, query_ids, k, threshold).to_batches()
+                best.add(pa.Table.from_batches([batch]))
+        if best.rows is not None:
+            yield from best.result(query_ids).to_batches()
 
     return store.mapInArrow(search, schema)
 
@@ -142,8 +158,9 @@ def _blocks(
         if not block.num_rows or not batch.num_rows:
             return schema_arrow.empty_table()
         names = batch.select(list(query_ids))
-        vectors = _matrix(batch["_query"], dim)
-        return _best(block.drop_columns(["_sb", "_qb"]), vector, ids, vectors, names, k, threshold)
+        best = _Best(_matrix(batch["_query"], dim), vector, ids, k, threshold)
+        best.add(block.drop_columns(["_sb", "_qb"]))
+        return best.result(names)
 
     schema_arrow = to_arrow_schema(schema)
     return (

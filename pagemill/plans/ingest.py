@@ -85,7 +85,7 @@ def ingest(
     if contents.isEmpty():
         return stop("discover")
     outcomes = saved(
-        "parsed", parsing.parse_files(spread(contents), parsers, F.lit(started))
+        "parsed", parsing.parse_files(spread(contents, "file_path"), parsers, F.lit(started))
     )
     good = outcomes.where("status = 'ok'")
     if good.isEmpty():

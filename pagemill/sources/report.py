@@ -2,42 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagemill.config import RunConfig
 
 
-def _lines(df: DataFrame, section: int, *lines: Column) -> DataFrame:
-    """Fixed lines of a section from a one-row table."""
-    rows = F.array(
-        *[F.struct(F.lit(n).alias("line_no"), line.alias("line")) for n, line in enumerate(lines)]
-    )
-    return df.select(F.lit(section).alias("section"), F.lit("").alias("sort_key"), F.inline(rows))
-
-
-def _listed(df: DataFrame, section: int, title: str, key: Column, line: Column) -> DataFrame:
-    """A title, only if there are rows, and one line per row in key order."""
-    heading = (
-        df.agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 0")
-        .select(
-            F.lit(section).alias("section"),
-            F.lit("").alias("sort_key"),
-            F.lit(0).alias("line_no"),
-            F.lit(title).alias("line"),
-        )
-    )
-    rows = df.select(
-        F.lit(section).alias("section"),
-        key.alias("sort_key"),
-        F.lit(1).alias("line_no"),
-        line.alias("line"),
-    )
-    return heading.unionByName(rows)
-
-
 def report_lines(
     summary: DataFrame,
     outcomes: DataFrame,
@@ -55,48 +24,54 @@ def report_lines(
         shown = value.cast("string") if isinstance(value, Column) else F.lit(str(value))
         return F.concat(F.lit(f"- **{label}**: "), shown)
 
-    head = _lines(
-        summary,
-        0,
-        F.lit("# Processing Report"),
-        F.lit(f"Generated: {generated}"),
-        F.lit("## Summary"),
-        item("Session ID", session),
+    def total(name: str) -> Column:
+        return F.format_number(name, 0)
+
+    files = F.concat_ws("/", F.col("successful"), F.col("successful") + F.col("failed"))
+    seconds = F.concat(F.format_string("%.2f", "processing_time"), F.lit(" seconds"))
+    sections = {
+        0: [
+            F.lit("# Processing Report"),
+            F.lit(f"Generated: {generated}"),
+            F.lit("## Summary"),
+            item("Session ID", session),
+            item("Files Processed", files),
+            item("Total Pages", total("total_pages")),
+            item("Documents Created", total("documents")),
+            item("Chunks Generated", total("chunks")),
+            item("Processing Time", seconds),
+        ],
+        1: [F.when(F.col("successful") > 0, F.lit("## Successfully Processed Files"))],
+        2: [F.when(F.col("failed") > 0, F.lit("## Failed Files"))],
+        3: [
+            F.lit("## Configuration"),
+            item("Chunking", F.concat(F.col("chunks").cast("string"), F.lit(" chunks"))),
+            item("Embeddings", config.embedding.model_name),
+            item("Chunk Size", f"{config.chunking.chunk_size} characters"),
+            item("Chunk Overlap", f"{config.chunking.chunk_overlap} characters"),
+        ],
+    }
+    fixed = [
+        F.struct(
+            F.lit(section).alias("section"),
+            F.lit("").alias("sort_key"),
+            F.lit(number).alias("line_no"),
+            line.alias("line"),
+        )
+        for section, lines in sections.items()
+        for number, line in enumerate(lines)
+    ]
+    name, good = F.col("file_name"), F.col("status") == "ok"
+    pages = F.concat(F.lit(" ("), F.col("n_pages").cast("string"), F.lit(" pages)"))
+    per_file = outcomes.select(
+        F.when(good, F.lit(1)).otherwise(F.lit(2)).alias("section"),
+        F.col("file_path").alias("sort_key"),
+        F.lit(1).alias("line_no"),
         F.concat(
-            item("Files Processed", F.col("successful")),
-            F.lit("/"),
-            (F.col("successful") + F.col("failed")).cast("string"),
-        ),
-        item("Total Pages", F.format_number("total_pages", 0)),
-        item("Documents Created", F.format_number("documents", 0)),
-        item("Chunks Generated", F.format_number("chunks", 0)),
-        F.concat(item("Processing Time", F.format_string("%.2f", "processing_time")), F.lit(" seconds")),
-    )
-    name = F.col("file_name")
-    good = _listed(
-        outcomes.where("status = 'ok'"),
-        1,
-        "## Successfully Processed Files",
-        F.col("file_path"),
-        F.concat(F.lit("- "), name, F.lit(" ("), F.col("n_pages").cast("string"), F.lit(" pages)")),
-    )
-    bad = _listed(
-        outcomes.where("status = 'failed'"),
-        2,
-        "## Failed Files",
-        F.col("file_path"),
-        F.concat(F.lit("- "), name, F.lit(": "), F.col("error")),
-    )
-    tail = _lines(
-        summary,
-        3,
-        F.lit("## Configuration"),
-        item("Chunking", F.concat(F.col("chunks").cast("string"), F.lit(" chunks"))),
-        item("Embeddings", config.embedding.model_name),
-        item("Chunk Size", f"{config.chunking.chunk_size} characters"),
-        item("Chunk Overlap", f"{config.chunking.chunk_overlap} characters"),
+            F.lit("- "), name, F.when(good, pages).otherwise(F.concat(F.lit(": "), F.col("error")))
+        ).alias("line"),
     )
-    return reduce(DataFrame.unionByName, [head, good, bad, tail])
+    return summary.select(F.inline(F.array(*fixed))).where("line IS NOT NULL").unionByName(per_file)
 
 
 def save_report(lines: DataFrame, path: str) -> None:
