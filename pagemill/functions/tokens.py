@@ -15,7 +15,7 @@ def sentences(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), NOT_A_TOKEN), lambda token: token != "")
+    return F.array_remove(F.split(F.lower(text), NOT_A_TOKEN), "")
 
 
 def bucket(token: Column, dim: int) -> Column:

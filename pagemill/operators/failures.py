@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Fixed value: the error of a file that parsed without a page.
 NO_CONTENT = "No content extracted"
 
 

@@ -1,6 +1,6 @@
 """Exact nearest-neighbour search by squared Euclidean distance.
 
-A batch of queries whose matrix fits a stated number of bytes is broadcast and the
+A batch of queries whose matrix fits a stated number of rows and bytes is broadcast and the
 store is scanned once: each task yields at most ``k`` rows per query, so vectors are
 never shuffled. A larger batch is compared block by block: store
 and queries are cut into blocks, every pair of blocks meets in exactly one group, and
@@ -22,6 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pagemill.functions.text import UNKNOWN, preview
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_ROWS = 16384
 BLOCK_ROWS = 8192
 QUERY_TILE = 1024
 # Names of the working columns.
@@ -192,14 +193,12 @@ def nearest(
     schema = T.StructType(
         [*[queries.schema[q] for q in query_ids], *payload, T.StructField("score", T.DoubleType())]
     )
-    first = queries.select(F.size(query_vector)).first()
-    if first is None:
+    table = queries.limit(BROADCAST_ROWS + 1).toArrow()
+    if not table.num_rows:
         empty = store.sparkSession.createDataFrame([], schema)
         return empty.withColumn("rank", F.lit(None).cast("int"))
-    dim = first[0]
-    limit = max(1, broadcast_bytes // (8 * dim))
-    table = queries.limit(limit + 1).toArrow()
-    if table.num_rows <= limit:
+    dim = len(table[query_vector][0])
+    if table.num_rows <= BROADCAST_ROWS and table.num_rows * dim * 8 <= broadcast_bytes:
         found = _scan(store, vector, ids, table, query_vector, dim, k, threshold, schema)
     else:
         found = _blocks(

@@ -322,7 +322,7 @@ ORACLES: dict[str, str] = {
         SELECT method, chunks, s::DOUBLE / chunks AS mean_size, sqrt((chunks::HUGEINT * q - s * s)::DOUBLE) / chunks AS std_size,
           min_size, max_size, sqrt((chunks::HUGEINT * q - s * s)::DOUBLE) / s::DOUBLE AS cv FROM sums""",
     "hash_embed": f"WITH {WINDOWS}, {_cells('chunks', 'doc_id, chunk_index', 'chunk', 'cells')} SELECT * FROM cells",
-    "l2_normalize_vectors": """SELECT vec_id, CAST(unnest(range(0, 64)) AS INTEGER) AS position, round(unnest(list_transform(v, lambda x: x / n)), 6) AS x
+    "l2_normalize": """SELECT vec_id, CAST(unnest(range(0, 64)) AS INTEGER) AS position, round(unnest(list_transform(v, lambda x: x / n)), 6) AS x
         FROM (SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS n
           FROM (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE * 2.5::DOUBLE) AS v FROM embeddings))""",
     "vector_store_stats": f"""WITH {WINDOWS} SELECT count(*) AS total_vectors, CAST(384 AS INTEGER) AS embedding_dimension,

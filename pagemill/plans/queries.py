@@ -19,8 +19,7 @@ from pagemill.config import (
     EmbeddingConfig,
     RunConfig,
 )
-from pagemill.functions import formats, text as tx
-from pagemill.functions.vectors import l2_normalize
+from pagemill.functions import formats, text as tx, vectors
 from pagemill.operators import chunking, documents, failures, search, semantic, stats
 from pagemill.operators.embedding import HashEmbedder, sparse_weights
 from pagemill.session import scratch_path, spread, table
@@ -421,9 +420,9 @@ def hash_embed(spark, sf):
 
 
 @query
-def l2_normalize_vectors(spark, sf):
+def l2_normalize(spark, sf):
     doubled = F.transform("embedding", lambda x: x * F.lit(2.5))
-    unit = table(spark, sf, "embeddings").select("vec_id", l2_normalize(doubled).alias("v"))
+    unit = table(spark, sf, "embeddings").select("vec_id", vectors.l2_normalize(doubled).alias("v"))
     return unit.select("vec_id", F.posexplode("v").alias("position", "x")).withColumn("x", F.round("x", 6))
 
 
@@ -433,9 +432,9 @@ def vector_store_stats(spark, sf):
 
 
 def _self_hits(spark, sf, k, **options):
-    vectors = table(spark, sf, "embeddings")
-    queries = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
-    return search.nearest(vectors, queries, k, ["vec_id"], ["query_id"], **options)
+    stored = table(spark, sf, "embeddings")
+    queries = stored.select(F.col("vec_id").alias("query_id"), "embedding")
+    return search.nearest(stored, queries, k, ["vec_id"], ["query_id"], **options)
 
 
 @query
