@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 
@@ -16,35 +18,40 @@ def one_decimal(value: Column) -> Column:
     product = x * 10.0
     high = x * 134217729.0 - (x * 134217729.0 - x)
     error = (high * 10.0 - product) + (x - high) * 10.0
-    floor = F.floor(product)
-    rest = product - floor
-    up = F.when(rest != 0.5, rest > 0.5).when(error != 0.0, error > 0.0).otherwise(floor % 2 != 0)
-    tenths = F.when(up, floor + 1).otherwise(floor)
-    # Whole numbers and text only: the general formatter is many times slower.
-    whole = F.floor(tenths / 10).cast("string")
-    sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
-    return F.concat(sign, whole, F.lit("."), (tenths % 10).cast("string"))
+    tie = product - F.floor(product) == 0.5
+    tenths = F.rint(F.when(tie, product + 0.25 * F.signum(error)).otherwise(product))
+    # A decimal prints its one digit itself; the general formatter is many times slower.
+    shown = (tenths.cast("decimal(20,0)") * F.lit(Decimal("0.1"))).cast("string")
+    return F.concat(F.when(value < 0, F.lit("-")).otherwise(F.lit("")), shown)
 
 
 def file_size(size_bytes: Column) -> Column:
     """``0 B``, ``512.0 B``, ``1.2 KB`` ... up to TB."""
-    text = F.when(size_bytes == 0, F.lit("0 B"))
-    for power, unit in enumerate(["B", "KB", "MB", "GB"]):
-        scaled = size_bytes.cast("double") / float(1024**power)
-        text = text.when(
-            size_bytes < 1024 ** (power + 1), F.concat(one_decimal(scaled), F.lit(" " + unit))
-        )
-    terabytes = size_bytes.cast("double") / float(1024**4)
-    return text.otherwise(F.concat(one_decimal(terabytes), F.lit(" TB")))
+    units = ["B", "KB", "MB", "GB", "TB"]
+
+    def step(value_of) -> Column:
+        chosen = F.when(size_bytes < 1024, value_of(0))
+        for power in range(1, len(units) - 1):
+            chosen = chosen.when(size_bytes < 1024 ** (power + 1), value_of(power))
+        return chosen.otherwise(value_of(len(units) - 1))
+
+    # The unit is chosen first and the number formatted once, outside any branch, so that
+    # its repeated parts are computed once.
+    scaled = size_bytes.cast("double") / step(lambda power: F.lit(float(1024**power)))
+    text = F.concat(one_decimal(scaled), F.lit(" "), step(lambda power: F.lit(units[power])))
+    return F.when(size_bytes == 0, F.lit("0 B")).otherwise(text)
 
 
 def duration(seconds: Column) -> Column:
     """Seconds below one minute, minutes below one hour, else hours."""
-    return (
-        F.when(seconds < 60, F.concat(one_decimal(seconds), F.lit("s")))
-        .when(seconds < 3600, F.concat(one_decimal(seconds / 60.0), F.lit("m")))
-        .otherwise(F.concat(one_decimal(seconds / 3600.0), F.lit("h")))
-    )
+    def step(second, minute, hour) -> Column:
+        return (
+            F.when(seconds < 60, F.lit(second))
+            .when(seconds < 3600, F.lit(minute))
+            .otherwise(F.lit(hour))
+        )
+
+    return F.concat(one_decimal(seconds / step(1.0, 60.0, 3600.0)), step("s", "m", "h"))
 
 
 def compact_timestamp(ts: Column) -> Column:
