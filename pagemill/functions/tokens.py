@@ -1,4 +1,4 @@
-"""Sentences, tokens and token buckets."""
+"""Sentences and words of a text."""
 
 from __future__ import annotations
 
@@ -7,21 +7,13 @@ from pyspark.sql import Column, functions as F
 # A sentence ends with . ! or ? and keeps the white space after it, so the sentences
 # of a text concatenate to the text itself.
 SENTENCE = r"(?s)(.*?[.!?][\t-\r ]+|.+)"
-NOT_A_TOKEN = r"[^\p{L}\p{N}]+"
+BETWEEN_WORDS = r"[^\p{L}\p{N}]+"
 
 
 def sentences(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(1))
 
 
-def tokens(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), NOT_A_TOKEN), "")
-
-
-def bucket(token: Column, dim: int) -> Column:
-    """A hash bucket below ``dim``: the first 32 bits of the token's MD5, modulo ``dim``."""
-    return (F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("bigint") % dim).cast("int")
-
-
-def token_buckets(text: Column, dim: int) -> Column:
-    return F.transform(tokens(text), lambda token: bucket(token, dim))
+def words(text: Column) -> Column:
+    """Lower-case words; the first and the last may be empty."""
+    return F.split(F.lower(text), BETWEEN_WORDS)

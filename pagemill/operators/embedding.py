@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Protocol
@@ -11,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pagemill.functions.tokens import token_buckets
+from pagemill.functions.tokens import words
 
 
 class Embedder(Protocol):
@@ -21,6 +22,30 @@ class Embedder(Protocol):
     def embed(self, df: DataFrame, text: str, output: str = "embedding") -> DataFrame: ...
 
 
+def hashed_words(lists: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all words of a column of word lists, and the number per list.
+
+    The bucket of a word is the first 32 bits of its MD5 modulo ``dim``. Every distinct
+    word of a batch is hashed once; empty words are dropped.
+    """
+    lengths = np.asarray(lists.value_lengths().fill_null(0))
+    encoded = lists.flatten().dictionary_encode()
+    distinct = encoded.dictionary.cast(pa.binary()).to_pylist()
+    digests = (hashlib.md5(w, usedforsecurity=False).digest()[:4] for w in distinct)
+    table = np.array([int.from_bytes(d, "big") % dim for d in digests], dtype=np.int64)
+    kept = np.array([bool(w) for w in distinct], dtype=bool)
+    codes = np.asarray(encoded.indices)
+    used = kept[codes]
+    owner = np.repeat(np.arange(len(lengths)), lengths)[used]
+    return table[codes[used]], np.bincount(owner, minlength=len(lengths))
+
+
+def bucket_counts(buckets: np.ndarray, lengths: np.ndarray, dim: int) -> np.ndarray:
+    """One row of ``dim`` counts per list."""
+    cells = np.repeat(np.arange(len(lengths)), lengths) * dim + buckets
+    return np.bincount(cells, minlength=len(lengths) * dim).reshape(len(lengths), dim)
+
+
 def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
     return matrix / np.where(length > 0, length, 1.0)
@@ -36,8 +61,8 @@ def _as_lists(matrix: np.ndarray) -> pa.Array:
 class HashEmbedder:
     """Token counts hashed into ``dim`` buckets: lexical, reproducible, needs no model.
 
-    The JVM splits and hashes the text; an Arrow function only spreads the bucket
-    numbers of a batch into a dense matrix.
+    The JVM splits the text; an Arrow function hashes the distinct words of a batch and
+    counts them into a dense matrix.
     """
 
     dim: int = 384
@@ -48,16 +73,11 @@ class HashEmbedder:
         dim, normalize = self.dim, self.normalize
 
         @F.arrow_udf("array<float>")
-        def spread(buckets: pa.Array) -> pa.Array:
-            lists = buckets.fill_null([]) if buckets.null_count else buckets
-            lengths = np.asarray(lists.value_lengths())
-            rows = np.repeat(np.arange(len(lists), dtype=np.int64), lengths)
-            cells = rows * dim + np.asarray(lists.flatten())
-            counts = np.bincount(cells, minlength=len(lists) * dim).reshape(len(lists), dim)
-            matrix = counts.astype(np.float64)
-            return _as_lists(_unit_rows(matrix) if normalize else matrix)
-
-        return df.withColumn(output, spread(token_buckets(F.col(text), dim)))
+        def count(lists: pa.Array) -> pa.Array:
+            counts = bucket_counts(*hashed_words(lists, dim), dim).astype(np.float64)
+            return _as_lists(_unit_rows(counts) if normalize else counts)
+
+        return df.withColumn(output, count(words(F.col(text))))
 
 
 @dataclass(frozen=True)

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagemill.config import ChunkingConfig
 from pagemill.operators.chunking import with_chunk_id
-from pagemill.functions.tokens import sentences, token_buckets
+from pagemill.operators.embedding import bucket_counts, hashed_words
+from pagemill.functions.tokens import sentences, words
 from pagemill.functions.vectors import cosine_distance
 
 TOKEN_DIM = 384
@@ -43,21 +44,15 @@ def sentence_groups(df: DataFrame, key: str, text: str, buffer: int) -> DataFram
     return listed.select(key, F.posexplode(groups).alias("sentence_no", "sentence_group"))
 
 
-def _slab_distances(
-    buckets: np.ndarray, lengths: np.ndarray, first: int, last: int, buffer: int
-) -> np.ndarray:
+def _slab_distances(buckets: np.ndarray, lengths: np.ndarray, first: int, last: int, buffer: int) -> np.ndarray:
     """Distances between sentences ``first .. last`` and the next, from token counts.
 
     Counts are integers, so every sum is exact and the result does not depend on order.
     """
-    low, high = max(0, first - buffer), min(len(lengths), last + buffer + 2)
-    ends = np.concatenate([[0], np.cumsum(lengths)])
-    rows = np.repeat(np.arange(high - low), lengths[low:high])
-    cells = rows * TOKEN_DIM + buckets[ends[low] : ends[high]]
-    counts = np.bincount(cells, minlength=(high - low) * TOKEN_DIM).reshape(-1, TOKEN_DIM)
+    counts = bucket_counts(buckets, lengths, TOKEN_DIM)
     running = np.concatenate([np.zeros((1, TOKEN_DIM), np.int64), np.cumsum(counts, axis=0)])
-    at = np.arange(first, last + 2) - low
-    wide = running[np.minimum(at + buffer + 1, high - low)] - running[np.maximum(at - buffer, 0)]
+    at = np.arange(first, last + 2)
+    wide = running[np.minimum(at + buffer + 1, len(lengths))] - running[np.maximum(at - buffer, 0)]
     square = (wide * wide).sum(axis=1)
     length = np.where(square > 0, square, 1).astype(np.float64)
     dot = (wide[:-1] * wide[1:]).sum(axis=1)
@@ -67,25 +62,26 @@ def _slab_distances(
 def _document_distances(buckets: np.ndarray, lengths: np.ndarray, buffer: int) -> np.ndarray:
     """All neighbour distances of one document, a bounded slab of sentences at a time."""
     pairs = len(lengths) - 1
-    slabs = [
-        _slab_distances(buckets, lengths, first, min(first + SLAB, pairs) - 1, buffer)
-        for first in range(0, pairs, SLAB)
-    ]
-    return np.concatenate(slabs) if slabs else np.empty(0)
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    found = [np.empty(0)]
+    for first in range(0, pairs, SLAB):
+        last = min(first + SLAB, pairs) - 1
+        low, high = max(0, first - buffer), min(len(lengths), last + buffer + 2)
+        part = buckets[ends[low] : ends[high]]
+        found.append(_slab_distances(part, lengths[low:high], first - low, last - low, buffer))
+    return np.concatenate(found)
 
 
 def _distances(sentence_list: Column, buffer: int) -> Column:
     """Array of the distances between each sentence of a document and the next one.
 
-    The JVM splits and hashes the text; the Arrow function only sees bucket numbers.
+    The JVM splits the text into the words of its sentences.
     """
 
     @F.arrow_udf("array<double>")
     def distances(documents: pa.Array) -> pa.Array:
         sentences_of = np.asarray(documents.value_lengths())
-        nested = documents.flatten()
-        lengths = np.asarray(nested.value_lengths())
-        buckets = np.asarray(nested.flatten()).astype(np.int64)
+        buckets, lengths = hashed_words(documents.flatten(), TOKEN_DIM)
         sentence_end = np.concatenate([[0], np.cumsum(sentences_of)])
         bucket_end = np.concatenate([[0], np.cumsum(lengths)])
         found = []
@@ -95,7 +91,7 @@ def _distances(sentence_list: Column, buffer: int) -> Column:
         offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
         return pa.ListArray.from_arrays(offsets, np.concatenate([np.empty(0), *found]))
 
-    return distances(F.transform(sentence_list, lambda s: token_buckets(s, TOKEN_DIM)))
+    return distances(F.transform(sentence_list, words))
 
 
 def _with_distances(df: DataFrame, text: str, buffer: int) -> DataFrame:
