@@ -42,25 +42,38 @@ def _cut_points(df: DataFrame, keys: list[str]) -> list[str]:
     return sample[:: -(-len(sample) // ranges)] if sample else []
 
 
+def _position(points: Column, key: Column) -> Column:
+    """1-based place of ``key`` among sorted ``points``.
+
+    Written without a lambda: join keys computed with one confuse the optimizer's filter
+    inference, which then pushes the expression to the side of the join that lacks its inputs.
+    """
+    return F.array_position(F.sort_array(F.array_append(points, key)), key).cast("int")
+
+
 def _range_of(df: DataFrame, keys: list[str]) -> Column:
     """Number of the key range a row falls into.
 
-    The cut points are held as rows of about sqrt(n), so that a row is located with
-    2 * sqrt(n) comparisons.
+    The cut points are held as lines of about sqrt(n): the heads of the lines tell which
+    line to look at, so a row is compared with 2 * sqrt(n) keys.
     """
     points = _cut_points(df, keys)
     if not points:
         return F.lit(0)
     width = math.isqrt(len(points) - 1) + 1
     lines = [points[i : i + width] for i in range(0, len(points), width)]
-    nested = "[" + ",".join("[" + ",".join(line) + "]" for line in lines) + "]"
     key = F.struct(*keys)
     key_type = df.select(key.alias("k")).schema["k"].dataType.simpleString()
-    table = F.from_json(F.lit(nested), f"array<array<{key_type}>>")
-    coarse = F.size(F.filter(table, lambda line: line[0] <= key))
-    line = F.get(table, F.greatest(coarse - 1, F.lit(0)))
+
+    def array(items: list[str]) -> str:
+        return "[" + ",".join(items) + "]"
+
+    heads = F.from_json(F.lit(array([line[0] for line in lines])), f"array<{key_type}>")
+    table = F.from_json(F.lit(array([array(line) for line in lines])), f"array<array<{key_type}>>")
+    # A key below the first head belongs to the first line, at its very beginning.
+    line = F.greatest(_position(heads, key) - 2, F.lit(0))
     # Never NULL, so that joining on it adds no second evaluation as a NULL filter.
-    return F.coalesce(coarse * width + F.size(F.filter(line, lambda point: point <= key)), F.lit(0))
+    return F.coalesce(line * (width + 1) + _position(F.get(table, line), key), F.lit(0))
 
 
 def number_rows(
