@@ -10,7 +10,7 @@ from typing import Protocol
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pagemill.functions.tokens import words
 
@@ -111,7 +111,6 @@ def sparse_weights(df: DataFrame, vector: str = "embedding") -> DataFrame:
     return df.select(*others, F.explode(kept).alias("cell")).select(*others, "cell.*")
 
 
-def memory_megabytes(rows: int | None, dim: int):
-    """Size of ``rows`` single-precision vectors, as a Column when ``rows`` is None."""
-    count = F.count(F.lit(1)) if rows is None else F.lit(rows)
-    return count * F.lit(dim) * F.lit(4) / F.lit(1024.0) / F.lit(1024.0)
+def memory_megabytes(vectors: Column, dim: int) -> Column:
+    """Size of a number of single-precision vectors."""
+    return vectors * dim * 4 / 1024.0 / 1024.0

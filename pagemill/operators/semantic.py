@@ -11,13 +11,16 @@ document and documents of one source are independent rows, so there are no hot k
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pagemill.config import ChunkingConfig
 from pagemill.operators.chunking import with_chunk_id
-from pagemill.operators.embedding import bucket_counts, hashed_words
+from pagemill.operators.embedding import ModelEmbedder, bucket_counts, hashed_words
 from pagemill.functions.tokens import sentences, words
 from pagemill.functions.vectors import cosine_distance
 
@@ -37,10 +40,16 @@ def _around(values: Column, i: Column, buffer: int) -> Column:
     return F.slice(values, first + 1, last - first + 1)
 
 
+def _groups(sentence_list: Column, buffer: int) -> Column:
+    return F.transform(
+        sentence_list, lambda _, i: F.array_join(_around(sentence_list, i, buffer), "")
+    )
+
+
 def sentence_groups(df: DataFrame, key: str, text: str, buffer: int) -> DataFrame:
     """Each sentence together with ``buffer`` sentences on either side."""
     listed = df.select(key, sentences(F.col(text)).alias("_s"))
-    groups = F.transform("_s", lambda _, i: F.array_join(_around(F.col("_s"), i, buffer), ""))
+    groups = _groups(F.col("_s"), buffer)
     return listed.select(key, F.posexplode(groups).alias("sentence_no", "sentence_group"))
 
 
@@ -94,10 +103,40 @@ def _distances(sentence_list: Column, buffer: int) -> Column:
     return distances(F.transform(sentence_list, words))
 
 
-def _with_distances(df: DataFrame, text: str, buffer: int) -> DataFrame:
+def _model_distances(groups: Column, embedder: ModelEmbedder) -> Column:
+    """The same from an embedding model, applied to the sentence groups of each document."""
+    load = embedder.load
+
+    @F.pandas_udf("array<double>")
+    def distances(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = load()
+
+        def one(texts) -> np.ndarray:
+            found, previous = [np.empty(0)], np.empty((0, embedder.dim))
+            for start in range(0, len(texts), SLAB):
+                part = np.asarray(encode(list(texts[start : start + SLAB])), dtype=np.float64)
+                vectors = np.concatenate([previous, part])
+                square = (vectors * vectors).sum(axis=1)
+                dot = (vectors[:-1] * vectors[1:]).sum(axis=1)
+                length = np.sqrt(np.where(square > 0, square, 1.0))
+                found.append(1.0 - dot / (length[:-1] * length[1:]))
+                previous = vectors[-1:]
+            return np.concatenate(found)
+
+        for documents in batches:
+            yield documents.map(one)
+
+    return distances(groups)
+
+
+def _with_distances(
+    df: DataFrame, text: str, buffer: int, embedder: ModelEmbedder | None = None
+) -> DataFrame:
     """Add ``_s``, the sentences, and ``_d``, their neighbour distances, to each document."""
     listed = df.where(F.length(text) > 0).withColumn("_s", sentences(F.col(text)))
-    return listed.withColumn("_d", _distances(F.col("_s"), buffer))
+    if embedder is None:
+        return listed.withColumn("_d", _distances(F.col("_s"), buffer))
+    return listed.withColumn("_d", _model_distances(_groups(F.col("_s"), buffer), embedder))
 
 
 def neighbour_distances(df: DataFrame, key: str, text: str, buffer: int) -> DataFrame:
@@ -108,15 +147,6 @@ def neighbour_distances(df: DataFrame, key: str, text: str, buffer: int) -> Data
     return exploded.where(F.col("sentence_no").isNotNull())
 
 
-def dense_neighbour_distances(groups: DataFrame, key: str, vector: str) -> DataFrame:
-    """The same from model vectors, one per sentence group."""
-    ordered = Window.partitionBy(key).orderBy("sentence_no")
-    following = groups.withColumn("_next", F.lead(vector).over(ordered)).where("_next IS NOT NULL")
-    return following.select(
-        key, "sentence_no", cosine_distance(F.col(vector), F.col("_next")).alias("distance")
-    )
-
-
 def _percentile_cut(sorted_values: Column, percentile: Column) -> Column:
     """The order statistic a value has to exceed to lie above the interpolated percentile."""
     position = F.floor((F.size(sorted_values) - 1) * percentile / F.lit(100))
@@ -144,11 +174,16 @@ def semantic_breakpoints(
     )
 
 
-def semantic_chunks(df: DataFrame, key: str, text: str, config: ChunkingConfig) -> DataFrame:
-    """Chunks are whole sentences in order; together they are the text again."""
+def semantic_chunks(
+    df: DataFrame, key: str, text: str, config: ChunkingConfig, embedder: ModelEmbedder | None = None
+) -> DataFrame:
+    """Chunks are whole sentences in order; together they are the text again.
+
+    Sentences are compared by token counts unless an embedding model is given.
+    """
     inherited = [c for c in df.columns if c != text]
     breaks = _breaks(F.col("_d"), F.lit(config.breakpoint_percentile_threshold))
-    located = _with_distances(df, text, config.buffer_size).select(
+    located = _with_distances(df, text, config.buffer_size, embedder).select(
         *inherited,
         "_s",
         F.concat(F.array(F.lit(0)), F.transform(breaks, lambda b: b + 1)).alias("_starts"),
@@ -167,8 +202,8 @@ def semantic_chunks(df: DataFrame, key: str, text: str, config: ChunkingConfig)
         F.lit("semantic").alias("chunking_method"),
         F.lit(config.breakpoint_percentile_threshold).alias("semantic_threshold"),
         F.lit(config.buffer_size).alias("buffer_size"),
-        F.lit("token-hash").alias("embedding_model"),
-        F.lit("built-in").alias("embedding_provider"),
+        F.lit(embedder.name if embedder else "token-hash").alias("embedding_model"),
+        F.lit("model" if embedder else "built-in").alias("embedding_provider"),
     )
 
 

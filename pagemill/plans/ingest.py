@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pagemill.config import ChunkingConfig, RunConfig
 from pagemill.operators import chunking, documents, failures, search, semantic, stats
-from pagemill.operators.embedding import Embedder, HashEmbedder
+from pagemill.operators.embedding import Embedder, HashEmbedder, ModelEmbedder
 from pagemill.session import spread
 from pagemill.sources import files, parsing, report, store
 
@@ -32,11 +32,11 @@ class RunResult:
 
 
 def chunk_documents(
-    df: DataFrame, text: str, key: str, config: ChunkingConfig
+    df: DataFrame, text: str, key: str, config: ChunkingConfig, model: ModelEmbedder | None = None
 ) -> DataFrame:
     """Chunk with the method the configuration asks for."""
     if config.use_semantic_chunking:
-        return semantic.semantic_chunks(df, key, text, config)
+        return semantic.semantic_chunks(df, key, text, config, model)
     chunks = chunking.recursive_chunks(
         df, text, config.chunk_size, config.chunk_overlap, config.separators
     )
@@ -67,6 +67,8 @@ def ingest(
 ) -> RunResult:
     started = datetime.now(timezone.utc).replace(tzinfo=None)
     embedding = config.embedding
+    # A model given by the caller also finds the semantic breaks.
+    model = embedder if isinstance(embedder, ModelEmbedder) else None
     embedder = embedder or HashEmbedder(embedding.dim, embedding.normalize)
     run = RunResult(f"session_{started:%Y%m%d_%H%M%S}")
     folder = f"{config.output_folder.rstrip('/')}/{run.session_id}"
@@ -95,7 +97,7 @@ def ingest(
         return stop("convert")
     chunks = saved(
         "chunks",
-        chunk_documents(docs.drop("layout"), "page_content", "document_key", config.chunking),
+        chunk_documents(docs.drop("layout"), "page_content", "document_key", config.chunking, model),
     )
     if chunks.isEmpty():
         return stop("chunk")
@@ -121,7 +123,7 @@ def ingest(
         saved("files_processed", good.select(*PARSED_LIST))
         saved("failed_files", failures.quarantine(outcomes)[1])
         run.paths["config"] = f"{folder}/config"
-        row = store.config_row(spark, config, run.session_id, started.isoformat(), statistics)
+        row = store.config_row(config, run.session_id, started.isoformat(), statistics)
         store.save_config(row, run.paths["config"])
     if config.create_report:
         summary = stats.run_summary(statistics, docs, chunks, embedding.dim)

@@ -187,7 +187,7 @@ def run_config_json(spark, sf):
     config = RunConfig()
     statistics = failures.run_statistics(_outcomes(spark, sf), F.col("n_pages"))
     path = scratch_path(spark, "config")
-    store.save_config(store.config_row(spark, config, SESSION, RUN_TIME, statistics), path)
+    store.save_config(store.config_row(config, SESSION, RUN_TIME, statistics), path)
     value = F.parse_json("value")
     return spark.read.text(path, wholetext=True).select(
         F.variant_get(value, "$.session_id", "string").alias("session_id"),

@@ -28,13 +28,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/pagemill/{uuid.uuid4().hex}/{name}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder once and read it back, cutting its lineage."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a scan with fewer splits than there are cores one partition per core.
 

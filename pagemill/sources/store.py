@@ -45,13 +45,11 @@ def store_statistics(store: DataFrame, dim: int) -> DataFrame:
     return store.agg(
         F.count(F.lit(1)).alias("total_vectors"),
         F.lit(dim).alias("embedding_dimension"),
-        memory_megabytes(None, dim).alias("memory_mb"),
+        memory_megabytes(F.count(F.lit(1)), dim).alias("memory_mb"),
     )
 
 
-def config_row(
-    spark: SparkSession, config: RunConfig, session: str, started_at: str, statistics: DataFrame
-) -> DataFrame:
+def config_row(config: RunConfig, session: str, started_at: str, statistics: DataFrame) -> DataFrame:
     """One JSON document with the configuration and the counters of the run.
 
     File names and failures may be many; they are tables of their own beside it.

@@ -224,11 +224,43 @@ def test_sentence_groups_of_wider_buffers(spark):
     assert [r.sentence_group for r in rows] == ["a. b. c. ", "a. b. c. d.", "a. b. c. d.", "b. c. d."]
 
 
-def test_dense_distances(spark):
-    rows = [(0, 0, [1.0, 0.0]), (0, 1, [0.0, 1.0]), (0, 2, [0.0, 2.0]), (1, 0, [1.0, 1.0])]
-    df = spark.createDataFrame(rows, "i int, sentence_no int, v array<double>")
-    got = semantic.dense_neighbour_distances(df, "i", "v").orderBy("sentence_no").collect()
-    assert [(r.sentence_no, r.distance) for r in got] == [(0, 1.0), (1, 0.0)]
+def letter_model():
+    def load():
+        def encode(texts):
+            return np.array([[t.count(c) for c in "abcdefg. "] for t in texts], dtype=float)
+
+        return encode
+
+    return ModelEmbedder(load, 9, "letters", normalize=False)
+
+
+def test_semantic_chunks_from_a_model(spark, monkeypatch):
+    generator = random.Random(9)
+    texts = [sentence_text(generator, n) for n in (1, 2, 40, 90)] + [""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(3)
+    config = ChunkingConfig(use_semantic_chunking=True, breakpoint_percentile_threshold=85)
+    monkeypatch.setattr(semantic, "SLAB", 7)
+    rows = semantic.semantic_chunks(df, "i", "t", config, letter_model())
+    chunks = chunk_lists(rows)
+    for i, text in enumerate(texts[:4]):
+        parts, _ = brute_distances(text, 1)
+        groups = ["".join(parts[max(0, n - 1) : n + 2]) for n in range(len(parts))]
+        vectors = np.array([[g.count(c) for c in "abcdefg. "] for g in groups], dtype=float)
+        gaps = [1 - (a @ b) / np.sqrt((a @ a) * (b @ b)) for a, b in zip(vectors, vectors[1:])]
+        assert "".join(chunks[i]) == text
+        if gaps:
+            sizes = np.round(np.array(gaps), 9)
+            assert len(chunks[i]) - 1 == (sizes > np.round(np.percentile(gaps, 85), 9)).sum()
+    assert 4 not in chunks
+    assert {(r.embedding_model, r.embedding_provider) for r in rows.collect()} == {("letters", "model")}
+
+
+def test_model_vectors_are_never_shuffled(spark):
+    df = spark.createDataFrame([(0, "a. b. c.")], "i int, t string")
+    config = ChunkingConfig(use_semantic_chunking=True)
+    chunks = semantic.semantic_chunks(df, "i", "t", config, letter_model())
+    plan = chunks._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("EvalPython") == 1
 
 
 # ---------------------------------------------------------------- embedding
