@@ -162,12 +162,13 @@ BLOCK_TAGS = (
     "address|article|aside|blockquote|body|dd|div|dl|dt|figure|footer|h[1-6]|header|html|li|main|nav|ol|"
     "p|pre|section|table|td|th|tr|ul"
 )
+# The semicolon of these entities is optional in HTML.
 BLOCKS = rf"""visible AS (
   SELECT url AS file_path, regexp_replace(html, '(?is)<head\b.*?</head>|<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<!DOCTYPE[^>]*>', '', 'g') AS h FROM pages),
 marked AS (SELECT file_path, regexp_replace(regexp_replace(h, '(?i)<br\s*/?>', ' ', 'g'),
     '(?i)<(/?(?:{BLOCK_TAGS}))\b[^>]*>', chr(30) || '\1' || chr(31), 'g') AS h FROM visible),
-clean AS (SELECT file_path, replace(replace(replace(replace(regexp_replace(h, '<[^>]*>', '', 'g'),
-    '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS h FROM marked),
+clean AS (SELECT file_path, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(h, '<[^>]*>', '', 'g'),
+    '&quot;?', '"', 'g'), '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&amp;?', '&', 'g') AS h FROM marked),
 parts AS (SELECT file_path, unnest(range(0, len(p))) AS n, unnest(p) AS part FROM (SELECT file_path, string_split(h, chr(30)) AS p FROM clean)),
 typed AS (SELECT file_path, n, CASE WHEN contains(part, chr(31)) THEN lower(split_part(part, chr(31), 1)) ELSE '' END AS tag,
     trim(regexp_replace(CASE WHEN contains(part, chr(31)) THEN split_part(part, chr(31), 2) ELSE part END, '\s+', ' ', 'g')) AS text FROM parts),
