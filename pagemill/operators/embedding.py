@@ -106,9 +106,9 @@ class ModelEmbedder:
 def sparse_weights(df: DataFrame, vector: str = "embedding") -> DataFrame:
     """The non-zero cells of a vector column as rows ``(bucket, weight)``."""
     others = [c for c in df.columns if c != vector]
-    cells = F.transform(F.col(vector), lambda w, i: F.struct(i.alias("bucket"), w.alias("weight")))
-    kept = F.filter(cells, lambda cell: cell["weight"] != 0)
-    return df.select(*others, F.explode(kept).alias("cell")).select(*others, "cell.*")
+    # An inner explode would make the optimizer compute the vector twice, see the README.
+    cells = df.select(*others, F.posexplode_outer(vector).alias("bucket", "weight"))
+    return cells.where(F.col("weight") != 0)
 
 
 def memory_megabytes(vectors: Column, dim: int) -> Column:
