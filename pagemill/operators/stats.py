@@ -64,10 +64,8 @@ def file_summary(documents: DataFrame, length: int = 200) -> DataFrame:
 
 def file_summary_by_loader(documents: DataFrame) -> DataFrame:
     """Documents, characters, whole-number mean, and loader and sample of the first page."""
-    first = F.min_by(
-        F.struct("loader_used", F.replace(sample(F.col("page_content"), 150), F.lit("\n"), F.lit(" ")).alias("s")),
-        "page",
-    )
+    line = F.replace(sample(F.col("page_content"), 150), F.lit("\n"), F.lit(" "))
+    first = F.min_by(F.struct("loader_used", line.alias("s")), "page")
     grouped = documents.groupBy("file_name").agg(
         F.count(F.lit(1)).alias("documents"),
         F.sum(F.length("page_content")).alias("total_chars"),
@@ -115,7 +113,8 @@ def chunking_comparison(methods: dict[str, DataFrame]) -> DataFrame:
     )
     mean = F.col("_s") / F.col("chunks")
     # Whole-number sums give the same variance whatever order the rows arrive in.
-    spread = F.col("chunks").cast("decimal(38,0)") * F.col("_q") - F.col("_s").cast("decimal(38,0)") * F.col("_s")
+    chunks, total = F.col("chunks").cast("decimal(38,0)"), F.col("_s").cast("decimal(38,0)")
+    spread = chunks * F.col("_q") - total * F.col("_s")
     return sums.select(
         "method",
         "chunks",

@@ -96,10 +96,11 @@ def _outcomes(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id",
         "text",
         "n_chars",
-        F.concat(F.lit("docs/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".html")).alias("file_path"),
+        F.expr("concat('docs/', source, '/', doc_id, '.html')").alias("file_path"),
         error.alias("error"),
     )
-    paged = raw.withColumn("pages", F.when(~no_pages, F.array("text")).otherwise(F.array().cast("array<string>")))
+    none = F.array().cast("array<string>")
+    paged = raw.withColumn("pages", F.when(no_pages, none).otherwise(F.array("text")))
     return (
         failures.outcome(paged)
         .withColumn("file_name", tx.basename(F.col("file_path")))
@@ -108,10 +109,16 @@ def _outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _parsed_pages(spark: SparkSession, sf: str) -> DataFrame:
-    inputs = table(spark, sf, "pages").select(F.col("url").alias("file_path"), F.col("html").alias("content"))
+    inputs = table(spark, sf, "pages").select(
+        F.col("url").alias("file_path"), F.col("html").alias("content")
+    )
     return parsing.parse_files(spread(inputs, "file_path"), parsing.HTML_PARSERS, F.lit(RUN_TIME).cast("timestamp"))
 
 
+def _no_error() -> Column:
+    return F.lit(None).cast("string").alias("error")
+
+
 def _score(hits: DataFrame) -> DataFrame:
     return hits.withColumn("score", F.round("score", 6))
 
@@ -137,7 +144,8 @@ def load_text_whole(spark, sf):
     docs.write.option("maxRecordsPerFile", 1000).partitionBy("source").text(path)
     loaded = files.load_text(spark, path)
     lines = F.size(F.split("page_content", "\n")) - 1
-    return loaded.groupBy(F.regexp_extract("source", "source=([^/]*)", 1).alias("file_name")).agg(
+    folder = F.regexp_extract("source", "source=([^/]*)", 1)
+    return loaded.groupBy(folder.alias("file_name")).agg(
         F.sum(F.length("page_content")).alias("chars"), F.sum(lines).alias("lines")
     )
 
@@ -564,9 +572,10 @@ def head_and_rest(spark, sf):
 @query
 def quarantine(spark, sf):
     good, bad = failures.quarantine(_outcomes(spark, sf))
-    return good.select(
-        "file_path", F.lit("parse").alias("stage"), F.lit("ok").alias("status"), F.lit(None).cast("string").alias("error")
-    ).unionByName(bad.withColumn("status", F.lit("failed")))
+    kept = good.select(
+        "file_path", F.lit("parse").alias("stage"), F.lit("ok").alias("status"), _no_error()
+    )
+    return kept.unionByName(bad.withColumn("status", F.lit("failed")))
 
 
 @query
@@ -574,9 +583,10 @@ def retry_merge(spark, sf):
     outcomes = _outcomes(spark, sf)
     good, bad = failures.quarantine(outcomes)
     results = good.select("file_path", "text")
-    tried = failures.retryable(bad, "nested async").join(outcomes.select("file_path", "doc_id", "text"), "file_path")
+    inputs = outcomes.select("file_path", "doc_id", "text")
+    tried = failures.retryable(bad, "nested async").join(inputs, "file_path")
     retried_ok = tried.where("doc_id % 2 = 0").select("file_path", "text")
     merged, still_failed = failures.retry_merge(results, bad, retried_ok)
-    return merged.select("file_path", F.lit("ok").alias("status"), F.lit(None).cast("string").alias("error")).unionByName(
+    return merged.select("file_path", F.lit("ok").alias("status"), _no_error()).unionByName(
         still_failed.select("file_path", F.lit("failed").alias("status"), "error")
     )
