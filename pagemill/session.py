@@ -13,21 +13,43 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one only where it is unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named by ``spark.checkpoint.dir`` or set as checkpoint folder.
+
+    Driver and executors have to see the same files there, so nothing is made up on a
+    cluster. Only where all tasks run inside this machine's single JVM, a temporary folder
+    is set.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pagemill-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pagemill-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/pagemill/{uuid.uuid4().hex}/{name}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder in whatever store holds it; one that is not there is no error."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, so that its lineage ends there.
+
+    A lost executor then costs a new read, never the work before.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a scan with fewer splits than there are cores one partition per core.
 
