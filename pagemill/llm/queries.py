@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pagemill.llm.exact_dedup import dedup_exact
+from pagemill.llm.licenses import scan_licenses
 from pagemill.llm.line_dedup import drop_repeated_lines
+from pagemill.llm.near_dedup import near_duplicates
+from pagemill.llm.packing import pack_documents
 from pagemill.llm.quality import judge_quality
+from pagemill.llm.url_rules import RULE_SCHEMA, judge_urls
 from pagemill.session import table
 
 # Characters for the SQL twins, spelled as in the contracts.
@@ -58,13 +63,68 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+# The rules of the query, host and path.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(table(spark, folder, "pages"), spark.createDataFrame(URL_RULES, RULE_SCHEMA))
+
+
+URL_RULES_SQL = """
+WITH rules(host, path, verdict) AS (
+    VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+           ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), parts AS (
+    SELECT page_id,
+           translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+    FROM pages
+), fits AS (
+    SELECT p.*, r.host || r.path AS rule, r.verdict,
+           row_number() OVER (PARTITION BY page_id ORDER BY length(r.host) DESC, length(r.path) DESC) AS n
+    FROM parts p LEFT JOIN rules r
+      ON ('.' || p.host) LIKE ('%.' || r.host) AND starts_with(p.path, r.path)
+)
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN host = '' THEN 'block' ELSE 'allow' END) AS verdict
+FROM fits WHERE n = 1
+"""
+
+
+def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents")).select(
+        "input.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
 QUERIES = {
     "op1_line_dedup": line_dedup,
+    "op2_best_fit_packing": best_fit_packing,
     "op4_quality_rules": quality_rules,
+    "op5_url_rules": url_rules,
+    "op6_near_dedup": near_dedup,
+    "op9_license_scan": license_scan,
     "op10_exact_dedup": exact_dedup,
 }
 
 ORACLES = {
     "op1_line_dedup": LINE_DEDUP_SQL,
+    "op5_url_rules": URL_RULES_SQL,
     "op10_exact_dedup": EXACT_DEDUP_SQL,
 }
