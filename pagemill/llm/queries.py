@@ -11,6 +11,7 @@ from pagemill.llm.line_dedup import drop_repeated_lines
 from pagemill.llm.near_dedup import near_duplicates
 from pagemill.llm.packing import pack_documents
 from pagemill.llm.quality import judge_quality
+from pagemill.llm.substring_dedup import remove_repeats
 from pagemill.llm.url_rules import RULE_SCHEMA, judge_urls
 from pagemill.session import table
 
@@ -107,6 +108,13 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents")).select(
         "input.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
@@ -119,6 +127,7 @@ QUERIES = {
     "op4_quality_rules": quality_rules,
     "op5_url_rules": url_rules,
     "op6_near_dedup": near_dedup,
+    "op8_suffix_array_dedup": suffix_array_dedup,
     "op9_license_scan": license_scan,
     "op10_exact_dedup": exact_dedup,
 }
