@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pagemill.llm.exact_dedup import dedup_exact
 from pagemill.llm.licenses import scan_licenses
 from pagemill.llm.line_dedup import drop_repeated_lines
+from pagemill.llm.mixing import mix_sources
 from pagemill.llm.near_dedup import near_duplicates
 from pagemill.llm.packing import pack_documents
+from pagemill.llm.pii import replace_entities
 from pagemill.llm.quality import judge_quality
 from pagemill.llm.substring_dedup import remove_repeats
 from pagemill.llm.url_rules import RULE_SCHEMA, judge_urls
@@ -121,12 +123,28 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    replaced = replace_entities(table(spark, folder, "documents"))
+    return replaced.select(
+        "input.doc_id",
+        F.size("entities").cast("long").alias("n_entities"),
+        F.array_join(F.array_sort(F.array_distinct(F.col("entities.kind"))), ",").alias("kinds"),
+        "text",
+    )
+
+
+def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_sources(table(spark, folder, "documents")).drop("row")
+
+
 QUERIES = {
     "op1_line_dedup": line_dedup,
     "op2_best_fit_packing": best_fit_packing,
+    "op3_pii_surrogates": pii_surrogates,
     "op4_quality_rules": quality_rules,
     "op5_url_rules": url_rules,
     "op6_near_dedup": near_dedup,
+    "op7_source_mixing": source_mixing,
     "op8_suffix_array_dedup": suffix_array_dedup,
     "op9_license_scan": license_scan,
     "op10_exact_dedup": exact_dedup,
