@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pagemill.llm.columns import let, lookup, whole_text
 from pagemill.session import written
 
-MAX_ATTEMPTS = 12
+MAX_ATTEMPTS = 40
 DEFAULT_KEY = "change-this-key"
 
 # Titles by gender, in several languages.
