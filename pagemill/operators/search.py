@@ -1,30 +1,32 @@
 """Exact nearest-neighbour search by squared Euclidean distance.
 
-A batch of queries whose matrix fits a stated number of rows and bytes is broadcast and the
-store is scanned once: each task yields at most ``k`` rows per query, so vectors are
-never shuffled. A larger batch is compared block by block: store
-and queries are cut into blocks, every pair of blocks meets in exactly one group, and
-each group again yields at most ``k`` rows per query. Both ways end in the same ranking
-and give the same rows.
+Queries are cut into tiles whose matrix fits a stated number of rows and bytes; a tile is broadcast and the
+store is scanned once for it, so vectors are never shuffled. Only identifiers and vectors of the store enter the
+kernel, and a task yields at most ``k`` identifiers per query. They are ranked per query and part of the store
+first and per query then, and what else the store holds is joined to the winners at the end.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pagemill.functions.text import UNKNOWN, preview
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 16384
-BLOCK_ROWS = 8192
+# Winners, at most k per query, are broadcast to fetch their payload up to this many.
+WINNER_ROWS = 200_000
+ROW_TILE = 2048
 QUERY_TILE = 1024
+# Parts of the store in the first of two rankings.
+RANK_PARTS = 64
 # Names of the working columns.
 QUERY, SCORE = "_query_no", "score"
 # Scores are compared after rounding to this many decimals, then by identifier.
@@ -56,8 +58,8 @@ def _candidates(
         border = np.minimum(border, np.partition(rough, k - 1, axis=1)[:, k - 1])
     query, row = np.nonzero(rough <= (border + margin)[:, None])
     score = np.empty(len(query))
-    for start in range(0, len(query), BLOCK_ROWS):
-        part = slice(start, start + BLOCK_ROWS)
+    for start in range(0, len(query), ROW_TILE):
+        part = slice(start, start + ROW_TILE)
         gap = store[row[part]] - queries[query[part]]
         score[part] = (gap * gap).sum(axis=1)
     return query, row, score
@@ -66,7 +68,7 @@ def _candidates(
 class _Best:
     """The ``k`` best rows per query of everything seen so far, ties broken by identifier.
 
-    Holds at most ``k`` rows per query. The worst of them bounds what a further block
+    Holds identifiers and scores of at most ``k`` rows per query. The worst of them bounds what a further block
     has to offer, so later blocks add few candidates.
     """
 
@@ -78,15 +80,26 @@ class _Best:
 
     def add(self, block: pa.Table) -> None:
         block = block.filter(pc.is_valid(block[self.vector]))
-        store = _matrix(block[self.vector], self.queries.shape[1])
-        payload = block.drop_columns([self.vector])
-        for start in range(0, len(self.queries), QUERY_TILE):
-            tile = slice(start, start + QUERY_TILE)
-            query, row, score = _candidates(store, self.queries[tile], self.k, self.border[tile])
-            kept = score <= self.threshold
-            found = payload.take(pa.array(row[kept]))
-            found = found.append_column(SCORE, pa.array(score[kept]))
-            self._merge(found.append_column(QUERY, pa.array(query[kept] + start)))
+        # In the order of the identifiers, a row number breaks ties.
+        block = block.take(pc.sort_indices(block, [(name, "ascending") for name in self.ids]))
+        ids = block.select(self.ids)
+        for first in range(0, block.num_rows, ROW_TILE):
+            store = _matrix(block[self.vector].slice(first, ROW_TILE), self.queries.shape[1])
+            for start in range(0, len(self.queries), QUERY_TILE):
+                tile = slice(start, start + QUERY_TILE)
+                query, row, score = _candidates(store, self.queries[tile], self.k, self.border[tile])
+                query, row, score = self._cut(query, row, score)
+                found = ids.take(pa.array(row + first)).append_column(SCORE, pa.array(score))
+                self._merge(found.append_column(QUERY, pa.array(query + start)))
+
+    def _cut(self, query: np.ndarray, row: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, ...]:
+        """At most ``k`` rows per query, still as numbers."""
+        kept = score <= self.threshold
+        query, row, score = query[kept], row[kept], score[kept]
+        order = np.lexsort((row, np.round(score, SCORE_DECIMALS), query))
+        query, row, score = query[order], row[order], score[order]
+        best = np.arange(len(query)) - np.searchsorted(query, query, side="left") < self.k
+        return query[best], row[best], score[best]
 
     def _merge(self, found: pa.Table) -> None:
         rows = found if self.rows is None else pa.concat_tables([self.rows, found])
@@ -95,7 +108,7 @@ class _Best:
         order = pc.sort_indices(pa.table(keys), [(name, "ascending") for name in keys])
         query = np.asarray(rows[QUERY].take(order))
         position = np.arange(len(query)) - np.searchsorted(query, query, side="left")
-        self.rows = rows.take(order.filter(pa.array(position < self.k)))
+        self.rows = rows.take(order.filter(pa.array(position < self.k))).combine_chunks()
         last = position == self.k - 1
         worst = np.asarray(rows[SCORE].take(order))[last]
         # A little above the worst score, for scores that are equal after rounding.
@@ -111,7 +124,7 @@ def _scan(
     store: DataFrame, vector: str, ids: Sequence[str], table: pa.Table, query_vector: str,
     dim: int, k: int, threshold: float | None, schema: T.StructType,
 ) -> DataFrame:
-    """Broadcast the queries and scan the store once."""
+    """Broadcast a tile of queries and scan the store once."""
     shared = store.sparkSession.sparkContext.broadcast(
         (_matrix(table[query_vector], dim), table.drop_columns([query_vector]))
     )
@@ -128,45 +141,9 @@ def _scan(
     return store.mapInArrow(search, schema)
 
 
-def _blocks(
-    store: DataFrame, vector: str, ids: Sequence[str], queries: DataFrame, query_vector: str,
-    query_ids: Sequence[str], dim: int, k: int, threshold: float | None, schema: T.StructType,
-) -> DataFrame:
-    """Every block of queries meets every block of the store in one group of bounded size."""
-
-    def block_count(df: DataFrame) -> int:
-        return max(1, -(-df.count() // BLOCK_ROWS))
-
-    store_blocks, query_blocks = block_count(store), block_count(queries)
-
-    def block_of(names: Sequence[str], blocks: int) -> Column:
-        return F.pmod(F.xxhash64(*names), F.lit(blocks)).cast("int")
-
-    def every(blocks: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-
-    left = store.select("*", block_of(ids, store_blocks).alias("_sb")).select(
-        "*", every(query_blocks).alias("_qb")
-    )
-    # New aliases keep the two sides apart when both come from the same table.
-    right = queries.select(
-        *[F.col(q).alias(q) for q in query_ids],
-        F.col(query_vector).alias("_query"),
-        block_of(query_ids, query_blocks).alias("_qb"),
-    ).select("*", every(store_blocks).alias("_sb"))
-
-    def search(block: pa.Table, batch: pa.Table) -> pa.Table:
-        if not block.num_rows or not batch.num_rows:
-            return schema_arrow.empty_table()
-        names = batch.select(list(query_ids))
-        best = _Best(_matrix(batch["_query"], dim), vector, ids, k, threshold)
-        best.add(block.drop_columns(["_sb", "_qb"]))
-        return best.result(names)
-
-    schema_arrow = to_arrow_schema(schema)
-    return (
-        left.groupBy("_sb", "_qb").cogroup(right.groupBy("_sb", "_qb")).applyInArrow(search, schema)
-    )
+def _ranked(found: DataFrame, keys: Sequence[str], ids: Sequence[str], k: int) -> DataFrame:
+    ranking = Window.partitionBy(*keys).orderBy(F.round("score", SCORE_DECIMALS), *ids)
+    return found.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= k)
 
 
 def nearest(
@@ -178,34 +155,54 @@ def nearest(
     vector: str = "embedding",
     query_vector: str = "embedding",
     threshold: float | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    tile_rows: int = BROADCAST_ROWS,
+    tile_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The ``k`` nearest store rows of every query: ``query_ids, rank, score`` and all
     store columns except the vector. ``ids`` identifies a store row and breaks ties.
 
-    A threshold is applied before the ranking; as both use the score, the rows are the
+    The store is scanned once per tile of queries, and once more if it has other columns to return. A
+    threshold is applied before the ranking; as both use the score, the rows are the
     same as if it came after, and less is shuffled.
     """
     if k <= 0:
         raise ValueError("k must be positive")
     queries = queries.where(F.col(query_vector).isNotNull()).select(*query_ids, query_vector)
-    payload = [f for f in store.schema.fields if f.name != vector]
+    kinds = [store.schema[name] for name in ids]
     schema = T.StructType(
-        [*[queries.schema[q] for q in query_ids], *payload, T.StructField("score", T.DoubleType())]
+        [*[queries.schema[q] for q in query_ids], *kinds, T.StructField("score", T.DoubleType())]
     )
-    table = queries.limit(BROADCAST_ROWS + 1).toArrow()
-    if not table.num_rows:
-        empty = store.sparkSession.createDataFrame([], schema)
+    # Rows and bytes are known before any vector reaches the driver.
+    rows, dim = queries.agg(F.count(F.lit(1)), F.max(F.size(query_vector))).first()
+    payload = [c for c in store.columns if c != vector and c not in ids]
+    names = [*query_ids, *[c for c in store.columns if c != vector], "score", "rank"]
+    if not rows:
+        fields = [schema[n] if n in schema.names else store.schema[n] for n in names[:-1]]
+        empty = store.sparkSession.createDataFrame([], T.StructType(fields))
         return empty.withColumn("rank", F.lit(None).cast("int"))
-    dim = len(table[query_vector][0])
-    if table.num_rows <= BROADCAST_ROWS and table.num_rows * dim * 8 <= broadcast_bytes:
-        found = _scan(store, vector, ids, table, query_vector, dim, k, threshold, schema)
-    else:
-        found = _blocks(
-            store, vector, ids, queries, query_vector, query_ids, dim, k, threshold, schema
-        )
-    ranking = Window.partitionBy(*query_ids).orderBy(F.round("score", SCORE_DECIMALS), *ids)
-    return found.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= k)
+    # Tiles are dealt by hash, with room for uneven ones.
+    per_tile = max(1, min(tile_rows, tile_bytes // (8 * max(dim, 1))))
+    tiles = 1 if rows <= per_tile else math.ceil(1.25 * rows / per_tile)
+    tile = F.pmod(F.xxhash64(*query_ids), F.lit(tiles))
+    narrow = store.select(*ids, vector)
+    scans = []
+    for number in range(tiles):
+        table = queries.where(tile == number).toArrow()
+        if table.num_rows:
+            scans.append(_scan(narrow, vector, ids, table, query_vector, dim, k, threshold, schema))
+    found = functools.reduce(DataFrame.union, scans)
+    # First inside parts of the store, so that a query with very many candidates is ranked by many tasks.
+    part = F.pmod(F.xxhash64(*ids), F.lit(RANK_PARTS)).alias("_part")
+    partly = _ranked(found.select("*", part), [*query_ids, "_part"], ids, k).drop("rank", "_part")
+    winners = _ranked(partly, query_ids, ids, k)
+    if not payload:
+        return winners.select(*names)
+    keyed = store.select(*[F.col(i).alias(f"_store_{n}") for n, i in enumerate(ids)], *payload)
+    match = functools.reduce(
+        lambda x, y: x & y, [F.col(f"_store_{n}") == winners[i] for n, i in enumerate(ids)]
+    )
+    few = rows * k <= WINNER_ROWS
+    return keyed.join(F.broadcast(winners) if few else winners, match).select(*names)
 
 
 def score_statistics(hits: DataFrame, query_ids: Sequence[str]) -> DataFrame:

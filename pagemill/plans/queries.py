@@ -452,10 +452,21 @@ def knn_l2(spark, sf):
 
 @query
 def knn_l2_blocks(spark, sf):
-    hits = _self_hits(spark, sf, 4, broadcast_bytes=0)
+    hits = _self_hits(spark, sf, 4, tile_rows=200)
     return _score(hits).select("query_id", "rank", "vec_id", "label", "score")
 
 
+@query
+def knn_ties(spark, sf):
+    """Every vector stored in many exact copies, so that ranks are decided by identifiers."""
+    stored = table(spark, sf, "embeddings")
+    originals = stored.select(F.col("vec_id").alias("original"), "embedding")
+    copies = stored.select("vec_id", (F.col("vec_id") % 10).alias("original")).join(originals, "original")
+    queries = stored.select(F.col("vec_id").alias("query_id"), "embedding")
+    hits = search.nearest(copies.select("vec_id", "embedding"), queries, 4, ["vec_id"], ["query_id"])
+    return _score(hits).select("query_id", "rank", "vec_id", "score")
+
+
 @query
 def knn_threshold(spark, sf):
     hits = _self_hits(spark, sf, 4, threshold=1.3)

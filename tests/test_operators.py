@@ -1,7 +1,10 @@
 import random
+import re
+import tracemalloc
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -298,7 +301,7 @@ def hit_rows(df):
 
 @pytest.mark.parametrize("k", [1, 3, 50])
 @pytest.mark.parametrize("threshold", [None, 3.0])
-def test_both_search_plans_equal_brute_force(spark, monkeypatch, k, threshold):
+def test_search_in_one_and_many_tiles_equals_brute_force(spark, monkeypatch, k, threshold):
     generator = np.random.default_rng(5)
     store = generator.integers(0, 3, (40, 4)).astype(float)  # many exact ties
     queries = generator.integers(0, 3, (7, 4)).astype(float)
@@ -308,12 +311,35 @@ def test_both_search_plans_equal_brute_force(spark, monkeypatch, k, threshold):
         scored = sorted((((s - query) ** 2).sum(), i) for i, s in enumerate(store))
         kept = [x for x in scored[:k] if threshold is None or x[0] <= threshold]
         want += [(q, rank, i, round(score, 6)) for rank, (score, i) in enumerate(kept, 1)]
-    monkeypatch.setattr(search, "BLOCK_ROWS", 9)
-    for limit in (search.BROADCAST_BYTES, 0):
-        found = search.nearest(left, right, k, ["id"], ["query_id"], threshold=threshold, broadcast_bytes=limit)
+    monkeypatch.setattr(search, "ROW_TILE", 9)
+    for rows in (search.BROADCAST_ROWS, 2):
+        found = search.nearest(left, right, k, ["id"], ["query_id"], threshold=threshold, tile_rows=rows)
         assert hit_rows(found) == want
 
 
+def test_equal_vectors_need_little_memory():
+    rows, queries = 10_000, 1024
+    ids = np.random.default_rng(3).permutation(rows)
+    block = pa.table({"id": ids, "embedding": pa.FixedSizeListArray.from_arrays(np.ones(rows * 4), 4).cast(pa.list_(pa.float64()))})
+    tracemalloc.start()
+    best = search._Best(np.ones((queries, 4)), "embedding", ["id"], 3, None)
+    best.add(block)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 << 20 and pa.total_allocated_bytes() < 300 << 20
+    assert best.rows.num_rows == 3 * queries and set(best.rows["id"].to_pylist()) == {0, 1, 2}
+
+
+def test_search_moves_no_text_and_no_vector(spark):
+    store = spark.range(100).select("id", F.lit("some text").alias("chunk"), F.array(F.lit(1.0), F.rand(1)).alias("embedding"))
+    query = spark.range(3).select(F.col("id").alias("query_id"), F.array(F.lit(1.0), F.lit(0.0)).alias("embedding"))
+    found = search.nearest(store, query, 2, ["id"], ["query_id"])
+    assert set(found.columns) == {"query_id", "id", "chunk", "score", "rank"} and found.count() == 6
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"(?:Exchange|Window|Sort) .*", plan)
+    assert exchanges and not any("chunk" in x or "embedding" in x for x in exchanges)
+
+
 def test_search_skips_missing_vectors_and_checks_dimensions(spark):
     store = spark.createDataFrame([(0, [1.0, 0.0]), (1, None)], "id int, embedding array<float>")
     query = spark.createDataFrame([(0, [1.0, 0.0])], "query_id int, embedding array<float>")
