@@ -35,18 +35,24 @@ FILE_TYPES = {
 SWEEP_THRESHOLDS = [85, 90, 95, 98]
 
 
+# The defaults of the classes below.
 @dataclass(frozen=True)
 class ChunkingConfig:
     chunk_size: int = 1500
     chunk_overlap: int = 300
     separators: list[str] = field(default_factory=lambda: list(MARKDOWN_SEPARATORS))
+    keep_separator: bool = True
     use_semantic_chunking: bool = False
+    # Chunks along the block structure found by the parser, up to ``chunk_size`` characters.
+    use_structure: bool = False
     buffer_size: int = 1
     breakpoint_percentile_threshold: int = 95
 
     def __post_init__(self):
         if self.chunk_size <= 0 or not 0 <= self.chunk_overlap < self.chunk_size:
             raise ValueError("need chunk_size > 0 and 0 <= chunk_overlap < chunk_size")
+        if self.use_structure and self.use_semantic_chunking:
+            raise ValueError("choose one of semantic and structure chunking")
         if self.buffer_size < 0:
             raise ValueError("buffer_size must not be negative")
         if not 0 <= self.breakpoint_percentile_threshold <= 100:
@@ -59,6 +65,10 @@ class EmbeddingConfig:
     dim: int = 384
     normalize: bool = True
 
+    @property
+    def name(self) -> str:
+        return self.model_name
+
 
 @dataclass(frozen=True)
 class RunConfig:

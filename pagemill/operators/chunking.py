@@ -103,21 +103,34 @@ def _split_span(
     return spans + _pack(run, size, overlap)
 
 
-def split_text(text: str, separators: list[str], size: int, overlap: int) -> list[str]:
-    """Recursive splitting of one text by ever finer separators."""
+def _after_separator(text: str, at: int, separators: list[str]) -> int:
+    """Where a chunk starts if the separator that opens it is left out."""
+    opening = next((s for s in separators if s and at and text.startswith(s, at)), "")
+    return at + len(opening)
+
+
+def split_text(
+    text: str, separators: list[str], size: int, overlap: int, keep_separator: bool = True
+) -> list[str]:
+    """Recursive splitting of one text by ever finer separators.
+
+    Lengths are measured with separators; without ``keep_separator`` the one that opens a chunk is left out.
+    """
     spans = _split_span(text, 0, len(text), separators, size, overlap)
+    if not keep_separator:
+        spans = [(min(_after_separator(text, a, separators), b), b) for a, b in spans]
     return [chunk for chunk in (text[a:b].strip() for a, b in spans) if chunk]
 
 
 def recursive_chunks(
-    df: DataFrame, text: str, size: int, overlap: int, separators: list[str]
+    df: DataFrame, text: str, size: int, overlap: int, separators: list[str], keep_separator: bool = True
 ) -> DataFrame:
     """Recursive character splitting; only the text column travels to Python."""
     separators = list(separators)
 
     @F.pandas_udf("array<string>")
     def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_text(t, separators, size, overlap) if t else [])
+        return texts.map(lambda t: split_text(t, separators, size, overlap, keep_separator) if t else [])
 
     return _explode_chunks(df, split(F.col(text)), text)
 
@@ -132,32 +145,35 @@ def structure_chunks(df: DataFrame, layout: str, max_chars: int) -> DataFrame:
     """Neighbouring blocks of the same section, merged while they fit ``max_chars``.
 
     ``layout`` is an array of ``(kind, level, text)`` blocks. A heading opens a section
-    and stands beside the chunks of its section as context. Only block kinds and
-    lengths travel to Python, which returns where each chunk starts.
+    and stands beside the chunks of its section as context. One fold over kinds and lengths
+    finds where chunks start, all inside the JVM.
     """
-
-    @F.pandas_udf("array<struct<first:int,heading:int>>")
-    def starts(kinds: pd.Series, lengths: pd.Series) -> pd.Series:
-        def one(kind, length):
-            found, used, heading = [], 0, -1
-            for i, (k, n) in enumerate(zip(kind, length)):
-                if k == "heading":
-                    heading = i
-                if not found or k == "heading" or used + 1 + n > max_chars:
-                    found.append({"first": i, "heading": heading})
-                    used = n
-                else:
-                    used += 1 + n
-            return found
-
-        return pd.Series([one(k, n) for k, n in zip(kinds, lengths)])
-
     blocks = F.col(layout)
     inherited = [c for c in df.columns if c != layout]
-    with_starts = df.withColumn(
-        "_starts",
-        starts(F.transform(blocks, lambda b: b["kind"]), F.transform(blocks, lambda b: F.length(b["text"]))),
+    sizes = F.transform(
+        blocks,
+        lambda b, i: F.struct(
+            i.alias("at"), (F.coalesce(b["kind"], F.lit("")) == "heading").alias("opens"),
+            F.coalesce(F.length(b["text"]), F.lit(0)).alias("n"),
+        ),
     )
+    nothing = F.struct(
+        F.array().cast("array<struct<first:int,heading:int>>").alias("found"),
+        F.lit(0).alias("used"),
+        F.lit(-1).alias("heading"),
+    )
+
+    def step(state: Column, block: Column) -> Column:
+        heading = F.when(block["opens"], block["at"]).otherwise(state["heading"])
+        new = (F.size(state["found"]) == 0) | block["opens"] | (state["used"] + 1 + block["n"] > max_chars)
+        start = F.struct(block["at"].alias("first"), heading.alias("heading"))
+        return F.struct(
+            F.when(new, F.concat(state["found"], F.array(start))).otherwise(state["found"]).alias("found"),
+            F.when(new, block["n"]).otherwise(state["used"] + 1 + block["n"]).alias("used"),
+            heading.alias("heading"),
+        )
+
+    with_starts = df.withColumn("_starts", F.aggregate(sizes, nothing, step, lambda state: state["found"]))
 
     def chunk(start: Column, i: Column) -> Column:
         following = F.coalesce(F.get("_starts", i + 1)["first"], F.size(blocks))

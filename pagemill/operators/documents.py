@@ -32,11 +32,12 @@ def page_flags(df: DataFrame, layout: Column, structured_data: Column, images: C
     )
 
 
-def parsed_to_documents(parsed: DataFrame, parser: str = "html", result_type: str = "markdown") -> DataFrame:
+def parsed_to_documents(parsed: DataFrame) -> DataFrame:
     """One document per non-blank page of each parsed file.
 
-    ``parsed`` has ``file_path, pages, processed_at``. Pages are numbered before blank
-    ones are dropped and ``total_pages`` counts those too. A narrow operator: the pages
+    ``parsed`` has ``file_path, pages, processed_at, loader_used``. Pages are numbered before blank
+    ones are dropped and ``total_pages`` counts those too. The parser of a document is the one that
+    worked, and its type says which content of the page was chosen. A narrow operator: the pages
     of a file are already in its row.
     """
     exploded = parsed.select(
@@ -54,8 +55,8 @@ def parsed_to_documents(parsed: DataFrame, parser: str = "html", result_type: st
         basename(F.col("file_path")).alias("file_name"),
         (F.col("pos") + 1).alias("page"),
         "total_pages",
-        F.lit(parser).alias("parser"),
-        F.lit(result_type).alias("result_type"),
+        F.col("loader_used").alias("parser"),
+        F.when(has_content(body["md"]), F.lit("markdown")).otherwise(F.lit("text")).alias("result_type"),
         iso_timestamp(F.col("processed_at")).alias("processed_at"),
         "loader_used",
         body["layout"].alias("layout"),

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 NO_CONTENT = "No content extracted"
 
 
-def outcome(df: DataFrame, pages: str = "pages", error: str = "error") -> DataFrame:
+def outcome(df: DataFrame, n_pages: Column, error: str = "error") -> DataFrame:
     """Add ``status`` and the final ``error``: a file without pages has failed too."""
-    empty = F.coalesce(F.size(pages), F.lit(0)) <= 0
+    empty = F.coalesce(n_pages, F.lit(0)) <= 0
     message = F.when(F.col(error).isNotNull(), F.col(error)).when(empty, F.lit(NO_CONTENT))
     return df.withColumn(error, message).withColumn(
         "status", F.when(F.col(error).isNull(), F.lit("ok")).otherwise(F.lit("failed"))

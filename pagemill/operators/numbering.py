@@ -16,24 +16,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MAX_RANGES = 16384
+# Rows that one sort task should hold; callers with large rows ask for fewer.
+ROWS_PER_RANGE = 50_000
+MIN_RANGES = 16
 SAMPLE_PER_RANGE = 8
 HASH_STEPS = 1 << 30
 
 
-def _cut_points(df: DataFrame, keys: list[str]) -> list[str]:
+def _cut_points(df: DataFrame, keys: list[str], rows_per_range: int) -> list[str]:
     """Keys, as JSON, that cut the sorted rows into ranges of similar size.
 
     A uniform sample by hash of the key: the same on every run, and about
-    ``SAMPLE_PER_RANGE`` keys per range whatever the size of the table, so it is small
-    enough to be collected. Only cut points are sampled; every row is numbered. Any cut
+    ``SAMPLE_PER_RANGE`` keys per range, so a small share of the keys is collected. The number of
+    ranges follows the number of rows. Only cut points are sampled; every row is numbered. Any cut
     points give right numbers, good ones make the ranges even.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(16, min(MAX_RANGES, 4 * partitions))
-    wanted = ranges * SAMPLE_PER_RANGE
     narrow = df.select(*keys)
     rows = narrow.count()
+    ranges = max(MIN_RANGES, -(-rows // rows_per_range))
+    wanted = ranges * SAMPLE_PER_RANGE
     if rows > wanted:
         step = F.pmod(F.xxhash64(*keys), F.lit(HASH_STEPS))
         narrow = narrow.where(step < int(HASH_STEPS * wanted / rows) + 1)
@@ -51,13 +52,13 @@ def _position(points: Column, key: Column) -> Column:
     return F.array_position(F.sort_array(F.array_append(points, key)), key).cast("int")
 
 
-def _range_of(df: DataFrame, keys: list[str]) -> Column:
+def _range_of(df: DataFrame, keys: list[str], rows_per_range: int) -> Column:
     """Number of the key range a row falls into.
 
     The cut points are held as lines of about sqrt(n): the heads of the lines tell which
     line to look at, so a row is compared with 2 * sqrt(n) keys.
     """
-    points = _cut_points(df, keys)
+    points = _cut_points(df, keys, rows_per_range)
     if not points:
         return F.lit(0)
     width = math.isqrt(len(points) - 1) + 1
@@ -82,13 +83,14 @@ def number_rows(
     partition_by: Sequence[str] = (),
     number: str = "row_no",
     total: str | None = None,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Add the 1-based position of each row inside its group, and the group's size.
 
     ``(partition_by, order_by)`` has to be unique, as for any reproducible numbering.
     """
     groups, order = list(partition_by), list(order_by)
-    ranged = df.withColumn("_range", _range_of(df, groups + order))
+    ranged = df.withColumn("_range", _range_of(df, groups + order, rows_per_range))
     if groups:
         # As one struct the group compares equal to itself even where a column is NULL.
         ranged = ranged.withColumn("_group", F.struct(*groups))

@@ -11,6 +11,7 @@ document and documents of one source are independent rows, so there are no hot k
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +23,12 @@ from pagemill.config import ChunkingConfig
 from pagemill.operators.chunking import with_chunk_id
 from pagemill.operators.embedding import ModelEmbedder, bucket_counts, hashed_words
 from pagemill.functions.tokens import sentences, words
-from pagemill.functions.vectors import cosine_distance
 
 TOKEN_DIM = 384
 # Sentences whose token counts are held in memory at a time; few enough for the CPU cache.
 SLAB = 128
+# Texts given to an embedding model at a time.
+MODEL_BATCH = 256
 
 
 def split_sentences(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -110,21 +112,24 @@ def _model_distances(groups: Column, embedder: ModelEmbedder) -> Column:
     @F.pandas_udf("array<double>")
     def distances(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = load()
-
-        def one(texts) -> np.ndarray:
-            found, previous = [np.empty(0)], np.empty((0, embedder.dim))
-            for start in range(0, len(texts), SLAB):
-                part = np.asarray(encode(list(texts[start : start + SLAB])), dtype=np.float64)
-                vectors = np.concatenate([previous, part])
-                square = (vectors * vectors).sum(axis=1)
-                dot = (vectors[:-1] * vectors[1:]).sum(axis=1)
-                length = np.sqrt(np.where(square > 0, square, 1.0))
-                found.append(1.0 - dot / (length[:-1] * length[1:]))
-                previous = vectors[-1:]
-            return np.concatenate(found)
-
         for documents in batches:
-            yield documents.map(one)
+            texts = list(itertools.chain.from_iterable(documents))
+            # All texts of a batch of documents go to the model in full batches; only the dot product with
+            # the next text and the squares are kept.
+            dots, squares, previous = [], [], np.empty((0, embedder.dim))
+            for start in range(0, len(texts), MODEL_BATCH):
+                part = np.asarray(encode(texts[start : start + MODEL_BATCH]), dtype=np.float64)
+                vectors = np.concatenate([previous, part])
+                squares.append((part * part).sum(axis=1))
+                dots.append((vectors[:-1] * vectors[1:]).sum(axis=1))
+                previous = part[-1:]
+            square = np.concatenate([np.empty(0), *squares])
+            length = np.sqrt(np.where(square > 0, square, 1.0))
+            dot = np.concatenate([np.empty(0), *dots])
+            gaps = 1.0 - dot / (length[:-1] * length[1:])
+            ends = np.cumsum([len(d) for d in documents])
+            # The gap between two documents belongs to neither.
+            yield pd.Series([gaps[end - len(d) : max(end - 1, 0)] for d, end in zip(documents, ends)])
 
     return distances(groups)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pagemill.functions.text import head, sample
+from pagemill.functions.text import basename, has_content, head, sample
 
 # The size classes of the chunk histogram.
 SIZE_CLASSES = ["Small (0-500)", "Medium (501-1000)", "Large (1001-1500)", "Extra Large (1500+)"]
@@ -51,25 +51,36 @@ def expansion(chunks: DataFrame, document_key: str) -> DataFrame:
     ).withColumn("expansion_ratio", F.try_divide("chunks", "documents"))
 
 
-def file_summary(documents: DataFrame, length: int = 200) -> DataFrame:
-    """Pages, characters and the first non-empty sample of each file."""
-    text = sample(F.col("page_content"), length)
-    first_text = F.min_by(F.when(text != "", text), F.when(text != "", F.col("page")))
-    return documents.groupBy("file_name").agg(
+def file_summary(pages: DataFrame, file: str, order_by: str, content: str, length: int = 200) -> DataFrame:
+    """Pages, characters and the first non-empty sample of each file, from its non-blank pages.
+
+    The order of the pages is enough: none is numbered, and only lengths and samples are shuffled.
+    """
+    text = sample(F.col(content), length)
+    short = pages.where(has_content(F.col(content))).select(
+        basename(F.col(file)).alias("file_name"), order_by, F.length(content).alias("chars"), text.alias("text")
+    )
+    seen = F.col("text") != ""
+    return short.groupBy("file_name").agg(
         F.count(F.lit(1)).alias("page_count"),
-        F.sum(F.length("page_content")).alias("total_chars"),
-        F.coalesce(first_text, F.lit("")).alias("sample_content"),
+        F.sum("chars").alias("total_chars"),
+        F.coalesce(F.min_by(F.when(seen, F.col("text")), F.when(seen, F.col(order_by))), F.lit("")).alias(
+            "sample_content"
+        ),
     )
 
 
-def file_summary_by_loader(documents: DataFrame) -> DataFrame:
+def file_summary_by_loader(pages: DataFrame, file: str, order_by: str, content: str) -> DataFrame:
     """Documents, characters, whole-number mean, and loader and sample of the first page."""
-    line = F.replace(sample(F.col("page_content"), 150), F.lit("\n"), F.lit(" "))
-    first = F.min_by(F.struct("loader_used", line.alias("s")), "page")
-    grouped = documents.groupBy("file_name").agg(
+    line = F.replace(sample(F.col(content), 150), F.lit("\n"), F.lit(" "))
+    short = pages.where(has_content(F.col(content))).select(
+        basename(F.col(file)).alias("file_name"), order_by, F.length(content).alias("chars"),
+        F.struct("loader_used", line.alias("s")).alias("page"),
+    )
+    grouped = short.groupBy("file_name").agg(
         F.count(F.lit(1)).alias("documents"),
-        F.sum(F.length("page_content")).alias("total_chars"),
-        first.alias("_first"),
+        F.sum("chars").alias("total_chars"),
+        F.min_by("page", order_by).alias("_first"),
     )
     return grouped.select(
         "file_name",
@@ -86,12 +97,14 @@ def loader_usage(documents: DataFrame) -> DataFrame:
     return documents.groupBy(loader.alias("loader_used")).agg(F.count(F.lit(1)).alias("documents"))
 
 
-def conversion_summary(documents: DataFrame) -> DataFrame:
-    return documents.agg(
-        F.count_distinct("source_file").alias("files_processed"),
-        F.count(F.lit(1)).alias("total_documents"),
-        F.coalesce(F.sum(F.length("page_content")), F.lit(0)).alias("total_content_length"),
-        F.coalesce(F.avg(F.length("page_content")), F.lit(0.0)).alias("avg_content_length"),
+def conversion_summary(pages: DataFrame, file: str, content: str) -> DataFrame:
+    """Files, and documents made of their non-blank pages. A file with only blank pages was processed too."""
+    length = F.when(has_content(F.col(content)), F.length(content))
+    return pages.select(F.col(file).alias("file"), length.alias("length")).agg(
+        F.count_distinct("file").alias("files_processed"),
+        F.count("length").alias("total_documents"),
+        F.coalesce(F.sum("length"), F.lit(0)).alias("total_content_length"),
+        F.coalesce(F.avg("length"), F.lit(0.0)).alias("avg_content_length"),
     )
 
 

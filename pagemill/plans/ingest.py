@@ -7,16 +7,18 @@ one stage's tasks. A stage without rows ends the run.
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pagemill.config import ChunkingConfig, RunConfig
+from pagemill.config import ChunkingConfig, EmbeddingConfig, RunConfig
 from pagemill.operators import chunking, documents, failures, search, semantic, stats
 from pagemill.operators.embedding import Embedder, HashEmbedder, ModelEmbedder
-from pagemill.session import spread
+from pagemill.session import spread, written
 from pagemill.sources import files, parsing, report, store
 
 CHUNK_KEY = "chunk_id"
@@ -34,13 +36,44 @@ class RunResult:
 def chunk_documents(
     df: DataFrame, text: str, key: str, config: ChunkingConfig, model: ModelEmbedder | None = None
 ) -> DataFrame:
-    """Chunk with the method the configuration asks for."""
+    """Chunk with the method the configuration asks for.
+
+    Structure chunks need the column ``layout``; documents without blocks are one block, their text.
+    """
     if config.use_semantic_chunking:
-        return semantic.semantic_chunks(df, key, text, config, model)
-    chunks = chunking.recursive_chunks(
-        df, text, config.chunk_size, config.chunk_overlap, config.separators
+        return semantic.semantic_chunks(df.drop("layout"), key, text, config, model)
+    if config.use_structure:
+        plain = F.array(F.struct(F.lit("paragraph").alias("kind"), F.lit(0).alias("level"), F.col(text).alias("text")))
+        blocks = F.when(F.size("layout") > 0, F.col("layout")).otherwise(plain)
+        listed = df.withColumn("layout", blocks).drop(text)
+        chunks = chunking.structure_chunks(listed, "layout", config.chunk_size)
+        method = "structure"
+    else:
+        chunks = chunking.recursive_chunks(
+            df.drop("layout"), text, config.chunk_size, config.chunk_overlap, config.separators, config.keep_separator
+        )
+        method = "recursive"
+    return chunking.with_chunk_id(chunks, key).withColumn("chunking_method", F.lit(method))
+
+
+def retry_failed(
+    outcomes: DataFrame,
+    contents: DataFrame,
+    parsers: Sequence[tuple[str, parsing.Parser]],
+    marker: str,
+    processed_at: Column,
+) -> tuple[DataFrame, DataFrame]:
+    """Parse the failures whose error holds ``marker`` again; those that succeed replace their outcome.
+
+    Returns all outcomes, and the outcomes of the second attempt. ``outcomes`` should be a written table.
+    """
+    failed = failures.retryable(outcomes.where("status = 'failed'"), marker).select("file_path")
+    again = parsing.parse_files(contents.join(failed, "file_path", "left_semi"), parsers, processed_at)
+    again = written(again, "retried")
+    results, still_failed = failures.retry_merge(
+        outcomes.where("status = 'ok'"), outcomes.where("status = 'failed'"), again.where("status = 'ok'")
     )
-    return chunking.with_chunk_id(chunks, key).withColumn("chunking_method", F.lit("recursive"))
+    return results.unionByName(still_failed), again
 
 
 def search_texts(
@@ -64,13 +97,18 @@ def ingest(
     config: RunConfig,
     parsers: Sequence[tuple[str, parsing.Parser]] = tuple(parsing.HTML_PARSERS),
     embedder: Embedder | None = None,
+    retry_parsers: Sequence[tuple[str, parsing.Parser]] = (),
+    retry_marker: str = "",
 ) -> RunResult:
+    """Run all stages. Failures whose error holds ``retry_marker`` are parsed again with ``retry_parsers``."""
     started = datetime.now(timezone.utc).replace(tzinfo=None)
-    embedding = config.embedding
     # A model given by the caller also finds the semantic breaks.
     model = embedder if isinstance(embedder, ModelEmbedder) else None
-    embedder = embedder or HashEmbedder(embedding.dim, embedding.normalize)
-    run = RunResult(f"session_{started:%Y%m%d_%H%M%S}")
+    embedder = embedder or HashEmbedder(config.embedding.dim, config.embedding.normalize)
+    # What is saved and reported is the embedder that ran.
+    embedding = EmbeddingConfig(embedder.name, embedder.dim, embedder.normalize)
+    config = replace(config, embedding=embedding)
+    run = RunResult(f"session_{started:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}")
     folder = f"{config.output_folder.rstrip('/')}/{run.session_id}"
 
     def saved(name: str, df: DataFrame) -> DataFrame:
@@ -86,9 +124,14 @@ def ingest(
     contents = files.load_contents(spark, config.docs_folder, config.file_suffixes)
     if contents.isEmpty():
         return stop("discover")
+    began = time.perf_counter()
     outcomes = saved(
         "parsed", parsing.parse_files(spread(contents, "file_path"), parsers, F.lit(started))
     )
+    if retry_parsers:
+        merged, _ = retry_failed(outcomes, contents, retry_parsers, retry_marker, F.lit(started))
+        outcomes = saved("parsed_again", merged)
+    parse_seconds = time.perf_counter() - began
     good = outcomes.where("status = 'ok'")
     if good.isEmpty():
         return stop("parse")
@@ -97,24 +140,25 @@ def ingest(
         return stop("convert")
     chunks = saved(
         "chunks",
-        chunk_documents(docs.drop("layout"), "page_content", "document_key", config.chunking, model),
+        chunk_documents(docs, "page_content", "document_key", config.chunking, model),
     )
     if chunks.isEmpty():
         return stop("chunk")
 
     run.paths["vector_store"] = f"{folder}/{config.store_name}"
     store.save_vector_store(
-        embedder.embed(chunks, "chunk"), run.paths["vector_store"], embedding
+        embedder.embed(chunks, "chunk"), run.paths["vector_store"], embedder, config.chunking
     )
-    vectors = store.load_vector_store(spark, run.paths["vector_store"], embedding)
+    vectors = store.load_vector_store(spark, run.paths["vector_store"], embedder)
 
     if config.test_retrieval:
         hits = search_texts(vectors, query_table(spark, config.test_queries), embedder, config.k)
         saved("hits", search.hit_display(hits, ["query_id"], "chunk"))
 
     seconds = (datetime.now(timezone.utc).replace(tzinfo=None) - started).total_seconds()
-    statistics = failures.run_statistics(outcomes, F.col("n_pages")).withColumn(
-        "processing_time", F.lit(seconds)
+    # The time of the parse stage, retries included, is what files are averaged over.
+    statistics = failures.run_statistics(outcomes, F.col("n_pages")).withColumns(
+        {"processing_time": F.lit(parse_seconds), "total_time": F.lit(seconds)}
     )
     statistics = statistics.withColumn(
         "avg_time_per_success", F.try_divide("processing_time", "successful")
@@ -129,7 +173,8 @@ def ingest(
         summary = stats.run_summary(statistics, docs, chunks, embedding.dim)
         run.paths["report"] = f"{folder}/report"
         lines = report.report_lines(
-            summary, outcomes, config, run.session_id, f"{started:%Y-%m-%d %H:%M:%S}"
+            summary, outcomes, config, run.session_id, f"{started:%Y-%m-%d %H:%M:%S}",
+            ", ".join(name for name, _ in [*parsers, *retry_parsers]),
         )
         report.save_report(lines, run.paths["report"])
     run.completed = True

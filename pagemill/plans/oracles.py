@@ -221,8 +221,17 @@ _LINES = [
          "'- **Documents Created**: ' || format('{:,}', documents)",
          "'- **Chunks Generated**: ' || format('{:,}', chunks)",
          "'- **Processing Time**: ' || printf('%.2f', processing_time) || ' seconds'"]),
-    (3, ["'## Configuration'", "'- **Chunking**: ' || chunks || ' chunks'", "'- **Embeddings**: token-hash'",
-         "'- **Chunk Size**: 1500 characters'", "'- **Chunk Overlap**: 300 characters'"]),
+    (3, ["'## Configuration'", "'- **Parser**: layout, text'", "'- **Chunking**: ' || chunks || ' chunks'", "'- **Embeddings**: token-hash'",
+         "'- **Vector Store**: Parquet, exact search'", "'- **Chunk Size**: 1500 characters'", "'- **Chunk Overlap**: 300 characters'"]),
+    (4, ["'## Pipeline Configuration'"] + [
+        "'- **" + name + "**: " + value.replace("'", "''") + "'" for name, value in [
+            ("docs_folder", "'docs'"), ("output_folder", "'output'"), ("store_name", "'vector_store'"), ("file_suffixes", "('.html',)"),
+            ("chunking.chunk_size", "1500"), ("chunking.chunk_overlap", "300"),
+            ("chunking.separators", r"['\n## ', '\n### ', '\n\n', '\n', '.', ' ', '']"), ("chunking.keep_separator", "True"),
+            ("chunking.use_semantic_chunking", "False"), ("chunking.use_structure", "False"), ("chunking.buffer_size", "1"),
+            ("chunking.breakpoint_percentile_threshold", "95"), ("embedding.model_name", "'token-hash'"), ("embedding.dim", "384"),
+            ("embedding.normalize", "True"), ("test_queries", "('" + "', '".join(DEFAULT_TEST_QUERIES) + "')"), ("k", "3"),
+            ("save_results", "True"), ("test_retrieval", "True"), ("create_report", "True")]]),
 ]
 REPORT = " UNION ALL ".join(
     [f"SELECT CAST({section} AS INTEGER) AS section, '' AS sort_key, CAST({n} AS INTEGER) AS line_no, {line} AS line FROM summary"
@@ -239,16 +248,23 @@ ORACLES: dict[str, str] = {
         FROM listing WHERE lower(path) LIKE '%.html'""",
     "file_type_lookup": f"""WITH {LISTING} SELECT page_id, path,
         CASE lower(regexp_extract(path, '(\\.[^./]+)$', 1)) {TYPE_CASES} END AS file_type FROM listing""",
-    "load_text_whole": """SELECT source AS file_name, CAST(sum(length(text) + 1) AS BIGINT) AS chars,
-        CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS lines FROM documents GROUP BY source""",
+    "load_text_whole": """SELECT file_name, md5(line) AS line_md5, count(*) AS times
+        FROM (SELECT source AS file_name, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY ALL""",
     "parse_pages": f"""WITH {BLOCKS} SELECT file_path, 'ok' AS status, 'layout' AS loader_used, block_no, kind, level, text FROM blocks""",
     "html_to_documents": f"""WITH {BLOCKS}, md AS (SELECT file_path, string_agg(CASE kind WHEN 'heading' THEN repeat('#', level) || ' '
           WHEN 'list_item' THEN '- ' ELSE '' END || text, chr(10) || chr(10) ORDER BY block_no) AS page_content FROM blocks GROUP BY file_path)
-        SELECT file_path AS source_file, CAST(1 AS INTEGER) AS page, CAST(1 AS INTEGER) AS total_pages, 'html' AS parser, 'markdown' AS result_type,
+        SELECT file_path AS source_file, CAST(1 AS INTEGER) AS page, CAST(1 AS INTEGER) AS total_pages, 'layout' AS parser, 'markdown' AS result_type,
         '2024-01-01T00:00:00' AS processed_at, CAST(length(page_content) AS INTEGER) AS content_length, true AS has_layout,
         CAST(NULL AS BOOLEAN) AS has_images, page_content FROM md""",
     "parse_with_fallback": """SELECT doc_id, text AS page_content, source AS source_file, source AS file_name, 'chunks' AS processing_mode,
         CASE WHEN doc_id % 5 = 0 THEN 'text' ELSE 'layout' END AS loader_used FROM documents""",
+    "parse_fallback_pages": f"""WITH {BLOCKS}, md AS (SELECT file_path, string_agg(CASE kind WHEN 'heading' THEN repeat('#', level) || ' '
+          WHEN 'list_item' THEN '- ' ELSE '' END || text, chr(10) || chr(10) ORDER BY block_no) AS md, string_agg(text, ' ' ORDER BY block_no) AS plain
+          FROM blocks GROUP BY file_path)
+        SELECT file_path AS source_file, CAST(1 AS INTEGER) AS page, CAST(1 AS INTEGER) AS total_pages, parser AS loader_used, parser,
+          CASE parser WHEN 'text' THEN 'text' ELSE 'markdown' END AS result_type, CASE parser WHEN 'layout' THEN true END AS has_layout,
+          CASE parser WHEN 'text' THEN plain ELSE md END AS page_content
+        FROM (SELECT *, CASE WHEN contains(file_path, '/de/') THEN 'text' ELSE 'layout' END AS parser FROM md)""",
     "structure_chunks": f"""WITH RECURSIVE {BLOCKS},
         packed AS (
           SELECT file_path, block_no, kind, text, length(text) AS used, CAST(0 AS INTEGER) AS chunk_index,
@@ -370,13 +386,18 @@ ORACLES: dict[str, str] = {
     "loader_usage": "SELECT CASE WHEN doc_id % 5 = 0 THEN 'text' ELSE 'layout' END AS loader_used, count(*) AS documents FROM documents GROUP BY 1",
     "processing_stats": f"""WITH {OUTCOMES}, {RUN_STATS} SELECT *, processing_time / successful AS avg_time_per_success,
         total_pages::DOUBLE / successful AS avg_pages_per_success FROM run""",
-    "conversion_summary": f"""WITH {PAGE_DOCS} SELECT count(DISTINCT source_file) AS files_processed, count(*) AS total_documents,
+    "conversion_summary": f"""WITH {PAGE_DOCS} SELECT (SELECT count(DISTINCT source) FROM documents) AS files_processed, count(*) AS total_documents,
         CAST(sum(content_length) AS BIGINT) AS total_content_length, avg(content_length) AS avg_content_length FROM page_docs""",
     "run_summary": f"WITH {RUN_SUMMARY} SELECT * FROM summary",
     "smallest_file": f"WITH {LISTING} SELECT path, size_bytes FROM listing ORDER BY size_bytes, path LIMIT 1",
     "head_and_rest": """SELECT doc_id, CASE WHEN length(text) > 300 THEN left(text, 300) || '...' ELSE text END AS head,
         CAST(length(text) AS INTEGER) AS content_length, (SELECT greatest(count(*) - 3, 0) FROM documents) AS more FROM documents ORDER BY doc_id LIMIT 3""",
     "quarantine": f"WITH {OUTCOMES} SELECT file_path, 'parse' AS stage, status, error FROM outcomes",
-    "retry_merge": f"""WITH {OUTCOMES} SELECT file_path, CASE WHEN doc_id % 26 = 0 THEN 'ok' ELSE status END AS status,
-        CASE WHEN doc_id % 26 = 0 THEN NULL ELSE error END AS error FROM outcomes""",
+    "retry_merge": """SELECT url AS file_path, CASE WHEN NOT first_ok AND NOT second_ok THEN 'failed' ELSE 'ok' END AS status,
+          CASE WHEN first_ok THEN 'layout' WHEN second_ok THEN 'retry' END AS loader_used,
+          CASE WHEN contains(url, '/fr/') AND NOT second_ok THEN 'layout: nested async' WHEN contains(url, '/es/') AND NOT contains(url, '/fr/')
+            THEN 'layout: quota exceeded' END AS error,
+          CASE WHEN NOT first_ok AND NOT second_ok THEN 0 ELSE 1 END AS n_pages
+        FROM (SELECT url, NOT contains(url, '/fr/') AND NOT contains(url, '/es/') AS first_ok,
+                contains(url, '/fr/') AND NOT contains(url, '?page=2') AS second_ok FROM pages)""",
 }

@@ -22,7 +22,8 @@ from pagemill.config import (
 from pagemill.functions import formats, text as tx, vectors
 from pagemill.operators import chunking, documents, failures, search, semantic, stats
 from pagemill.operators.embedding import HashEmbedder, sparse_weights
-from pagemill.session import scratch_path, spread, table
+from pagemill.plans.ingest import retry_failed
+from pagemill.session import scratch_path, spread, table, written
 from pagemill.sources import files, parsing, report, store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,8 +85,8 @@ def _default_queries(spark: SparkSession) -> DataFrame:
     return HashEmbedder(DIM).embed(texts, "query")
 
 
-def _outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    """Parse outcomes by rule: four kinds of failure, else one page."""
+def _outcomes(spark: SparkSession, sf: str, *also: str) -> DataFrame:
+    """Parse outcomes by rule: four kinds of failure, else one page. ``also`` names further columns."""
     docs = _documents(spark, sf)
     error = F.expr(
         "CASE doc_id % 13 WHEN 0 THEN 'nested async' WHEN 1 THEN 'quota exceeded' "
@@ -94,25 +95,24 @@ def _outcomes(spark: SparkSession, sf: str) -> DataFrame:
     no_pages = F.col("error").isNotNull() | (F.col("doc_id") % 13 == 3)
     raw = docs.select(
         "doc_id",
-        "text",
         "n_chars",
+        *also,
         F.expr("concat('docs/', source, '/', doc_id, '.html')").alias("file_path"),
         error.alias("error"),
     )
-    none = F.array().cast("array<string>")
-    paged = raw.withColumn("pages", F.when(no_pages, none).otherwise(F.array("text")))
-    return (
-        failures.outcome(paged)
-        .withColumn("file_name", tx.basename(F.col("file_path")))
-        .withColumn("n_pages", F.size("pages"))
-    )
+    paged = raw.withColumn("n_pages", F.when(no_pages, 0).otherwise(1))
+    return failures.outcome(paged, F.col("n_pages")).withColumn("file_name", tx.basename(F.col("file_path")))
 
 
-def _parsed_pages(spark: SparkSession, sf: str) -> DataFrame:
+def _page_files(spark: SparkSession, sf: str) -> DataFrame:
     inputs = table(spark, sf, "pages").select(
-        F.col("url").alias("file_path"), F.col("html").alias("content")
+        F.col("url").alias("file_path"), F.col("html").cast("binary").alias("content")
     )
-    return parsing.parse_files(spread(inputs, "file_path"), parsing.HTML_PARSERS, F.lit(RUN_TIME).cast("timestamp"))
+    return spread(inputs, "file_path")
+
+
+def _parsed_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return parsing.parse_files(_page_files(spark, sf), parsing.HTML_PARSERS, F.lit(RUN_TIME).cast("timestamp"))
 
 
 def _no_error() -> Column:
@@ -143,11 +143,12 @@ def load_text_whole(spark, sf):
     docs = _documents(spark, sf).select("source", "text")
     docs.write.option("maxRecordsPerFile", 1000).partitionBy("source").text(path)
     loaded = files.load_text(spark, path)
-    lines = F.size(F.split("page_content", "\n")) - 1
     folder = F.regexp_extract("source", "source=([^/]*)", 1)
-    return loaded.groupBy(folder.alias("file_name")).agg(
-        F.sum(F.length("page_content")).alias("chars"), F.sum(lines).alias("lines")
-    )
+    # The text writer ends every document with a line feed.
+    lines = F.split(F.regexp_replace("page_content", "\n$", ""), "\n", -1)
+    return loaded.select(folder.alias("file_name"), F.explode(lines).alias("line")).groupBy(
+        "file_name", F.md5("line").alias("line_md5")
+    ).agg(F.count(F.lit(1)).alias("times"))
 
 
 @query
@@ -183,6 +184,28 @@ def parse_with_fallback(spark, sf):
     )
 
 
+def _raising(rules: dict[str, str], parser: parsing.Parser) -> parsing.Parser:
+    """The parser, but for paths that hold one of the marks, which raise the error."""
+    def parse(content: bytes, path: str) -> list[dict]:
+        for mark, error in rules.items():
+            if mark in path:
+                raise RuntimeError(error)
+        return parser(content, path)
+
+    return parse
+
+
+@query
+def parse_fallback_pages(spark, sf):
+    """Pages whose first parser raises take the second one, and say so."""
+    first = _raising({"/de/": "no layout"}, parsing.layout_parser)
+    parsers = [("layout", first), ("text", parsing.text_parser)]
+    parsed = parsing.parse_files(_page_files(spark, sf), parsers, F.lit(RUN_TIME).cast("timestamp"))
+    return documents.parsed_to_documents(parsed.where("status = 'ok'")).select(
+        "source_file", "page", "total_pages", "loader_used", "parser", "result_type", "has_layout", "page_content"
+    )
+
+
 @query
 def structure_chunks(spark, sf):
     parsed = _parsed_pages(spark, sf).where("status = 'ok'")
@@ -219,7 +242,7 @@ def chunks_roundtrip(spark, sf):
 def vector_store_roundtrip(spark, sf):
     embedding = EmbeddingConfig(model_name="given", dim=64)
     path = scratch_path(spark, "store")
-    store.save_vector_store(table(spark, sf, "embeddings"), path, embedding)
+    store.save_vector_store(table(spark, sf, "embeddings"), path, embedding, ChunkingConfig())
     loaded = store.load_vector_store(spark, path, embedding)
     square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     return loaded.select("vec_id", "label", F.size("embedding").alias("dim"), F.round(square, 6).alias("square"))
@@ -228,7 +251,7 @@ def vector_store_roundtrip(spark, sf):
 @query
 def processing_report(spark, sf):
     outcomes = _outcomes(spark, sf)
-    good = outcomes.where("status = 'ok'")
+    good = _outcomes(spark, sf, "text").where("status = 'ok'")
     chunks = chunking.char_window_chunks(good.select("doc_id", "text"), "text", SIZE, OVERLAP)
     statistics = failures.run_statistics(outcomes, F.col("n_pages"), F.col("n_chars") / 1024.0)
     summary = stats.run_summary(statistics, good, chunks, DIM)
@@ -533,14 +556,14 @@ def chunk_expansion(spark, sf):
 
 @query
 def file_summary(spark, sf):
-    return stats.file_summary(_page_documents(spark, sf))
+    return stats.file_summary(_with_blanks(spark, sf), "source", "doc_id", "text")
 
 
 @query
 def file_summary_loader(spark, sf):
-    pages = _page_documents(spark, sf)
     loader = F.expr("CASE WHEN doc_id % 5 = 0 THEN 'text' ELSE 'layout' END")
-    return stats.file_summary_by_loader(pages.withColumn("loader_used", loader))
+    pages = _with_blanks(spark, sf).withColumn("loader_used", loader)
+    return stats.file_summary_by_loader(pages, "source", "doc_id", "text")
 
 
 @query
@@ -555,13 +578,13 @@ def processing_stats(spark, sf):
 
 @query
 def conversion_summary(spark, sf):
-    return stats.conversion_summary(_page_documents(spark, sf))
+    return stats.conversion_summary(_with_blanks(spark, sf), "source", "text")
 
 
 @query
 def run_summary(spark, sf):
     outcomes = _outcomes(spark, sf)
-    good = outcomes.where("status = 'ok'")
+    good = _outcomes(spark, sf, "text").where("status = 'ok'")
     chunks = chunking.char_window_chunks(good.select("doc_id", "text"), "text", SIZE, OVERLAP)
     statistics = failures.run_statistics(outcomes, F.col("n_pages"), F.col("n_chars") / 1024.0)
     return stats.run_summary(statistics, good, chunks, DIM)
@@ -591,13 +614,10 @@ def quarantine(spark, sf):
 
 @query
 def retry_merge(spark, sf):
-    outcomes = _outcomes(spark, sf)
-    good, bad = failures.quarantine(outcomes)
-    results = good.select("file_path", "text")
-    inputs = outcomes.select("file_path", "doc_id", "text")
-    tried = failures.retryable(bad, "nested async").join(inputs, "file_path")
-    retried_ok = tried.where("doc_id % 2 = 0").select("file_path", "text")
-    merged, still_failed = failures.retry_merge(results, bad, retried_ok)
-    return merged.select("file_path", F.lit("ok").alias("status"), _no_error()).unionByName(
-        still_failed.select("file_path", F.lit("failed").alias("status"), "error")
-    )
+    """Files that failed with the marker are parsed a second time with another parser."""
+    first = _raising({"/fr/": "nested async", "/es/": "quota exceeded"}, parsing.layout_parser)
+    again = _raising({"?page=2": "still nested async"}, parsing.text_parser)
+    when = F.lit(RUN_TIME).cast("timestamp")
+    outcomes = written(parsing.parse_files(_page_files(spark, sf), [("layout", first)], when), "parsed")
+    merged, _ = retry_failed(outcomes, _page_files(spark, sf), [("retry", again)], "nested async", when)
+    return merged.select("file_path", "status", "loader_used", "error", "n_pages")

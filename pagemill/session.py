@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
+# Scratch folders that this process has named.
+_NAMED: list[str] = []
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -30,7 +35,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/pagemill/{uuid.uuid4().hex}/{name}"
+    """A new folder for intermediate tables; it is removed when the session's process ends."""
+    base = f"{shared_folder(spark).rstrip('/')}/pagemill/{uuid.uuid4().hex}"
+    _NAMED.append(base)
+    return f"{base}/{name}"
+
+
+@atexit.register
+def delete_scratch() -> None:
+    """Remove the scratch folders, as long as there is a session to do it with."""
+    spark = SparkSession.getActiveSession()
+    while spark is not None and _NAMED:
+        try:
+            delete_path(spark, _NAMED.pop())
+        except (Py4JError, OSError):  # the store or the JVM has gone before
+            return
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

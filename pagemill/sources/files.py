@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -11,8 +12,12 @@ from pagemill.config import FILE_TYPES
 from pagemill.functions.formats import file_size, one_decimal
 from pagemill.functions.text import basename, suffix
 from pagemill.operators.numbering import number_rows
+from pagemill.session import scratch_path
 
 LISTING = "path string, size_bytes bigint, modified_at timestamp"
+CONTENTS = "file_path string, content binary"
+# Spark's file sources pass over names that begin with one of these.
+HIDDEN = ("_", ".")
 
 
 def suffix_glob(suffixes: Sequence[str]) -> str:
@@ -23,21 +28,29 @@ def suffix_glob(suffixes: Sequence[str]) -> str:
     return "{" + ",".join("*" + either_case(s) for s in suffixes) + "}"
 
 
+def _listed(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """Path, size and time of the files directly inside ``folder``, from the store's own listing.
+
+    Metadata only, and all of it: Spark's file sources would leave out empty files and hidden names.
+    """
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(context._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    found = [f for f in system.listStatus(path) if f.isFile()]
+    return [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found]
+
+
 def discover_files(spark: SparkSession, folder: str, suffixes: Sequence[str] = (".pdf",)) -> DataFrame:
     """Files directly inside ``folder`` with one of the suffixes; none if it is missing.
 
-    Only the listing is read, never a file's content. Order and numbers are added by
-    :func:`file_listing`.
+    Every file counts, empty and hidden ones too. Only the listing is read, never a file's content. Order and
+    numbers are added by :func:`file_listing`.
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffixes))
-    try:
-        found = reader.load(folder)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], LISTING)
-        raise
-    return found.select(
-        "path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at")
+    rows = spark.createDataFrame(_listed(spark, folder), "path string, size_bytes bigint, modified bigint")
+    return rows.where(has_suffix(F.col("path"), suffixes)).select(
+        "path", "size_bytes", F.timestamp_millis("modified").alias("modified_at")
     )
 
 
@@ -73,20 +86,39 @@ def load_text(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def utf8_text(content: Column) -> Column:
-    """Bytes as text; what is not UTF-8 becomes U+FFFD instead of failing the run."""
-    return F.make_valid_utf8(content.cast("string"))
-
-
-def load_contents(spark: SparkSession, folder: str, suffixes: Sequence[str]) -> DataFrame:
-    """The files of :func:`discover_files` with their text."""
+def _visible_contents(spark: SparkSession, folder: str, suffixes: Sequence[str]) -> DataFrame:
+    """What Spark's source reads: neither empty nor hidden files."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffixes))
     try:
         found = reader.load(folder)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], "file_path string, content string")
+            return spark.createDataFrame([], CONTENTS)
         raise
-    return found.select(
-        F.col("path").alias("file_path"), utf8_text(F.col("content")).alias("content")
-    )
+    return found.select(F.col("path").alias("file_path"), "content")
+
+
+def _hidden_contents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The same for hidden names, which are copied to visible ones in the shared folder first."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder, names = scratch_path(spark, "hidden"), []
+    target = jvm.org.apache.hadoop.fs.Path(folder)
+    for n, path in enumerate(paths):
+        source, copy = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(folder, f"copy-{n}")
+        systems = source.getFileSystem(conf), target.getFileSystem(conf)
+        jvm.org.apache.hadoop.fs.FileUtil.copy(systems[0], source, systems[1], copy, False, conf)
+        names.append((path, f"copy-{n}"))
+    copies = spark.read.format("binaryFile").load(folder).select(basename(F.col("path")).alias("copy"), "content")
+    originals = spark.createDataFrame(names, "file_path string, copy string")
+    return originals.join(copies, "copy").select("file_path", "content")
+
+
+def load_contents(spark: SparkSession, folder: str, suffixes: Sequence[str]) -> DataFrame:
+    """``file_path, content`` of all files of :func:`discover_files`; an empty file has empty bytes."""
+    listed = discover_files(spark, folder, suffixes)
+    name = basename(F.col("path"))
+    hidden = functools.reduce(lambda x, y: x | y, [name.startswith(h) for h in HIDDEN])
+    few = [r[0] for r in listed.where(hidden & (F.col("size_bytes") > 0)).select("path").collect()]
+    empty = listed.where("size_bytes = 0").select(F.col("path").alias("file_path"), F.lit(b"").alias("content"))
+    contents = _visible_contents(spark, folder, suffixes).unionByName(empty)
+    return contents.unionByName(_hidden_contents(spark, few)) if few else contents

@@ -1,8 +1,9 @@
 """Parsing files into pages, with fallback and per-file failure capture.
 
-A parser is any function from a file's text to a list of pages
+A parser is any function from a file's bytes and path to a list of pages
 ``{"md", "text", "layout", "structured_data", "images"}``; missing keys become NULL.
-Two are included for HTML. Other formats and services plug in the same way.
+Two are included for HTML, which decode the bytes themselves. Other formats, binary ones
+too, and services plug in the same way.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pagemill.functions.text import basename
 from pagemill.operators.documents import PAGE_TYPE
 from pagemill.operators.failures import outcome
 
-Parser = Callable[[str], list[dict]]
+Parser = Callable[[bytes, str], list[dict]]
 
 SKIPPED = {"script", "style", "head"}
 BLOCK_TAGS = {
@@ -81,10 +82,15 @@ def _markdown(block: dict) -> str:
     return marks.get(block["kind"], "") + block["text"]
 
 
-def layout_parser(content: str) -> list[dict]:
+def decoded(content: bytes) -> str:
+    """Bytes as text; what is not UTF-8 becomes U+FFFD instead of failing the file."""
+    return content.decode("utf-8", "replace")
+
+
+def layout_parser(content: bytes, path: str = "") -> list[dict]:
     """HTML to one page with block layout, markdown and plain text."""
     reader = _Blocks()
-    reader.feed(content)
+    reader.feed(decoded(content))
     reader.close()
     if not reader.blocks:
         return []
@@ -98,18 +104,18 @@ def layout_parser(content: str) -> list[dict]:
     ]
 
 
-def text_parser(content: str) -> list[dict]:
+def text_parser(content: bytes, path: str = "") -> list[dict]:
     """Fallback: visible text only, no layout and no markdown."""
-    visible = re.sub(r"(?is)<(script|style|head)\b.*?</\1\s*>|<!--.*?-->", " ", content)
+    visible = re.sub(r"(?is)<(script|style|head)\b.*?</\1\s*>|<!--.*?-->", " ", decoded(content))
     text = " ".join(html.unescape(re.sub(r"(?s)<[^>]*>", " ", visible)).split())
     return [{"text": text}] if text else []
 
 
-def _attempt(content: str | None, parsers: Sequence[tuple[str, Parser]]):
+def _attempt(content: bytes | None, path: str, parsers: Sequence[tuple[str, Parser]]):
     errors = []
     for name, parser in parsers:
         try:
-            pages = parser(content)
+            pages = parser(None if content is None else bytes(content), path)
         except Exception as error:  # one bad file must not stop the run
             errors.append(f"{name}: {error}")
             continue
@@ -122,6 +128,7 @@ def parse_files(
 ) -> DataFrame:
     """One outcome row per file: pages, the parser that worked, or the error.
 
+    ``files`` has ``file_path`` and the bytes ``content``.
     Parsers are tried in order until one does not raise. Files with no page at all are
     failures. The work is narrow; write the result before reading it more than once.
     """
@@ -129,7 +136,7 @@ def parse_files(
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            results = [_attempt(c, parsers) for c in batch["content"]]
+            results = [_attempt(c, p, parsers) for c, p in zip(batch["content"], batch["file_path"])]
             yield pd.DataFrame(
                 {
                     "file_path": batch["file_path"].to_numpy(),
@@ -140,7 +147,7 @@ def parse_files(
             )
 
     schema = f"file_path string, pages array<{PAGE_TYPE}>, loader_used string, error string"
-    parsed = outcome(files.select("file_path", "content").mapInPandas(parse, schema))
+    parsed = outcome(files.select("file_path", "content").mapInPandas(parse, schema), F.size("pages"))
     return parsed.select(
         "file_path",
         basename(F.col("file_path")).alias("file_name"),

@@ -6,6 +6,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pagemill.config import RunConfig
 
+# Fixed value: the kind of vector store that a run writes.
+STORE_KIND = "Parquet, exact search"
+
+
+def settings(config: RunConfig) -> list[tuple[str, str]]:
+    """All configuration values by dotted name."""
+    def flat(prefix: str, values: dict) -> list[tuple[str, str]]:
+        found = []
+        for name, value in values.items():
+            found += flat(f"{prefix}{name}.", value) if isinstance(value, dict) else [(prefix + name, repr(value))]
+        return found
+
+    return flat("", config.to_dict())
+
 
 def report_lines(
     summary: DataFrame,
@@ -13,6 +27,7 @@ def report_lines(
     config: RunConfig,
     session: str,
     generated: str,
+    parser: str = "layout, text",
 ) -> DataFrame:
     """``(section, sort_key, line_no, line)``; order by the first three to read it.
 
@@ -29,6 +44,7 @@ def report_lines(
 
     files = F.concat_ws("/", F.col("successful"), F.col("successful") + F.col("failed"))
     seconds = F.concat(F.format_string("%.2f", "processing_time"), F.lit(" seconds"))
+    # The labels of the report.
     sections = {
         0: [
             F.lit("# Processing Report"),
@@ -45,11 +61,14 @@ def report_lines(
         2: [F.when(F.col("failed") > 0, F.lit("## Failed Files"))],
         3: [
             F.lit("## Configuration"),
+            item("Parser", parser),
             item("Chunking", F.concat(F.col("chunks").cast("string"), F.lit(" chunks"))),
             item("Embeddings", config.embedding.model_name),
+            item("Vector Store", STORE_KIND),
             item("Chunk Size", f"{config.chunking.chunk_size} characters"),
             item("Chunk Overlap", f"{config.chunking.chunk_overlap} characters"),
         ],
+        4: [F.lit("## Pipeline Configuration"), *[item(name, value) for name, value in settings(config)]],
     }
     fixed = [
         F.struct(

@@ -6,8 +6,8 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pagemill.config import EmbeddingConfig, RunConfig
-from pagemill.operators.embedding import memory_megabytes
+from pagemill.config import ChunkingConfig, EmbeddingConfig, RunConfig
+from pagemill.operators.embedding import Embedder, memory_megabytes
 
 DESCRIPTION = "embedding_config"
 
@@ -20,25 +20,47 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def save_vector_store(store: DataFrame, path: str, embedding: EmbeddingConfig) -> None:
-    """Vectors as Parquet with a one-row description of the embedder beside them."""
+def save_vector_store(
+    store: DataFrame, path: str, embedder: Embedder | EmbeddingConfig, chunking: ChunkingConfig | None = None
+) -> None:
+    """Vectors as Parquet with a one-row description beside them.
+
+    The description is the embedder's own, with the chunking and the number of chunks that were written.
+    """
     save_table(store, f"{path}/vectors")
-    description = store.sparkSession.range(1).select(
-        F.lit(embedding.model_name).alias("model_name"),
-        F.lit(embedding.dim).alias("embedding_dimension"),
-        F.lit(embedding.normalize).alias("normalize_embeddings"),
+    written = load_table(store.sparkSession, f"{path}/vectors")
+    description = written.agg(F.count(F.lit(1)).alias("total_chunks")).select(
+        F.lit(embedder.name).alias("model_name"),
+        F.lit(embedder.dim).alias("embedding_dimension"),
+        F.lit(embedder.normalize).alias("normalize_embeddings"),
+        F.lit(chunking.chunk_size if chunking else None).cast("int").alias("chunk_size"),
+        F.lit(chunking.chunk_overlap if chunking else None).cast("int").alias("chunk_overlap"),
+        "total_chunks",
     )
     description.write.mode("overwrite").json(f"{path}/{DESCRIPTION}")
 
 
-def load_vector_store(spark: SparkSession, path: str, embedding: EmbeddingConfig) -> DataFrame:
-    """The stored vectors; refuses a store written by another embedder."""
-    schema = "model_name string, embedding_dimension int, normalize_embeddings boolean"
-    found = spark.read.schema(schema).json(f"{path}/{DESCRIPTION}").first()
-    expected = (embedding.model_name, embedding.dim, embedding.normalize)
-    if found is None or tuple(found) != expected:
+def describe_vector_store(spark: SparkSession, path: str) -> DataFrame:
+    schema = (
+        "model_name string, embedding_dimension int, normalize_embeddings boolean, "
+        "chunk_size int, chunk_overlap int, total_chunks bigint"
+    )
+    return spark.read.schema(schema).json(f"{path}/{DESCRIPTION}")
+
+
+def load_vector_store(
+    spark: SparkSession, path: str, embedder: Embedder | EmbeddingConfig, vector: str = "embedding"
+) -> DataFrame:
+    """The stored vectors; refuses a store of another embedder or with vectors of another size."""
+    found = describe_vector_store(spark, path).first()
+    expected = (embedder.name, embedder.dim, embedder.normalize)
+    if found is None or tuple(found)[:3] != expected:
         raise ValueError(f"store was written with {found}, not {expected}")
-    return load_table(spark, f"{path}/vectors")
+    store = load_table(spark, f"{path}/vectors")
+    sizes = store.agg(F.min(F.size(vector)), F.max(F.size(vector))).first()
+    if set(sizes) - {None, -1, embedder.dim}:
+        raise ValueError(f"stored vectors have {sizes} dimensions, not {embedder.dim}")
+    return store
 
 
 def store_statistics(store: DataFrame, dim: int) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pagemill.sources.files import suffix_glob, utf8_text
+from pagemill.sources.files import discover_files, load_contents, suffix_glob
 from pagemill.sources.parsing import HTML_PARSERS, Parser, parse_files
 
 CONTENT = "path string, modificationTime timestamp, length bigint, content binary"
@@ -20,9 +20,7 @@ CONTENT = "path string, modificationTime timestamp, length bigint, content binar
 def arriving_files(spark: SparkSession, folder: str, suffixes: Sequence[str]) -> DataFrame:
     stream = spark.readStream.format("binaryFile").schema(CONTENT)
     found = stream.option("pathGlobFilter", suffix_glob(suffixes)).load(folder)
-    return found.select(
-        F.col("path").alias("file_path"), utf8_text(F.col("content")).alias("content")
-    )
+    return found.select(F.col("path").alias("file_path"), "content")
 
 
 def parse_arriving(
@@ -33,11 +31,41 @@ def parse_arriving(
     suffixes: Sequence[str] = (".html",),
     parsers: Sequence[tuple[str, Parser]] = tuple(HTML_PARSERS),
 ) -> StreamingQuery:
-    """Parse what has arrived since the last call into the table at ``output``."""
+    """Parse what has arrived since the last call into the table at ``output``.
+
+    Each batch is a partition of the table, overwritten if the batch is run again.
+    """
     parsed = parse_files(arriving_files(spark, folder, suffixes), parsers, F.current_timestamp())
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{output}/batch_id={number}")
+
     return (
-        parsed.writeStream.format("parquet")
+        parsed.writeStream.foreachBatch(save)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(output)
+        .start()
     )
+
+
+def parse_overlooked(
+    spark: SparkSession,
+    folder: str,
+    output: str,
+    suffixes: Sequence[str] = (".html",),
+    parsers: Sequence[tuple[str, Parser]] = tuple(HTML_PARSERS),
+) -> int:
+    """Add the files that a stream cannot see, empty and hidden ones, to the table at ``output``.
+
+    Run it between two runs of the stream. Returns the number of files added; a second call adds none.
+    """
+    seen = spark.read.parquet(output).select("file_path")
+    hidden = F.regexp_extract("path", "([^/]*)$", 1).rlike("^[_.]")
+    listed = discover_files(spark, folder, suffixes).where(hidden | (F.col("size_bytes") == 0))
+    missed = listed.select(F.col("path").alias("file_path")).join(seen, "file_path", "left_anti")
+    contents = load_contents(spark, folder, suffixes).join(missed, "file_path")
+    added = parse_files(contents, parsers, F.current_timestamp())
+    count = missed.count()
+    if count:
+        added.write.mode("append").parquet(f"{output}/batch_id=-1")
+    return count

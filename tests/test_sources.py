@@ -1,13 +1,14 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from pagemill.config import ChunkingConfig, EmbeddingConfig, RunConfig
 from pagemill.operators.documents import parsed_to_documents
-from pagemill.operators.embedding import HashEmbedder
+from pagemill.operators.embedding import HashEmbedder, ModelEmbedder
 from pagemill.plans.ingest import ingest, query_table, search_texts
 from pagemill.session import scratch_path, shared_folder, spread
 from pagemill.sources import files, parsing, store
-from pagemill.streaming.folder import parse_arriving
+from pagemill.streaming.folder import parse_arriving, parse_overlooked
 
 PAGE = (
     "<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>"
@@ -52,11 +53,89 @@ def test_text_source(spark, folder):
 
 def test_bytes_that_are_not_utf8(spark, folder):
     row = files.load_contents(spark, str(folder), [".htm"]).first()
-    assert row.content == "<p>caf\ufffd</p>"
+    assert bytes(row.content) == b"<p>caf\xe9</p>"
+    assert parsing.layout_parser(bytes(row.content))[0]["text"] == "caf\ufffd"
+
+
+def test_no_file_is_left_out(spark, tmp_path):
+    docs = tmp_path / "docs"
+    docs.mkdir()
+    for name, content in (("a.html", "<p>a</p>"), ("zero.html", ""), ("_x.html", "<p>x</p>"), (".y.html", "<p>y</p>"), ("_z.html", "")):
+        (docs / name).write_text(content)
+    listed = {r.path.rsplit("/", 1)[1]: r.size_bytes for r in files.discover_files(spark, str(docs), [".html"]).collect()}
+    assert listed == {"a.html": 8, "zero.html": 0, "_x.html": 8, ".y.html": 8, "_z.html": 0}
+    loaded = {r.file_path.rsplit("/", 1)[1]: bytes(r.content) for r in files.load_contents(spark, str(docs), [".html"]).collect()}
+    assert {k: len(v) for k, v in loaded.items()} == listed and loaded["_x.html"] == b"<p>x</p>"
+    run = ingest(spark, RunConfig(docs_folder=str(docs), output_folder=str(tmp_path / "out"), test_retrieval=False))
+    stats = store.load_config(spark, run.paths["config"])["processing_stats"]
+    assert (stats["total_files"], stats["successful"], stats["failed"]) == (5, 3, 2)
+    failed = {r.file_path.rsplit("/", 1)[1]: r.error for r in spark.read.parquet(run.paths["failed_files"]).collect()}
+    assert failed == {"zero.html": "No content extracted", "_z.html": "No content extracted"}
+    out = str(tmp_path / "stream")
+    parse_arriving(spark, str(docs), out, str(tmp_path / "cp")).awaitTermination()
+    assert parse_overlooked(spark, str(docs), out) == 4 and parse_overlooked(spark, str(docs), out) == 0
+    assert spark.read.parquet(out).groupBy("status").count().orderBy("status").collect() == [("failed", 2), ("ok", 3)]
+
+
+def test_binary_parser_reads_bytes(spark, tmp_path):
+    def pages(content, path):
+        if not content.startswith(b"%FAKE\xe2\xe3"):
+            raise ValueError(f"no such format: {path.rsplit('/', 1)[1]}")
+        return [{"md": part.decode("latin-1")} for part in content[7:].split(b"\x00")]
+
+    docs = tmp_path / "docs"
+    docs.mkdir()
+    (docs / "a.pdf").write_bytes(b"%FAKE\xe2\xe3one\x00two \xe9\x00 ")
+    (docs / "b.PDF").write_bytes(b"other")
+    config = RunConfig(docs_folder=str(docs), output_folder=str(tmp_path / "out"), file_suffixes=(".pdf",), test_retrieval=False)
+    run = ingest(spark, config, [("fake", pages)])
+    found = spark.read.parquet(run.paths["documents"]).orderBy("page").collect()
+    assert [(d.page_content, d.page, d.total_pages, d.parser, d.result_type) for d in found] == [
+        ("one", 1, 3, "fake", "markdown"), ("two é", 2, 3, "fake", "markdown"),
+    ]
+    assert spark.read.parquet(run.paths["failed_files"]).first().error == "fake: no such format: b.PDF"
+
+
+def test_failures_are_tried_again_in_the_run(spark, tmp_path):
+    def first(content, path):
+        if b"later" in content:
+            raise RuntimeError("nested async")
+        if b"never" in content:
+            raise RuntimeError("quota exceeded")
+        return parsing.layout_parser(content)
+
+    docs = tmp_path / "docs"
+    docs.mkdir()
+    for name in ("now", "later", "never"):
+        (docs / f"{name}.html").write_text(f"<p>{name}</p>")
+    config = RunConfig(docs_folder=str(docs), output_folder=str(tmp_path / "out"), test_retrieval=False)
+    run = ingest(spark, config, [("first", first)], retry_parsers=[("second", parsing.text_parser)], retry_marker="nested async")
+    stats = store.load_config(spark, run.paths["config"])["processing_stats"]
+    assert (stats["total_files"], stats["successful"], stats["failed"], stats["total_pages"]) == (3, 2, 1, 2)
+    assert 0 < stats["processing_time"] <= stats["total_time"]
+    assert [r.error for r in spark.read.parquet(run.paths["failed_files"]).collect()] == ["first: quota exceeded"]
+    kinds = {r.parser: r.result_type for r in spark.read.parquet(run.paths["documents"]).collect()}
+    assert kinds == {"first": "markdown", "second": "text"}
+
+
+def test_store_describes_the_embedder_that_ran(spark, folder, tmp_path):
+    model = ModelEmbedder(lambda: lambda texts: np.ones((len(texts), 8)), dim=8, name="tiny-model")
+    config = RunConfig(docs_folder=str(folder), output_folder=str(tmp_path / "out"), test_retrieval=False)
+    run = ingest(spark, config, embedder=model)
+    found = store.describe_vector_store(spark, run.paths["vector_store"]).first()
+    chunks = spark.read.parquet(run.paths["chunks"]).count()
+    assert tuple(found) == ("tiny-model", 8, True, 1500, 300, chunks)
+    assert store.load_config(spark, run.paths["config"])["config"]["embedding"]["model_name"] == "tiny-model"
+    with pytest.raises(ValueError):
+        store.load_vector_store(spark, run.paths["vector_store"], HashEmbedder())
+    wrong = str(tmp_path / "wrong")
+    store.save_vector_store(spark.createDataFrame([(1, [1.0, 2.0])], "id int, embedding array<float>"), wrong, HashEmbedder(8))
+    with pytest.raises(ValueError, match="dimensions"):
+        store.load_vector_store(spark, wrong, HashEmbedder(8))
 
 
 def test_layout_parser():
-    [page] = parsing.layout_parser(PAGE)
+    [page] = parsing.layout_parser(PAGE.encode())
     assert [(b["kind"], b["level"], b["text"]) for b in page["layout"]] == [
         ("heading", 2, "Risk & rules"),
         ("paragraph", 0, "First para graph."),
@@ -69,23 +148,23 @@ def test_layout_parser():
 
 
 def test_head_without_end_tag():
-    [page] = parsing.layout_parser("<head><title>t</title><body><p>seen")
+    [page] = parsing.layout_parser(b"<head><title>t</title><body><p>seen")
     assert page["text"] == "seen"
 
 
 def test_fallback_and_failure_capture(spark):
-    def picky(content):
-        if "bad" in content:
+    def picky(content, path):
+        if b"bad" in content:
             raise ValueError("cannot read")
         return parsing.layout_parser(content)
 
-    def hopeless(content):
-        if "worse" in content:
+    def hopeless(content, path):
+        if b"worse" in content:
             raise RuntimeError("gave up")
         return parsing.text_parser(content)
 
-    rows = [("d/ok", "<p>fine</p>"), ("d/f", "<p>bad</p>"), ("d/w", "bad worse"), ("d/e", ""), ("d/n", None)]
-    df = spark.createDataFrame(rows, "file_path string, content string")
+    rows = [("d/ok", b"<p>fine</p>"), ("d/f", b"<p>bad</p>"), ("d/w", b"bad worse"), ("d/e", b""), ("d/n", None)]
+    df = spark.createDataFrame(rows, "file_path string, content binary")
     parsed = parsing.parse_files(df, [("picky", picky), ("simple", hopeless)], F.lit("2024-01-02 03:04:05").cast("timestamp"))
     got = {r.file_name: (r.status, r.loader_used, r.error) for r in parsed.collect()}
     assert got["ok"] == ("ok", "picky", None)
@@ -120,12 +199,12 @@ def test_spread_leaves_large_scans_alone(spark):
     assert spread(spark.range(0, 100, 1, 2)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
 
 
-@pytest.mark.parametrize("semantic", [False, True])
-def test_complete_run(spark, folder, tmp_path, semantic):
+@pytest.mark.parametrize("method", ["recursive", "semantic", "structure"])
+def test_complete_run(spark, folder, tmp_path, method):
     config = RunConfig(
         docs_folder=str(folder),
         output_folder=str(tmp_path / "out"),
-        chunking=ChunkingConfig(chunk_size=20, chunk_overlap=5, use_semantic_chunking=semantic),
+        chunking=ChunkingConfig(chunk_size=20, chunk_overlap=5, use_semantic_chunking=method == "semantic", use_structure=method == "structure"),
         test_queries=("risk rules", "plain words"),
     )
     run = ingest(spark, config)
@@ -134,8 +213,8 @@ def test_complete_run(spark, folder, tmp_path, semantic):
     assert table["documents"]().count() == 2
     assert [r.error for r in table["failed_files"]().collect()] == ["No content extracted"]
     chunks = table["chunks"]()
-    assert chunks.count() == chunks.select("chunk_id").distinct().count() > 2 - semantic
-    assert {r.chunking_method for r in chunks.collect()} == {"semantic" if semantic else "recursive"}
+    assert chunks.count() == chunks.select("chunk_id").distinct().count() > 2 - (method == "semantic")
+    assert {r.chunking_method for r in chunks.collect()} == {method}
     hits = table["hits"]().where("rank = 1").orderBy("query_id").collect()
     assert [h.source for h in hits] == ["b.HTML", "a.html"]
     saved = store.load_config(spark, run.paths["config"])
@@ -144,6 +223,7 @@ def test_complete_run(spark, folder, tmp_path, semantic):
     report = "\n".join(r.value for r in spark.read.text(run.paths["report"]).collect())
     assert "- a.html (1 pages)" in report and "- empty.html: No content extracted" in report
     assert "- **Files Processed**: 2/3" in report and "Chunk Size**: 20" in report
+    assert "- **Parser**: layout, text" in report and "- **chunking.chunk_overlap**: 5" in report
     vectors = store.load_vector_store(spark, run.paths["vector_store"], config.embedding)
     found = search_texts(vectors, query_table(spark, ["plain words"]), HashEmbedder(), k=1)
     assert found.first().file_name == "a.html"
