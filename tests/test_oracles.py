@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from pagemill.plans.oracles import ORACLES
+from pagemill.plans.queries import QUERIES
 from tests.compare import compare, connect
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
@@ -16,9 +18,9 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, name):
-    difference = compare(spark, duck, FOLDER, contract.queries()[name], contract.oracle_sql()[name])
+    difference = compare(spark, duck, FOLDER, QUERIES[name], ORACLES[name])
     assert difference is None, difference
 
 
