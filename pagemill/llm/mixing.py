@@ -146,7 +146,7 @@ def mix_sources(
     """
     rows = written(profile(df, id_column, text), "profile")
     cells = written(rows.groupBy(*MARGINS).agg(F.sum("n_words").alias("tokens")), "cells")
-    targets = targets or {m: tempered_targets(cells, m, powers[m]) for m in MARGINS}
+    targets = targets or {m: written(tempered_targets(cells, m, powers[m]), "targets") for m in MARGINS}
     weighed = written(probabilities(rake(cells, targets), budget), "weights").select(*MARGINS, "probability")
     judged = lookup(rows, weighed, MARGINS, ["row"])
     place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("row")), 64 - HASH_BITS) / float(1 << HASH_BITS)
