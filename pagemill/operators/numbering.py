@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # Rows that one sort task should hold; callers with large rows ask for fewer.
 ROWS_PER_RANGE = 50_000
 MIN_RANGES = 16
-SAMPLE_PER_RANGE = 8
+SAMPLE_PER_RANGE = 16
 HASH_STEPS = 1 << 30
 
 
@@ -33,7 +33,8 @@ def _cut_points(df: DataFrame, keys: list[str], rows_per_range: int) -> list[str
     """
     narrow = df.select(*keys)
     rows = narrow.count()
-    ranges = max(MIN_RANGES, -(-rows // rows_per_range))
+    # Ranges of half the size on average, so that an uneven one stays below it.
+    ranges = max(MIN_RANGES, -(-2 * rows // rows_per_range))
     wanted = ranges * SAMPLE_PER_RANGE
     if rows > wanted:
         step = F.pmod(F.xxhash64(*keys), F.lit(HASH_STEPS))

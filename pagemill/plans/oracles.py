@@ -392,6 +392,20 @@ ORACLES: dict[str, str] = {
     "smallest_file": f"WITH {LISTING} SELECT path, size_bytes FROM listing ORDER BY size_bytes, path LIMIT 1",
     "head_and_rest": """SELECT doc_id, CASE WHEN length(text) > 300 THEN left(text, 300) || '...' ELSE text END AS head,
         CAST(length(text) AS INTEGER) AS content_length, (SELECT greatest(count(*) - 3, 0) FROM documents) AS more FROM documents ORDER BY doc_id LIMIT 3""",
+    "discover_written_files": f"""SELECT file_name, size_bytes, {_size_text('size_bytes')} AS size_text
+        FROM (SELECT page_id || '.html' AS file_name, CAST(strlen(html) + 1 AS BIGINT) AS size_bytes FROM pages)""",
+    "ingest_tables": _recursive(MARKDOWN_SEPARATORS, 1500, 300).replace("WITH RECURSIVE ", f"""WITH RECURSIVE {BLOCKS},
+        md AS (SELECT file_path, string_agg(CASE kind WHEN 'heading' THEN repeat('#', level) || ' ' WHEN 'list_item' THEN '- ' ELSE '' END || text,
+          chr(10) || chr(10) ORDER BY block_no) AS text FROM blocks GROUP BY file_path),
+        documents AS (SELECT page_id AS doc_id, '' AS source, text FROM md JOIN pages ON url = file_path), pieces AS (""", 1).replace(
+            "big0 AS (SELECT doc_id, 0 AS s", "WITH RECURSIVE big0 AS (SELECT doc_id, 0 AS s", 1) + """)
+        SELECT d.doc_id || '.html' AS file_name, 'ok' AS status, 'layout' AS loader_used, CAST(1 AS INTEGER) AS n_pages,
+          CAST(length(d.text) AS BIGINT) AS chars, count(*) AS chunks FROM documents d JOIN pieces p USING (doc_id) GROUP BY d.doc_id, d.text""",
+    "chunk_methods": f"""WITH r AS ({_recursive(MARKDOWN_SEPARATORS, 1500, 300)}), s AS (WITH {SEMANTIC} SELECT doc_id, chunk_index, length(chunk) AS n FROM semantic),
+        every AS (SELECT 'recursive' AS chunking_method, doc_id, chunk_index, length(chunk) AS n FROM r UNION ALL SELECT 'semantic', doc_id, chunk_index, n FROM s
+          UNION ALL SELECT 'structure', doc_id, 0, length(text) FROM documents)
+        SELECT chunking_method, doc_id, CAST(chunk_index AS INTEGER) AS chunk_index, sha256(doc_id || '|' || chunk_index) AS chunk_id,
+          CAST(n AS INTEGER) AS chunk_length FROM every""",
     "quarantine": f"WITH {OUTCOMES} SELECT file_path, 'parse' AS stage, status, error FROM outcomes",
     "retry_merge": """SELECT url AS file_path, CASE WHEN NOT first_ok AND NOT second_ok THEN 'failed' ELSE 'ok' END AS status,
           CASE WHEN first_ok THEN 'layout' WHEN second_ok THEN 'retry' END AS loader_used,

@@ -22,7 +22,7 @@ from pagemill.config import (
 from pagemill.functions import formats, text as tx, vectors
 from pagemill.operators import chunking, documents, failures, search, semantic, stats
 from pagemill.operators.embedding import HashEmbedder, sparse_weights
-from pagemill.plans.ingest import retry_failed
+from pagemill.plans.ingest import chunk_documents, ingest, retry_failed
 from pagemill.session import scratch_path, spread, table, written
 from pagemill.sources import files, parsing, report, store
 
@@ -612,6 +612,44 @@ def quarantine(spark, sf):
     return kept.unionByName(bad.withColumn("status", F.lit("failed")))
 
 
+def _folder_of_pages(spark: SparkSession, sf: str) -> str:
+    """The pages as files ``<page_id>.html`` of one folder in the shared store."""
+    base = scratch_path(spark, "docs")
+    pages = table(spark, sf, "pages").select("page_id", "html")
+    pages.repartition("page_id").write.partitionBy("page_id").text(f"{base}/parts")
+    files.flatten_folder(spark, f"{base}/parts", "page_id", f"{base}/flat", ".html")
+    return f"{base}/flat"
+
+
+@query
+def discover_written_files(spark, sf):
+    listing = files.file_listing(files.discover_files(spark, _folder_of_pages(spark, sf), [".html"]))
+    return listing.select("file_name", "size_bytes", "size_text")
+
+
+@query
+def ingest_tables(spark, sf):
+    """The complete run over a folder of files; one row per file from the tables it writes."""
+    config = RunConfig(docs_folder=_folder_of_pages(spark, sf), output_folder=scratch_path(spark, "out"))
+    run = ingest(spark, config)
+    parsed, docs, chunks = (spark.read.parquet(run.paths[n]) for n in ("parsed", "documents", "chunks"))
+    pages = docs.groupBy("source_file").agg(F.sum("content_length").alias("chars"))
+    pieces = chunks.groupBy("source_file").agg(F.count(F.lit(1)).alias("chunks"))
+    joined = parsed.select(F.col("file_path").alias("source_file"), "file_name", "status", "loader_used", "n_pages")
+    return joined.join(pages, "source_file").join(pieces, "source_file").drop("source_file")
+
+
+@query
+def chunk_methods(spark, sf):
+    """Every chunking method through the function that the run uses."""
+    no_blocks = F.array().cast("array<struct<kind:string,level:int,text:string>>")
+    docs = _texts(spark, sf).select("doc_id", "text", no_blocks.alias("layout"))
+    configs = [ChunkingConfig(), ChunkingConfig(use_semantic_chunking=True), ChunkingConfig(use_structure=True)]
+    chunks = [chunk_documents(docs, "text", "doc_id", c) for c in configs]
+    columns = ["chunking_method", "doc_id", "chunk_index", "chunk_id", "chunk_length"]
+    return chunks[0].select(*columns).union(chunks[1].select(*columns)).union(chunks[2].select(*columns))
+
+
 @query
 def retry_merge(spark, sf):
     """Files that failed with the marker are parsed a second time with another parser."""

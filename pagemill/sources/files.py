@@ -86,6 +86,20 @@ def load_text(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def flatten_folder(spark: SparkSession, folder: str, key: str, target: str, suffix: str) -> None:
+    """Move the single file of every ``key=value`` folder to ``target``, as ``value`` with the suffix.
+
+    The writers of Spark name files themselves; this gives a folder of named files, by renaming only.
+    """
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(context._jsc.hadoopConfiguration())
+    system.mkdirs(path(target))
+    for found in system.globStatus(path(f"{folder}/{key}=*/part-*")):
+        value = found.getPath().getParent().getName().split("=", 1)[1]
+        system.rename(found.getPath(), path(target, value + suffix))
+
+
 def _visible_contents(spark: SparkSession, folder: str, suffixes: Sequence[str]) -> DataFrame:
     """What Spark's source reads: neither empty nor hidden files."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffixes))

@@ -10,7 +10,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from pagemill.config import MARKDOWN_SEPARATORS, PLAIN_SEPARATORS, ChunkingConfig
-from pagemill.operators import chunking, documents, failures, search, semantic, stats
+from pagemill.operators import chunking, documents, failures, numbering, search, semantic, stats
 from pagemill.operators.embedding import HashEmbedder, ModelEmbedder, sparse_weights
 from pagemill.operators.numbering import number_rows
 
@@ -20,6 +20,13 @@ TEXTS = st.text(alphabet="ab .\n#é😀", max_size=120)
 # ---------------------------------------------------------------- numbering
 
 
+def test_ranges_follow_the_rows(spark):
+    df = spark.range(0, 1_000_000, 1, 4).select(F.xxhash64("id").alias("o"))
+    ranged = df.select(numbering._range_of(df, ["o"], 20_000).alias("r"))
+    sizes = [r["count"] for r in ranged.groupBy("r").count().collect()]
+    assert sum(sizes) == 1_000_000 and len(sizes) >= 50 and max(sizes) <= 20_000
+
+
 def test_numbering_with_a_hot_group(spark):
     generator = random.Random(3)
     rows = [("hot" if i % 3 else f"g{i % 50}", generator.random(), i) for i in range(4000)]
@@ -258,6 +265,36 @@ def test_semantic_chunks_from_a_model(spark, monkeypatch):
     assert {(r.embedding_model, r.embedding_provider) for r in rows.collect()} == {("letters", "model")}
 
 
+def test_a_model_gets_full_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(semantic, "MODEL_BATCH", 64)
+    calls = str(tmp_path / "calls")
+
+    def load():
+        def encode(texts):
+            with open(calls, "a") as file:
+                file.write(f"{len(texts)}\n")
+            return np.array([[len(t), 1.0] for t in texts])
+
+        return encode
+
+    df = spark.createDataFrame([(i, "One. Two is. Three is it. Four. Five.") for i in range(100)], "i int, t string").coalesce(1)
+    model = ModelEmbedder(load, 2, "lengths", normalize=False)
+    rows = semantic.semantic_chunks(df, "i", "t", ChunkingConfig(use_semantic_chunking=True), model).collect()
+    assert {r["i"] for r in rows} == set(range(100))
+    sizes = [int(x) for x in open(calls).read().split()]
+    assert sum(sizes) == 500 and len(sizes) <= 500 // 64 + 1
+
+
+@settings(max_examples=100, deadline=None)
+@given(TEXTS, st.integers(2, 40))
+def test_separators_kept_or_left_out(text, size):
+    kept = chunking.split_text(text, MARKDOWN_SEPARATORS, size, 0)
+    bare = chunking.split_text(text, MARKDOWN_SEPARATORS, size, 0, keep_separator=False)
+    plain = lambda chunks: "".join(chunks).replace(".", "").replace("#", "").replace(" ", "").replace("\n", "")
+    assert plain(kept) == plain(bare) and len(bare) <= len(kept)
+    assert sum(map(len, bare)) <= sum(map(len, kept))
+
+
 def test_model_vectors_are_never_shuffled(spark):
     df = spark.createDataFrame([(0, "a. b. c.")], "i int, t string")
     config = ChunkingConfig(use_semantic_chunking=True)
