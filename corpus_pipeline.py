@@ -24,10 +24,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated lines; ``n_chars`` follows the text. One that loses all its text goes."""
-    cut = drop_repeated_lines(docs).where((F.col("n_dropped") == 0) | (F.btrim("kept") != ""))
-    new = {"text": F.when(F.col("n_dropped") > 0, F.col("kept")).otherwise(F.col("input.text")),
-           "n_chars": F.when(F.col("n_dropped") > 0, F.length("kept").cast("long")).otherwise(F.col("input.n_chars"))}
+    """Documents without repeated lines; ``n_chars`` follows the text. Every document stays, even an empty one."""
+    cut, changed = drop_repeated_lines(docs), F.col("n_dropped") > 0
+    new = {
+        "text": F.when(changed, F.col("kept")).otherwise(F.col("input.text")),
+        "n_chars": F.when(changed, F.length("kept").cast("long")).otherwise(F.col("input.n_chars")),
+    }
     return cut.select(*[new.get(c, F.col(f"input.{c}")).alias(c) for c in docs.columns])
 
 
