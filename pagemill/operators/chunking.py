@@ -6,7 +6,6 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pagemill.config import ChunkingConfig
 from pagemill.functions.text import strip
 
 
