@@ -45,7 +45,7 @@ def test_hot_group_is_spread_over_ranges(spark):
     from pagemill.operators.numbering import _range_of
 
     df = spark.range(9000).select(F.lit("hot").alias("g"), "id")
-    sizes = df.select(_range_of(df, ["g", "id"]).alias("r")).groupBy("r").count().toPandas()["count"]
+    sizes = df.select(_range_of(df, ["g", "id"], 500).alias("r")).groupBy("r").count().toPandas()["count"]
     assert len(sizes) > 25 and sizes.max() < 9000 / 4
 
 
@@ -420,14 +420,17 @@ def test_comparison_uses_population_deviation(spark):
 
 def test_first_non_empty_sample(spark):
     rows = [("f", 1, " "), ("f", 2, " second "), ("f", 3, "third"), ("g", 1, " ")]
-    df = spark.createDataFrame(rows, "file_name string, page int, page_content string")
-    got = {r.file_name: r.sample_content for r in stats.file_summary(df).collect()}
-    assert got == {"f": "second", "g": ""}
+    df = spark.createDataFrame(rows, "source string, page int, text string")
+    got = {r.file_name: (r.page_count, r.sample_content) for r in stats.file_summary(df, "source", "page", "text").collect()}
+    # Blank pages are no documents, so a file without any other is not in the summary but counts as processed.
+    assert got == {"f": (2, "second")}
+    assert stats.conversion_summary(df, "source", "text").first().files_processed == 2
 
 
 def test_retry_keeps_the_balance(spark):
     rows = [(f"p{i}", None if i % 3 else ("nested async" if i % 2 else "boom"), ["x"] if i % 3 else []) for i in range(30)] + [("empty", None, [])]
-    outcomes = failures.outcome(spark.createDataFrame(rows, "file_path string, error string, pages array<string>"))
+    parsed = spark.createDataFrame(rows, "file_path string, error string, pages array<string>")
+    outcomes = failures.outcome(parsed, F.size("pages"))
     good, bad = failures.quarantine(outcomes)
     assert good.count() + bad.count() == 31
     assert bad.where(F.col("error") == failures.NO_CONTENT).count() == 1
