@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagemill.llm.columns import WHITE, ascii_lower, let, salt_of, whole_text
+from pagemill.session import written
 
 MIN_LENGTH = 40
 MIN_DOCUMENTS = 5
@@ -47,8 +48,9 @@ def keep_bitmaps(documents: DataFrame, min_length: int = MIN_LENGTH, min_documen
     ``documents`` has ``doc``, ``row`` (tells rows of one id apart) and ``text``.
     """
     order = [F.col("doc").desc_nulls_last(), "row", "line"]
+    # Written once: the range cuts, the stream and the way back to the documents all read the hashes.
     dealt = (
-        _occurrences(documents, min_length)
+        written(_occurrences(documents, min_length), "line_hashes")
         .repartitionByRange("key", "_salt")
         .sortWithinPartitions("key", "_salt", *order)
     )
