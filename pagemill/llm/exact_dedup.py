@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pagemill.llm.columns import lookup, whole_text
-from pagemill.session import scratch_path
+from pagemill.session import scratch_path, written
 
 INDEX_SCHEMA = "digest binary, keep_id bigint, batch string"
 
@@ -30,10 +30,13 @@ class DigestIndex:
         The default number of buckets is that of the shuffle partitions, so that a batch and the
         index have the same division.
         """
-        self.spark, self.name = spark, name
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.path = path
-        if not spark.catalog.tableExists(name):
+        self.spark, self.name, self.path = spark, name, path
+        if spark.catalog.tableExists(name):
+            # An index keeps the division it was created with.
+            described = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Num Buckets'").first()
+            self.buckets = int(described["data_type"])
+        else:
+            self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
             self._write(spark.createDataFrame([], INDEX_SCHEMA), "errorifexists")
 
     def _write(self, entries: DataFrame, mode: str) -> None:
@@ -68,7 +71,10 @@ def dedup_batch(df: DataFrame, index: DigestIndex, id_column: str = "doc_id", te
     """
     batch = uuid.uuid4().hex
     rows = df.select(F.col(id_column).cast("long").alias("doc_id"), text_digest(whole_text(text)).alias("digest"))
-    groups = rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # Written, or the optimizer would move the anti-join below the aggregation, where a common text is skewed.
+    groups = written(
+        rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "digests"
+    )
     index.append(index.absent(groups).withColumn("batch", F.lit(batch)))
     stays = index.entries().select(
         "digest", F.col("keep_id").alias("stays"), (F.col("batch") == batch).alias("is_new")
