@@ -84,8 +84,8 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``words before each document (and all), hash of each word`` for white-space separated words."""
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the white-space separated words of all documents."""
     inside = (data != 32) & ((data < 9) | (data > 13))
     border = np.zeros(len(data) + 1, dtype=bool)
     border[offsets] = True
@@ -93,7 +93,12 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     start[1:] &= ~inside[:-1] | border[1:-1]
     end = inside.copy()
     end[:-1] &= ~inside[1:] | border[1:-1]
-    starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
+    return np.flatnonzero(start), np.flatnonzero(end) + 1
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``words before each document (and all), hash of each word``."""
+    starts, ends = word_spans(data, offsets)
     return np.searchsorted(starts, offsets), RangeHash(data).of(starts, ends)
 
 

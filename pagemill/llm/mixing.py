@@ -14,10 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pagemill.llm.columns import lookup, whole_text
-from pagemill.llm.hashing import lower_ascii, text_buffers, word_hashes
+from pagemill.llm.hashing import RangeHash, lower_ascii, text_buffers, word_spans
 from pagemill.session import delete_path, scratch_path, written
 
 TOPICS = 8
+# Shorter words, mostly grammar, say more about the language than about the topic.
+TOPIC_WORD_BYTES = 8
 MARGINS = ("source", "lang", "topic")
 # Without given targets a margin aims at its present shares to these powers: 1 keeps them, 0 makes them equal.
 POWERS = {"source": 0.7, "lang": 0.7, "topic": 1.0}
@@ -30,15 +32,18 @@ HASH_BITS = 52
 
 
 def _topics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number of words and topic of each text: the most frequent of ``TOPICS`` groups of hashed words."""
+    """Number of words and topic of each text: the most frequent of ``TOPICS`` groups of hashed long words."""
     for batch in batches:
         rest = batch.drop_columns(["text"])
         for row, data, offsets in text_buffers(batch.column("text")):
-            before, words = word_hashes(lower_ascii(data), offsets)
-            n = len(offsets) - 1
+            lowered = lower_ascii(data)
+            starts, ends = word_spans(lowered, offsets)
+            before, n = np.searchsorted(starts, offsets), len(offsets) - 1
             owner = np.repeat(np.arange(n), np.diff(before))
+            long = np.flatnonzero(ends - starts >= TOPIC_WORD_BYTES)
+            words = RangeHash(lowered).of(starts[long], ends[long])
             group = (words >> np.uint64(32)).astype(np.int64) % TOPICS
-            counts = np.bincount(owner * TOPICS + group, minlength=n * TOPICS).reshape(n, TOPICS)
+            counts = np.bincount(owner[long] * TOPICS + group, minlength=n * TOPICS).reshape(n, TOPICS)
             part = rest.slice(row, n)
             # argmax takes the smallest topic of a tie.
             yield pa.RecordBatch.from_arrays(
@@ -141,8 +146,8 @@ def mix_sources(
     them, present shares to the given powers. A row is kept if the hash of its id and text falls below the
     probability of its cell.
 
-    A NULL source or language is the value ``(none)``. NULL and empty texts weigh nothing and are
-    in topic 0. Repeated rows share one decision. An empty table gives no rows.
+    A NULL source or language is the value ``(none)``. NULL and empty texts weigh nothing; texts without long
+    words are in topic 0. Repeated rows share one decision. An empty table gives no rows.
     """
     rows = written(profile(df, id_column, text), "profile")
     cells = written(rows.groupBy(*MARGINS).agg(F.sum("n_words").alias("tokens")), "cells")
