@@ -62,7 +62,8 @@ def keep_bitmaps(documents: DataFrame, min_length: int = MIN_LENGTH, min_documen
     # At most one row per salt and key, so the verdict reaches a hot key in many tasks.
     verdicts = firsts.select("key", "_salt").distinct().join(repeated, "key")
     losers = dealt.join(verdicts, ["key", "_salt"]).where(~F.col("doc").eqNullSafe(F.col("keeper")))
-    return losers.groupBy("doc", "row").agg(_runs(F.collect_list("line")).alias("dropped"))
+    # Rows that repeat id and text name the same lines, each of which counts once.
+    return losers.groupBy("doc", "row").agg(_runs(F.collect_set("line")).alias("dropped"))
 
 
 def _kept_text(lines: Column, runs: Column) -> Column:

@@ -5,7 +5,9 @@ import re
 import pytest
 
 from pagemill.llm import quality
+from pagemill.llm.line_dedup import drop_repeated_lines
 from pagemill.session import table
+from tests.llm.conftest import LINE
 
 # Quality rules
 
@@ -37,3 +39,15 @@ def test_held_out_score_is_that_of_a_document_without_a_label(spark):
     score = lambda ids, column: {r[0]: r[1] for r in quality.judge_quality(df, trust(ids), buckets=64).select("input.doc_id", column).collect()}
     assert score([1, 2, 3], "held_out")[3] == pytest.approx(score([1, 2], "score")[3], abs=1e-5)
     assert score([1, 2, 3], "held_out")[5] == score([1, 2, 3], "score")[5]
+
+
+# Line dedup
+
+
+def test_repeated_rows_that_lose_lines(spark):
+    rows = [(n, f"{LINE}\n{LINE}\nown {n}\n{LINE}") for n in (0, 0, 0, 1, 2, 3, 4, None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = drop_repeated_lines(df).select("input.doc_id", "n_lines", "n_dropped", "kept").collect()
+    assert len(found) == len(rows)
+    for doc, lines, dropped, kept in found:
+        assert (lines, dropped, kept) == ((4, 0, rows[6][1]) if doc == 4 else (4, 3, f"own {doc}"))
