@@ -115,9 +115,9 @@ def scan_licenses(
 
     lowered = ascii_lower(F.col("text"))
     has_phrase = lowered.rlike(_phrase_pattern(list(phrases)))
-    keys = F.array(
-        *[F.when(lowered.rlike(_bounded(key)), F.lit(name)) for name, _, key in templates]
-    )
+
+    def keys(t: Column) -> Column:
+        return F.array_compact(F.array(*[F.when(t.rlike(_bounded(key)), F.lit(name)) for name, _, key in templates]))
 
     def base(w: Column) -> Column:
         starts = [_phrase_starts(w, p) for p in phrases]
@@ -128,16 +128,16 @@ def scan_licenses(
         none = F.struct(F.array().cast("array<int>").alias("places"), F.array().cast("array<string>").alias("labels"))
         return F.struct(F.size(w).cast("long").alias("n_words"), F.when(has_phrase, base(w)).otherwise(none).alias("base"))
 
-    # Only texts with a licence word need the key phrases.
-    suspect = lowered.rlike("licen|permi|redistr|software|public|mozilla")
-    counted = rows.select(
-        "input", "doc", "row",
-        let(license_words(F.col("text")), measured).alias("m"),
-        F.when(suspect, F.array_compact(keys)).alias("keys"),
-    )
+    counted = rows.select("input", "doc", "row", let(license_words(F.col("text")), measured).alias("m"))
     found = found.select(F.col("doc").alias("of"), F.col("row").alias("of_row"), "found")
     joined = counted.join(found, F.col("doc").eqNullSafe(F.col("of")) & (F.col("row") == F.col("of_row")), "left")
-    verified = F.filter("found", lambda f: F.coalesce(F.array_contains(F.col("keys"), f["template"]), F.lit(False)))
+    # Only texts with aligned hits need the key phrases; the text is in the input and does not cross the join twice.
+    whole = F.coalesce(F.col("input").getField(text).cast("string"), F.lit(""))
+    verified = let(
+        let(ascii_lower(whole), keys),
+        lambda held: F.filter("found", lambda f: F.array_contains(held, f["template"])),
+    )
+    verified = F.when(F.col("found").isNotNull(), verified)
     result = joined.withColumn("verified", F.coalesce(verified, F.array().cast("array<struct<template:string,share:double>>")))
     places, base_labels = F.col("m.base.places"), F.col("m.base.labels")
     own = F.transform("verified", lambda f: f["template"])

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from pagemill.llm import quality
+from pagemill.llm.licenses import scan_licenses
 from pagemill.llm.line_dedup import drop_repeated_lines
 from pagemill.session import table
 from tests.llm.conftest import LINE
@@ -51,3 +52,12 @@ def test_repeated_rows_that_lose_lines(spark):
     assert len(found) == len(rows)
     for doc, lines, dropped, kept in found:
         assert (lines, dropped, kept) == ((4, 0, rows[6][1]) if doc == 4 else (4, 3, f"own {doc}"))
+
+
+# Licences
+
+
+def test_notices_without_a_licence_word(spark):
+    df = spark.createDataFrame([(0, "Shared under CC BY-NC 4.0"), (1, "under nc 4.0")], "doc_id bigint, text string")
+    found = {r[0]: tuple(r)[1:] for r in scan_licenses(df).select("input.doc_id", "labels", "score").collect()}
+    assert found == {0: ("cc-by,cc-by-nc-4.0", 0.75), 1: ("", 0.0)}
