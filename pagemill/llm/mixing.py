@@ -7,6 +7,7 @@ probability with which the documents of a cell are sampled, by hash of the docum
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,15 +25,19 @@ MARGINS = ("source", "lang", "topic")
 # Without given targets a margin aims at its present shares to these powers: 1 keeps them, 0 makes them equal.
 POWERS = {"source": 0.7, "lang": 0.7, "topic": 1.0}
 BUDGET = 0.7
-ROUNDS = 12
 TOLERANCE = 1e-3
+# Raking goes on to the tolerance. It gives up, with a warning, after so many rounds, or where the error has not
+# fallen by a hundredth in so many: then the targets cannot be met together.
+ROUNDS = 500
+STALLED = 20
 # Stands for a missing source or language.
 MISSING = "(none)"
 HASH_BITS = 52
 
 
 def _topics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number of words and topic of each text: the most frequent of ``TOPICS`` groups of hashed long words."""
+    """Number of words and topic of each text: the most frequent of ``TOPICS`` groups of hashed long words, or of all its
+    words where none is long."""
     for batch in batches:
         rest = batch.drop_columns(["text"])
         for row, data, offsets in text_buffers(batch.column("text")):
@@ -40,10 +45,12 @@ def _topics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts, ends = word_spans(lowered, offsets)
             before, n = np.searchsorted(starts, offsets), len(offsets) - 1
             owner = np.repeat(np.arange(n), np.diff(before))
-            long = np.flatnonzero(ends - starts >= TOPIC_WORD_BYTES)
-            words = RangeHash(lowered).of(starts[long], ends[long])
+            long = ends - starts >= TOPIC_WORD_BYTES
+            has_long = np.bincount(owner[long], minlength=n) > 0
+            telling = np.flatnonzero(long | ~has_long[owner])
+            words = RangeHash(lowered).of(starts[telling], ends[telling])
             group = (words >> np.uint64(32)).astype(np.int64) % TOPICS
-            counts = np.bincount(owner[long] * TOPICS + group, minlength=n * TOPICS).reshape(n, TOPICS)
+            counts = np.bincount(owner[telling] * TOPICS + group, minlength=n * TOPICS).reshape(n, TOPICS)
             part = rest.slice(row, n)
             # argmax takes the smallest topic of a tie.
             yield pa.RecordBatch.from_arrays(
@@ -76,11 +83,12 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
 
     Weights sum to 1 after the first step. A cell whose margin value has no target gets no weight. Each step is
     written to the shared folder; the driver sees its largest change. Targets of margins that cannot be met
-    together are met as nearly as the rounds reach, the last margin exactly.
+    together are met as nearly as the rounds reach, the last margin exactly, and a warning names the error that is left.
     """
     spark = cells.sparkSession
     current = cells.withColumn("weight", F.col("tokens").cast("double")).withColumn("change", F.lit(0.0))
     schema, path, keep = current.schema, None, cells.columns
+    errors = []
     for _ in range(rounds):
         worst = 0.0
         for margin, target in targets.items():
@@ -103,8 +111,16 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
             path = following
             current = spark.read.schema(schema).parquet(path)
             worst = max(worst, current.agg(F.max("change")).first()[0] or 0.0)
-        if worst <= tolerance:
+        errors.append(worst)
+        if worst <= tolerance or (len(errors) > STALLED and min(errors[-STALLED:]) > 0.99 * min(errors[:-STALLED])):
             break
+    if errors and errors[-1] > tolerance:
+        warnings.warn(
+            f"targets are not met: after {len(errors)} rounds a share is off by {errors[-1]:.2g} of itself, "
+            f"more than {tolerance:g}",
+            RuntimeWarning,
+            stacklevel=2,
+        )
     return current.drop("change")
 
 
@@ -146,8 +162,8 @@ def mix_sources(
     them, present shares to the given powers. A row is kept if the hash of its id and text falls below the
     probability of its cell.
 
-    A NULL source or language is the value ``(none)``. NULL and empty texts weigh nothing; texts without long
-    words are in topic 0. Repeated rows share one decision. An empty table gives no rows.
+    A NULL source or language is the value ``(none)``. NULL and empty texts weigh nothing; texts without
+    words are in topic 0. Targets that cannot be met together end in a warning. Repeated rows share one decision. An empty table gives no rows.
     """
     rows = written(profile(df, id_column, text), "profile")
     cells = written(rows.groupBy(*MARGINS).agg(F.sum("n_words").alias("tokens")), "cells")

@@ -1,12 +1,15 @@
 """Cases where an operator once did less than its whole job."""
 
 import re
+import warnings
 
 import pytest
+from pyspark.sql import functions as F
 
 from pagemill.llm import quality
 from pagemill.llm.licenses import scan_licenses
 from pagemill.llm.line_dedup import drop_repeated_lines
+from pagemill.llm.mixing import profile, rake
 from pagemill.session import table
 from tests.llm.conftest import LINE
 
@@ -61,3 +64,35 @@ def test_notices_without_a_licence_word(spark):
     df = spark.createDataFrame([(0, "Shared under CC BY-NC 4.0"), (1, "under nc 4.0")], "doc_id bigint, text string")
     found = {r[0]: tuple(r)[1:] for r in scan_licenses(df).select("input.doc_id", "labels", "score").collect()}
     assert found == {0: ("cc-by,cc-by-nc-4.0", 0.75), 1: ("", 0.0)}
+
+
+# Mixing
+
+
+def raked_shares(spark, tokens, wanted):
+    cells = spark.createDataFrame([(*k, n) for k, n in tokens.items()], "source string, lang string, topic int, tokens bigint")
+    kinds = {"source": "string", "lang": "string", "topic": "int"}
+    targets = {m: spark.createDataFrame(list(t.items()), f"{m} {kinds[m]}, share double") for m, t in wanted.items()}
+    raked = rake(cells, targets)
+    return {m: {r[0]: r[1] for r in raked.groupBy(m).agg(F.sum("weight")).collect()} for m in wanted}
+
+
+def test_related_margins_are_raked_to_the_targets(spark):
+    tokens = {("a", "x", 0): 500, ("a", "y", 0): 1, ("b", "x", 0): 1, ("b", "y", 0): 500}
+    wanted = {"source": {"a": 0.52, "b": 0.48}, "lang": {"x": 0.48, "y": 0.52}, "topic": {0: 1.0}}
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", RuntimeWarning)
+        shares = raked_shares(spark, tokens, wanted)
+    for margin, target in wanted.items():
+        assert shares[margin] == pytest.approx(target, rel=2e-3)
+
+
+def test_targets_that_cannot_be_met_are_reported(spark):
+    tokens = {("a", "x", 0): 50, ("b", "y", 0): 50}
+    with pytest.warns(RuntimeWarning, match="not met"):
+        raked_shares(spark, tokens, {"source": {"a": 0.7, "b": 0.3}, "lang": {"x": 0.4, "y": 0.6}, "topic": {0: 1.0}})
+
+
+def test_topics_of_texts_without_long_words(spark):
+    df = spark.createDataFrame([(n, f"w{n} " * 3, "s", "l") for n in range(40)], "doc_id bigint, text string, source string, lang string")
+    assert profile(df).select("topic").distinct().count() > 1
