@@ -19,14 +19,10 @@ DEFAULT_KEY = "change-this-key"
 # Titles by gender, in several languages.
 MALE_TITLES = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"]
 FEMALE_TITLES = ["Mrs", "Ms", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία"]
-# Given names by script and gender, of equal number.
-GIVEN_NAMES = {
-    ("latin", "m"): ["Adrian", "Bernard", "Conrad", "Dominic", "Edgar", "Felix", "Gregor", "Hugo"],
-    ("latin", "f"): ["Alma", "Beatrice", "Clara", "Dora", "Elena", "Flora", "Greta", "Helena"],
-    ("cyrillic", "m"): ["Андрей", "Борис", "Виктор", "Георгий", "Денис", "Егор", "Игорь", "Кирилл"],
-    ("cyrillic", "f"): ["Анна", "Вера", "Галина", "Дарья", "Елена", "Жанна", "Ирина", "Ксения"],
-    ("greek", "m"): ["Ανδρέας", "Βασίλης", "Γιώργος", "Δημήτρης", "Ηλίας", "Κώστας", "Λευτέρης", "Μάριος"],
-    ("greek", "f"): ["Άννα", "Βασιλική", "Γεωργία", "Δήμητρα", "Ελένη", "Κατερίνα", "Λυδία", "Μαρία"],
+# Endings of made-up given names.
+GIVEN_ENDINGS = {
+    ("latin", "m"): "o", ("latin", "f"): "a", ("cyrillic", "m"): "ий", ("cyrillic", "f"): "ия",
+    ("greek", "m"): "ης", ("greek", "f"): "ια",
 }
 # Syllables and endings of made-up family names.
 SYLLABLES = {
@@ -45,7 +41,7 @@ PATTERNS = {
     "email": r"[\p{L}0-9._%+\-]+@[\p{L}0-9\-]+(?:\.[\p{L}0-9\-]+)+",
     "secret": r"(?i:\b(?:token|secret|password|api_key)\b\s*[=:]\s*\"[A-Za-z0-9+/_\-]{8,}\")|\bAKIA[0-9A-Z]{16}\b",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
-    "phone": r"(?<![\d\w])(?:\+\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)|(?<![\d\w])\+\d{1,3}(?:[ .\-]?\d{2,4}){3,4}(?!\d)",
+    "phone": r"(?<![\d\w])(?:\+\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)|(?<![\d\w])\+\d{1,3}(?:[ .\-]?\d{2,4}){3,4}(?!\d)|(?<![\d\w.\-])\d{3}(?:-\d{3}-|\.\d{3}\.)\d{4}(?![\d\w]|[.\-]\d)",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "card": r"(?<![\d\w])\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}(?![\d\w])",
@@ -87,6 +83,12 @@ def normal_form(kind: Column, mention: Column) -> Column:
     )
 
 
+def given_name(mention: Column) -> Column:
+    """The given name before the family name, with script and gender like that; empty where there is none."""
+    given = F.regexp_extract(mention, rf"^\S+ ({NAME}) {NAME}$", 1)
+    return F.when(given == "", "").otherwise(F.concat_ws("|", _script(mention), _gender(mention), F.lower(given)))
+
+
 def _digest(key: str, kind: Column, normal: Column, attempt: Column) -> Column:
     return F.sha2(F.concat_ws("\x00", F.lit(key), kind, normal, attempt.cast("string")), 256)
 
@@ -134,14 +136,14 @@ def _email(normal: Column, digest: Column) -> Column:
     return F.concat(_same_shape(F.substring(normal, F.lit(1), F.length(normal) - F.length(last)), digest), last)
 
 
-def _family_name(normal: Column, digest: Column, attempt: Column) -> Column:
-    """``script|gender|name`` with a made-up family name of the same script and gender."""
+def _made_name(normal: Column, digest: Column, attempt: Column, endings: dict, syllables_least: int) -> Column:
+    """``script|gender|name`` with a made-up name of the same script and gender."""
     made = F.lit(None).cast("string")
-    for (script, gender), ending in ENDINGS.items():
+    for (script, gender), ending in endings.items():
         syllables = F.array(*map(F.lit, SYLLABLES[script]))
         # Later attempts may use more syllables, so there is always another name.
         stem = F.array_join(
-            F.transform(F.sequence(F.lit(0), F.lit(3) + (attempt / 2).cast("int")), lambda i: F.get(syllables, _number(digest, i) % 16)), ""
+            F.transform(F.sequence(F.lit(0), F.lit(syllables_least - 1) + (attempt / 2).cast("int")), lambda i: F.get(syllables, _number(digest, i) % 16)), ""
         )
         name = F.concat(F.lit(f"{script}|{gender}|"), stem, F.lit(ending))
         made = F.when(normal.startswith(f"{script}|{gender}|"), name).otherwise(made)
@@ -152,7 +154,8 @@ def make_surrogate(key: str, kind: Column, normal: Column, attempt: Column) -> C
     """A surrogate in normal form; the same for the same key, entity and attempt."""
     def made(digest: Column) -> Column:
         return (
-            F.when(kind == "name", _family_name(normal, digest, attempt))
+            F.when(kind == "name", _made_name(normal, digest, attempt, ENDINGS, 4))
+            .when(kind == "given", _made_name(normal, digest, attempt, GIVEN_ENDINGS, 2))
             .when(kind == "ip", _ip(digest))
             .when(kind == "email", _email(normal, digest))
             .otherwise(_same_shape(normal, digest))
@@ -202,17 +205,13 @@ def _refill(mention: Column, filling: Column, pattern: str) -> Column:
     return let(places, build)
 
 
-def render(kind: Column, mention: Column, surrogate: Column, key: str) -> Column:
-    """The surrogate in the format of the mention."""
+def render(kind: Column, mention: Column, surrogate: Column, given: Column) -> Column:
+    """The surrogate in the format of the mention; ``given`` is that of the given name, NULL where there is none."""
+    def written_out(name: Column) -> Column:
+        return F.initcap(F.get(F.split(name, r"\|"), F.lit(2)))
+
     title = F.regexp_extract(mention, r"^(\S+) ", 1)
-    parts = F.split(surrogate, r"\|")
-    given = F.lit("")
-    # A given name before the family name is replaced by one of the gender and script.
-    middle = F.regexp_extract(mention, rf"^\S+ ({NAME}) {NAME}$", 1)
-    for (script, gender), names in GIVEN_NAMES.items():
-        pick = F.get(F.array(*map(F.lit, names)), F.pmod(F.xxhash64(F.lit(key), middle), F.lit(len(names))).cast("int"))
-        given = F.when((F.get(parts, F.lit(0)) == script) & (F.get(parts, F.lit(1)) == gender), pick).otherwise(given)
-    name = F.concat(title, F.lit(" "), F.when(middle != "", F.concat(given, F.lit(" "))).otherwise(""), F.initcap(F.get(parts, F.lit(2))))
+    name = F.concat_ws(" ", title, written_out(given), written_out(surrogate))
     cased = F.when(mention == F.upper(mention), F.upper(surrogate)).otherwise(surrogate)
     inner = F.regexp_extract(mention, r'"([^"]*)"', 1)
     quoted = F.when(inner != "", F.replace(mention, inner, surrogate)).otherwise(surrogate)
@@ -241,12 +240,21 @@ def replace_entities(df: DataFrame, key: str = DEFAULT_KEY, id_column: str = "do
         "doc", "row", F.posexplode(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("place", "mention")
     )
     mentions = mentions.withColumn("kind", entity_kind(F.col("mention")))
-    mentions = written(mentions.withColumn("normal", normal_form(F.col("kind"), F.col("mention"))), "mentions")
-    surrogates = surrogate_table(mentions.select("kind", "normal").distinct(), key)
-    named = lookup(mentions, surrogates, ["kind", "normal"], ["doc", "row"], "inner")
+    given = F.when(F.col("kind") == "name", given_name(F.col("mention"))).otherwise("")
+    mentions = mentions.withColumn("normal", normal_form(F.col("kind"), F.col("mention"))).withColumn("given", given)
+    mentions = written(mentions, "mentions")
+    # Distinct given names get distinct surrogates and so do family names, hence people do.
+    entities = mentions.select("kind", "normal").union(mentions.where("given != ''").select(F.lit("given"), "given"))
+    surrogates = surrogate_table(entities.distinct(), key)
+    whole = surrogates.where("kind != 'given'")
+    givens = surrogates.where("kind = 'given'").select(F.col("normal").alias("given"), F.col("surrogate").alias("given_surrogate"))
+    plain = lookup(mentions.where("given = ''"), whole, ["kind", "normal"], ["doc", "row"], "inner")
+    full = lookup(mentions.where("given != ''"), whole, ["kind", "normal"], ["doc", "row"], "inner")
+    full = lookup(full, givens, ["given"], ["doc", "row"], "inner")
+    named = plain.withColumn("given_surrogate", F.lit(None).cast("string")).unionByName(full)
     rendered = named.select(
         "doc", "row", "place", "kind", "mention",
-        render(F.col("kind"), F.col("mention"), F.col("surrogate"), key).alias("surrogate"),
+        render(F.col("kind"), F.col("mention"), F.col("surrogate"), F.col("given_surrogate")).alias("surrogate"),
     ).dropDuplicates(["doc", "row", "place"])
     listed = rendered.groupBy(F.col("doc").alias("of"), F.col("row").alias("of_row")).agg(
         F.transform(

@@ -10,6 +10,7 @@ from pagemill.llm import quality
 from pagemill.llm.licenses import scan_licenses
 from pagemill.llm.line_dedup import drop_repeated_lines
 from pagemill.llm.mixing import profile, rake
+from pagemill.llm.pii import replace_entities
 from pagemill.session import table
 from tests.llm.conftest import LINE
 
@@ -79,7 +80,7 @@ def raked_shares(spark, tokens, wanted):
 
 def test_related_margins_are_raked_to_the_targets(spark):
     tokens = {("a", "x", 0): 500, ("a", "y", 0): 1, ("b", "x", 0): 1, ("b", "y", 0): 500}
-    wanted = {"source": {"a": 0.52, "b": 0.48}, "lang": {"x": 0.48, "y": 0.52}, "topic": {0: 1.0}}
+    wanted = {"source": {"a": 0.7, "b": 0.3}, "lang": {"x": 0.6, "y": 0.4}, "topic": {0: 1.0}}
     with warnings.catch_warnings():
         warnings.simplefilter("error", RuntimeWarning)
         shares = raked_shares(spark, tokens, wanted)
@@ -96,3 +97,23 @@ def test_targets_that_cannot_be_met_are_reported(spark):
 def test_topics_of_texts_without_long_words(spark):
     df = spark.createDataFrame([(n, f"w{n} " * 3, "s", "l") for n in range(40)], "doc_id bigint, text string, source string, lang string")
     assert profile(df).select("topic").distinct().count() > 1
+
+
+# Surrogates
+
+
+def test_people_of_one_family_keep_apart(spark):
+    names = ["John", "Paul", "Carl", "Eric", "Ivan", "Noah", "Omar", "Theo", "Ralf", "Nils", "Jack", "Leon"]
+    texts = [f"Mr {n} Smith." for n in names] + ["Mr Smith.", "Mr John Smith."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r[0]: r[1] for r in replace_entities(df, key="k").select("input.doc_id", "text").collect()}
+    assert len({found[n] for n in range(len(names))}) == len(names) and found[0] == found[len(names) + 1]
+    assert len({t.split()[-1] for t in found.values()}) == 1 and len(found[len(names)].split()) == 2
+
+
+def test_phones_with_separators_only(spark):
+    df = spark.createDataFrame([(0, "call 212-555-0187 or 212.555.0187, not 123-45-6789 or 1.212.555.0187")], "doc_id bigint, text string")
+    entities = replace_entities(df).select("entities").first()[0]
+    assert [(e["kind"], e["mention"]) for e in entities if e["kind"] == "phone"] == [("phone", "212-555-0187"), ("phone", "212.555.0187")]
+    digits = [re.sub(r"\D", "", e["surrogate"]) for e in entities if e["kind"] == "phone"]
+    assert digits[0] == digits[1] != "2125550187"
