@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pagemill.llm.conversations import damage, repair_conversations
 from pagemill.llm.exact_dedup import dedup_exact
 from pagemill.llm.licenses import scan_licenses
 from pagemill.llm.line_dedup import drop_repeated_lines
@@ -137,6 +138,10 @@ def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(table(spark, folder, "documents")).drop("row")
 
 
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair_conversations(damage(table(spark, folder, "conversations")))
+
+
 QUERIES = {
     "op1_line_dedup": line_dedup,
     "op2_best_fit_packing": best_fit_packing,
@@ -148,6 +153,7 @@ QUERIES = {
     "op8_suffix_array_dedup": suffix_array_dedup,
     "op9_license_scan": license_scan,
     "op10_exact_dedup": exact_dedup,
+    "op13_conversation_repair": conversation_repair,
 }
 
 ORACLES = {
