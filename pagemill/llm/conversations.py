@@ -141,28 +141,28 @@ def _find_edits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows come by conversation with the last turn first."""
     steps, names = Steps(), _names(_POINTER_SCHEMA)
 
-    def chunk(last: bool) -> pd.DataFrame:
-        found = dict(zip([*PLACE, *ORDER], [*place, *lowest], strict=True))
-        found |= {"part": part, "edits": bytes(edits)} | dict.fromkeys(FAULTS, 0)
+    def chunk(last: bool) -> tuple:
+        faults = (0,) * len(FAULTS)
         if last:
             gaps = first - now + 1 - turns if turns else 0
-            found |= count | {"gaps": gaps, "illegal": illegal, "cost": cost + behind[START]}
-        return pd.DataFrame([[found[n] for n in names]], columns=names)
+            faults = (gaps, *count.values(), illegal, cost + behind[START])
+        return (*place, *lowest, part, bytes(edits), *faults)
 
     place = None
     for frame in frames:
+        found = []
         columns = [frame[c].tolist() for c in [*PLACE, *ORDER, "present", "initial", "fault"]]
         for conv, unnamed, dated, turn, digest, present, initial, fault in zip(*columns, strict=True):
             if place != (conv, unnamed):
                 if place:
-                    yield chunk(True)
+                    found.append(chunk(True))
                 place, lowest, part, edits = (conv, unnamed), (False, 0, b""), 0, bytearray()
                 behind, cost, later, illegal, first, now, turns = TAIL, 0, None, 0, None, None, 0
                 count = dict.fromkeys(("blank", "duplicate", "truncated"), 0)
             if not present:
                 continue
             if len(edits) == CHUNK:
-                yield chunk(False)
+                found.append(chunk(False))
                 part, edits = part + 1, bytearray()
             behind, more, edit = steps.step(behind, initial, fault)
             edits.append(edit)
@@ -174,8 +174,9 @@ def _find_edits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if dated and (not turns or turn != now):
                 first = turn if first is None else first
                 now, turns = turn, turns + 1
+        yield pd.DataFrame(found, columns=names)
     if place:
-        yield chunk(True)
+        yield pd.DataFrame([chunk(True)], columns=names)
 
 
 def _names(schema: str) -> list[str]:
