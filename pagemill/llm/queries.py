@@ -14,12 +14,14 @@ from pagemill.llm.near_dedup import near_duplicates
 from pagemill.llm.packing import pack_documents
 from pagemill.llm.pii import replace_entities
 from pagemill.llm.quality import judge_quality
+from pagemill.llm.ranking import rank_documents
 from pagemill.llm.substring_dedup import remove_repeats
 from pagemill.llm.url_rules import RULE_SCHEMA, judge_urls
 from pagemill.session import table
 
 # Characters for the SQL twins, spelled as in the contracts.
 SQL_WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+SQL_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SQL_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
@@ -138,6 +140,34 @@ def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(table(spark, folder, "documents")).drop("row")
 
 
+def ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+RANKED_SEARCH_SQL = rf"""
+WITH terms AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {SQL_LOWER}), '{SQL_TERM}') AS terms FROM documents
+), total AS (
+    SELECT count(*) FILTER (len(terms) > 0) AS n_documents, sum(len(terms))::BIGINT AS n_terms FROM terms
+), weighted AS (
+    SELECT doc_id, 25 + (75 * len(terms) * n_documents) // n_terms AS m, terms FROM terms, total WHERE len(terms) > 0
+), postings AS (
+    SELECT doc_id, m, term, count(*) AS tf FROM (SELECT doc_id, m, unnest(terms) AS term FROM weighted) GROUP BY ALL
+), rarity AS (
+    SELECT term, floor(1000 * ln((2.0::DOUBLE * n_documents + 2) / (2 * count(*) + 1)))::BIGINT AS w
+    FROM postings, total GROUP BY term, n_documents
+), asked AS (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {SQL_LOWER}), '{SQL_TERM}')) AS term
+    FROM benchmark
+), scores AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN postings USING (term) JOIN rarity USING (term) GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
 def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair_conversations(damage(table(spark, folder, "conversations")))
 
@@ -153,6 +183,7 @@ QUERIES = {
     "op8_suffix_array_dedup": suffix_array_dedup,
     "op9_license_scan": license_scan,
     "op10_exact_dedup": exact_dedup,
+    "op11_ranked_search": ranked_search,
     "op13_conversation_repair": conversation_repair,
 }
 
@@ -160,4 +191,5 @@ ORACLES = {
     "op1_line_dedup": LINE_DEDUP_SQL,
     "op5_url_rules": URL_RULES_SQL,
     "op10_exact_dedup": EXACT_DEDUP_SQL,
+    "op11_ranked_search": RANKED_SEARCH_SQL,
 }
