@@ -9,6 +9,7 @@ from pagemill.llm.conversations import damage, repair_conversations
 from pagemill.llm.exact_dedup import dedup_exact
 from pagemill.llm.licenses import scan_licenses
 from pagemill.llm.line_dedup import drop_repeated_lines
+from pagemill.llm.main_text import extract_main_text
 from pagemill.llm.mixing import mix_sources
 from pagemill.llm.near_dedup import near_duplicates
 from pagemill.llm.packing import pack_documents
@@ -168,6 +169,10 @@ FROM scores WHERE score > 0 QUALIFY rank <= 10
 """
 
 
+def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_main_text(table(spark, folder, "pages"))
+
+
 def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair_conversations(damage(table(spark, folder, "conversations")))
 
@@ -184,6 +189,7 @@ QUERIES = {
     "op9_license_scan": license_scan,
     "op10_exact_dedup": exact_dedup,
     "op11_ranked_search": ranked_search,
+    "op12_html_extraction": html_extraction,
     "op13_conversation_repair": conversation_repair,
 }
 
