@@ -1,9 +1,11 @@
-"""Exact nearest-neighbour search by squared Euclidean distance.
-
-Queries are cut into tiles whose matrix fits a stated number of rows and bytes; a tile is broadcast and the
-store is scanned once for it, so vectors are never shuffled. Only identifiers and vectors of the store enter the
-kernel, and a task yields at most ``k`` identifiers per query. They are ranked per query and part of the store
-first and per query then, and what else the store holds is joined to the winners at the end.
+"""Exact nearest-neighbour search by squared Euclidean distance as a join of two tables of blocks.
+
+Vectors are packed, without a shuffle, into rows that hold a matrix of bounded size and the identifiers of its
+vectors. Store and queries meet as packs: every pack of the store is joined with every tile of the queries, and a
+task turns each pair of matrices into at most ``k`` identifiers per query. A query side of checked size is broadcast by
+the join, so that the store is scanned where it lies; a larger one is dealt, with the store, to the blocks of a grid. No
+vector passes through the driver. The candidates are ranked per query and part of the store first and per query then, and what
+else the store holds is joined to the winners at the end.
 """
 
 from __future__ import annotations
@@ -15,16 +17,23 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pagemill.functions.text import UNKNOWN, preview
 
+# A query side up to this size is broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
-BROADCAST_ROWS = 16384
+# Bounds of one pack of vectors.
+PACK_ROWS = 2048
+PACK_BYTES = 4 * 1024 * 1024
 # Winners, at most k per query, are broadcast to fetch their payload up to this many.
 WINNER_ROWS = 200_000
 ROW_TILE = 2048
 QUERY_TILE = 1024
+# Slots that a large query side is dealt to at most.
+MOST_SLOTS = 64
+# Packs of queries whose best rows a task holds at the same time.
+OPEN_PACKS = 64
 # Parts of the store in the first of two rankings.
 RANK_PARTS = 64
 # Names of the working columns.
@@ -33,12 +42,55 @@ QUERY, SCORE = "_query_no", "score"
 SCORE_DECIMALS = 9
 
 
-def _matrix(vectors: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
-    array = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
-    lengths = np.asarray(array.value_lengths())
-    if len(lengths) and (lengths != dim).any():
-        raise ValueError(f"expected vectors of {dim} dimensions, found {sorted(set(lengths.tolist()))}")
-    return np.asarray(array.flatten(), dtype=np.float64).reshape(len(array), dim)
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    lengths = np.asarray(vectors.value_lengths())
+    if len(lengths) and (lengths != lengths[0]).any():
+        raise ValueError(f"expected vectors of {lengths[0]} dimensions, found {sorted(set(lengths.tolist()))}")
+    return np.asarray(vectors.flatten(), dtype=np.float64).reshape(len(vectors), -1)
+
+
+def pack_vectors(df: DataFrame, ids: Sequence[str], vector: str, pack_rows: int, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows as packs: ``keys``, the identifiers of the vectors, and their matrix row by row. Nothing is shuffled.
+
+    A pack holds rows that lie together and agree on ``keys``, sorted by identifier, so that a row number breaks ties.
+    Rows without a vector are left out.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = pa.Table.from_batches([batch])
+            block = block.filter(pc.is_valid(block[vector]))
+            order = pc.sort_indices(block, [(name, "ascending") for name in [*keys, *ids]])
+            block = block.take(order)
+            start = 0
+            while start < block.num_rows:
+                rows = max(1, min(pack_rows, PACK_BYTES // (8 * max(1, len(block[vector][start])))))
+                part = block.slice(start, rows)
+                for key in keys:
+                    same = pc.equal(part[key], part[key][0]).to_pylist()
+                    part = part.slice(0, same.index(False) if False in same else len(same))
+                start += part.num_rows
+                columns = [part[name].combine_chunks() for name in ids]
+                named = pa.StructArray.from_arrays(columns, names=list(ids))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[part[key].combine_chunks().slice(0, 1) for key in keys],
+                        pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), named),
+                        pa.array([_matrix(part[vector].combine_chunks()).tobytes()], pa.binary()),
+                    ],
+                    names=[*keys, "rows", "matrix"],
+                )
+
+    kinds = T.StructType([T.StructField(name, df.schema[name].dataType) for name in ids])
+    fields = [df.schema[key] for key in keys]
+    fields += [T.StructField("rows", T.ArrayType(kinds)), T.StructField("matrix", T.BinaryType())]
+    return df.select(*keys, *ids, vector).mapInArrow(run, T.StructType(fields))
+
+
+def unpack(rows: pa.Array, matrix: pa.Array, at: int) -> tuple[pa.Table, np.ndarray]:
+    """Identifiers and vectors of one pack."""
+    named = rows.slice(at, 1).flatten()
+    ids = pa.table(named.flatten(), names=[field.name for field in named.type])
+    return ids, np.frombuffer(matrix[at].as_buffer(), dtype=np.float64).reshape(len(named), -1)
 
 
 def _candidates(
@@ -65,32 +117,33 @@ def _candidates(
     return query, row, score
 
 
-class _Best:
+class Best:
     """The ``k`` best rows per query of everything seen so far, ties broken by identifier.
 
     Holds identifiers and scores of at most ``k`` rows per query. The worst of them bounds what a further block
     has to offer, so later blocks add few candidates.
     """
 
-    def __init__(self, queries: np.ndarray, vector: str, ids: Sequence[str], k: int, threshold: float | None):
-        self.queries, self.vector, self.ids, self.k = queries, vector, list(ids), k
+    def __init__(self, query_ids: pa.Table, queries: np.ndarray, k: int, threshold: float | None):
+        self.query_ids, self.queries, self.k = query_ids, queries, k
         self.threshold = np.inf if threshold is None else threshold
         self.border = np.full(len(queries), self.threshold)
         self.rows: pa.Table | None = None
 
-    def add(self, block: pa.Table) -> None:
-        block = block.filter(pc.is_valid(block[self.vector]))
-        # In the order of the identifiers, a row number breaks ties.
-        block = block.take(pc.sort_indices(block, [(name, "ascending") for name in self.ids]))
-        ids = block.select(self.ids)
-        for first in range(0, block.num_rows, ROW_TILE):
-            store = _matrix(block[self.vector].slice(first, ROW_TILE), self.queries.shape[1])
+    def add(self, ids: pa.Table, store: np.ndarray) -> None:
+        """Rows in the order of their identifiers, so that a row number breaks ties."""
+        if store.shape[1] != self.queries.shape[1]:
+            raise ValueError(f"expected vectors of {self.queries.shape[1]} dimensions, found {store.shape[1]}")
+        for first in range(0, len(store), ROW_TILE):
+            block = store[first : first + ROW_TILE]
             for start in range(0, len(self.queries), QUERY_TILE):
                 tile = slice(start, start + QUERY_TILE)
-                query, row, score = _candidates(store, self.queries[tile], self.k, self.border[tile])
+                query, row, score = _candidates(block, self.queries[tile], self.k, self.border[tile])
                 query, row, score = self._cut(query, row, score)
-                found = ids.take(pa.array(row + first)).append_column(SCORE, pa.array(score))
-                self._merge(found.append_column(QUERY, pa.array(query + start)))
+                if len(query):
+                    found = pa.table({QUERY: query + start, SCORE: score})
+                    taken = ids.take(pa.array(row + first))
+                    self._merge(pa.table([*found.columns, *taken.columns], names=[*found.column_names, *_numbered(taken)]))
 
     def _cut(self, query: np.ndarray, row: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, ...]:
         """At most ``k`` rows per query, still as numbers."""
@@ -104,7 +157,7 @@ class _Best:
     def _merge(self, found: pa.Table) -> None:
         rows = found if self.rows is None else pa.concat_tables([self.rows, found])
         keys = {QUERY: rows[QUERY], SCORE: pc.round(rows[SCORE], SCORE_DECIMALS)}
-        keys |= {f"id{n}": rows[name] for n, name in enumerate(self.ids)}
+        keys |= {name: rows[name] for name in rows.column_names[2:]}
         order = pc.sort_indices(pa.table(keys), [(name, "ascending") for name in keys])
         query = np.asarray(rows[QUERY].take(order))
         position = np.arange(len(query)) - np.searchsorted(query, query, side="left")
@@ -114,31 +167,80 @@ class _Best:
         # A little above the worst score, for scores that are equal after rounding.
         self.border[query[last]] = np.minimum(worst + 10.0**-SCORE_DECIMALS, self.threshold)
 
-    def result(self, query_ids: pa.Table) -> pa.Table:
-        names = query_ids.take(self.rows[QUERY])
-        columns = [*names.columns, *self.rows.drop_columns([QUERY]).columns]
-        return pa.table(columns, [*names.column_names, *self.rows.drop_columns([QUERY]).column_names])
+    def result(self, names: Sequence[str]) -> Iterator[pa.RecordBatch]:
+        """``names`` are those of the query's identifiers, the store's identifiers and the score."""
+        if self.rows is not None:
+            asked = self.query_ids.take(self.rows[QUERY])
+            columns = [*asked.columns, *self.rows.columns[2:], self.rows[SCORE]]
+            yield from pa.table(columns, names=list(names)).to_batches()
 
 
-def _scan(
-    store: DataFrame, vector: str, ids: Sequence[str], table: pa.Table, query_vector: str,
-    dim: int, k: int, threshold: float | None, schema: T.StructType,
-) -> DataFrame:
-    """Broadcast a tile of queries and scan the store once."""
-    shared = store.sparkSession.sparkContext.broadcast(
-        (_matrix(table[query_vector], dim), table.drop_columns([query_vector]))
-    )
+def _numbered(ids: pa.Table) -> list[str]:
+    """Names for identifiers that clash with nothing."""
+    return [f"id{n}" for n in range(ids.num_columns)]
+
+
+def best_of_pairs(pairs: DataFrame, schema: T.StructType, k: int, threshold: float | None) -> DataFrame:
+    """Candidates from rows that hold a pack of the store and, in ``asked`` and ``vectors``, a pack of queries.
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries, query_ids = shared.value
-        best = _Best(queries, vector, ids, k, threshold)
+    ``pack`` tells packs of queries apart. Their best rows so far are kept while a task meets them again.
+    """
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, Best] = {}
         for batch in batches:
-            if batch.num_rows:
-                best.add(pa.Table.from_batches([batch]))
-        if best.rows is not None:
-            yield from best.result(query_ids).to_batches()
+            packs = batch.column("pack").to_pylist()
+            for at, pack in enumerate(packs):
+                if pack not in best:
+                    if len(best) == OPEN_PACKS:
+                        for each in best.values():
+                            yield from each.result(names)
+                        best.clear()
+                    asked, queries = unpack(batch.column("asked"), batch.column("vectors"), at)
+                    # A copy: the batch goes, the queries stay.
+                    best[pack] = Best(asked, queries.copy(), k, threshold)
+                best[pack].add(*unpack(batch.column("rows"), batch.column("matrix"), at))
+        for each in best.values():
+            yield from each.result(names)
+
+    return pairs.select("pack", "asked", "vectors", "rows", "matrix").mapInArrow(run, schema)
+
+
+def query_packs(queries: DataFrame, ids: Sequence[str], vector: str, tile_rows: int) -> tuple[DataFrame, int, int]:
+    """Packs of queries with a number each, the number of queries, and the bytes of their matrices."""
+    rows, dim = queries.agg(F.count(vector), F.max(F.size(vector))).first()
+    size = 8 * rows * (dim or 0)
+    parts = max(1, math.ceil(rows / tile_rows), math.ceil(size / PACK_BYTES))
+    packs = pack_vectors(queries.repartition(parts, *ids), ids, vector, tile_rows)
+    packs = packs.select(
+        F.monotonically_increasing_id().alias("pack"), F.col("rows").alias("asked"), F.col("matrix").alias("vectors")
+    )
+    return packs, rows, size
 
-    return store.mapInArrow(search, schema)
+
+def meet(
+    store: DataFrame, packs: DataFrame, size: int, on: Sequence[str] = (), broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Every pack of the store with every pack of queries, or with those that agree on the columns ``on``.
+
+    Queries of up to ``broadcast_bytes`` are broadcast. Beyond that they are dealt to slots and the store to
+    blocks, and each slot meets each block: queries are copied to all blocks, the store to all slots.
+    """
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    def dealt(rows: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(rows), F.lit(n)).cast("int")
+
+    slots = max(1, min(MOST_SLOTS, math.ceil(size / max(broadcast_bytes, 1))))
+    left, right = store.select("*", each(slots).alias("_slot")), packs.withColumn("_slot", dealt("asked", slots))
+    if size <= broadcast_bytes:
+        return left.join(F.broadcast(right), ["_slot", *on])
+    blocks = max(1, 2 * int(store.sparkSession.conf.get("spark.sql.shuffle.partitions")) // slots)
+    left = left.withColumn("_block", dealt("rows", blocks))
+    right = right.select("*", each(blocks).alias("_block")).hint("shuffle_merge")
+    return left.join(right, ["_block", "_slot", *on])
 
 
 def _ranked(found: DataFrame, keys: Sequence[str], ids: Sequence[str], k: int) -> DataFrame:
@@ -146,6 +248,38 @@ def _ranked(found: DataFrame, keys: Sequence[str], ids: Sequence[str], k: int) -
     return found.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= k)
 
 
+def hit_schema(
+    store: DataFrame, queries: DataFrame, ids: Sequence[str], query_ids: Sequence[str]
+) -> T.StructType:
+    fields = [*[queries.schema[q] for q in query_ids], *[store.schema[i] for i in ids]]
+    return T.StructType([*fields, T.StructField(SCORE, T.DoubleType())])
+
+
+def ranked_hits(found: DataFrame, query_ids: Sequence[str], ids: Sequence[str], k: int) -> DataFrame:
+    """The ``k`` best candidates per query.
+
+    Ranked inside parts of the store first, so that a query with very many candidates is ranked by many tasks.
+    """
+    part = F.pmod(F.xxhash64(*ids), F.lit(RANK_PARTS)).alias("_part")
+    partly = _ranked(found.select("*", part), [*query_ids, "_part"], ids, k).drop("rank", "_part")
+    return _ranked(partly, query_ids, ids, k)
+
+
+def with_payload(
+    winners: DataFrame, store: DataFrame, query_ids: Sequence[str], ids: Sequence[str], vector: str, few: bool
+) -> DataFrame:
+    """What else the store holds, joined to the winners."""
+    names = [*query_ids, *[c for c in store.columns if c != vector], SCORE, "rank"]
+    payload = [c for c in store.columns if c != vector and c not in ids]
+    if not payload:
+        return winners.select(*names)
+    keyed = store.select(*[F.col(i).alias(f"_store_{n}") for n, i in enumerate(ids)], *payload)
+    match = functools.reduce(
+        lambda x, y: x & y, [F.col(f"_store_{n}") == winners[i] for n, i in enumerate(ids)]
+    )
+    return keyed.join(F.broadcast(winners) if few else winners, match).select(*names)
+
+
 def nearest(
     store: DataFrame,
     queries: DataFrame,
@@ -155,54 +289,24 @@ def nearest(
     vector: str = "embedding",
     query_vector: str = "embedding",
     threshold: float | None = None,
-    tile_rows: int = BROADCAST_ROWS,
-    tile_bytes: int = BROADCAST_BYTES,
+    tile_rows: int = PACK_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The ``k`` nearest store rows of every query: ``query_ids, rank, score`` and all
     store columns except the vector. ``ids`` identifies a store row and breaks ties.
 
-    The store is scanned once per tile of queries, and once more if it has other columns to return. A
+    The store is read once, and once more if it has other columns to return; such a store should be a written table. A
     threshold is applied before the ranking; as both use the score, the rows are the
     same as if it came after, and less is shuffled.
     """
     if k <= 0:
         raise ValueError("k must be positive")
-    queries = queries.where(F.col(query_vector).isNotNull()).select(*query_ids, query_vector)
-    kinds = [store.schema[name] for name in ids]
-    schema = T.StructType(
-        [*[queries.schema[q] for q in query_ids], *kinds, T.StructField("score", T.DoubleType())]
-    )
-    # Rows and bytes are known before any vector reaches the driver.
-    rows, dim = queries.agg(F.count(F.lit(1)), F.max(F.size(query_vector))).first()
-    payload = [c for c in store.columns if c != vector and c not in ids]
-    names = [*query_ids, *[c for c in store.columns if c != vector], "score", "rank"]
-    if not rows:
-        fields = [schema[n] if n in schema.names else store.schema[n] for n in names[:-1]]
-        empty = store.sparkSession.createDataFrame([], T.StructType(fields))
-        return empty.withColumn("rank", F.lit(None).cast("int"))
-    # Tiles are dealt by hash, with room for uneven ones.
-    per_tile = max(1, min(tile_rows, tile_bytes // (8 * max(dim, 1))))
-    tiles = 1 if rows <= per_tile else math.ceil(1.25 * rows / per_tile)
-    tile = F.pmod(F.xxhash64(*query_ids), F.lit(tiles))
-    narrow = store.select(*ids, vector)
-    scans = []
-    for number in range(tiles):
-        table = queries.where(tile == number).toArrow()
-        if table.num_rows:
-            scans.append(_scan(narrow, vector, ids, table, query_vector, dim, k, threshold, schema))
-    found = functools.reduce(DataFrame.union, scans)
-    # First inside parts of the store, so that a query with very many candidates is ranked by many tasks.
-    part = F.pmod(F.xxhash64(*ids), F.lit(RANK_PARTS)).alias("_part")
-    partly = _ranked(found.select("*", part), [*query_ids, "_part"], ids, k).drop("rank", "_part")
-    winners = _ranked(partly, query_ids, ids, k)
-    if not payload:
-        return winners.select(*names)
-    keyed = store.select(*[F.col(i).alias(f"_store_{n}") for n, i in enumerate(ids)], *payload)
-    match = functools.reduce(
-        lambda x, y: x & y, [F.col(f"_store_{n}") == winners[i] for n, i in enumerate(ids)]
-    )
-    few = rows * k <= WINNER_ROWS
-    return keyed.join(F.broadcast(winners) if few else winners, match).select(*names)
+    queries = queries.select(*query_ids, query_vector)
+    packs, rows, size = query_packs(queries, query_ids, query_vector, tile_rows)
+    pairs = meet(pack_vectors(store, ids, vector, PACK_ROWS), packs, size, broadcast_bytes=broadcast_bytes)
+    found = best_of_pairs(pairs, hit_schema(store, queries, ids, query_ids), k, threshold)
+    winners = ranked_hits(found, query_ids, ids, k)
+    return with_payload(winners, store, query_ids, ids, vector, rows * k <= WINNER_ROWS)
 
 
 def score_statistics(hits: DataFrame, query_ids: Sequence[str]) -> DataFrame:

@@ -462,10 +462,14 @@ def vector_store_stats(spark, sf):
     return store.store_statistics(_windows(spark, sf), DIM)
 
 
+def _asked(stored: DataFrame) -> DataFrame:
+    """The queries of a search inside a store: every row whose id is divisible by 50."""
+    return stored.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
 def _self_hits(spark, sf, k, **options):
     stored = table(spark, sf, "embeddings")
-    queries = stored.select(F.col("vec_id").alias("query_id"), "embedding")
-    return search.nearest(stored, queries, k, ["vec_id"], ["query_id"], **options)
+    return search.nearest(stored, _asked(stored), k, ["vec_id"], ["query_id"], **options)
 
 
 @query
@@ -475,7 +479,8 @@ def knn_l2(spark, sf):
 
 @query
 def knn_l2_blocks(spark, sf):
-    hits = _self_hits(spark, sf, 4, tile_rows=200)
+    """More packs of queries than one, none of them broadcast."""
+    hits = _self_hits(spark, sf, 4, tile_rows=4, broadcast_bytes=0)
     return _score(hits).select("query_id", "rank", "vec_id", "label", "score")
 
 
@@ -485,7 +490,7 @@ def knn_ties(spark, sf):
     stored = table(spark, sf, "embeddings")
     originals = stored.select(F.col("vec_id").alias("original"), "embedding")
     copies = stored.select("vec_id", (F.col("vec_id") % 10).alias("original")).join(originals, "original")
-    queries = stored.select(F.col("vec_id").alias("query_id"), "embedding")
+    queries = _asked(stored)
     hits = search.nearest(copies.select("vec_id", "embedding"), queries, 4, ["vec_id"], ["query_id"])
     return _score(hits).select("query_id", "rank", "vec_id", "score")
 
@@ -531,7 +536,10 @@ def hit_display(spark, sf):
     kept = _embedded(chunks).select(
         "doc_id", "chunk_index", "chunk", "file_name", "page", "parser", "embedding"
     )
-    hits = search.nearest(kept, _default_queries(spark), 3, ["doc_id", "chunk_index"], ["query_id"])
+    # Written, since the winners are joined with what the store holds.
+    hits = search.nearest(
+        written(kept, "store"), _default_queries(spark), 3, ["doc_id", "chunk_index"], ["query_id"]
+    )
     return search.hit_display(_score(hits), ["query_id"], "chunk")
 
 

@@ -349,22 +349,24 @@ def test_search_in_one_and_many_tiles_equals_brute_force(spark, monkeypatch, k,
         kept = [x for x in scored[:k] if threshold is None or x[0] <= threshold]
         want += [(q, rank, i, round(score, 6)) for rank, (score, i) in enumerate(kept, 1)]
     monkeypatch.setattr(search, "ROW_TILE", 9)
-    for rows in (search.BROADCAST_ROWS, 2):
-        found = search.nearest(left, right, k, ["id"], ["query_id"], threshold=threshold, tile_rows=rows)
+    for rows, size in ((search.PACK_ROWS, search.BROADCAST_BYTES), (2, search.BROADCAST_BYTES), (2, 0), (2, 64)):
+        found = search.nearest(
+            left, right, k, ["id"], ["query_id"], threshold=threshold, tile_rows=rows, broadcast_bytes=size
+        )
         assert hit_rows(found) == want
 
 
 def test_equal_vectors_need_little_memory():
     rows, queries = 10_000, 1024
     ids = np.random.default_rng(3).permutation(rows)
-    block = pa.table({"id": ids, "embedding": pa.FixedSizeListArray.from_arrays(np.ones(rows * 4), 4).cast(pa.list_(pa.float64()))})
+    block = pa.table({"id": np.sort(ids)})
     tracemalloc.start()
-    best = search._Best(np.ones((queries, 4)), "embedding", ["id"], 3, None)
-    best.add(block)
+    best = search.Best(pa.table({"query_id": np.arange(queries)}), np.ones((queries, 4)), 3, None)
+    best.add(block, np.ones((rows, 4)))
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 500 << 20 and pa.total_allocated_bytes() < 300 << 20
-    assert best.rows.num_rows == 3 * queries and set(best.rows["id"].to_pylist()) == {0, 1, 2}
+    assert best.rows.num_rows == 3 * queries and set(best.rows["id0"].to_pylist()) == {0, 1, 2}
 
 
 def test_search_moves_no_text_and_no_vector(spark):
@@ -377,6 +379,18 @@ def test_search_moves_no_text_and_no_vector(spark):
     assert exchanges and not any("chunk" in x or "embedding" in x for x in exchanges)
 
 
+def test_a_query_side_beyond_the_bound_is_dealt_to_a_grid(spark):
+    store = vectors(spark, np.random.default_rng(1).random((300, 3)))
+    queries = vectors(spark, np.random.default_rng(2).random((90, 3)), "query_id")
+    plans = {}
+    for size in (search.BROADCAST_BYTES, 100):
+        found = search.nearest(store, queries, 2, ["id"], ["query_id"], tile_rows=7, broadcast_bytes=size)
+        plans[size] = found._jdf.queryExecution().optimizedPlan().toString()
+        assert found.count() == 180
+    assert "strategy=broadcast" in plans[search.BROADCAST_BYTES] and "strategy=shuffle" not in plans[search.BROADCAST_BYTES]
+    assert "strategy=broadcast" not in plans[100] and "strategy=merge" in plans[100].replace("shuffle_merge", "merge")
+
+
 def test_search_skips_missing_vectors_and_checks_dimensions(spark):
     store = spark.createDataFrame([(0, [1.0, 0.0]), (1, None)], "id int, embedding array<float>")
     query = spark.createDataFrame([(0, [1.0, 0.0])], "query_id int, embedding array<float>")
