@@ -49,41 +49,37 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
     return np.asarray(vectors.flatten(), dtype=np.float64).reshape(len(vectors), -1)
 
 
-def pack_vectors(df: DataFrame, ids: Sequence[str], vector: str, pack_rows: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Rows as packs: ``keys``, the identifiers of the vectors, and their matrix row by row. Nothing is shuffled.
+def pack_type(df: DataFrame, ids: Sequence[str]) -> list[T.StructField]:
+    """The columns ``rows`` and ``matrix`` of a pack."""
+    kinds = T.StructType([T.StructField(name, df.schema[name].dataType) for name in ids])
+    return [T.StructField("rows", T.ArrayType(kinds)), T.StructField("matrix", T.BinaryType())]
 
-    A pack holds rows that lie together and agree on ``keys``, sorted by identifier, so that a row number breaks ties.
-    Rows without a vector are left out.
-    """
+
+def one_pack(part: pa.Table, ids: Sequence[str], vector: str) -> list[pa.Array]:
+    """Identifiers and matrix of some rows, sorted by identifier so that a row number breaks ties."""
+    part = part.take(pc.sort_indices(part, [(name, "ascending") for name in ids]))
+    named = pa.StructArray.from_arrays([part[name].combine_chunks() for name in ids], names=list(ids))
+    rows = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), named)
+    return [rows, pa.array([_matrix(part[vector].combine_chunks()).tobytes()], pa.binary())]
+
+
+def rows_per_pack(block: pa.Table, vector: str, most: int) -> int:
+    """As many rows as a pack may hold, by rows and bytes."""
+    return max(1, min(most, PACK_BYTES // (8 * max(1, len(block[vector][0])))))
+
+
+def pack_vectors(df: DataFrame, ids: Sequence[str], vector: str, pack_rows: int) -> DataFrame:
+    """Rows that lie together as packs; nothing is shuffled, and rows without a vector are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             block = pa.Table.from_batches([batch])
             block = block.filter(pc.is_valid(block[vector]))
-            order = pc.sort_indices(block, [(name, "ascending") for name in [*keys, *ids]])
-            block = block.take(order)
-            start = 0
-            while start < block.num_rows:
-                rows = max(1, min(pack_rows, PACK_BYTES // (8 * max(1, len(block[vector][start])))))
-                part = block.slice(start, rows)
-                for key in keys:
-                    same = pc.equal(part[key], part[key][0]).to_pylist()
-                    part = part.slice(0, same.index(False) if False in same else len(same))
-                start += part.num_rows
-                columns = [part[name].combine_chunks() for name in ids]
-                named = pa.StructArray.from_arrays(columns, names=list(ids))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[part[key].combine_chunks().slice(0, 1) for key in keys],
-                        pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), named),
-                        pa.array([_matrix(part[vector].combine_chunks()).tobytes()], pa.binary()),
-                    ],
-                    names=[*keys, "rows", "matrix"],
-                )
+            size = rows_per_pack(block, vector, pack_rows) if block.num_rows else 1
+            for start in range(0, block.num_rows, size):
+                pack = one_pack(block.slice(start, size), ids, vector)
+                yield pa.RecordBatch.from_arrays(pack, names=["rows", "matrix"])
 
-    kinds = T.StructType([T.StructField(name, df.schema[name].dataType) for name in ids])
-    fields = [df.schema[key] for key in keys]
-    fields += [T.StructField("rows", T.ArrayType(kinds)), T.StructField("matrix", T.BinaryType())]
-    return df.select(*keys, *ids, vector).mapInArrow(run, T.StructType(fields))
+    return df.select(*ids, vector).mapInArrow(run, T.StructType(pack_type(df, ids)))
 
 
 def unpack(rows: pa.Array, matrix: pa.Array, at: int) -> tuple[pa.Table, np.ndarray]:

@@ -346,6 +346,7 @@ ORACLES: dict[str, str] = {
         count(*) * 384 * 4 / 1024.0::DOUBLE / 1024.0::DOUBLE AS memory_mb FROM chunks""",
     "knn_l2": f"WITH {SELF_HITS} SELECT query_id, rank, vec_id, label, round(score, 6) AS score FROM ranked WHERE rank <= 4",
     "knn_l2_blocks": f"WITH {SELF_HITS} SELECT query_id, rank, vec_id, label, round(score, 6) AS score FROM ranked WHERE rank <= 4",
+    "knn_pruned": f"WITH {SELF_HITS} SELECT query_id, rank, vec_id, round(score, 6) AS score FROM ranked WHERE rank <= 4",
     "knn_ties": """WITH copies AS (SELECT e.vec_id, o.embedding FROM embeddings e JOIN embeddings o ON o.vec_id = e.vec_id % 10),
         pairs AS (SELECT q.vec_id AS query_id, s.vec_id, list_distance(q.embedding::DOUBLE[], s.embedding::DOUBLE[]) ** 2 AS score
           FROM embeddings q CROSS JOIN copies s WHERE q.vec_id % 50 = 0),

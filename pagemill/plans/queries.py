@@ -20,7 +20,7 @@ from pagemill.config import (
     RunConfig,
 )
 from pagemill.functions import formats, text as tx, vectors
-from pagemill.operators import chunking, documents, failures, search, semantic, stats
+from pagemill.operators import chunking, documents, failures, pivots, search, semantic, stats
 from pagemill.operators.embedding import HashEmbedder, sparse_weights
 from pagemill.plans.ingest import chunk_documents, ingest, retry_failed
 from pagemill.session import scratch_path, spread, table, written
@@ -501,6 +501,15 @@ def knn_threshold(spark, sf):
     return _score(hits).select("query_id", "rank", "vec_id", "score")
 
 
+@query
+def knn_pruned(spark, sf):
+    """The same hits from an index that skips what cannot win."""
+    stored = table(spark, sf, "embeddings")
+    index = pivots.build_index(stored, scratch_path(spark, "index"), ["vec_id"])
+    hits = pivots.nearest_pruned(index, _asked(stored), 4, ["query_id"])
+    return _score(hits).select("query_id", "rank", "vec_id", "score")
+
+
 def _text_hits(spark, sf, queries, query_ids, k):
     chunks = _embedded(_windows(spark, sf)).select("doc_id", "chunk_index", "embedding")
     return search.nearest(chunks, queries, k, ["doc_id", "chunk_index"], query_ids)
