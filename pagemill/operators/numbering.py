@@ -2,80 +2,33 @@
 
 ``row_number() over (partition by g order by o)`` puts a whole group into one task,
 which fails when one group holds a third of all rows, or when there is no group at
-all. Here the sorted order of ``(g, o)`` is cut into ranges first; rows are numbered
-inside ``(g, range)`` and shifted by the number of rows of the same group in earlier
-ranges. Those counts are at most one row per group and range, and at most one row
-per range for any single group, so their running sum is small however large the
-group is. The rows themselves are shuffled once.
+all. Here only the keys ``(g, o)`` are sorted, by range partitioning, and written with their place in the
+order. A key's number is its place in its range, less the place where its group begins there, plus the
+rows of the group in earlier ranges: prefix sums of one count per range and group, at most
+one row per range for any single group. The rows themselves are moved once, to meet the number of their key.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-# Rows that one sort task should hold; callers with large rows ask for fewer.
-ROWS_PER_RANGE = 50_000
-MIN_RANGES = 16
-SAMPLE_PER_RANGE = 16
-HASH_STEPS = 1 << 30
+from pagemill.session import written
 
+# Places are numbered by partition in their upper bits and by row in these.
+ROW_BITS = 33
 
-def _cut_points(df: DataFrame, keys: list[str], rows_per_range: int) -> list[str]:
-    """Keys, as JSON, that cut the sorted rows into ranges of similar size.
-
-    A uniform sample by hash of the key: the same on every run, and about
-    ``SAMPLE_PER_RANGE`` keys per range, so a small share of the keys is collected. The number of
-    ranges follows the number of rows. Only cut points are sampled; every row is numbered. Any cut
-    points give right numbers, good ones make the ranges even.
-    """
-    narrow = df.select(*keys)
-    rows = narrow.count()
-    # Ranges of half the size on average, so that an uneven one stays below it.
-    ranges = max(MIN_RANGES, -(-2 * rows // rows_per_range))
-    wanted = ranges * SAMPLE_PER_RANGE
-    if rows > wanted:
-        step = F.pmod(F.xxhash64(*keys), F.lit(HASH_STEPS))
-        narrow = narrow.where(step < int(HASH_STEPS * wanted / rows) + 1)
-    as_json = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
-    sample = [row[0] for row in narrow.orderBy(*keys).select(as_json).collect()]
-    return sample[:: -(-len(sample) // ranges)] if sample else []
-
-
-def _position(points: Column, key: Column) -> Column:
-    """1-based place of ``key`` among sorted ``points``.
-
-    Written without a lambda: join keys computed with one confuse the optimizer's filter
-    inference, which then pushes the expression to the side of the join that lacks its inputs.
-    """
-    return F.array_position(F.sort_array(F.array_append(points, key)), key).cast("int")
 
+def sorted_places(df: DataFrame, groups: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``_key, _group, _place, _range`` of every row; places ascend with the keys, ranges are the partitions of the sort.
 
-def _range_of(df: DataFrame, keys: list[str], rows_per_range: int) -> Column:
-    """Number of the key range a row falls into.
-
-    The cut points are held as lines of about sqrt(n): the heads of the lines tell which
-    line to look at, so a row is compared with 2 * sqrt(n) keys.
+    As structs, key and group compare equal to themselves even where a column is NULL.
     """
-    points = _cut_points(df, keys, rows_per_range)
-    if not points:
-        return F.lit(0)
-    width = math.isqrt(len(points) - 1) + 1
-    lines = [points[i : i + width] for i in range(0, len(points), width)]
-    key = F.struct(*keys)
-    key_type = df.select(key.alias("k")).schema["k"].dataType.simpleString()
-
-    def array(items: list[str]) -> str:
-        return "[" + ",".join(items) + "]"
-
-    heads = F.from_json(F.lit(array([line[0] for line in lines])), f"array<{key_type}>")
-    table = F.from_json(F.lit(array([array(line) for line in lines])), f"array<array<{key_type}>>")
-    # A key below the first head belongs to the first line, at its very beginning.
-    line = F.greatest(_position(heads, key) - 2, F.lit(0))
-    # Never NULL, so that joining on it adds no second evaluation as a NULL filter.
-    return F.coalesce(line * (width + 1) + _position(F.get(table, line), key), F.lit(0))
+    keys = df.select(F.struct(*groups, *order).alias("_key"), F.struct(*groups, F.lit(0)).alias("_group"))
+    by_range = keys.repartitionByRange("_key").sortWithinPartitions("_key")
+    places = written(by_range.withColumn("_place", F.monotonically_increasing_id()), "places")
+    return places.withColumn("_range", F.shiftright("_place", ROW_BITS))
 
 
 def number_rows(
@@ -84,34 +37,31 @@ def number_rows(
     partition_by: Sequence[str] = (),
     number: str = "row_no",
     total: str | None = None,
-    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Add the 1-based position of each row inside its group, and the group's size.
 
-    ``(partition_by, order_by)`` has to be unique, as for any reproducible numbering.
+    ``(partition_by, order_by)`` has to be unique for a numbering that is the same on every run; rows that
+    share a key get consecutive numbers in any order.
     """
-    groups, order = list(partition_by), list(order_by)
-    ranged = df.withColumn("_range", _range_of(df, groups + order, rows_per_range))
-    if groups:
-        # As one struct the group compares equal to itself even where a column is NULL.
-        ranged = ranged.withColumn("_group", F.struct(*groups))
-    group = ["_group"] if groups else []
-
-    counts = ranged.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    whole = Window.partitionBy(*group)
+    places = sorted_places(df, partition_by, order_by)
+    counts = places.groupBy("_group", "_range").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy("_group")
     earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        *group,
+        "_group",
         "_range",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
         F.sum("_n").over(whole).alias("_total"),
     )
-
-    # The join has the keys of this window, so it reuses the window's partitioning.
-    local = Window.partitionBy(*group, "_range").orderBy(*order)
-    numbered = ranged.withColumn("_local", F.row_number().over(local))
-    joined = numbered.join(offsets, [*group, "_range"])
-    result = [*[F.col(c) for c in df.columns], (F.col("_before") + F.col("_local")).alias(number)]
+    # Equal keys lie together, so the first of their numbers tells the others.
+    numbers = places.join(offsets, ["_group", "_range"]).groupBy("_key").agg(
+        F.min(F.col("_place") + F.col("_shift")).alias("_before"), F.first("_total").alias("_total")
+    )
+    # The join has the key of this window, so the rows are shuffled once.
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    keyed = df.withColumn("_key", F.struct(*partition_by, *order_by)).withColumn("_nth", nth)
+    joined = keyed.join(numbers, "_key")
+    result = [*[F.col(c) for c in df.columns], (F.col("_before") + F.col("_nth")).alias(number)]
     if total:
         result.append(F.col("_total").alias(total))
     return joined.select(*result)

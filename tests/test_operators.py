@@ -20,11 +20,41 @@ TEXTS = st.text(alphabet="ab .\n#é😀", max_size=120)
 # ---------------------------------------------------------------- numbering
 
 
-def test_ranges_follow_the_rows(spark):
-    df = spark.range(0, 1_000_000, 1, 4).select(F.xxhash64("id").alias("o"))
-    ranged = df.select(numbering._range_of(df, ["o"], 20_000).alias("r"))
-    sizes = [r["count"] for r in ranged.groupBy("r").count().collect()]
-    assert sum(sizes) == 1_000_000 and len(sizes) >= 50 and max(sizes) <= 20_000
+def test_ten_million_rows_are_numbered_and_the_plan_does_not_grow(spark):
+    def plan_size(df):
+        return len(re.sub(r"[#\d]+", "", df._jdf.queryExecution().optimizedPlan().toString()))
+
+    rows = lambda n: spark.range(0, n, 1, 8).select(F.xxhash64("id").alias("o"), F.expr("if(id % 3 > 0, 'hot', string(id % 1000))").alias("g"))
+    small, large = (number_rows(rows(n), ["o"], ["g"], "n", "total") for n in (1000, 10_000_000))
+    assert plan_size(small) == plan_size(large)
+    # Numbers of a group are 1 to its size, in the order of the key.
+    found = large.groupBy("g").agg(
+        F.count("n").alias("rows"), F.count_distinct("n").alias("numbers"), F.max("n").alias("last"), F.max("total").alias("total"),
+        (F.max_by("n", "o") == F.max("n")).alias("sorted"), F.sum("n").alias("sum"),
+    ).collect()
+    assert sum(r["rows"] for r in found) == 10_000_000
+    for r in found:
+        assert r["rows"] == r["numbers"] == r["last"] == r["total"] and r["sorted"]
+    hot = large.where("g = 'hot' and n in (1, 1000, 4000000)").orderBy("n")
+    keys = spark.range(10_000_000).where("id % 3 > 0").select(F.xxhash64("id").alias("o"))
+    for r in hot.collect():
+        assert keys.where(F.col("o") <= r["o"]).count() == r["n"]
+
+
+def test_a_hot_group_is_spread_over_ranges(spark):
+    df = spark.range(0, 90_000, 1, 4).select(F.lit("hot").alias("g"), F.xxhash64("id").alias("o"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = numbering.sorted_places(df, ["g"], ["o"]).groupBy("_range").count().toPandas()["count"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 8 and sizes.max() < 2 * sizes.mean()
+
+
+def test_rows_that_share_a_key_get_consecutive_numbers(spark):
+    df = spark.createDataFrame([(k, n) for n, k in enumerate([3, 1, 1, None, 1, 2, None])], "k int, n int")
+    got = sorted((r["k"] is not None, r["k"] or 0, r["row_no"], r["t"]) for r in number_rows(df, ["k"], total="t").collect())
+    assert [r[2] for r in got] == [1, 2, 3, 4, 5, 6, 7] and {r[3] for r in got} == {7}
 
 
 def test_numbering_with_a_hot_group(spark):
@@ -41,14 +71,6 @@ def test_numbering_with_a_hot_group(spark):
     pd.testing.assert_frame_equal(same(got), same(want))
 
 
-def test_hot_group_is_spread_over_ranges(spark):
-    from pagemill.operators.numbering import _range_of
-
-    df = spark.range(9000).select(F.lit("hot").alias("g"), "id")
-    sizes = df.select(_range_of(df, ["g", "id"], 500).alias("r")).groupBy("r").count().toPandas()["count"]
-    assert len(sizes) > 25 and sizes.max() < 9000 / 4
-
-
 def test_numbering_without_groups_and_on_empty_input(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
     got = number_rows(df, ["k"]).toPandas()
