@@ -631,11 +631,11 @@ def quarantine(spark, sf):
 
 def _folder_of_pages(spark: SparkSession, sf: str) -> str:
     """The pages as files ``<page_id>.html`` of one folder in the shared store."""
-    base = scratch_path(spark, "docs")
-    pages = table(spark, sf, "pages").select("page_id", "html")
-    pages.repartition("page_id").write.partitionBy("page_id").text(f"{base}/parts")
-    files.flatten_folder(spark, f"{base}/parts", "page_id", f"{base}/flat", ".html")
-    return f"{base}/flat"
+    folder = scratch_path(spark, "docs")
+    pages = table(spark, sf, "pages")
+    named = pages.select(F.concat("page_id", F.lit(".html")).alias("name"), F.concat("html", F.lit("\n")).alias("html"))
+    files.write_files(named, folder, "name", "html")
+    return folder
 
 
 @query

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,12 +12,11 @@ from pagemill.config import FILE_TYPES
 from pagemill.functions.formats import file_size, one_decimal
 from pagemill.functions.text import basename, suffix
 from pagemill.operators.numbering import number_rows
-from pagemill.session import scratch_path
+from pagemill.sources.folder_source import BATCH_BYTES, NAME, Folder, folder_options
 
-LISTING = "path string, size_bytes bigint, modified_at timestamp"
 CONTENTS = "file_path string, content binary"
-# Spark's file sources pass over names that begin with one of these.
-HIDDEN = ("_", ".")
+# Bytes of files that one task reads.
+READ_BYTES = 128 << 20
 
 
 def suffix_glob(suffixes: Sequence[str]) -> str:
@@ -28,29 +27,28 @@ def suffix_glob(suffixes: Sequence[str]) -> str:
     return "{" + ",".join("*" + either_case(s) for s in suffixes) + "}"
 
 
-def _listed(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
-    """Path, size and time of the files directly inside ``folder``, from the store's own listing.
-
-    Metadata only, and all of it: Spark's file sources would leave out empty files and hidden names.
-    """
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(folder)
-    system = path.getFileSystem(context._jsc.hadoopConfiguration())
-    if not system.exists(path):
-        return []
-    found = [f for f in system.listStatus(path) if f.isFile()]
-    return [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found]
+def _visible(spark: SparkSession, folder: str, suffixes: Sequence[str]) -> DataFrame:
+    """What Spark's own source finds: neither empty nor hidden files, and no folder that is missing."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffixes))
+    try:
+        return reader.load(folder)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], "path string, modificationTime timestamp, length bigint, content binary")
+        raise
 
 
 def discover_files(spark: SparkSession, folder: str, suffixes: Sequence[str] = (".pdf",)) -> DataFrame:
     """Files directly inside ``folder`` with one of the suffixes; none if it is missing.
 
-    Every file counts, empty and hidden ones too. Only the listing is read, never a file's content. Order and
-    numbers are added by :func:`file_listing`.
+    Every file counts, empty and hidden ones too. Tasks list, each its range of names, and never read a file's
+    content. A store that tasks cannot open themselves is listed by Spark's own source, which sees neither
+    empty nor hidden files. Order and numbers are added by :func:`file_listing`.
     """
-    rows = spark.createDataFrame(_listed(spark, folder), "path string, size_bytes bigint, modified bigint")
-    return rows.where(has_suffix(F.col("path"), suffixes)).select(
-        "path", "size_bytes", F.timestamp_millis("modified").alias("modified_at")
+    if Folder.can_open(folder):
+        return spark.read.format(NAME).options(**folder_options(spark, folder, suffixes)).load()
+    return _visible(spark, folder, suffixes).select(
+        "path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at")
     )
 
 
@@ -86,53 +84,63 @@ def load_text(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def flatten_folder(spark: SparkSession, folder: str, key: str, target: str, suffix: str) -> None:
-    """Move the single file of every ``key=value`` folder to ``target``, as ``value`` with the suffix.
+def write_files(df: DataFrame, folder: str, name: str, content: str) -> int:
+    """Write one file per row, named and filled by two columns, and return their number.
 
-    The writers of Spark name files themselves; this gives a folder of named files, by renaming only.
+    Tasks write, each file under another name first and renamed when it is whole.
     """
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path
-    system = path(folder).getFileSystem(context._jsc.hadoopConfiguration())
-    system.mkdirs(path(target))
-    for found in system.globStatus(path(f"{folder}/{key}=*/part-*")):
-        value = found.getPath().getParent().getName().split("=", 1)[1]
-        system.rename(found.getPath(), path(target, value + suffix))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target = Folder(folder)
+        for batch in batches:
+            for file, data in zip(batch.column(0), batch.column(1), strict=True):
+                target.write(file.as_py(), data.as_py() or b"")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["files"])
 
+    chosen = df.select(F.col(name).cast("string"), F.col(content).cast("binary"))
+    return chosen.mapInArrow(run, "files long").agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
 
-def _visible_contents(spark: SparkSession, folder: str, suffixes: Sequence[str]) -> DataFrame:
-    """What Spark's source reads: neither empty nor hidden files."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffixes))
-    try:
-        found = reader.load(folder)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], CONTENTS)
-        raise
-    return found.select(F.col("path").alias("file_path"), "content")
-
-
-def _hidden_contents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The same for hidden names, which are copied to visible ones in the shared folder first."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    folder, names = scratch_path(spark, "hidden"), []
-    target = jvm.org.apache.hadoop.fs.Path(folder)
-    for n, path in enumerate(paths):
-        source, copy = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(folder, f"copy-{n}")
-        systems = source.getFileSystem(conf), target.getFileSystem(conf)
-        jvm.org.apache.hadoop.fs.FileUtil.copy(systems[0], source, systems[1], copy, False, conf)
-        names.append((path, f"copy-{n}"))
-    copies = spark.read.format("binaryFile").load(folder).select(basename(F.col("path")).alias("copy"), "content")
-    originals = spark.createDataFrame(names, "file_path string, copy string")
-    return originals.join(copies, "copy").select("file_path", "content")
-
-
-def load_contents(spark: SparkSession, folder: str, suffixes: Sequence[str]) -> DataFrame:
-    """``file_path, content`` of all files of :func:`discover_files`; an empty file has empty bytes."""
+
+def read_files(paths: DataFrame) -> DataFrame:
+    """``file_path, content`` for a table with ``path`` and ``size_bytes``; only these files are read.
+
+    Files are dealt to tasks of about ``READ_BYTES`` each. One that cannot be read has no content.
+    """
+    size = paths.agg(F.coalesce(F.sum("size_bytes"), F.lit(0))).first()[0]
+    tasks = max(paths.sparkSession.sparkContext.defaultParallelism, -(-size // READ_BYTES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, held = [], 0
+            for path in batch.column("path").to_pylist():
+                folder, _, file = path.rpartition("/")
+                rows.append((path, Folder(folder).read(file)))
+                held += len(rows[-1][1] or b"")
+                if held >= BATCH_BYTES:
+                    yield _contents(rows)
+                    rows, held = [], 0
+            if rows:
+                yield _contents(rows)
+
+    return paths.select("path").repartition(tasks, "path").mapInArrow(run, CONTENTS)
+
+
+def _contents(rows: list[tuple[str, bytes | None]]) -> pa.RecordBatch:
+    columns = [pa.array([r[n] for r in rows], kind) for n, kind in enumerate((pa.string(), pa.binary()))]
+    return pa.RecordBatch.from_arrays(columns, names=["file_path", "content"])
+
+
+def load_contents(
+    spark: SparkSession, folder: str, suffixes: Sequence[str], only: DataFrame | None = None
+) -> DataFrame:
+    """``file_path, content`` of all files of :func:`discover_files`; an empty file has empty bytes.
+
+    With ``only``, a table of ``file_path``, no other file is read.
+    """
+    if not Folder.can_open(folder):
+        # Here only Spark's source reads, and drops after reading.
+        found = _visible(spark, folder, suffixes).select(F.col("path").alias("file_path"), "content")
+        return found if only is None else found.join(only, "file_path", "left_semi")
     listed = discover_files(spark, folder, suffixes)
-    name = basename(F.col("path"))
-    hidden = functools.reduce(lambda x, y: x | y, [name.startswith(h) for h in HIDDEN])
-    few = [r[0] for r in listed.where(hidden & (F.col("size_bytes") > 0)).select("path").collect()]
-    empty = listed.where("size_bytes = 0").select(F.col("path").alias("file_path"), F.lit(b"").alias("content"))
-    contents = _visible_contents(spark, folder, suffixes).unionByName(empty)
-    return contents.unionByName(_hidden_contents(spark, few)) if few else contents
+    if only is not None:
+        listed = listed.join(only.select(F.col("file_path").alias("path")), "path", "left_semi")
+    return read_files(listed)

@@ -1,7 +1,8 @@
 """Parse the files of a folder as they arrive.
 
 Discovery and parsing are narrow, so the batch operators run on a file stream as they
-are. The stream's own checkpoint remembers which files were read.
+are. The stream sees what the batch sees, empty and hidden files too, and its checkpoint holds the point in time up to
+which files were read.
 """
 
 from __future__ import annotations
@@ -11,16 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pagemill.sources.files import discover_files, load_contents, suffix_glob
+from pagemill.sources.folder_source import NAME, folder_options
 from pagemill.sources.parsing import HTML_PARSERS, Parser, parse_files
 
-CONTENT = "path string, modificationTime timestamp, length bigint, content binary"
-
 
 def arriving_files(spark: SparkSession, folder: str, suffixes: Sequence[str]) -> DataFrame:
-    stream = spark.readStream.format("binaryFile").schema(CONTENT)
-    found = stream.option("pathGlobFilter", suffix_glob(suffixes)).load(folder)
-    return found.select(F.col("path").alias("file_path"), "content")
+    """``file_path, content`` of files that arrive; one that changes arrives again."""
+    stream = spark.readStream.format(NAME).options(**folder_options(spark, folder, suffixes, content=True))
+    return stream.load().select(F.col("path").alias("file_path"), "content")
 
 
 def parse_arriving(
@@ -33,7 +32,7 @@ def parse_arriving(
 ) -> StreamingQuery:
     """Parse what has arrived since the last call into the table at ``output``.
 
-    Each batch is a partition of the table, overwritten if the batch is run again.
+    A folder in a store that tasks cannot open is refused. Each batch is a partition of the table, overwritten if the batch is run again.
     """
     parsed = parse_files(arriving_files(spark, folder, suffixes), parsers, F.current_timestamp())
 
@@ -46,26 +45,3 @@ def parse_arriving(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def parse_overlooked(
-    spark: SparkSession,
-    folder: str,
-    output: str,
-    suffixes: Sequence[str] = (".html",),
-    parsers: Sequence[tuple[str, Parser]] = tuple(HTML_PARSERS),
-) -> int:
-    """Add the files that a stream cannot see, empty and hidden ones, to the table at ``output``.
-
-    Run it between two runs of the stream. Returns the number of files added; a second call adds none.
-    """
-    seen = spark.read.parquet(output).select("file_path")
-    hidden = F.regexp_extract("path", "([^/]*)$", 1).rlike("^[_.]")
-    listed = discover_files(spark, folder, suffixes).where(hidden | (F.col("size_bytes") == 0))
-    missed = listed.select(F.col("path").alias("file_path")).join(seen, "file_path", "left_anti")
-    contents = load_contents(spark, folder, suffixes).join(missed, "file_path")
-    added = parse_files(contents, parsers, F.current_timestamp())
-    count = missed.count()
-    if count:
-        added.write.mode("append").parquet(f"{output}/batch_id=-1")
-    return count

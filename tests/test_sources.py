@@ -8,7 +8,8 @@ from pagemill.operators.embedding import HashEmbedder, ModelEmbedder
 from pagemill.plans.ingest import ingest, query_table, search_texts
 from pagemill.session import scratch_path, shared_folder, spread
 from pagemill.sources import files, parsing, store
-from pagemill.streaming.folder import parse_arriving, parse_overlooked
+from pagemill.sources.folder_source import Folder
+from pagemill.streaming.folder import arriving_files, parse_arriving
 
 PAGE = (
     "<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>"
@@ -73,10 +74,52 @@ def test_no_file_is_left_out(spark, tmp_path):
     assert failed == {"zero.html": "No content extracted", "_z.html": "No content extracted"}
     out = str(tmp_path / "stream")
     parse_arriving(spark, str(docs), out, str(tmp_path / "cp")).awaitTermination()
-    assert parse_overlooked(spark, str(docs), out) == 4 and parse_overlooked(spark, str(docs), out) == 0
     assert spark.read.parquet(out).groupBy("status").count().orderBy("status").collect() == [("failed", 2), ("ok", 3)]
 
 
+def test_batch_and_stream_agree_on_a_hundred_thousand_names(spark, tmp_path):
+    docs = tmp_path / "docs"
+    docs.mkdir()
+    sizes = {}
+    for n in range(100_000):
+        name = f"{'_.'[n % 2] if n % 10 == 0 else ''}f{n}.{'html' if n % 4 else 'TXT'}"
+        sizes[name] = n % 7
+        (docs / name).write_bytes(b"x" * (n % 7))
+    wanted = {k: v for k, v in sizes.items() if k.endswith(".html")}
+    listed = files.discover_files(spark, str(docs), [".html"]).collect()
+    assert len(listed) == len(wanted) and {r.path.rsplit("/", 1)[1]: r.size_bytes for r in listed} == wanted
+    out, seen = str(tmp_path / "out"), []
+    for _ in range(2):
+        query = (
+            arriving_files(spark, str(docs), [".html"]).select("file_path", F.octet_length("content").alias("n"))
+            .writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
+            .trigger(availableNow=True).start(out)
+        )
+        query.awaitTermination()
+        found = {r.file_path.rsplit("/", 1)[1]: r.n for r in spark.read.parquet(out).collect()}
+        seen.append(spark.read.parquet(out).count())
+        if len(seen) == 1:
+            assert found == wanted
+            (docs / "moved.html").write_text("later")
+    assert seen == [len(wanted), len(wanted) + 1] and found["moved.html"] == 5
+
+
+def test_only_the_wanted_files_are_read(spark, folder):
+    (folder / "locked.html").symlink_to(folder / "nowhere")
+    only = spark.createDataFrame([(f"file:{folder}/a.html",), (f"file:{folder}/gone.html",)], "file_path string")
+    assert [r.file_path.rsplit("/", 1)[1] for r in files.load_contents(spark, str(folder), [".html"], only).collect()] == ["a.html"]
+    missing = spark.createDataFrame([(f"file:{folder}/gone.html", 5)], "path string, size_bytes bigint")
+    assert [r.content for r in files.read_files(missing).collect()] == [None]
+
+
+def test_a_store_that_tasks_cannot_open_is_listed_by_spark(spark, folder):
+    assert not Folder.can_open("viewfs://store/in") and Folder.can_open("s3a://bucket/in") and Folder.can_open("/tmp/x")
+    with pytest.raises(ValueError):
+        Folder("viewfs://store/in")
+    visible = files._visible(spark, str(folder), [".html"]).select("path").collect()
+    assert sorted(r.path.rsplit("/", 1)[1] for r in visible) == ["a.html", "b.HTML", "empty.html"]
+
+
 def test_binary_parser_reads_bytes(spark, tmp_path):
     def pages(content, path):
         if not content.startswith(b"%FAKE\xe2\xe3"):
