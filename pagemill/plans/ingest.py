@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pagemill.config import ChunkingConfig, EmbeddingConfig, RunConfig
 from pagemill.operators import chunking, documents, failures, search, semantic, stats
 from pagemill.operators.embedding import Embedder, HashEmbedder, ModelEmbedder
-from pagemill.session import spread, written
+from pagemill.plans.attempts import Round, run_rounds
+from pagemill.session import written
 from pagemill.sources import files, parsing, report, store
 
 CHUNK_KEY = "chunk_id"
@@ -58,18 +59,18 @@ def chunk_documents(
 
 def retry_failed(
     outcomes: DataFrame,
-    contents: DataFrame,
+    load: Callable[[DataFrame], DataFrame],
     parsers: Sequence[tuple[str, parsing.Parser]],
     marker: str,
     processed_at: Column,
 ) -> tuple[DataFrame, DataFrame]:
     """Parse the failures whose error holds ``marker`` again; those that succeed replace their outcome.
 
-    Returns all outcomes, and the outcomes of the second attempt. ``outcomes`` should be a written table.
+    Returns all outcomes, and the outcomes of the second attempt; a file that fails again keeps its first
+    error. ``outcomes`` should be a written table; ``load`` gives the contents of the files in a table of ``file_path``.
     """
     failed = failures.retryable(outcomes.where("status = 'failed'"), marker).select("file_path")
-    again = parsing.parse_files(contents.join(failed, "file_path", "left_semi"), parsers, processed_at)
-    again = written(again, "retried")
+    again = written(parsing.parse_files(load(failed), parsers, processed_at), "retried")
     results, still_failed = failures.retry_merge(
         outcomes.where("status = 'ok'"), outcomes.where("status = 'failed'"), again.where("status = 'ok'")
     )
@@ -99,8 +100,13 @@ def ingest(
     embedder: Embedder | None = None,
     retry_parsers: Sequence[tuple[str, parsing.Parser]] = (),
     retry_marker: str = "",
+    seconds_per_file: float | None = None,
+    more_rounds: Sequence[Round] = (),
 ) -> RunResult:
-    """Run all stages. Failures whose error holds ``retry_marker`` are parsed again with ``retry_parsers``."""
+    """Run all stages. Failures whose error holds ``retry_marker`` are parsed again with ``retry_parsers``.
+
+    ``more_rounds`` follow; a parser that takes more than ``seconds_per_file`` has failed.
+    """
     started = datetime.now(timezone.utc).replace(tzinfo=None)
     # A model given by the caller also finds the semantic breaks.
     model = embedder if isinstance(embedder, ModelEmbedder) else None
@@ -121,16 +127,19 @@ def ingest(
         run.stopped_at = stage
         return run
 
-    contents = files.load_contents(spark, config.docs_folder, config.file_suffixes)
-    if contents.isEmpty():
+    if files.discover_files(spark, config.docs_folder, config.file_suffixes).isEmpty():
         return stop("discover")
     began = time.perf_counter()
-    outcomes = saved(
-        "parsed", parsing.parse_files(spread(contents, "file_path"), parsers, F.lit(started))
-    )
+    rounds = [Round(parsers, seconds_per_file=seconds_per_file)]
     if retry_parsers:
-        merged, _ = retry_failed(outcomes, contents, retry_parsers, retry_marker, F.lit(started))
-        outcomes = saved("parsed_again", merged)
+        rounds.append(Round(retry_parsers, retry_marker, seconds_per_file))
+    rounds += more_rounds
+    run.paths["attempts"] = f"{folder}/attempts"
+    attempts = run_rounds(
+        lambda only: files.load_contents(spark, config.docs_folder, config.file_suffixes, only),
+        rounds, run.paths["attempts"], F.lit(started),
+    )
+    outcomes = saved("parsed", attempts.outcomes.drop("round"))
     parse_seconds = time.perf_counter() - began
     good = outcomes.where("status = 'ok'")
     if good.isEmpty():
@@ -174,7 +183,7 @@ def ingest(
         run.paths["report"] = f"{folder}/report"
         lines = report.report_lines(
             summary, outcomes, config, run.session_id, f"{started:%Y-%m-%d %H:%M:%S}",
-            ", ".join(name for name, _ in [*parsers, *retry_parsers]),
+            ", ".join(name for each in rounds for name, _ in each.parsers),
         )
         report.save_report(lines, run.paths["report"])
     run.completed = True

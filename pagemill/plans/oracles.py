@@ -415,4 +415,13 @@ ORACLES: dict[str, str] = {
           CASE WHEN NOT first_ok AND NOT second_ok THEN 0 ELSE 1 END AS n_pages
         FROM (SELECT url, NOT contains(url, '/fr/') AND NOT contains(url, '/es/') AS first_ok,
                 contains(url, '/fr/') AND NOT contains(url, '?page=2') AS second_ok FROM pages)""",
+    "retry_rounds": """SELECT page_id || '.html' AS file_name, CASE WHEN last_failed THEN 'failed' ELSE 'ok' END AS status,
+          CASE WHEN last_failed THEN NULL WHEN attempts = 1 THEN 'first' WHEN attempts = 2 THEN 'second' ELSE 'third' END AS loader_used,
+          CASE WHEN NOT last_failed THEN NULL WHEN attempts = 1 THEN 'first: quota exceeded' ELSE 'third: still nested async' END AS error,
+          CASE WHEN last_failed THEN 0 ELSE 1 END AS n_pages, attempts, CAST(attempts AS INTEGER) AS last_round
+        FROM (SELECT page_id, CASE WHEN page_id % 4 <> 1 THEN 1 WHEN page_id % 8 <> 5 THEN 2 ELSE 3 END::BIGINT AS attempts,
+            page_id % 16 = 13 OR (page_id % 4 <> 1 AND page_id % 7 = 3) AS last_failed FROM pages)""",
+    "run_lists": """SELECT page_id || '.html' AS file_name, CASE WHEN page_id % 5 = 2 THEN 'failed' ELSE 'processed' END AS list,
+          CASE WHEN page_id % 5 <> 2 THEN 1 END AS n_pages, CASE WHEN page_id % 5 <> 2 THEN 'layout' END AS loader_used,
+          CASE WHEN page_id % 5 = 2 THEN 'layout: quota exceeded' END AS error FROM pages""",
 }

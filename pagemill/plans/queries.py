@@ -22,6 +22,7 @@ from pagemill.config import (
 from pagemill.functions import formats, text as tx, vectors
 from pagemill.operators import chunking, documents, failures, pivots, search, semantic, stats
 from pagemill.operators.embedding import HashEmbedder, sparse_weights
+from pagemill.plans.attempts import Round, run_rounds
 from pagemill.plans.ingest import chunk_documents, ingest, retry_failed
 from pagemill.session import scratch_path, spread, table, written
 from pagemill.sources import files, parsing, report, store
@@ -656,6 +657,22 @@ def ingest_tables(spark, sf):
     return joined.join(pages, "source_file").join(pieces, "source_file").drop("source_file")
 
 
+@query
+def run_lists(spark, sf):
+    """The lists of processed and failed files that a run writes beside its configuration."""
+    failing = _failing(5, 2, "quota exceeded", parsing.layout_parser)
+    config = RunConfig(
+        docs_folder=_folder_of_pages(spark, sf), output_folder=scratch_path(spark, "out"),
+        test_retrieval=False, create_report=False,
+    )
+    run = ingest(spark, config, [("layout", failing)])
+    good, bad = (spark.read.parquet(run.paths[n]) for n in ("files_processed", "failed_files"))
+    none = F.lit(None).cast("string")
+    processed = good.select("file_name", F.lit("processed").alias("list"), "n_pages", "loader_used", none.alias("error"))
+    name = tx.basename(F.col("file_path"))
+    return processed.union(bad.select(name, F.lit("failed"), F.lit(None).cast("int"), none, "error"))
+
+
 @query
 def chunk_methods(spark, sf):
     """Every chunking method through the function that the run uses."""
@@ -674,5 +691,33 @@ def retry_merge(spark, sf):
     again = _raising({"?page=2": "still nested async"}, parsing.text_parser)
     when = F.lit(RUN_TIME).cast("timestamp")
     outcomes = written(parsing.parse_files(_page_files(spark, sf), [("layout", first)], when), "parsed")
-    merged, _ = retry_failed(outcomes, _page_files(spark, sf), [("retry", again)], "nested async", when)
+    load = lambda failed: _page_files(spark, sf).join(failed, "file_path", "left_semi")
+    merged, _ = retry_failed(outcomes, load, [("retry", again)], "nested async", when)
     return merged.select("file_path", "status", "loader_used", "error", "n_pages")
+
+
+def _failing(every: int, rest: int, error: str, parser: parsing.Parser) -> parsing.Parser:
+    """The parser, but for files whose number leaves ``rest``, which raise the error."""
+    def run(content: bytes, path: str) -> list[dict]:
+        if int(path.rsplit("/", 1)[1].split(".")[0]) % every == rest:
+            raise RuntimeError(error)
+        return parser(content, path)
+
+    return run
+
+
+@query
+def retry_rounds(spark, sf):
+    """Three rounds over a folder of files: what fails for a reason that passes is read and parsed again."""
+    folder, busy = _folder_of_pages(spark, sf), "nested async"
+    first = _failing(4, 1, busy, _failing(7, 3, "quota exceeded", parsing.layout_parser))
+    second = _failing(8, 5, busy, parsing.layout_parser)
+    third = _failing(16, 13, "still " + busy, parsing.text_parser)
+    attempts = run_rounds(
+        lambda only: files.load_contents(spark, folder, [".html"], only),
+        [Round([("first", first)]), Round([("second", second)], busy), Round([("third", third)], busy)],
+        scratch_path(spark, "attempts"), F.lit(RUN_TIME).cast("timestamp"),
+    )
+    tried = attempts.ledger.groupBy("file_name").agg(F.count(F.lit(1)).alias("attempts"), F.max("round").alias("last_round"))
+    last = attempts.outcomes.select("file_name", "status", "loader_used", "error", "n_pages")
+    return last.join(tried, "file_name")

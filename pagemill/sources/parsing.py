@@ -8,6 +8,7 @@ too, and services plug in the same way.
 
 from __future__ import annotations
 
+import contextlib
 import html
 import re
 from collections.abc import Callable, Iterator, Sequence
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pagemill.functions.text import basename
 from pagemill.operators.documents import PAGE_TYPE
 from pagemill.operators.failures import outcome
+from pagemill.sources.limits import ItemFailed, LimitedWorker
 
 Parser = Callable[[bytes, str], list[dict]]
 
@@ -123,28 +125,47 @@ def _attempt(content: bytes | None, path: str, parsers: Sequence[tuple[str, Pars
     return [], None, "; ".join(errors)
 
 
+def _limited(worker: LimitedWorker, content: bytes | None, path: str):
+    try:
+        return worker(content, path)
+    except ItemFailed as error:
+        return [], None, str(error)
+
+
 def parse_files(
-    files: DataFrame, parsers: Sequence[tuple[str, Parser]], processed_at: Column
+    files: DataFrame,
+    parsers: Sequence[tuple[str, Parser]],
+    processed_at: Column,
+    seconds_per_file: float | None = None,
 ) -> DataFrame:
     """One outcome row per file: pages, the parser that worked, or the error.
 
     ``files`` has ``file_path`` and the bytes ``content``.
     Parsers are tried in order until one does not raise. Files with no page at all are
-    failures. The work is narrow; write the result before reading it more than once.
+    failures. The work is narrow; write the result before reading it more than once. With
+    ``seconds_per_file``, parsers run in a process of their own, and a file that takes longer or ends that process has failed.
     """
     parsers = list(parsers)
 
+    def attempt(content: bytes | None, path: str):
+        return _attempt(content, path, parsers)
+
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            results = [_attempt(c, p, parsers) for c, p in zip(batch["content"], batch["file_path"])]
-            yield pd.DataFrame(
-                {
-                    "file_path": batch["file_path"].to_numpy(),
-                    "pages": [r[0] for r in results],
-                    "loader_used": [r[1] for r in results],
-                    "error": [r[2] for r in results],
-                }
-            )
+        with contextlib.ExitStack() as stack:
+            run = attempt
+            if seconds_per_file is not None:
+                worker = stack.enter_context(LimitedWorker(attempt, seconds_per_file))
+                run = lambda content, path: _limited(worker, content, path)
+            for batch in batches:
+                results = [run(c, p) for c, p in zip(batch["content"], batch["file_path"])]
+                yield pd.DataFrame(
+                    {
+                        "file_path": batch["file_path"].to_numpy(),
+                        "pages": [r[0] for r in results],
+                        "loader_used": [r[1] for r in results],
+                        "error": [r[2] for r in results],
+                    }
+                )
 
     schema = f"file_path string, pages array<{PAGE_TYPE}>, loader_used string, error string"
     parsed = outcome(files.select("file_path", "content").mapInPandas(parse, schema), F.size("pages"))

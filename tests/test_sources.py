@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -5,8 +7,9 @@ from pyspark.sql import functions as F
 from pagemill.config import ChunkingConfig, EmbeddingConfig, RunConfig
 from pagemill.operators.documents import parsed_to_documents
 from pagemill.operators.embedding import HashEmbedder, ModelEmbedder
+from pagemill.plans.attempts import Round, attempt_summary, run_rounds
 from pagemill.plans.ingest import ingest, query_table, search_texts
-from pagemill.session import scratch_path, shared_folder, spread
+from pagemill.session import scratch_path, shared_folder, spread, written
 from pagemill.sources import files, parsing, store
 from pagemill.sources.folder_source import Folder
 from pagemill.streaming.folder import arriving_files, parse_arriving
@@ -161,6 +164,52 @@ def test_failures_are_tried_again_in_the_run(spark, tmp_path):
     assert kinds == {"first": "markdown", "second": "text"}
 
 
+def test_parsers_that_hang_or_crash_cost_one_file(spark, tmp_path):
+    def parser(content, path):
+        if b"hang" in content:
+            while True:
+                pass
+        if b"crash" in content:
+            os._exit(3)
+        if b"raise" in content:
+            raise ValueError("cannot read")
+        return parsing.layout_parser(content)
+
+    rows = [(f"d/{n}", f"<p>{n}</p>".encode()) for n in ("a", "hang", "b", "crash", "c", "raise", "hang2", "d")]
+    df = spark.createDataFrame(rows, "file_path string, content binary").coalesce(1)
+    parsed = written(parsing.parse_files(df, [("p", parser)], F.current_timestamp(), seconds_per_file=0.7), "parsed")
+    got = {r.file_name: r.error or r.status for r in parsed.collect()}
+    slow, gone = "took more than 0.7 s", "the parser's process ended"
+    assert got == {"a": "ok", "b": "ok", "c": "ok", "d": "ok", "hang": slow, "hang2": slow, "crash": gone, "raise": "p: cannot read"}
+
+
+def test_rounds_read_only_what_still_fails(spark, tmp_path):
+    def picky(word):
+        def run(content, path):
+            if word in content:
+                raise RuntimeError("busy")
+            return parsing.layout_parser(content)
+
+        return run
+
+    contents = {f"d/{n}": f"<p>{n}</p>".encode() for n in ("x", "one", "onetwo", "onetwothree")}
+    asked = []
+
+    def load(only):
+        names = sorted(contents) if only is None else sorted(r.file_path for r in only.collect())
+        asked.append(names)
+        return spark.createDataFrame([(n, contents[n]) for n in names], "file_path string, content binary")
+
+    rounds = [Round([("a", picky(b"one"))]), Round([("b", picky(b"two"))], "busy"), Round([("c", picky(b"three"))], "busy"), Round([("d", picky(b"three"))], "other")]
+    found = run_rounds(load, rounds, str(tmp_path / "attempts"), F.current_timestamp())
+    assert asked == [["d/one", "d/onetwo", "d/onetwothree", "d/x"], ["d/one", "d/onetwo", "d/onetwothree"], ["d/onetwo", "d/onetwothree"]]
+    summary = {r["round"]: (r.attempted, r.parsed, r.failed) for r in attempt_summary(found.ledger).collect()}
+    assert summary == {1: (4, 1, 3), 2: (3, 1, 2), 3: (2, 1, 1)}
+    last = {r.file_name: (r.status, r.loader_used, r.error) for r in found.outcomes.collect()}
+    assert last == {"x": ("ok", "a", None), "one": ("ok", "b", None), "onetwo": ("ok", "c", None), "onetwothree": ("failed", None, "c: busy")}
+    assert spark.read.parquet(str(tmp_path / "attempts")).count() == 9
+
+
 def test_store_describes_the_embedder_that_ran(spark, folder, tmp_path):
     model = ModelEmbedder(lambda: lambda texts: np.ones((len(texts), 8)), dim=8, name="tiny-model")
     config = RunConfig(docs_folder=str(folder), output_folder=str(tmp_path / "out"), test_retrieval=False)
