@@ -283,6 +283,8 @@ ORACLES: dict[str, str] = {
     "chunks_roundtrip": f"WITH {_windows('conversations', 'conv_id, turn', size=200, overlap=50)} SELECT * FROM chunks",
     "vector_store_roundtrip": """SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dim,
         round(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x)), 6) AS square FROM embeddings""",
+    "store_upsert": """SELECT vec_id, CAST(label + CASE WHEN vec_id % 2 = 1 OR vec_id % 10 = 0 THEN 100 ELSE 0 END AS INTEGER) AS label,
+        round(embedding[1], 6) AS x, count(*) OVER () AS total FROM embeddings""",
     "processing_report": f"WITH {RUN_SUMMARY} {REPORT}",
     "page_content_choice": """SELECT doc_id, CASE WHEN doc_id % 7 < 2 THEN text ELSE '# ' || text END AS content FROM documents""",
     "drop_blank_pages": f"WITH {BLANKS} SELECT doc_id, text FROM blanks WHERE {_strip('text')} <> ''",

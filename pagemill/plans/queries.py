@@ -243,12 +243,25 @@ def chunks_roundtrip(spark, sf):
 def vector_store_roundtrip(spark, sf):
     embedding = EmbeddingConfig(model_name="given", dim=64)
     path = scratch_path(spark, "store")
-    store.save_vector_store(table(spark, sf, "embeddings"), path, embedding, ChunkingConfig())
+    store.save_vector_store(table(spark, sf, "embeddings"), path, embedding, ChunkingConfig(), key="vec_id")
     loaded = store.load_vector_store(spark, path, embedding)
     square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     return loaded.select("vec_id", "label", F.size("embedding").alias("dim"), F.round(square, 6).alias("square"))
 
 
+@query
+def store_upsert(spark, sf):
+    """Half a store is saved, then rows of it are replaced and the other half is added."""
+    embedding, path = EmbeddingConfig(model_name="given", dim=64), scratch_path(spark, "store")
+    rows = table(spark, sf, "embeddings")
+    store.save_vector_store(rows.where("vec_id % 2 = 0"), path, embedding, key="vec_id", buckets=16)
+    changed = rows.where("vec_id % 2 = 1 or vec_id % 10 = 0")
+    store.upsert_vectors(changed.withColumn("label", F.col("label") + 100), path, embedding)
+    loaded = store.load_vector_store(spark, path, embedding)
+    total = store.describe_vector_store(spark, path).first()["total_chunks"]
+    return loaded.select("vec_id", "label", F.round(F.get("embedding", F.lit(0)), 6).alias("x"), F.lit(total).alias("total"))
+
+
 @query
 def processing_report(spark, sf):
     outcomes = _outcomes(spark, sf)
