@@ -58,9 +58,15 @@ class DigestIndex:
         self._write(dealt, "append")
 
 
-def dedup_batch(df: DataFrame, index: DigestIndex, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_batch(
+    df: DataFrame, index: DigestIndex, id_column: str = "doc_id", text: str = "text", batch: str | None = None
+) -> DataFrame:
     """Judge every row of a batch and add its new texts to the index.
 
+    ``batch`` names the batch. The same batch may be run again, also after a run that ended between the index and the
+    answers: what it brought is still its own, nothing is added twice, and the answers are the same. Without a name
+    every call is a batch of its own.
+
     Returns ``doc_id, keep_id, group_size, kept, text_sha256`` for each row, dropped ones too.
     Of equal texts the largest id stays, unless an earlier batch brought the text: then the
     entry of the index stays and all rows of the batch go. ``group_size`` counts the batch.
@@ -69,7 +75,7 @@ def dedup_batch(df: DataFrame, index: DigestIndex, id_column: str = "doc_id", te
     none. Rows that repeat id and text are one document and get the same answer. An empty table
     gives no rows and adds nothing.
     """
-    batch = uuid.uuid4().hex
+    batch = batch or uuid.uuid4().hex
     rows = df.select(F.col(id_column).cast("long").alias("doc_id"), text_digest(whole_text(text)).alias("digest"))
     # Written, or the optimizer would move the anti-join below the aggregation, where a common text is skewed.
     groups = written(
@@ -94,4 +100,7 @@ def dedup_exact(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     """One table on its own: :func:`dedup_batch` with a new index in the shared folder."""
     spark = df.sparkSession
     name = f"digest_index_{uuid.uuid4().hex}"
-    return dedup_batch(df, DigestIndex(spark, name, scratch_path(spark, name)), id_column, text)
+    index = DigestIndex(spark, name, scratch_path(spark, name))
+    answers = written(dedup_batch(df, index, id_column, text), "answers")
+    spark.sql(f"DROP TABLE {name}")
+    return answers
