@@ -14,7 +14,8 @@ from pagemill.llm.columns import let, lookup, whole_text
 from pagemill.session import written
 
 MAX_ATTEMPTS = 40
-DEFAULT_KEY = "change-this-key"
+# From this attempt on, surrogates of kinds without a fixed length get longer, a letter for as many attempts.
+LONGER = 4
 
 # Titles by gender, in several languages.
 MALE_TITLES = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"]
@@ -45,7 +46,7 @@ PATTERNS = {
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "card": r"(?<![\d\w])\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}(?![\d\w])",
-    "name": rf"\b(?:{'|'.join(MALE_TITLES + FEMALE_TITLES)})\.? {NAME}(?: {NAME})?",
+    "name": rf"(?<![\p{{L}}\p{{N}}_])(?:{'|'.join(MALE_TITLES + FEMALE_TITLES)})\.? {NAME}(?: {NAME})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
@@ -63,7 +64,7 @@ def _script(text: Column) -> Column:
 
 
 def _gender(mention: Column) -> Column:
-    return F.when(mention.rlike(rf"^(?:{'|'.join(FEMALE_TITLES)})\b"), "f").otherwise("m")
+    return F.when(mention.rlike(rf"^(?:{'|'.join(FEMALE_TITLES)})(?![\p{{L}}\p{{N}}_])"), "f").otherwise("m")
 
 
 def normal_form(kind: Column, mention: Column) -> Column:
@@ -130,12 +131,26 @@ def _ip(digest: Column) -> Column:
     return F.array_join(octets, ".")
 
 
+def _longer(shape: Column, digest: Column, attempt: Column) -> Column:
+    """The shape with a letter before it for every ``LONGER`` attempts, so that a short shape never runs out."""
+    letters = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.lit(1), (attempt / LONGER).cast("int"))),
+        lambda i: F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), _number(digest, i + 4096) % 26 + 1, F.lit(1)),
+    )
+    return F.when(attempt < LONGER, shape).otherwise(F.concat(F.array_join(letters, ""), shape))
+
+
 def _email(normal: Column, digest: Column) -> Column:
     """All but the last label of the domain replaced."""
     last = F.regexp_extract(normal, r"\.[^.@]+$", 0)
     return F.concat(_same_shape(F.substring(normal, F.lit(1), F.length(normal) - F.length(last)), digest), last)
 
 
+def _mask(normal: Column) -> Column:
+    """What is left of an entity of whose shape no free value was found."""
+    return F.regexp_replace(F.regexp_replace(normal, r"[0-9]", "0"), r"\p{L}", "x")
+
+
 def _made_name(normal: Column, digest: Column, attempt: Column, endings: dict, syllables_least: int) -> Column:
     """``script|gender|name`` with a made-up name of the same script and gender."""
     made = F.lit(None).cast("string")
@@ -157,7 +172,8 @@ def make_surrogate(key: str, kind: Column, normal: Column, attempt: Column) -> C
             F.when(kind == "name", _made_name(normal, digest, attempt, ENDINGS, 4))
             .when(kind == "given", _made_name(normal, digest, attempt, GIVEN_ENDINGS, 2))
             .when(kind == "ip", _ip(digest))
-            .when(kind == "email", _email(normal, digest))
+            .when(kind == "email", _longer(_email(normal, digest), digest, attempt))
+            .when(kind == "secret", _longer(_same_shape(normal, digest), digest, attempt))
             .otherwise(_same_shape(normal, digest))
         )
 
@@ -168,7 +184,9 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     """``kind, normal, surrogate`` for distinct entities, all surrogates distinct and none a real entity.
 
     Of entities that want one surrogate the first gets it; the others, and those whose surrogate is real,
-    try again. Rounds are written to the shared folder; the driver sees the number that is left.
+    try again. Rounds are written to the shared folder; the driver sees whether any is left. Addresses, secrets and
+    names get longer from attempt to attempt. Numbers keep their length: those of a shape that is as good as used up, left after
+    ``MAX_ATTEMPTS``, all become the mask of the shape, zeros and ``x``.
     """
     real = entities.select("kind", F.col("normal").alias("surrogate"))
     open_, done = entities, None
@@ -187,7 +205,7 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
         open_ = judged.where("not ok").select("kind", "normal")
         if open_.isEmpty():
             return done
-    raise RuntimeError(f"no distinct surrogates in {MAX_ATTEMPTS} attempts")
+    return done.union(open_.withColumn("surrogate", _mask(F.col("normal"))))
 
 
 def _refill(mention: Column, filling: Column, pattern: str) -> Column:
@@ -225,9 +243,12 @@ def render(kind: Column, mention: Column, surrogate: Column, given: Column) -> C
     )
 
 
-def replace_entities(df: DataFrame, key: str = DEFAULT_KEY, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def replace_entities(df: DataFrame, key: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Each row as the struct ``input`` with ``entities`` (kind, mention, surrogate, in order) and the new ``text``.
 
+    Whoever has ``key`` can tell which surrogate an entity has, so it is a secret of the corpus. Names are found after
+    a title only; a name without one stays.
+
     NULL text counts as empty and has no entity. Rows without an id and repeated rows are treated like any other;
     equal entities get equal surrogates everywhere. An empty table gives no rows.
     """

@@ -127,8 +127,12 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# The key of this query's surrogates; a corpus of real persons needs one that is kept secret.
+PII_KEY = "change-this-key"
+
+
 def pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
-    replaced = replace_entities(table(spark, folder, "documents"))
+    replaced = replace_entities(table(spark, folder, "documents"), PII_KEY)
     return replaced.select(
         "input.doc_id",
         F.size("entities").cast("long").alias("n_entities"),

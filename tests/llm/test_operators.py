@@ -201,9 +201,9 @@ def test_surrogates_never_meet(spark):
 
 
 def test_surrogates_of_nasty_rows(edge, nothing):
-    rows = replace_entities(edge).select("input.text", F.col("text").alias("new"), F.size("entities").alias("n_found")).collect()
+    rows = replace_entities(edge, "k").select("input.text", F.col("text").alias("new"), F.size("entities").alias("n_found")).collect()
     assert all(r["new"] == (r["text"] or "") and r["n_found"] == 0 for r in rows) and len(rows) == edge.count()
-    assert replace_entities(nothing).count() == 0
+    assert replace_entities(nothing, "k").count() == 0
 
 
 # Quality rules

@@ -20,9 +20,9 @@ def test_query_equals_sql(spark, name):
     assert difference is None, difference
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = contract.queries()
-    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
 

@@ -6,7 +6,7 @@ import warnings
 import pytest
 from pyspark.sql import functions as F
 
-from pagemill.llm import quality
+from pagemill.llm import exact_dedup, pii, quality
 from pagemill.llm.licenses import scan_licenses
 from pagemill.llm.line_dedup import drop_repeated_lines
 from pagemill.llm.mixing import profile, rake
@@ -113,7 +113,47 @@ def test_people_of_one_family_keep_apart(spark):
 
 def test_phones_with_separators_only(spark):
     df = spark.createDataFrame([(0, "call 212-555-0187 or 212.555.0187, not 123-45-6789 or 1.212.555.0187")], "doc_id bigint, text string")
-    entities = replace_entities(df).select("entities").first()[0]
+    entities = replace_entities(df, key="k").select("entities").first()[0]
     assert [(e["kind"], e["mention"]) for e in entities if e["kind"] == "phone"] == [("phone", "212-555-0187"), ("phone", "212.555.0187")]
     digits = [re.sub(r"\D", "", e["surrogate"]) for e in entities if e["kind"] == "phone"]
     assert digits[0] == digits[1] != "2125550187"
+
+
+def test_a_shape_that_runs_out_of_surrogates(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    addresses = [f"{a}@{b}.de" for a in letters for b in letters][:400]
+    df = spark.createDataFrame([(n, f"write to {a} now") for n, a in enumerate(addresses)], "doc_id bigint, text string")
+    found = [r["entities"][0]["surrogate"] for r in replace_entities(df, key="k").select("entities").collect()]
+    assert len(set(found)) == 400 and not set(found) & set(addresses)
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.de", s) for s in found)
+
+
+def test_numbers_of_a_used_up_shape_become_its_mask(spark, monkeypatch):
+    monkeypatch.setattr(pii, "MAX_ATTEMPTS", 2)
+    entities = spark.createDataFrame([("card", str(n)) for n in range(10)], "kind string, normal string")
+    found = {r["normal"]: r["surrogate"] for r in pii.surrogate_table(entities, "k").collect()}
+    assert found == dict.fromkeys(map(str, range(10)), "0")
+
+
+# Exact dedup
+
+
+def test_a_batch_that_ends_before_its_answers_can_be_run_again(spark, tmp_path, monkeypatch):
+    index = exact_dedup.DigestIndex(spark, "digests_run_again", str(tmp_path / "index"), buckets=4)
+    batch = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "doc_id bigint, text string")
+    answers = lambda name: {r["doc_id"]: (r["kept"], r["keep_id"]) for r in exact_dedup.dedup_batch(batch, index, batch=name).collect()}
+    with monkeypatch.context() as patch:
+        patch.setattr(exact_dedup, "lookup", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            answers("first")
+    assert index.entries().count() == 2
+    want = {1: (False, 3), 2: (True, 2), 3: (True, 3)}
+    assert answers("first") == want and answers("first") == want and index.entries().count() == 2
+    assert answers("second") == {1: (False, 3), 2: (False, 2), 3: (False, 3)}
+    spark.sql("drop table digests_run_again")
+
+
+def test_a_table_on_its_own_leaves_no_table_behind(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    assert exact_dedup.dedup_exact(spark.createDataFrame([(1, "a")], "doc_id bigint, text string")).count() == 1
+    assert {t.name for t in spark.catalog.listTables()} == before
