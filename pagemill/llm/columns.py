@@ -5,12 +5,15 @@ from __future__ import annotations
 import string
 from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 # The white space and the letters of the contracts.
 WHITE = " \t\n\x0b\x0c\r"
 NO_WHITE = r"[^\x20\x09-\x0D]"
 WHITE_RUN = r"[\x20\x09-\x0D]+"
+# Bits of one bitmap of Spark; sizes of bitmaps are multiples of it.
+BITMAP_ROW = 32768
 # A hot key is dealt to this many groups.
 SALTS = 256
 
@@ -55,3 +58,16 @@ def lookup(
     present = salted.select(*key, "_salt").distinct()
     dealt = present.join(answers, list(key))
     return salted.join(dealt, [*key, "_salt"], how).drop("_salt")
+
+
+def member_bitmap(bits: DataFrame, size: int) -> np.ndarray:
+    """Which numbers below ``size`` the column ``bit`` holds. The driver gets at most ``size / 8`` bytes, whatever the rows."""
+    counted = bits.select((F.col("bit") + 1).alias("bit"))
+    rows = counted.groupBy(F.expr("bitmap_bucket_number(bit)").alias("bucket")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bitmap")
+    )
+    whole = np.zeros((size // BITMAP_ROW, BITMAP_ROW), dtype=bool)
+    for bucket, bitmap in rows.collect():
+        # Buckets count from 1.
+        whole[bucket - 1] = np.unpackbits(np.frombuffer(bitmap, dtype=np.uint8), bitorder="little")
+    return whole.ravel()

@@ -1,23 +1,24 @@
 """Near-duplicate documents by an inverted join of MinHash signature coordinates.
 
 A document is its set of word shingles. Documents with equal sets are one class; a class posts
-itself under coordinate-value pairs of its MinHash signature. Two classes that agree in
-``MIN_MATCHES`` of ``COORDINATES`` values share one of the rarest ``COORDINATES - MIN_MATCHES + 1``
-values of either (prefix filter in order of rarity), so only those are posted and long
-lists, which boilerplate makes, are skipped. Postings that overlap form clusters; inside
-a cluster, cut into cells of bounded size, collisions are counted on the signatures and what is left
-is confirmed on the full sets. A cell returns a spanning set of links, never all pairs.
+itself under coordinate-value pairs of its MinHash signature. Two classes that agree in enough coordinates share
+one of the rarest values of either (prefix filter in order of rarity), so only those are posted and long lists, which
+boilerplate makes, are skipped. Lists are merged into pairs in two steps. First every class meets the one smaller
+class that is the center of most of its lists, which connects a group of copies of any size by as many pairs as it
+has members. Then a class that is not connected to most of a list meets the others there, and pairs inside a connected part are
+never made. Pairs count their equal coordinates; those that reach the threshold are confirmed on the full sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pagemill.llm.columns import lookup, whole_text
+from pagemill.llm.columns import lookup, member_bitmap, whole_text
 from pagemill.llm.components import components
 from pagemill.llm.hashing import lower_ascii, mix, shingles, text_buffers, word_hashes
 from pagemill.session import written
@@ -25,19 +26,22 @@ from pagemill.session import written
 SHINGLE_WORDS = 3
 MIN_SIMILARITY = 85  # percent
 COORDINATES = 64
-MIN_MATCHES = 42
-# Bounds of one block of a cluster; a cell compares two blocks.
-BLOCK_DOCUMENTS = 256
-BLOCK_SHINGLES = 1 << 18
-COLUMN_TILE = 4096
+# The match threshold lies so many standard deviations below what a pair at the least similarity has on average.
+DEVIATIONS = 4.3
+# Partners of one part of a long list.
+LIST_BLOCK = 1024
+# Steps from a class to the center of its center.
+JUMPS = 2
+# Bits of the bitmap of documents whose sets are needed.
+BITMAP_BITS = 1 << 24
 
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
 _OFFSETS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) << np.uint64(32))
 
 
-def _sets(text: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
+def _sets(text: pa.Array, size: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     for row, data, offsets in text_buffers(text):
-        yield row, shingles(*word_hashes(lower_ascii(data), offsets), SHINGLE_WORDS)
+        yield row, shingles(*word_hashes(lower_ascii(data), offsets), size)
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -57,199 +61,202 @@ def _arrays(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document the size and a 128-bit digest of its set and, if any, the posted values."""
-    for batch in batches:
-        ids = batch.column("doc_id")
-        for row, sets in _sets(batch.column("text")):
-            full = [s for s in sets if len(s)]
-            values = iter(signatures(full) if full else [])
-            posted = [next(values) if len(s) else s for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids.slice(row, len(sets)),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(np.array([s.sum(dtype=np.uint64) for s in sets]).view(np.int64)),
-                    pa.array(np.array([mix(s ^ np.uint64(77)).sum(dtype=np.uint64) for s in sets]).view(np.int64)),
-                    _arrays(posted),
-                ],
-                names=["doc_id", "n_shingles", "digest_a", "digest_b", "posted"],
-            )
-
-
-def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace the text by its shingle set."""
-    for batch in batches:
-        for row, sets in _sets(batch.column("text")):
-            part = batch.slice(row, len(sets)).drop_columns(["text"])
-            yield pa.RecordBatch.from_arrays([*part.columns, _arrays(sets)], names=[*part.schema.names, "shingles"])
-
-
-def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections of a block of sets with another, by sums over shared shingles."""
-    sizes = [len(s) for s in left] + [len(s) for s in right]
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    _, column, count = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
-    shared = count[column] > 1
-    owner, column = owner[shared], column[shared]
-    number = np.cumsum(count > 1) - 1
-    column = number[column]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    total = np.zeros((len(left), len(right)), dtype=np.float32)
-    for first in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMN_TILE):
-        a, b = np.searchsorted(column, [first, first + COLUMN_TILE])
-        tile = np.zeros((len(sizes), COLUMN_TILE), dtype=np.float32)
-        tile[owner[a:b], column[a:b] - first] = 1
-        total += tile[: len(left)] @ tile[len(left) :].T
-    return total
-
-
-def _linked(left: list[dict], right: list[dict]) -> np.ndarray:
-    """Which pairs of two blocks collide often enough and are confirmed on their full sets."""
-    a, b = (np.array([r["posted"] for r in side], dtype=np.int64) for side in (left, right))
-    matches = np.zeros((len(left), len(right)), dtype=np.int16)
-    for k in range(a.shape[1]):
-        matches += a[:, k, None] == b[None, :, k]
-    candidates = matches >= MIN_MATCHES
-    rows, columns = np.flatnonzero(candidates.any(axis=1)), np.flatnonzero(candidates.any(axis=0))
-    result = np.zeros_like(candidates)
-    if len(rows) and len(columns):
-        x, y = [left[i]["shingles"] for i in rows], [right[j]["shingles"] for j in columns]
-        common = _overlaps(x, y)
-        union = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])[None, :] - common
-        result[np.ix_(rows, columns)] = 100 * common >= MIN_SIMILARITY * union
-    return result & candidates
-
-
-def _spanning(nodes: list[int], linked: np.ndarray) -> list[tuple[int, int]]:
-    """One link for each node but the smallest of every group of linked nodes."""
-    found, seen = [], np.zeros(len(nodes), dtype=bool)
-    for root in np.argsort(nodes, kind="stable"):
-        front = [] if seen[root] else [root]
-        seen[root] = True
-        while front:
-            new = np.flatnonzero(linked[front.pop()] & ~seen)
-            seen[new] = True
-            front.extend(new)
-            found.extend((nodes[i], nodes[root]) for i in new)
-    return found
-
-
-def _cell_links(members: list[dict]) -> list[tuple[int, int]]:
-    left = [m for m in members if m["block"] == members[0]["cell_low"]]
-    right = [m for m in members if m["block"] == members[0]["cell_high"]]
-    if members[0]["cell_low"] == members[0]["cell_high"]:
-        return _spanning([m["rep"] for m in left], _linked(left, left))
-    every = np.zeros((len(left) + len(right),) * 2, dtype=bool)
-    if left and right:
-        every[: len(left), len(left) :] = _linked(left, right)
-        every |= every.T
-    return _spanning([m["rep"] for m in left + right], every)
-
-
-CELL = ["cluster", "cell_low", "cell_high"]
-
-
-def _search_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by cell; one cell is held at a time."""
-    def links_of(rows: list[dict]) -> pa.RecordBatch:
-        links = _cell_links(rows) if len(rows) > 1 else []
-        return pa.RecordBatch.from_arrays(
-            [pa.array([x[n] for x in links], pa.int64()) for n in (0, 1)], names=["u", "v"]
-        )
-
-    cell, rows = None, []
-    for batch in batches:
-        plain = batch.drop_columns(["posted", "shingles"]).to_pylist()
-        lists = {n: batch.column(n) for n in ("posted", "shingles")}
-        for i, row in enumerate(plain):
-            for name, column in lists.items():
-                row[name] = column[i].values.to_numpy()
-            if cell != (cell := tuple(row[c] for c in CELL)) and rows:
-                yield links_of(rows)
-                rows = []
-            rows.append(row)
-    if rows:
-        yield links_of(rows)
-
-
-def _prefix_postings(classes: DataFrame) -> DataFrame:
+def _digests(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Size and a 128-bit digest of each set."""
+    return [
+        pa.array([len(s) for s in sets], pa.int64()),
+        pa.array(np.array([s.sum(dtype=np.uint64) for s in sets]).view(np.int64)),
+        pa.array(np.array([mix(s ^ np.uint64(77)).sum(dtype=np.uint64) for s in sets]).view(np.int64)),
+    ]
+
+
+KEYS = ["n_shingles", "digest_a", "digest_b"]
+
+
+def _sketch(size: int) -> Callable:
+    """Per document the size and digest of its set and, if any, the posted values."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id")
+            for row, sets in _sets(batch.column("text"), size):
+                full = [s for s in sets if len(s)]
+                values = iter(signatures(full) if full else [])
+                posted = [next(values) if len(s) else s for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(row, len(sets)), *_digests(sets), _arrays(posted)], names=["doc_id", *KEYS, "posted"]
+                )
+
+    return run
+
+
+def _shingle_sets(bitmap: np.ndarray, size: int) -> Callable:
+    """Digest and set of the documents whose bit is set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(bitmap[np.asarray(batch.column("bit"))]))
+            ids = batch.column("doc_id")
+            for row, sets in _sets(batch.column("text"), size):
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(row, len(sets)), *_digests(sets), _arrays(sets)], names=["rep", *KEYS, "shingles"]
+                )
+
+    return run
+
+
+def least_matches(similarity: int) -> int:
+    """Equal coordinates that a pair of this similarity has but for about one pair in 100,000."""
+    share = similarity / 100
+    return math.floor(COORDINATES * share - DEVIATIONS * math.sqrt(COORDINATES * share * (1 - share)))
+
+
+def prefix_postings(classes: DataFrame, min_matches: int) -> DataFrame:
     """``rep, value``: the rarest values of each class, as many as the match threshold needs."""
     postings = classes.select("rep", F.explode("posted").alias("value"))
     frequency = postings.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     common = lookup(postings, frequency, ["value"], ["rep"], "inner")
     ranked = common.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "value"))).alias("values"))
     # Values of a single class are the rarest; they need not be posted.
-    left = COORDINATES - MIN_MATCHES + 1 - (COORDINATES - F.size("values"))
+    left = COORDINATES - min_matches + 1 - (COORDINATES - F.size("values"))
     return ranked.where(left > 0).select("rep", F.explode(F.slice("values", F.lit(1), left)).alias("p")).select(
         "rep", "p.value"
     )
 
 
-def find_links(documents: DataFrame, classes: DataFrame) -> DataFrame:
-    """``u, v``: links that connect all classes whose sets are similar enough."""
-    posted = _prefix_postings(classes)
+def center_pairs(posted: DataFrame) -> DataFrame:
+    """``a, b``: each class with one smaller one, that which is the center of most of its lists.
+
+    The center of a list is its smallest class, so a list of any length yields no more pairs than it has members.
+    """
     centers = posted.groupBy("value").agg(F.min("rep").alias("center"), F.max("rep").alias("other"))
     centers = centers.where("center < other").select("value", "center")
     touching = lookup(posted, centers, ["value"], ["rep"], "inner").where("rep <> center")
-    clusters = components(touching.select("rep", "center"), "rep", "center")
-    members = clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster")).join(
-        classes.select("rep", "n_shingles", "posted"), "rep"
+    counted = touching.groupBy("rep", "center").agg(F.count(F.lit(1)).alias("n"))
+    best = F.min_by("center", F.struct(-F.col("n"), F.col("center")))
+    return counted.groupBy(F.col("rep").alias("a")).agg(best.alias("b"))
+
+
+def center_labels(links: DataFrame) -> DataFrame:
+    """``rep, label`` of the classes linked to a center; equal labels are connected.
+
+    Every class has one link at most, to a smaller one, so a label is found by steps upward. A label that would need more
+    steps only leaves some connected pairs to be looked at.
+    """
+    step = links.select(F.col("a").alias("label"), F.col("b").alias("above"))
+    labels = links.select(F.col("a").alias("rep"), F.col("b").alias("label"))
+    for _ in range(JUMPS):
+        labels = lookup(labels, step, ["label"], ["rep"]).select("rep", F.coalesce("above", "label").alias("label"))
+    return labels
+
+
+def open_pairs(posted: DataFrame, labels: DataFrame) -> DataFrame:
+    """``a, b``: classes that meet in a list and are not known to be connected, each pair once.
+
+    In a list, only classes outside of its most frequent label look for partners, since those inside are connected
+    already. Long lists are split by partner.
+    """
+    labelled = posted.join(labels, "rep", "left").select("value", "rep", F.coalesce("label", "rep").alias("label"))
+    by_label = labelled.groupBy("value", "label").agg(F.count(F.lit(1)).alias("n"))
+    lists = by_label.groupBy("value").agg(
+        F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("n"), F.max("n").alias("top")
+    ).where("n > top")
+    lists = lists.select("value", "most", F.ceil(F.col("n") / LIST_BLOCK).cast("int").alias("blocks"))
+    members = lookup(labelled, lists, ["value"], ["rep"], "inner")
+    seekers = members.where("label <> most").select(
+        "value", F.col("rep").alias("x"), F.col("label").alias("x_label"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
     )
-    sizes = members.groupBy("cluster").agg(
-        F.ceil(
-            F.greatest(F.count(F.lit(1)) / BLOCK_DOCUMENTS, F.sum("n_shingles") / BLOCK_SHINGLES)
-        ).cast("int").alias("blocks")
+    partners = members.select(
+        "value", F.col("rep").alias("y"), F.col("label").alias("y_label"), (F.col("label") == F.col("most")).alias("inside"),
+        F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"),
     )
-    members = lookup(members, sizes, ["cluster"], ["rep"], "inner")
-    placed = members.select(
-        "rep", "cluster", "posted", "blocks", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block")
+    met = seekers.join(partners, ["value", "block"]).where("x_label <> y_label and (inside or x < y)")
+    return met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+
+
+def _meet(pairs: DataFrame, answers: DataFrame, column: str) -> DataFrame:
+    """Both classes of every pair with their ``column``, however many pairs a class is in."""
+    for one, other in (("a", "b"), ("b", "a")):
+        named = answers.select(F.col("rep").alias(one), F.col(column).alias(f"{one}_{column}"))
+        pairs = lookup(pairs, named, [one], [other], "inner")
+    return pairs
+
+
+def colliding(pairs: DataFrame, classes: DataFrame, min_matches: int) -> DataFrame:
+    """The pairs with enough equal coordinates, counted on a byte of each, since equal values have equal bytes."""
+    marks = F.transform("posted", lambda v: F.shiftright(v, 56).cast("tinyint"))
+    met = _meet(pairs, classes.select("rep", marks.alias("marks")), "marks")
+    equal = F.zip_with("a_marks", "b_marks", lambda x, y: (x == y).cast("int"))
+    return met.where(F.aggregate(equal, F.lit(0), lambda n, e: n + e) >= min_matches).select("a", "b")
+
+
+def confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame, size: int, similarity: int) -> DataFrame:
+    """The pairs whose full sets are similar enough. No text is shuffled, and no sets but those of classes in some pair.
+
+    A bitmap of a fixed number of bits passes over most other documents; what it lets through falls in the join.
+    """
+    pairs = written(pairs, "pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    bit = lambda name: F.pmod(F.xxhash64(name), F.lit(BITMAP_BITS)).alias("bit")
+    bitmap = documents.sparkSession.sparkContext.broadcast(member_bitmap(wanted.select(bit("rep")), BITMAP_BITS))
+    found = documents.select("doc_id", "text", bit("doc_id")).mapInArrow(
+        lambda batches: _shingle_sets(bitmap.value, size)(batches),
+        "rep long, n_shingles long, digest_a long, digest_b long, shingles array<long>",
     )
     # Equal ids with other texts are told apart by the class they were sketched to.
-    texts = documents.select(F.col("doc_id").alias("rep"), "text").join(placed, "rep")
-    schema = "rep long, cluster long, posted array<long>, blocks int, block int"
-    sets = texts.select("rep", "cluster", "posted", "blocks", "block", "text").mapInArrow(
-        _with_sets, f"{schema}, shingles array<long>"
-    )
-    cells = sets.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "rep", "cluster", "posted", "block", "shingles",
-        F.least("block", "other").alias("cell_low"), F.greatest("block", "other").alias("cell_high"),
-    )
-    dealt = cells.repartition(*CELL).sortWithinPartitions(*CELL, "block", "rep")
-    return dealt.mapInArrow(_search_cells, "u long, v long")
+    asked = classes.select("rep", *KEYS).join(wanted, "rep", "left_semi")
+    sets = written(found.join(asked, ["rep", *KEYS], "left_semi").dropDuplicates(["rep"]).select("rep", "shingles"), "sets")
+    met = _meet(pairs, sets, "shingles")
+    common = F.size(F.array_intersect("a_shingles", "b_shingles"))
+    total = F.size("a_shingles") + F.size("b_shingles")
+    return met.where(common * (100 + similarity) >= total * similarity).select("a", "b")
+
+
+def find_links(documents: DataFrame, classes: DataFrame, size: int, similarity: int) -> DataFrame:
+    """``a, b``: links that connect all classes whose sets are similar enough."""
+    min_matches = least_matches(similarity)
+    posted = written(prefix_postings(classes, min_matches), "posted")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return written(confirmed(colliding(pairs, classes, min_matches), documents, classes, size, similarity), "links")
+
+    to_centers = linked(center_pairs(posted))
+    return to_centers.union(linked(open_pairs(posted, center_labels(to_centers))))
 
 
-def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    size: int = SHINGLE_WORDS,
+    similarity: int = MIN_SIMILARITY,
+) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every id of ``df``.
 
-    Documents are linked where their sets of distinct windows of three words have a Jaccard
-    similarity of at least 85 percent; the component is named by its smallest id, the row that stays.
+    Documents are linked where their sets of distinct windows of ``size`` words have a Jaccard
+    similarity of at least ``similarity`` percent; the component is named by its smallest id, the row that stays.
 
     NULL, empty and blank texts have an empty set and are linked with nothing. Rows without an
     id are linked with nothing, have no component and stay. Rows with the same id are one
-    document: if their texts differ, the one whose set comes first by digest stands for the id. An
-    empty table gives no rows.
+    document: if their texts differ, the one whose set comes first by digest stands for the id. A very long text is one set
+    of a task. Other columns are passed over, and an empty table gives no rows.
     """
     documents = df.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text).alias("text"))
     sketch = written(
         documents.mapInArrow(
-            _sketch, "doc_id long, n_shingles long, digest_a long, digest_b long, posted array<long>"
+            _sketch(size), "doc_id long, n_shingles long, digest_a long, digest_b long, posted array<long>"
         ),
         "sketch",
     )
-    keys = ["digest_a", "digest_b"]
     sets = sketch.where("n_shingles > 0 and doc_id is not null")
     classes = written(
-        sets.groupBy(*keys, "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("posted").alias("posted")),
-        "classes",
+        sets.groupBy(*KEYS).agg(F.min("doc_id").alias("rep"), F.first("posted").alias("posted")), "classes"
     )
-    links = find_links(documents.where("doc_id is not null"), classes)
-    named = components(links, "u", "v").select(F.col("node").alias("rep"), "component")
-    answers = classes.select(*keys, "rep").join(named, "rep", "left")
-    answers = answers.select(*keys, F.coalesce("component", "rep").alias("component_id"))
-    ids = sketch.select("doc_id", "n_shingles", *keys)
-    linked = lookup(ids.where("n_shingles > 0 and doc_id is not null"), answers, keys, ["doc_id"])
+    links = find_links(documents.where("doc_id is not null"), classes, size, similarity)
+    named = components(links, "a", "b").select(F.col("node").alias("rep"), "component")
+    answers = classes.select(*KEYS, "rep").join(named, "rep", "left")
+    answers = answers.select(*KEYS, F.coalesce("component", "rep").alias("component_id"))
+    ids = sketch.select("doc_id", *KEYS)
+    linked = lookup(ids.where("n_shingles > 0 and doc_id is not null"), answers, KEYS, ["doc_id"])
     alone = ids.where("n_shingles = 0 or doc_id is null").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", "n_shingles", "component_id"]
     return linked.select(*columns).union(alone.select(*columns)).withColumn(

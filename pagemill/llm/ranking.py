@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pagemill.llm.columns import whole_text
+from pagemill.llm.columns import member_bitmap, whole_text
 from pagemill.llm.hashing import RangeHash, lower_ascii, text_buffers
 from pagemill.session import written
 
@@ -25,9 +25,8 @@ IMPACT, SATURATION, LENGTH_SHARE = 1_000_000_000, 8, 75
 # No impact reaches this.
 MOST_IMPACT = 1_000_000
 EXACT = 1 << 53
-# Bits of the bitmap of item terms, a multiple of the bits of one bitmap row.
+# Bits of the bitmap of item terms.
 BITMAP_BITS = 1 << 21
-BITMAP_ROW = 32768
 # Sizes of blocks and tiles: distinct terms of all rows, items, terms and rows of one dense tile.
 BLOCK_TERMS = 1 << 20
 ITEM_TILE = 256
@@ -68,7 +67,7 @@ def _bits(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 def _term_rows(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """Columns of ``batches`` but the text, number of terms, distinct terms that pass the bitmap, their counts.
 
-    Without a bitmap all terms pass, and the rows also hold the bits of their terms, counted from 1.
+    Without a bitmap all terms pass, and the rows also hold the bits of their terms.
     """
     for batch in batches:
         text = batch.column("text")
@@ -89,25 +88,12 @@ def _term_rows(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray | None) ->
             found[1:] = [pa.ListArray.from_arrays(pa.array(offsets), c) for c in found[1:]]
             names = ["n", "terms", "tfs"]
             if bitmap is None:
-                found.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(bits[index] + 1)))
+                found.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(bits[index])))
                 names.append("bits")
             part = rest.slice(first, rows)
             yield pa.RecordBatch.from_arrays([*part.columns, *found], names=[*part.schema.names, *names])
 
 
-def _bitmap(items: DataFrame) -> np.ndarray:
-    """Which hashes the terms of the items have: bits that the driver gets in a fixed number of rows."""
-    bit = items.select(F.explode("bits").alias("bit"))
-    found = bit.groupBy(F.expr("bitmap_bucket_number(bit)").alias("bucket")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bitmap")
-    )
-    whole = np.zeros((BITMAP_BITS // BITMAP_ROW, BITMAP_ROW), dtype=bool)
-    for bucket, bitmap in found.collect():
-        # Buckets count from 1.
-        whole[bucket - 1] = np.unpackbits(np.frombuffer(bitmap, dtype=np.uint8), bitorder="little")
-    return whole.ravel()
-
-
 def _vocabulary_tiles(terms: np.ndarray, items: np.ndarray, weights: np.ndarray, n_items: int) -> Iterator[tuple[int, int]]:
     """Ranges of terms, at most ``VOCABULARY_TILE`` wide, in which no item's sum can reach 2^53.
 
@@ -225,7 +211,8 @@ def rank_documents(
         ),
         "item_terms",
     )
-    bitmap = spark.sparkContext.broadcast(_bitmap(asked))
+    bits = asked.select(F.explode("bits").alias("bit"))
+    bitmap = spark.sparkContext.broadcast(member_bitmap(bits, BITMAP_BITS))
     texts = documents.select(F.col(doc_id).cast("long").alias("doc"), whole_text(text).alias("text"))
     sketch = written(
         texts.mapInArrow(lambda batches: _term_rows(batches, bitmap.value), f"doc long, {counts}"), "document_terms"

@@ -290,13 +290,13 @@ def test_urls_like_by_hand(spark):
 # Near duplicates
 
 
-def shingles_by_hand(text):
+def shingles_by_hand(text, size=3):
     words = WORD.findall((text or "").translate(LOWER))
-    return {tuple(words[i : i + 3]) for i in range(len(words) - 2)} or ({tuple(words)} if words else set())
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} or ({tuple(words)} if words else set())
 
 
-def components_by_hand(texts):
-    sets = {n: shingles_by_hand(t) for n, t in texts.items()}
+def components_by_hand(texts, size=3, similarity=85):
+    sets = {n: shingles_by_hand(t, size) for n, t in texts.items()}
     parent = {n: n for n in texts}
 
     def root(x):
@@ -306,19 +306,51 @@ def components_by_hand(texts):
 
     for a in sets:
         for b in sets:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
                 x, y = root(a), root(b)
                 parent[max(x, y)] = min(x, y)
     return {n: (len(sets[n]), root(n)) for n in texts}
 
 
-@pytest.mark.parametrize("block", [256, 4])
-def test_near_duplicates_like_by_hand(spark, block, monkeypatch):
-    monkeypatch.setattr(near_dedup, "BLOCK_DOCUMENTS", block)
+@pytest.mark.parametrize(("block", "size", "similarity"), [(1024, 3, 85), (4, 3, 85), (4, 5, 80)])
+def test_near_duplicates_like_by_hand(spark, block, size, similarity, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LIST_BLOCK", block)
     texts = [*mixed_texts(n=90), "A b", "a B", "a", "one two three", "one two three four"]
+    found = near_duplicates(small(spark, texts), size=size, similarity=similarity).collect()
+    assert {r[0]: (r[1], r[2]) for r in found} == components_by_hand(dict(enumerate(texts)), size, similarity)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
+
+
+def test_links_beside_the_center_of_a_group_are_found(spark):
+    # Each text changes one more part of the one before, so that far ones are linked through others only.
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    texts = []
+    for n in range(40):
+        texts.append(" ".join(base))
+        base[9 * n % 400 : 9 * n % 400 + 9] = [f"n{rng.randrange(10**6)}" for _ in range(9)]
+    random.Random(1).shuffle(texts)
     found = near_duplicates(small(spark, texts)).collect()
     assert {r[0]: (r[1], r[2]) for r in found} == components_by_hand(dict(enumerate(texts)))
-    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
+
+
+def test_a_large_group_of_near_copies_makes_few_pairs(spark):
+    rng = random.Random(2)
+    base = [f"w{n}" for n in range(200)]
+    texts = []
+    for n in range(600):
+        copy = list(base)
+        copy[rng.randrange(200)] = f"own{n}"
+        texts.append(" ".join(copy))
+    documents = small(spark, texts)
+    sketch = documents.mapInArrow(near_dedup._sketch(3), "doc_id long, n_shingles long, digest_a long, digest_b long, posted array<long>")
+    classes = sketch.groupBy(*near_dedup.KEYS).agg(F.min("doc_id").alias("rep"), F.first("posted").alias("posted")).cache()
+    posted = near_dedup.prefix_postings(classes, near_dedup.least_matches(85)).cache()
+    pairs = near_dedup.center_pairs(posted)
+    assert pairs.count() < 600
+    links = near_dedup.confirmed(pairs, documents, classes, 3, 85).cache()
+    assert near_dedup.open_pairs(posted, near_dedup.center_labels(links)).count() < 6000
+    assert near_duplicates(documents).select("component_id").distinct().count() == 1
 
 
 def test_near_duplicates_of_nasty_rows(edge, nothing):
