@@ -61,13 +61,20 @@ def lookup(
 
 
 def member_bitmap(bits: DataFrame, size: int) -> np.ndarray:
-    """Which numbers below ``size`` the column ``bit`` holds. The driver gets at most ``size / 8`` bytes, whatever the rows."""
+    """Bytes whose bits tell which numbers below ``size`` the column ``bit`` holds.
+
+    The driver gets at most ``size / 8`` bytes, whatever the rows; see :func:`is_member`.
+    """
     counted = bits.select((F.col("bit") + 1).alias("bit"))
     rows = counted.groupBy(F.expr("bitmap_bucket_number(bit)").alias("bucket")).agg(
         F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bitmap")
     )
-    whole = np.zeros((size // BITMAP_ROW, BITMAP_ROW), dtype=bool)
+    whole = np.zeros((size // BITMAP_ROW, BITMAP_ROW // 8), dtype=np.uint8)
     for bucket, bitmap in rows.collect():
         # Buckets count from 1.
-        whole[bucket - 1] = np.unpackbits(np.frombuffer(bitmap, dtype=np.uint8), bitorder="little")
+        whole[bucket - 1] = np.frombuffer(bitmap, dtype=np.uint8)
     return whole.ravel()
+
+
+def is_member(bitmap: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return (bitmap[bits >> 3] >> (bits & 7).astype(np.uint8) & 1).astype(bool)

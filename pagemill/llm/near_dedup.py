@@ -5,8 +5,10 @@ itself under coordinate-value pairs of its MinHash signature. Two classes that a
 one of the rarest values of either (prefix filter in order of rarity), so only those are posted and long lists, which
 boilerplate makes, are skipped. Lists are merged into pairs in two steps. First every class meets the one smaller
 class that is the center of most of its lists, which connects a group of copies of any size by as many pairs as it
-has members. Then a class that is not connected to most of a list meets the others there, and pairs inside a connected part are
-never made. Pairs count their equal coordinates; those that reach the threshold are confirmed on the full sets.
+has members. What is left are lists with classes that are not connected yet. Overlapping lists form clusters; in a cluster, only classes
+outside of its largest connected part look for partners, in cells of two blocks of bounded size. A cell posts its classes
+again, merges the lists of its values into counts of equal coordinates, and confirms on the full sets what reaches the threshold and is
+not connected. It returns a spanning set of links, never all pairs.
 """
 
 from __future__ import annotations
@@ -16,9 +18,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pagemill.llm.columns import lookup, member_bitmap, whole_text
+from pagemill.llm.columns import is_member, lookup, member_bitmap, whole_text
 from pagemill.llm.components import components
 from pagemill.llm.hashing import lower_ascii, mix, shingles, text_buffers, word_hashes
 from pagemill.session import written
@@ -28,8 +30,10 @@ MIN_SIMILARITY = 85  # percent
 COORDINATES = 64
 # The match threshold lies so many standard deviations below what a pair at the least similarity has on average.
 DEVIATIONS = 4.3
-# Partners of one part of a long list.
-LIST_BLOCK = 1024
+# Bounds of one block of a cluster; a cell compares two blocks.
+BLOCK_DOCUMENTS = 256
+BLOCK_SHINGLES = 1 << 18
+COLUMN_TILE = 4096
 # Steps from a class to the center of its center.
 JUMPS = 2
 # Bits of the bitmap of documents whose sets are needed.
@@ -93,7 +97,7 @@ def _shingle_sets(bitmap: np.ndarray, size: int) -> Callable:
     """Digest and set of the documents whose bit is set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.array(bitmap[np.asarray(batch.column("bit"))]))
+            batch = batch.filter(pa.array(is_member(bitmap, np.asarray(batch.column("bit")))))
             ids = batch.column("doc_id")
             for row, sets in _sets(batch.column("text"), size):
                 yield pa.RecordBatch.from_arrays(
@@ -103,6 +107,97 @@ def _shingle_sets(bitmap: np.ndarray, size: int) -> Callable:
     return run
 
 
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of a block of sets with another, by merging the lists of shared members."""
+    sizes = [len(s) for s in left] + [len(s) for s in right]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, column, count = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+    shared = count[column] > 1
+    owner, column = owner[shared], column[shared]
+    number = np.cumsum(count > 1) - 1
+    column = number[column]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((len(left), len(right)), dtype=np.float32)
+    for first in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMN_TILE):
+        a, b = np.searchsorted(column, [first, first + COLUMN_TILE])
+        tile = np.zeros((len(sizes), COLUMN_TILE), dtype=np.float32)
+        tile[owner[a:b], column[a:b] - first] = 1
+        total += tile[: len(left)] @ tile[len(left) :].T
+    return total
+
+
+def _linked(left: list[dict], right: list[dict], min_matches: int, similarity: int) -> np.ndarray:
+    """Which pairs of two blocks are not connected yet, collide often enough and are confirmed on their full sets."""
+    labels = [np.array([r["label"] for r in side]) for side in (left, right)]
+    candidates = labels[0][:, None] != labels[1][None, :]
+    # A value holds its coordinate, so shared values are equal coordinates.
+    candidates &= _overlaps([r["posted"] for r in left], [r["posted"] for r in right]) >= min_matches
+    rows, columns = np.flatnonzero(candidates.any(axis=1)), np.flatnonzero(candidates.any(axis=0))
+    result = np.zeros_like(candidates)
+    if len(rows) and len(columns):
+        x, y = [left[i]["shingles"] for i in rows], [right[j]["shingles"] for j in columns]
+        common = _overlaps(x, y)
+        union = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])[None, :] - common
+        result[np.ix_(rows, columns)] = 100 * common >= similarity * union
+    return result & candidates
+
+
+def _spanning(nodes: list[int], linked: np.ndarray) -> list[tuple[int, int]]:
+    """One link for each node but the smallest of every group of linked nodes."""
+    found, seen = [], np.zeros(len(nodes), dtype=bool)
+    for root in np.argsort(nodes, kind="stable"):
+        front = [] if seen[root] else [root]
+        seen[root] = True
+        while front:
+            new = np.flatnonzero(linked[front.pop()] & ~seen)
+            seen[new] = True
+            front.extend(new)
+            found.extend((nodes[i], nodes[root]) for i in new)
+    return found
+
+
+def _cell_links(members: list[dict], min_matches: int, similarity: int) -> list[tuple[int, int]]:
+    left = [m for m in members if m["block"] == members[0]["cell_low"]]
+    right = [m for m in members if m["block"] == members[0]["cell_high"]]
+    if members[0]["cell_low"] == members[0]["cell_high"]:
+        return _spanning([m["rep"] for m in left], _linked(left, left, min_matches, similarity))
+    every = np.zeros((len(left) + len(right),) * 2, dtype=bool)
+    if left and right:
+        every[: len(left), len(left) :] = _linked(left, right, min_matches, similarity)
+        every |= every.T
+    return _spanning([m["rep"] for m in left + right], every)
+
+
+CELL = ["cluster", "cell_low", "cell_high"]
+
+
+def _search_cells(min_matches: int, similarity: int) -> Callable:
+    """Rows come sorted by cell; one cell is held at a time."""
+    def links_of(rows: list[dict]) -> pa.RecordBatch:
+        links = _cell_links(rows, min_matches, similarity) if len(rows) > 1 else []
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x[n] for x in links], pa.int64()) for n in (0, 1)], names=["a", "b"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, rows = None, []
+        for batch in batches:
+            plain = batch.drop_columns(["posted", "shingles"]).to_pylist()
+            lists = {n: batch.column(n) for n in ("posted", "shingles")}
+            for i, row in enumerate(plain):
+                for name, column in lists.items():
+                    row[name] = column[i].values.to_numpy()
+                if cell != (cell := tuple(row[c] for c in CELL)) and rows:
+                    yield links_of(rows)
+                    rows = []
+                rows.append(row)
+        if rows:
+            yield links_of(rows)
+
+    return run
+
+
 def least_matches(similarity: int) -> int:
     """Equal coordinates that a pair of this similarity has but for about one pair in 100,000."""
     share = similarity / 100
@@ -148,55 +243,24 @@ def center_labels(links: DataFrame) -> DataFrame:
     return labels
 
 
-def open_pairs(posted: DataFrame, labels: DataFrame) -> DataFrame:
-    """``a, b``: classes that meet in a list and are not known to be connected, each pair once.
-
-    In a list, only classes outside of its most frequent label look for partners, since those inside are connected
-    already. Long lists are split by partner.
-    """
-    labelled = posted.join(labels, "rep", "left").select("value", "rep", F.coalesce("label", "rep").alias("label"))
-    by_label = labelled.groupBy("value", "label").agg(F.count(F.lit(1)).alias("n"))
-    lists = by_label.groupBy("value").agg(
-        F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("n"), F.max("n").alias("top")
-    ).where("n > top")
-    lists = lists.select("value", "most", F.ceil(F.col("n") / LIST_BLOCK).cast("int").alias("blocks"))
-    members = lookup(labelled, lists, ["value"], ["rep"], "inner")
-    seekers = members.where("label <> most").select(
-        "value", F.col("rep").alias("x"), F.col("label").alias("x_label"),
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-    )
-    partners = members.select(
-        "value", F.col("rep").alias("y"), F.col("label").alias("y_label"), (F.col("label") == F.col("most")).alias("inside"),
-        F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"),
-    )
-    met = seekers.join(partners, ["value", "block"]).where("x_label <> y_label and (inside or x < y)")
-    return met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-
-
-def _meet(pairs: DataFrame, answers: DataFrame, column: str) -> DataFrame:
-    """Both classes of every pair with their ``column``, however many pairs a class is in."""
-    for one, other in (("a", "b"), ("b", "a")):
-        named = answers.select(F.col("rep").alias(one), F.col(column).alias(f"{one}_{column}"))
-        pairs = lookup(pairs, named, [one], [other], "inner")
-    return pairs
-
-
 def colliding(pairs: DataFrame, classes: DataFrame, min_matches: int) -> DataFrame:
-    """The pairs with enough equal coordinates, counted on a byte of each, since equal values have equal bytes."""
-    marks = F.transform("posted", lambda v: F.shiftright(v, 56).cast("tinyint"))
-    met = _meet(pairs, classes.select("rep", marks.alias("marks")), "marks")
-    equal = F.zip_with("a_marks", "b_marks", lambda x, y: (x == y).cast("int"))
+    """The pairs of classes and centers with enough equal coordinates, counted on a byte of each: equal values have equal bytes."""
+    marks = classes.select("rep", F.transform("posted", lambda v: F.shiftright(v, 56).cast("tinyint")).alias("marks"))
+    met = pairs.join(marks.select(F.col("rep").alias("a"), F.col("marks").alias("x")), "a")
+    met = lookup(met, marks.select(F.col("rep").alias("b"), F.col("marks").alias("y")), ["b"], ["a"], "inner")
+    equal = F.zip_with("x", "y", lambda x, y: (x == y).cast("int"))
     return met.where(F.aggregate(equal, F.lit(0), lambda n, e: n + e) >= min_matches).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame, size: int, similarity: int) -> DataFrame:
-    """The pairs whose full sets are similar enough. No text is shuffled, and no sets but those of classes in some pair.
+def sets_of(documents: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """``rep, shingles`` of the classes in ``wanted``. No text is shuffled, and no sets but those asked for.
 
     A bitmap of a fixed number of bits passes over most other documents; what it lets through falls in the join.
     """
-    pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    bit = lambda name: F.pmod(F.xxhash64(name), F.lit(BITMAP_BITS)).alias("bit")
+    def bit(name: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(BITMAP_BITS)).alias("bit")
+
+    wanted = wanted.select("rep").distinct()
     bitmap = documents.sparkSession.sparkContext.broadcast(member_bitmap(wanted.select(bit("rep")), BITMAP_BITS))
     found = documents.select("doc_id", "text", bit("doc_id")).mapInArrow(
         lambda batches: _shingle_sets(bitmap.value, size)(batches),
@@ -204,23 +268,75 @@ def confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame, size:
     )
     # Equal ids with other texts are told apart by the class they were sketched to.
     asked = classes.select("rep", *KEYS).join(wanted, "rep", "left_semi")
-    sets = written(found.join(asked, ["rep", *KEYS], "left_semi").dropDuplicates(["rep"]).select("rep", "shingles"), "sets")
-    met = _meet(pairs, sets, "shingles")
-    common = F.size(F.array_intersect("a_shingles", "b_shingles"))
-    total = F.size("a_shingles") + F.size("b_shingles")
+    return found.join(asked, ["rep", *KEYS], "left_semi").dropDuplicates(["rep"]).select("rep", "shingles")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The pairs of classes and centers whose full sets are similar enough; a class is in one pair, a center in many."""
+    met = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
+    met = lookup(met, sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), ["b"], ["a"], "inner")
+    common, total = F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y")
     return met.where(common * (100 + similarity) >= total * similarity).select("a", "b")
 
 
+def open_clusters(posted: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rep, cluster, label, inside`` of classes in lists with more than one label.
+
+    Lists that share a class or a label are one cluster; ``inside`` are those of its most frequent label, who are connected.
+    """
+    labelled = posted.join(labels, "rep", "left").select("value", "rep", F.coalesce("label", "rep").alias("label"))
+    lists = labelled.groupBy("value").agg(F.min("label").alias("first"), F.max("label").alias("last"))
+    members = lookup(labelled, lists.where("first < last").select("value", "first"), ["value"], ["rep"], "inner")
+    members = written(members.select("rep", "label", "first"), "open")
+    named = components(members.select("label", "first").distinct(), "label", "first")
+    # Of a label that meets no other there is nothing to compare; each class is in the cluster of its label.
+    classes = members.select("rep", "label").distinct()
+    placed = lookup(classes, named.select(F.col("node").alias("label"), F.col("component").alias("cluster")), ["label"], ["rep"], "inner")
+    sizes = placed.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
+    most = sizes.groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("most"))
+    return lookup(placed, most, ["cluster"], ["rep"], "inner").select(
+        "rep", "cluster", "label", (F.col("label") == F.col("most")).alias("inside")
+    )
+
+
+def cells_of(members: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of a cluster copied to the cells they are compared in: blocks of outsiders with each other and with blocks of insiders.
+
+    Insiders are copied once per block of outsiders, so a large connected group with a few others beside it costs little.
+    """
+    known = members.join(classes.select("rep", "n_shingles", "posted"), "rep")
+    known = written(known, "members")
+    blocks = lambda who: F.ceil(
+        F.greatest(F.count_if(who) / BLOCK_DOCUMENTS, F.sum(F.when(who, F.col("n_shingles")).otherwise(0)) / BLOCK_SHINGLES)
+    ).cast("int")
+    outside = ~F.col("inside")
+    sizes = known.groupBy("cluster").agg(blocks(outside).alias("n_out"), blocks(F.col("inside")).alias("n_in"))
+    placed = lookup(known, sizes, ["cluster"], ["rep"], "inner").where("n_out > 0")
+    # Blocks of insiders have numbers after those of outsiders.
+    own = F.when(outside, F.pmod(F.xxhash64("rep"), F.col("n_out"))).otherwise(
+        F.col("n_out") + F.pmod(F.xxhash64("rep"), F.col("n_in"))
+    )
+    last = F.when(outside, F.col("n_out") + F.col("n_in")).otherwise(F.col("n_out")) - 1
+    with_sets = placed.select("*", own.cast("int").alias("block"), last.alias("last")).join(sets, "rep")
+    return with_sets.select(
+        "rep", "cluster", "label", "block", "posted", "shingles", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other")
+    ).select(
+        "rep", "cluster", "label", "block", "posted", "shingles",
+        F.least("block", "other").alias("cell_low"), F.greatest("block", "other").alias("cell_high"),
+    )
+
+
 def find_links(documents: DataFrame, classes: DataFrame, size: int, similarity: int) -> DataFrame:
     """``a, b``: links that connect all classes whose sets are similar enough."""
     min_matches = least_matches(similarity)
     posted = written(prefix_postings(classes, min_matches), "posted")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        return written(confirmed(colliding(pairs, classes, min_matches), documents, classes, size, similarity), "links")
-
-    to_centers = linked(center_pairs(posted))
-    return to_centers.union(linked(open_pairs(posted, center_labels(to_centers))))
+    pairs = written(colliding(center_pairs(posted), classes, min_matches), "pairs")
+    sets = written(sets_of(documents, classes, pairs.select(F.explode(F.array("a", "b")).alias("rep")), size), "sets")
+    to_centers = written(confirmed(pairs, sets, similarity), "links")
+    members = written(open_clusters(posted, center_labels(to_centers)), "clusters")
+    cells = cells_of(members, classes, sets_of(documents, classes, members, size))
+    dealt = cells.repartition(*CELL).sortWithinPartitions(*CELL, "block", "rep")
+    return to_centers.union(dealt.mapInArrow(_search_cells(min_matches, similarity), "a long, b long"))
 
 
 def near_duplicates(

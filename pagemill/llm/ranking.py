@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pagemill.llm.columns import member_bitmap, whole_text
+from pagemill.llm.columns import is_member, member_bitmap, whole_text
 from pagemill.llm.hashing import RangeHash, lower_ascii, text_buffers
 from pagemill.session import written
 
@@ -77,7 +77,7 @@ def _term_rows(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray | None) ->
             counts = np.bincount(row, minlength=rows)
             bits = _bits(data, start, end)
             if bitmap is not None:
-                passed = bitmap[bits]
+                passed = is_member(bitmap, bits)
                 row, start, end, bits = row[passed], start[passed], end[passed], bits[passed]
             words = _strings(data, start, end).dictionary_encode()
             code = np.asarray(words.indices, dtype=np.int64)

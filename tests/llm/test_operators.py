@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pagemill.llm import exact_dedup, near_dedup, packing, quality, substring_dedup
+from pagemill.llm import components as components_module, exact_dedup, near_dedup, packing, quality, substring_dedup
 from pagemill.llm.components import components
 from pagemill.llm.licenses import PHRASES, scan_licenses
 from pagemill.llm.line_dedup import drop_repeated_lines
@@ -312,9 +312,9 @@ def components_by_hand(texts, size=3, similarity=85):
     return {n: (len(sets[n]), root(n)) for n in texts}
 
 
-@pytest.mark.parametrize(("block", "size", "similarity"), [(1024, 3, 85), (4, 3, 85), (4, 5, 80)])
+@pytest.mark.parametrize(("block", "size", "similarity"), [(256, 3, 85), (4, 3, 85), (4, 5, 80)])
 def test_near_duplicates_like_by_hand(spark, block, size, similarity, monkeypatch):
-    monkeypatch.setattr(near_dedup, "LIST_BLOCK", block)
+    monkeypatch.setattr(near_dedup, "BLOCK_DOCUMENTS", block)
     texts = [*mixed_texts(n=90), "A b", "a B", "a", "one two three", "one two three four"]
     found = near_duplicates(small(spark, texts), size=size, similarity=similarity).collect()
     assert {r[0]: (r[1], r[2]) for r in found} == components_by_hand(dict(enumerate(texts)), size, similarity)
@@ -348,8 +348,11 @@ def test_a_large_group_of_near_copies_makes_few_pairs(spark):
     posted = near_dedup.prefix_postings(classes, near_dedup.least_matches(85)).cache()
     pairs = near_dedup.center_pairs(posted)
     assert pairs.count() < 600
-    links = near_dedup.confirmed(pairs, documents, classes, 3, 85).cache()
-    assert near_dedup.open_pairs(posted, near_dedup.center_labels(links)).count() < 6000
+    sets = near_dedup.sets_of(documents, classes, classes, 3).cache()
+    links = near_dedup.confirmed(pairs, sets, 85).cache()
+    members = near_dedup.open_clusters(posted, near_dedup.center_labels(links)).cache()
+    # A class is copied to a cell or two, not to one per block of the group.
+    assert near_dedup.cells_of(members, classes, sets).count() < 1500
     assert near_duplicates(documents).select("component_id").distinct().count() == 1
 
 
@@ -361,7 +364,9 @@ def test_near_duplicates_of_nasty_rows(edge, nothing):
     assert all(r["component_id"] == r["doc_id"] for r in rows if r["n_shingles"] == 0)
 
 
-def test_components_of_long_chains(spark):
+@pytest.mark.parametrize("task_links", [1 << 18, 100])
+def test_components_of_long_chains(spark, monkeypatch, task_links):
+    monkeypatch.setattr(components_module, "TASK_LINKS", task_links)
     links = [(n, n + 1) for n in range(200)] + [(1000, 1001), (1001, 1002), (5, 5)] + [(2000, 2000 + n) for n in range(300)]
     random.Random(4).shuffle(links)
     found = components(spark.createDataFrame(links, "a bigint, b bigint"), "a", "b")
