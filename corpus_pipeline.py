@@ -1,4 +1,9 @@
-"""Documents to packed training sequences, one written table per stage."""
+"""Documents to packed training sequences, one written table per stage.
+
+NULL and empty texts fail the quality rules. Rows that repeat id and text pass them alike and are one row after near dedup; rows
+that repeat an id with another text stay if their texts are kept. Columns beside those used pass through all stages but the last. A table
+without rows gives no sequences.
+"""
 
 from __future__ import annotations
 
@@ -15,12 +20,17 @@ from pagemill.session import table, written
 # Targets of the mixture: present shares to these powers, and the share of all tokens to sample.
 MIX_POWERS = {"source": 0.85, "lang": 0.85, "topic": 1.0}
 MIX_BUDGET = 0.9
+# Near duplicates share this many percent of their windows of so many words.
+NEAR_WORDS, NEAR_SIMILARITY = 5, 80
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     judged = judge_quality(docs, table(spark, sf_dir, "labels"))
-    return judged.where("kept").select("input.*")
+    # As a generated row the verdict is computed before the filter; else the filter would compute it a second time.
+    generated = judged.select(F.inline(F.array(F.struct("input", "kept"))))
+    return generated.where("kept").select("input.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,14 +44,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone_id"))
-    return docs.join(gone.distinct(), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    """One document of each group of near duplicates, and one row of those that repeat id and text."""
+    judged = near_duplicates(docs, size=NEAR_WORDS, similarity=NEAR_SIMILARITY)
+    gone = judged.where("not kept").select(F.col("doc_id").alias("gone_id"))
+    docs = docs.join(gone.distinct(), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    copies = docs.groupBy("doc_id", F.xxhash64("text")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return docs if copies.isEmpty() else docs.dropDuplicates(["doc_id", "text"])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled so that token shares approach the target mixture."""
-    judged = mix_sources(docs, budget=MIX_BUDGET, powers=MIX_POWERS)
+    judged = mix_sources(docs, budget=MIX_BUDGET, powers=MIX_POWERS, tokenizer=TOKENIZER)
     gone = judged.where("not kept").select(F.col("row").alias("gone_row")).distinct()
     row = F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")))
     return docs.join(gone, row == F.col("gone_row"), "left_anti")
@@ -49,7 +62,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in its training sequence."""
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(docs, TOKENIZER)
 
 
 STAGES = [
