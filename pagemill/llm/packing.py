@@ -21,9 +21,9 @@ from pagemill.session import written
 CAPACITY = 2048
 # A bin with at most this much room left is emitted.
 SLACK = 8
-# Items of one group, and groups that meet in one of the next round.
+# Pieces of one group. A round without fewer groups than the last is tried as long as it saves this share of the bins.
 GROUP_ITEMS = 50_000
-FAN_IN = 8
+LEAST_GAIN = 1e-3
 CHUNK_CHARS = 1 << 21
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -111,9 +111,9 @@ def _pack_group(table: pa.Table, capacity: int, slack: int, level: int) -> pa.Ta
         for item in items:
             placed += [m | {"offset": m["offset"] + offset} for m in members[item]]
             offset += sizes[item]
-        rows.append((group // FAN_IN, offset, placed, offset >= capacity - slack, (level << 56) + (group << 24) + number))
-    columns = list(zip(*rows, strict=True)) or [[]] * 5
-    fields = [("group", pa.int64()), ("size", pa.int64()), ("members", table.schema.field("members").type), ("full", pa.bool_()), ("sequence_id", pa.int64())]
+        rows.append((offset, placed, offset >= capacity - slack, (level << 56) + (group << 24) + number))
+    columns = list(zip(*rows, strict=True)) or [[]] * 4
+    fields = [("size", pa.int64()), ("members", table.schema.field("members").type), ("full", pa.bool_()), ("sequence_id", pa.int64())]
     return pa.table([pa.array(c, k) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
 
@@ -125,31 +125,40 @@ def _packer(capacity: int, slack: int, level: int):
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, group_items: int = GROUP_ITEMS) -> DataFrame:
-    """Place every piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
+    """Place every piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
+
+    ``pieces`` should be a written table: its rows are dealt to groups by their number there, so equal ones are spread. The
+    underfull bins of a round are the items of the next, in as many groups as their pieces ask for, dealt
+    by hash. That ends with one group, or with bins that hardly fit together any more: a round that does not get along with
+    fewer groups and leaves nearly as many bins as there were items.
+    """
     member = F.struct("doc_id", "piece", "start", "length", "ids_crc32", F.lit(0).cast("long").alias("offset"))
-    count = pieces.count()
-    groups = max(1, -(-count // group_items))
+    left = pieces.count()
+    groups = max(1, -(-left // group_items))
     items = pieces.select(
-        F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).alias("group"),
+        F.pmod(F.monotonically_increasing_id(), F.lit(groups)).alias("group"),
         F.col("length").alias("size"),
         F.array(member).cast(f"array<{MEMBER}>").alias("members"),
     )
-    schema = f"group long, size long, members array<{MEMBER}>, full boolean, sequence_id long"
-    done, level = None, 0
+    schema = f"size long, members array<{MEMBER}>, full boolean, sequence_id long"
+    done, level, before = None, 0, groups
     while True:
-        last = groups == 1
         packed = written(items.groupBy("group").applyInArrow(_packer(capacity, slack, level), schema), f"bins_{level}")
+        bins, open_bins, open_pieces = packed.agg(
+            F.count(F.lit(1)), F.count_if(~F.col("full")),
+            F.coalesce(F.sum(F.when(~F.col("full"), F.size("members"))), F.lit(0)),
+        ).first()
+        following = max(1, -(-open_pieces // group_items))
+        stuck = level > 0 and groups >= before and bins > left * (1 - LEAST_GAIN)
+        last = groups == 1 or stuck or not open_bins
         full = packed if last else packed.where("full")
         done = full if done is None else done.union(full)
         if last:
             break
-        items = packed.where("not full").select("group", "size", "members")
-        left = items.count()
-        groups, level = -(-groups // FAN_IN), level + 1
-        if left > groups * 4 * group_items:
-            # Bins that hardly fit together: more of them per group would only fill its memory.
-            done = done.union(packed.where("not full"))
-            break
+        level, before, groups, left = level + 1, groups, following, open_bins
+        items = packed.where("not full").select(
+            F.pmod(F.xxhash64("sequence_id", F.lit(level)), F.lit(groups)).alias("group"), "size", "members"
+        )
     return done.select("sequence_id", F.explode("members").alias("m")).select(
         "m.doc_id", "m.piece", "m.start", "m.length", "m.ids_crc32", "sequence_id", "m.offset"
     )
@@ -162,8 +171,8 @@ def pack_documents(
 
     A document is its token ids followed by id 0; only longer ones are cut, into pieces of
     ``capacity`` tokens of which the first may be shorter. NULL and empty texts are the one id 0. Repeated
-    rows are packed as often as they occur; rows without an id are packed with a NULL id. An empty
-    table gives no rows. ``tokenizer`` is the path of the vocabulary, readable by all executors.
+    rows are packed as often as they occur; rows without an id are packed with a NULL id. A very long text is many pieces,
+    made by one task. Other columns are passed over, and an empty table gives no rows. ``tokenizer`` is the path of the vocabulary, readable by all executors.
     """
     pieces = written(tokenize(df, tokenizer, id_column, text, capacity, with_ids=False), "pieces")
     return pack(pieces, capacity)

@@ -19,7 +19,7 @@ SPACE, LETTER, NUMBER, OTHER = range(4)
 # Code points from here on are left to the library, with the whole text they are in.
 CLASS_LIMIT = 0x3000
 # Entries a worker remembers; beyond that it starts anew, which costs time only.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 200_000
 # What may follow an apostrophe as one pre-token.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 

@@ -24,6 +24,7 @@ from pagemill.llm.pii import replace_entities, surrogate_table
 from pagemill.llm.substring_dedup import remove_repeats
 from pagemill.llm.tokens import CachedEncoder
 from pagemill.llm.url_rules import RULE_SCHEMA, judge_urls
+from pagemill.session import written
 from tests.llm.conftest import LINE, LONG
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -153,6 +154,29 @@ def test_packing_holds_every_piece_once(spark, edge, items):
         assert used <= -(-total // 256) * 1.1 + 2
 
 
+def test_a_hundred_thousand_equal_rows_are_spread_over_groups(spark):
+    for length, fitting in ((1500, 1), (700, 2), (10, 204)):
+        pieces = written(spark.range(100_000).selectExpr(
+            "cast(null as bigint) doc_id", "0 piece", "0L start", f"{length}L length", "7L ids_crc32"
+        ), "pieces")
+        groups = pieces.groupBy(F.pmod(F.monotonically_increasing_id(), F.lit(20)).alias("group")).count().collect()
+        assert len(groups) == 20 and max(g["count"] for g in groups) < 6000
+        placed = packing.pack(pieces, group_items=5000)
+        found = placed.groupBy("sequence_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("offset").alias("places"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+        assert sum(r["n"] for r in found) == 100_000 and all(r["n"] == r["places"] and r["end"] == r["n"] * length for r in found)
+        # Every group may keep an underfull bin that fits to no other.
+        assert len(found) <= -(-100_000 // fitting) + 20
+
+
+def test_underfull_bins_of_different_groups_are_merged(spark):
+    # Pieces that fill a little over half a bin meet those that fill the rest in later rounds only.
+    pieces = written(spark.range(40_000).selectExpr(
+        "id doc_id", "0 piece", "0L start", "if(id < 20000, 1400L, 648L) length", "id ids_crc32"
+    ), "pieces")
+    placed = packing.pack(pieces, group_items=1000)
+    assert placed.select("sequence_id").distinct().count() <= 20_000 * 1.01
+
+
 def test_sequences_hold_the_ids(spark, nothing):
     df = small(spark, mixed_texts())
     placed = packing.pack_documents(df, VOCABULARY, capacity=128)
