@@ -18,7 +18,7 @@ from pagemill.llm.hashing import _BASE, mix
 SPACE, LETTER, NUMBER, OTHER = range(4)
 # Code points from here on are left to the library, with the whole text they are in.
 CLASS_LIMIT = 0x3000
-# Entries a worker remembers; beyond that it starts anew, which costs time only.
+# Entries a worker remembers; beyond that it forgets the rare ones, which costs time only.
 CACHE_ENTRIES = 200_000
 # What may follow an apostrophe as one pre-token.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -61,13 +61,26 @@ class CachedEncoder:
         self.codes = mix(np.arange(1, CLASS_LIMIT + 2, dtype=np.uint64))
         self.powers = self.inverse = np.ones(1, dtype=np.uint64)
         self.end_id = end_id
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[int, int] = {}
         # Entry 0 is the end of a document.
         self.flat = np.array([self.end_id], dtype=np.uint32)
         self.first, self.count = np.zeros(1, dtype=np.int64), np.ones(1, dtype=np.int64)
+        # Calls in which an entry was met.
+        self.met = np.ones(1, dtype=np.int64)
+
+    def _forget(self) -> None:
+        """Drop entries that were met in one call only, or all if that leaves too many."""
+        stays = self.met > 1
+        if stays.sum() > CACHE_ENTRIES // 2:
+            stays[:] = False
+        stays[0] = True
+        kept = np.flatnonzero(stays)
+        number = np.cumsum(stays) - 1
+        self.known = {h: int(number[e]) for h, e in self.known.items() if stays[e]}
+        counts = self.count[kept]
+        first = np.cumsum(counts) - counts
+        self.flat = self.flat[np.repeat(self.first[kept] - first, counts) + np.arange(counts.sum())]
+        self.first, self.count, self.met = first, counts, np.ones(len(kept), dtype=np.int64)
 
     def _borders(self, points: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Where pre-tokens start."""
@@ -104,6 +117,7 @@ class CachedEncoder:
         self.known.update(zip(hashes, range(len(self.first), len(self.first) + len(words)), strict=True))
         self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(coded), dtype=np.uint32)])
         self.first, self.count = np.concatenate([self.first, first]), np.concatenate([self.count, counts])
+        self.met = np.concatenate([self.met, np.zeros(len(words), dtype=np.int64)])
 
     def _hashes(self, points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         n = len(points) + 1
@@ -139,7 +153,9 @@ class CachedEncoder:
         new = [(h, p) for h, p in zip(distinct.tolist(), place.tolist(), strict=True) if h not in self.known]
         if new:
             self._learn([h for h, _ in new], [joined[starts[p] : stops[p]] for _, p in new])
-        entry = np.fromiter((self.known[h] for h in distinct.tolist()), dtype=np.int64, count=len(distinct))[back]
+        entry = np.fromiter((self.known[h] for h in distinct.tolist()), dtype=np.int64, count=len(distinct))
+        self.met[entry] += 1
+        entry = entry[back]
         entry = np.insert(entry, before[1:], 0)
         counts = self.count[entry]
         total = np.concatenate([[0], np.cumsum(counts)])

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pagemill.llm import components as components_module, exact_dedup, near_dedup, packing, quality, substring_dedup
+from pagemill.llm import components as components_module, exact_dedup, near_dedup, packing, quality, substring_dedup, tokens
 from pagemill.llm.components import components
 from pagemill.llm.licenses import PHRASES, scan_licenses
 from pagemill.llm.line_dedup import drop_repeated_lines
@@ -100,14 +100,18 @@ def test_lines_of_nasty_rows(edge, nothing):
 # Best-fit packing
 
 
-def test_encoder_gives_the_ids_of_the_library():
+@pytest.mark.parametrize("entries", [200_000, 40])
+def test_encoder_gives_the_ids_of_the_library(monkeypatch, entries):
+    monkeypatch.setattr(tokens, "CACHE_ENTRIES", entries)
     coder = CachedEncoder(VOCABULARY)
     rng = random.Random(1)
     bits = ["a", "S", "s", "'s", "'re", "''", "'", "re", "ll", " ", "  ", "\n", "\t", "12", "!", "?!", "é", "ß", "\u3000", " ", "…", "中文", "½", "<|endoftext|>", "\r\n", "𝄞"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
-    ids, ends = coder.encode(texts)
-    for n, coded in enumerate(coder.tokenizer.encode_batch(texts, add_special_tokens=False)):
-        assert ids[ends[n] : ends[n + 1]].tolist() == [*coded.ids, 0], texts[n]
+    for first in range(0, len(texts), 300):
+        part = texts[first : first + 300]
+        ids, ends = coder.encode(part)
+        for n, coded in enumerate(coder.tokenizer.encode_batch(part, add_special_tokens=False)):
+            assert ids[ends[n] : ends[n + 1]].tolist() == [*coded.ids, 0], part[n]
 
 
 def test_best_fit_fills_bins():
