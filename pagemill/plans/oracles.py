@@ -278,6 +278,26 @@ ORACLES: dict[str, str] = {
         SELECT file_path, chunk_index, string_agg(text, chr(10) ORDER BY block_no) AS chunk, CAST(count(*) AS INTEGER) AS block_count,
           NULLIF(min_by(coalesce(heading, ''), block_no), '') AS heading,
           CAST(length(string_agg(text, chr(10) ORDER BY block_no)) AS INTEGER) AS chunk_length FROM packed GROUP BY file_path, chunk_index""",
+    "heading_paths": """WITH RECURSIVE lines AS (SELECT doc_id, unnest(range(0, len(l))) AS i, unnest(l) AS text, len(l) AS n
+          FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
+        heads AS (SELECT doc_id, i // 3 AS h, (doc_id + 2 * (i // 3)) % 5 + 1 AS level, text, least(3, n - i) AS blocks FROM lines WHERE i % 3 = 0),
+        parents AS (SELECT c.doc_id, c.h, any_value(c.text) AS text, any_value(c.blocks) AS blocks, max(p.h) AS parent
+          FROM heads c LEFT JOIN heads p ON p.doc_id = c.doc_id AND p.h < c.h AND p.level < c.level GROUP BY c.doc_id, c.h),
+        paths AS (SELECT doc_id, h, blocks, 1 AS depth, text AS path FROM parents WHERE parent IS NULL
+          UNION ALL SELECT c.doc_id, c.h, c.blocks, p.depth + 1, p.path || ' > ' || c.text FROM paths p JOIN parents c ON c.doc_id = p.doc_id AND c.parent = p.h)
+        SELECT doc_id, CAST(h AS INTEGER) AS chunk_index, CAST(blocks AS INTEGER) AS block_count, CAST(depth AS INTEGER) AS depth, path FROM paths""",
+    "recursive_chunks_words": f"""WITH RECURSIVE lines AS (SELECT doc_id, source, unnest(range(0, len(l))) AS i, unnest(l) AS line
+          FROM (SELECT doc_id, source, string_split(text, chr(10)) AS l FROM documents)),
+        sized AS (SELECT *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n FROM lines),
+        packed AS (SELECT doc_id, i, n, CASE WHEN n >= 60 THEN NULL ELSE n END AS used, 0 AS chunk FROM sized WHERE i = 0
+          UNION ALL SELECT s.doc_id, s.i, s.n,
+            CASE WHEN s.n >= 60 THEN NULL WHEN p.used IS NULL OR p.used + s.n > 60 THEN s.n ELSE p.used + s.n END,
+            CASE WHEN s.n >= 60 OR p.used IS NULL OR p.used + s.n > 60 THEN p.chunk + 1 ELSE p.chunk END
+          FROM packed p JOIN sized s ON s.doc_id = p.doc_id AND s.i = p.i + 1),
+        joined AS (SELECT doc_id, any_value(source) AS source, chunk AS c, {_strip("string_agg(line, chr(10) ORDER BY i)")} AS chunk
+          FROM packed JOIN sized USING (doc_id, i, n) GROUP BY doc_id, chunk)
+        SELECT doc_id, source, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY c) - 1 AS INTEGER) AS chunk_index, chunk,
+          CAST(length(chunk) AS INTEGER) AS chunk_length FROM joined WHERE chunk <> ''""",
     "run_config_json": f"""WITH {OUTCOMES}, {RUN_STATS} SELECT 'session_20240101_000000' AS session_id, 1500::BIGINT AS chunk_size,
         384::BIGINT AS embedding_dimension, total_files, failed, total_pages FROM run""",
     "chunks_roundtrip": f"WITH {_windows('conversations', 'conv_id, turn', size=200, overlap=50)} SELECT * FROM chunks",

@@ -214,6 +214,28 @@ def structure_chunks(spark, sf):
     return chunking.structure_chunks(layouts, "layout", SIZE)
 
 
+@query
+def heading_paths(spark, sf):
+    """Every third line is a heading; levels go deeper and shallower from one to the next."""
+    lines = F.transform(
+        F.split("text", "\n"),
+        lambda line, i: F.struct(
+            F.when(i % 3 == 0, "heading").otherwise("paragraph").alias("kind"),
+            F.when(i % 3 == 0, (F.col("doc_id") + 2 * (i / 3).cast("int")) % 5 + 1).otherwise(0).cast("int").alias("level"),
+            line.alias("text"),
+        ),
+    )
+    docs = _documents(spark, sf).select("doc_id", lines.alias("layout"))
+    chunks = chunking.structure_chunks(docs, "layout", 10**9, paths=True)
+    return chunks.select("doc_id", "chunk_index", "block_count", F.size("heading_path").alias("depth"), F.array_join("heading_path", " > ").alias("path"))
+
+
+@query
+def recursive_chunks_words(spark, sf):
+    """Lines packed by number of words."""
+    return chunking.recursive_chunks(_texts(spark, sf), "text", 60, 0, ["\n"], count="words")
+
+
 @query
 def run_config_json(spark, sf):
     config = RunConfig()

@@ -346,6 +346,45 @@ def test_model_embedder_loads_the_model_in_the_worker(spark):
     assert [list(r.embedding) for r in rows] == [[3.0, 0.0, 1.0], [0.0, 0.0, 1.0]]
 
 
+def test_heading_paths_follow_the_levels(spark):
+    layout = [("paragraph", 0, "intro"), ("heading", 1, "A"), ("paragraph", 0, "a"), ("heading", 2, "B"), ("heading", 4, "C"),
+              ("paragraph", 0, "c"), ("heading", 3, "D"), ("heading", None, "E"), ("heading", 2, "F"), ("heading", 1, "G")]
+    df = spark.createDataFrame([(1, layout), (2, [])], "i int, layout array<struct<kind:string,level:int,text:string>>")
+    rows = chunking.structure_chunks(df, "layout", 100, paths=True).orderBy("chunk_index").collect()
+    assert [r["heading_path"] for r in rows] == [
+        [], ["A"], ["A", "B"], ["A", "B", "C"], ["A", "B", "D"], ["A", "B", "D", "E"], ["A", "F"], ["G"],
+    ]
+    assert [r["heading"] for r in rows] == [None, "A", "B", "C", "D", "E", "F", "G"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="ab .\n", max_size=150), st.integers(1, 12), st.integers(0, 11))
+def test_chunks_by_words_hold_at_most_so_many(text, size, overlap):
+    overlap = min(overlap, size - 1)
+    units = chunking.unit_finder("words")(text)
+    chunks = chunking.split_text(text, ["\n\n", "\n", " ", ""], size, overlap, units=units)
+    assert all(len(c.split()) <= size + 1 for c in chunks)
+    if not overlap:
+        assert "".join("".join(chunks).split()) == "".join(text.split())
+    # One unit per character is the same as counting characters.
+    every = chunking.Units(list(range(len(text))))
+    assert chunking.split_text(text, ["\n", " ", ""], size, overlap, units=every) == chunking.split_text(text, ["\n", " ", ""], size, overlap)
+
+
+def test_chunks_by_tokens_of_a_vocabulary(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    text = "The quick brown fox, ünïcode and 中文. " * 40 + "\n" + "x" * 300
+    df = spark.createDataFrame([(1, text), (2, ""), (3, None)], "i int, t string")
+    rows = chunking.recursive_chunks(df, "t", 25, 5, ["\n", ". ", " ", ""], count=path).collect()
+    assert {r["i"] for r in rows} == {1} and len(rows) > 10
+    # A chunk begins and ends at borders of the whole text's tokens, which may be split otherwise at its ends.
+    assert all(len(tokenizer.encode(r["chunk"], add_special_tokens=False).ids) <= 25 + 4 for r in rows)
+
+
 # ---------------------------------------------------------------- search
 
 
