@@ -12,7 +12,7 @@ document and documents of one source are independent rows, so there are no hot k
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pagemill.config import ChunkingConfig
 from pagemill.operators.chunking import with_chunk_id
 from pagemill.operators.embedding import ModelEmbedder, bucket_counts, hashed_words
-from pagemill.functions.tokens import sentences, words
+from pagemill.functions.tokens import sentences, sentences_with, words
 
 TOKEN_DIM = 384
 # Sentences whose token counts are held in memory at a time; few enough for the CPU cache.
@@ -31,8 +31,10 @@ SLAB = 128
 MODEL_BATCH = 256
 
 
-def split_sentences(df: DataFrame, key: str, text: str) -> DataFrame:
-    exploded = df.select(key, F.posexplode(sentences(F.col(text))).alias("sentence_no", "sentence"))
+def split_sentences(df: DataFrame, key: str, text: str, abbreviations: Sequence[str] = ()) -> DataFrame:
+    """One row per sentence; a full stop behind one of the abbreviations, given or learned, ends none."""
+    listed = sentences_with(F.col(text), abbreviations)
+    exploded = df.select(key, F.posexplode(listed).alias("sentence_no", "sentence"))
     return exploded.withColumn("sentence_length", F.length("sentence"))
 
 

@@ -336,6 +336,22 @@ ORACLES: dict[str, str] = {
     "recursive_chunks_md": _recursive(MARKDOWN_SEPARATORS, 1500, 300),
     "recursive_chunks_plain": _recursive(PLAIN_SEPARATORS, 1000, 200),
     "split_sentences": f"""WITH {SENTENCES} SELECT doc_id, i AS sentence_no, sentence, CAST(length(sentence) AS INTEGER) AS sentence_length FROM sentences""",
+    "abbreviation_scores": r"""WITH texts AS (SELECT CASE doc_id % 3 WHEN 0 THEN text || ' see z. b. there' WHEN 1 THEN text || ' by dr. no one' ELSE text END AS text FROM documents),
+        runs AS (SELECT unnest(string_split_regex(lower(text), '[\t-\r ]+')) AS run FROM texts),
+        counts AS (SELECT rtrim(run, '.') AS word, count(*) FILTER (run LIKE '%.') AS stopped, count(*) FILTER (run NOT LIKE '%.') AS plain
+          FROM runs WHERE regexp_full_match(run, '\p{L}+(\.\p{L}+)*\.?') GROUP BY 1),
+        total AS (SELECT sum(stopped)::DOUBLE / sum(stopped + plain) AS p FROM counts)
+        SELECT word, stopped, plain, CASE WHEN score = 0 THEN 0.0::DOUBLE ELSE score END AS score FROM (
+        SELECT word, stopped, plain, round(2 * ((stopped * ln(0.99::DOUBLE) + plain * ln(1 - 0.99::DOUBLE)) - (stopped * ln(p) + plain * ln(1 - p)))
+          * exp(-length(replace(word, '.', ''))::DOUBLE) * (length(word) - length(replace(word, '.', '')) + 1), 6) AS score FROM counts, total)""",
+    "sentences_with_abbreviations": r"""WITH found AS (SELECT doc_id, regexp_extract_all(text, '(?s)(.*?[.!?][\t-\r ]+|.+)', 1) AS s
+          FROM (SELECT doc_id, 'Ask Dr# Who, z# B# now. ' || regexp_replace(replace(text, '#', chr(1)), '(?i)(^|[^\p{L}\p{N}.])(dr|z|b)\.([\t-\r ])', '\1\2#\3', 'g') AS text FROM documents)),
+        listed AS (SELECT doc_id, CAST(unnest(range(0, len(s))) AS INTEGER) AS sentence_no, replace(replace(unnest(s), '#', '.'), chr(1), '#') AS sentence FROM found)
+        SELECT *, CAST(length(sentence) AS INTEGER) AS sentence_length FROM listed""",
+    "table_pages": r"""SELECT url AS source_file, CASE WHEN page_id % 3 = 0 THEN true END AS has_structured_data,
+        CASE WHEN page_id % 3 = 0 THEN '[{"header": true, "rows": [["Page ' || page_id || '", "Page ' || page_id || '"], ["a & b", "' || page_id % 7 || '"], ["a & b", "x|y"]]}]' END AS structured_data,
+        CASE WHEN page_id % 3 = 0 THEN '| Page ' || page_id || ' | Page ' || page_id || ' |' || chr(10) || '| --- | --- |' || chr(10) || '| a & b | ' || page_id % 7 || ' |' || chr(10) || '| a & b | x\|y |' ELSE '' END AS shown
+        FROM pages""",
     "sentence_groups": f"""WITH {SENTENCES} SELECT doc_id, i AS sentence_no, coalesce(lag(sentence) OVER w, '') || sentence || coalesce(lead(sentence) OVER w, '') AS sentence_group
         FROM sentences WINDOW w AS (PARTITION BY doc_id ORDER BY i)""",
     "neighbour_distance": f"WITH {DISTANCES} SELECT * FROM distances",

@@ -20,7 +20,7 @@ from pagemill.config import (
     RunConfig,
 )
 from pagemill.functions import formats, text as tx, vectors
-from pagemill.operators import chunking, documents, failures, pivots, search, semantic, stats
+from pagemill.operators import abbreviations, chunking, documents, failures, pivots, search, semantic, stats
 from pagemill.operators.embedding import HashEmbedder, sparse_weights
 from pagemill.plans.attempts import Round, run_rounds
 from pagemill.plans.ingest import chunk_documents, ingest, retry_failed
@@ -434,6 +434,37 @@ def split_sentences(spark, sf):
     return semantic.split_sentences(_texts(spark, sf), "doc_id", "text")
 
 
+@query
+def abbreviation_scores(spark, sf):
+    """Texts with derived abbreviations: two words of each text before a full stop inside a sentence."""
+    derived = F.expr("CASE doc_id % 3 WHEN 0 THEN concat(text, ' see z. b. there') WHEN 1 THEN concat(text, ' by dr. no one') ELSE text END")
+    docs = _documents(spark, sf).select(derived.alias("text"))
+    return abbreviations.abbreviation_scores(abbreviations.stop_counts(docs, "text"))
+
+
+@query
+def sentences_with_abbreviations(spark, sf):
+    derived = F.expr("concat('Ask Dr. Who, z. B. now. ', text)")
+    docs = _documents(spark, sf).select("doc_id", derived.alias("text"))
+    return semantic.split_sentences(docs, "doc_id", "text", ["dr", "z", "b"])
+
+
+@query
+def table_pages(spark, sf):
+    """Pages with a derived table that has cells over two columns and over two rows."""
+    table_html = F.concat(
+        F.lit("<table><tr><th colspan=2>Page "), "page_id", F.lit("<tr><td rowspan=2>a &amp; b<td>"), F.col("page_id") % 7,
+        F.lit("</td></tr><tr><td>x|y</table></article>"),
+    )
+    derived = F.when(F.col("page_id") % 3 == 0, F.replace("html", F.lit("</article>"), table_html)).otherwise(F.col("html"))
+    inputs = table(spark, sf, "pages").select(F.col("url").alias("file_path"), derived.cast("binary").alias("content"))
+    parsed = written(parsing.parse_files(inputs, parsing.HTML_PARSERS, F.lit(RUN_TIME).cast("timestamp")), "parsed")
+    flags = documents.parsed_to_documents(parsed.where("status = 'ok'")).select("source_file", "has_structured_data", "page_content")
+    kept = parsed.select(F.col("file_path").alias("source_file"), F.get("pages", F.lit(0))["structured_data"].alias("structured_data"))
+    shown = F.regexp_extract("page_content", r"(?s)(\| Page .*?x\\\|y \|)", 1)
+    return flags.join(kept, "source_file").select("source_file", "has_structured_data", "structured_data", shown.alias("shown"))
+
+
 @query
 def sentence_groups(spark, sf):
     return semantic.sentence_groups(_texts(spark, sf), "doc_id", "text", 1)

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import contextlib
 import html
+import json
 import re
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -33,13 +35,59 @@ BLOCK_TAGS = {
 PAGE_KEYS = ("md", "text", "layout", "structured_data", "images")
 
 
+# The largest spans that the HTML standard allows.
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
+
+
+@dataclass
+class _Cell:
+    text: list[str]
+    columns: int
+    rows: int
+    heads: bool
+
+
+def _span(value: str | None, most: int, zero: int) -> int:
+    digits = re.match(r"\s*(\d+)", value or "")
+    number = int(digits[1]) if digits else 1
+    return zero if number == 0 else min(number, most)
+
+
+def resolve_grid(rows: list[list[_Cell]]) -> list[list[str]]:
+    """Rows of equal width; a cell that spans rows or columns stands in all of its places."""
+    taken: dict[tuple[int, int], str] = {}
+    width = 0
+    for r, row in enumerate(rows):
+        column = 0
+        for cell in row:
+            while (r, column) in taken:
+                column += 1
+            text = " ".join("".join(cell.text).split())
+            for down in range(min(cell.rows, len(rows) - r)):
+                for right in range(cell.columns):
+                    taken.setdefault((r + down, column + right), text)
+            column += cell.columns
+            width = max(width, column)
+    return [[taken.get((r, c), "") for c in range(width)] for r in range(len(rows))]
+
+
+def markdown_table(grid: list[list[str]]) -> str:
+    """The first row is the head, as the format asks for one."""
+    lines = ["| " + " | ".join(cell.replace("|", "\\|") for cell in row) + " |" for row in grid]
+    return "\n".join([lines[0], "|" + " --- |" * len(grid[0]), *lines[1:]])
+
+
 class _Blocks(HTMLParser):
-    """Collects headings, paragraphs, list items and image sources."""
+    """Collects headings, paragraphs, list items, tables and image sources."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[dict] = []
         self.images: list[str] = []
+        self.tables: list[dict] = []
+        # Rows of the table that is open; tables inside of its cells are text of the cell.
+        self._rows: list[list[_Cell]] | None = None
+        self._inner = 0
         self._kind, self._level, self._text, self._skip = "paragraph", 0, [], 0
 
     def _flush(self):
@@ -48,9 +96,39 @@ class _Blocks(HTMLParser):
             self.blocks.append({"kind": self._kind, "level": self._level, "text": text})
         self._kind, self._level, self._text = "paragraph", 0, []
 
+    def _table_tag(self, tag: str, attributes: dict[str, str | None]) -> None:
+        if tag == "table":
+            self._inner += 1
+        elif self._inner:
+            pass
+        elif tag == "tr":
+            self._rows.append([])
+        elif tag in ("td", "th"):
+            if not self._rows:
+                self._rows.append([])
+            spans = _span(attributes.get("colspan"), MOST_COLUMNS, 1), _span(attributes.get("rowspan"), MOST_ROWS, MOST_ROWS)
+            self._rows[-1].append(_Cell([], *spans, tag == "th"))
+        if self._rows and self._rows[-1]:
+            self._rows[-1][-1].text.append(" ")
+
+    def _end_table(self) -> None:
+        rows = [row for row in self._rows or [] if row]
+        self._rows, self._inner = None, 0
+        grid = resolve_grid(rows)
+        if any(cell for row in grid for cell in row):
+            self.blocks.append({"kind": "table", "level": 0, "text": markdown_table(grid)})
+            self.tables.append({"header": all(cell.heads for cell in rows[0]), "rows": grid})
+
     def handle_starttag(self, tag, attrs):
         if tag in SKIPPED:
             self._skip += 1
+        elif tag == "img":
+            self.images.append(dict(attrs).get("src") or "")
+        elif self._rows is not None and (tag in BLOCK_TAGS or tag == "br"):
+            self._table_tag(tag, dict(attrs))
+        elif tag == "table":
+            self._flush()
+            self._rows = []
         elif tag in BLOCK_TAGS:
             if tag == "body":
                 self._skip = 0  # the end tag of the head may be missing
@@ -61,21 +139,30 @@ class _Blocks(HTMLParser):
                 self._kind, self._level = "heading", int(tag[1])
         elif tag == "br":
             self._text.append(" ")
-        elif tag == "img":
-            self.images.append(dict(attrs).get("src") or "")
 
     def handle_endtag(self, tag):
         if tag in SKIPPED:
             self._skip = max(0, self._skip - 1)
+        elif self._rows is not None:
+            if tag == "table" and self._inner:
+                self._inner -= 1
+            elif tag in ("table", "body", "html"):
+                self._end_table()
         elif tag in BLOCK_TAGS:
             self._flush()
 
     def handle_data(self, data):
-        if not self._skip:
+        if self._skip:
+            return
+        if self._rows is None:
             self._text.append(data)
+        elif self._rows and self._rows[-1]:
+            self._rows[-1][-1].text.append(data)
 
     def close(self):
         super().close()
+        if self._rows is not None:
+            self._end_table()
         self._flush()
 
 
@@ -90,7 +177,7 @@ def decoded(content: bytes) -> str:
 
 
 def layout_parser(content: bytes, path: str = "") -> list[dict]:
-    """HTML to one page with block layout, markdown and plain text."""
+    """HTML to one page with block layout, markdown, plain text, and the grids of its tables as JSON."""
     reader = _Blocks()
     reader.feed(decoded(content))
     reader.close()
@@ -102,6 +189,7 @@ def layout_parser(content: bytes, path: str = "") -> list[dict]:
             "text": "\n".join(b["text"] for b in reader.blocks),
             "layout": reader.blocks,
             "images": reader.images,
+            "structured_data": json.dumps(reader.tables, ensure_ascii=False) if reader.tables else None,
         }
     ]
 

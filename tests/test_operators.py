@@ -10,7 +10,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from pagemill.config import MARKDOWN_SEPARATORS, PLAIN_SEPARATORS, ChunkingConfig
-from pagemill.operators import chunking, documents, failures, numbering, search, semantic, stats
+from pagemill.operators import abbreviations, chunking, documents, failures, numbering, search, semantic, stats
 from pagemill.operators.embedding import HashEmbedder, ModelEmbedder, sparse_weights
 from pagemill.operators.numbering import number_rows
 
@@ -385,6 +385,20 @@ def test_chunks_by_tokens_of_a_vocabulary(spark):
     assert all(len(tokenizer.encode(r["chunk"], add_special_tokens=False).ids) <= 25 + 4 for r in rows)
 
 
+def test_learned_abbreviations_do_not_end_sentences(spark):
+    lines = ["We met Dr. Smith there. He left.", "Das ist z. B. gut. Es ist so.", "See Dr. Jones now. It was late.", "Auch z. B. dies hier. Gut so."]
+    plain = ["the cat sat there", "a dog ran now and it was late", "see the sun", "it is so good and gut"] * 30
+    df = spark.createDataFrame([(n, f"{lines[n % 4]} {plain[n]}.") for n in range(120)], "i int, t string")
+    learned = abbreviations.learn_abbreviations(df, "t")
+    assert {"dr", "z", "b"} <= set(learned) and not {"there", "late", "left", "so"} & set(learned)
+    found = semantic.split_sentences(df.where("i < 2"), "i", "t", learned).orderBy("i", "sentence_no").collect()
+    assert [r["sentence"].strip() for r in found] == [
+        "We met Dr. Smith there.", "He left.", "the cat sat there.", "Das ist z. B. gut.", "Es ist so.", "a dog ran now and it was late.",
+    ]
+    assert "".join(r["sentence"] for r in found if r["i"] == 0) == df.first()["t"]
+    assert semantic.split_sentences(df.where("i = 0"), "i", "t").count() == 4
+
+
 # ---------------------------------------------------------------- search
 
 

@@ -1,3 +1,4 @@
+import json
 import os
 
 import numpy as np
@@ -239,6 +240,19 @@ def test_layout_parser():
     assert page["images"] == ["a.png"]
 
 
+def test_tables_become_grids():
+    html = b"""<p>before<table><tr><th>h1<th rowspan=2>h2</tr><tr><td>a<br>b</td></tr><tr><td colspan=3>wide</tr>
+      <tr><td rowspan=0>down<td><table><tr><td>in</td><td>side</table><td>z</tr><tr><td>1</table>after
+      <table><tr><td> </table><table></table><table><td>open"""
+    [page] = parsing.layout_parser(html)
+    first, second = json.loads(page["structured_data"])
+    assert first == {"header": True, "rows": [["h1", "h2", ""], ["a b", "h2", ""], ["wide"] * 3, ["down", "in side", "z"], ["down", "1", ""]]}
+    assert second == {"header": False, "rows": [["open"]]}
+    assert [b["kind"] for b in page["layout"]] == ["paragraph", "table", "paragraph", "table"]
+    assert page["md"].split("\n\n")[1].startswith("| h1 | h2 |  |\n| --- | --- | --- |\n| a b | h2 |  |")
+    assert parsing.layout_parser(b"<p>no table")[0]["structured_data"] is None
+
+
 def test_head_without_end_tag():
     [page] = parsing.layout_parser(b"<head><title>t</title><body><p>seen")
     assert page["text"] == "seen"
