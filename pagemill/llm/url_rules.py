@@ -17,8 +17,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pagemill.llm.columns import ascii_lower
 
 ROWS_PER_RANGE = 200_000
-SAMPLE_PER_RANGE = 16
+SAMPLE_PER_RANGE = 4
 HASH_STEPS = 1 << 30
+# Bounds of what the driver collects and every task gets: ranges, and characters of a host and of a path at a cut.
+MAX_RANGES = 1 << 14
+CUT_CHARS = 64
 RULE_SCHEMA = "host string, path string, verdict string"
 # Above every character that a key can hold.
 KEY_END = "\U0010ffff"
@@ -43,17 +46,19 @@ def host_key(host: Column) -> Column:
 def _cuts(urls: DataFrame) -> list[tuple[str, str, int]]:
     """Keys between ranges, from a sample by hash that is as large as the number of ranges asks for.
 
-    A very common host is cut by path and a common URL by its number, so no key fills a range.
+    A very common host is cut by path and a common URL by its number, so no key fills a range. Any cuts give the same
+    verdicts, so hosts and paths are cut short there, and very many rows make ranges longer instead of more.
     """
     rows = urls.count()
     partitions = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(2 * partitions, -(-rows // ROWS_PER_RANGE))
+    ranges = min(MAX_RANGES, max(2 * partitions, -(-rows // ROWS_PER_RANGE)))
     wanted = ranges * SAMPLE_PER_RANGE
     keys = urls.select("key", "path", "number")
     if rows > wanted:
         step = F.pmod(F.xxhash64("number", "key", "path"), F.lit(HASH_STEPS))
         keys = keys.where(step < int(HASH_STEPS * wanted / rows) + 1)
-    sample = sorted((r["key"], r["path"], r["number"]) for r in keys.collect())
+    short = keys.select(F.substring("key", 1, CUT_CHARS).alias("key"), F.substring("path", 1, CUT_CHARS).alias("path"), "number")
+    sample = sorted((r["key"], r["path"], r["number"]) for r in short.collect())
     return sample[SAMPLE_PER_RANGE // 2 :: SAMPLE_PER_RANGE]
 
 
@@ -137,7 +142,8 @@ def judge_urls(
     that has no host at all.
 
     A NULL URL and one without ``://`` have an empty host and path and fit no rule. Repeated rows are judged alike.
-    Rules with a NULL are left out. An empty table gives no rows; without rules all verdicts are the default.
+    Rules with a NULL or without a host are left out. URLs of any length are judged whole, other columns are passed over. An empty
+    table gives no rows; without rules all verdicts are the default.
     """
     spark = df.sparkSession
     urls = df.select(

@@ -6,7 +6,7 @@ import warnings
 import pytest
 from pyspark.sql import functions as F
 
-from pagemill.llm import exact_dedup, pii, quality
+from pagemill.llm import exact_dedup, pii, quality, url_rules
 from pagemill.llm.licenses import scan_licenses
 from pagemill.llm.line_dedup import drop_repeated_lines
 from pagemill.llm.mixing import profile, rake
@@ -157,3 +157,19 @@ def test_a_table_on_its_own_leaves_no_table_behind(spark):
     before = {t.name for t in spark.catalog.listTables()}
     assert exact_dedup.dedup_exact(spark.createDataFrame([(1, "a")], "doc_id bigint, text string")).count() == 1
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+# URL rules
+
+
+def test_long_paths_of_one_host_and_columns_with_clashing_names(spark, monkeypatch):
+    monkeypatch.setattr(url_rules, "ROWS_PER_RANGE", 50)
+    monkeypatch.setattr(url_rules, "CUT_CHARS", 8)
+    urls = [(n, f"http://www.example.com/en/{'x' * 3000}/{n % 7}/{'y' * (n % 50)}", n, "k", 1, "p") for n in range(1500)]
+    urls += [(2000, None, 0, "k", 1, "p"), (2001, f"http://{'a.' * 500}net/es/", 0, "k", 1, "p"), (2001, "http://sub.example.com/de", 0, "k", 1, "p")]
+    df = spark.createDataFrame(urls, "page_id bigint, url string, number int, key string, part int, payload string")
+    rules = spark.createDataFrame([("example.com", "/en/", "block"), ("net", "/es/", "block"), ("com", "/", "allow"), ("", "/", "block")], url_rules.RULE_SCHEMA)
+    found = [(r["page_id"], r["rule"], r["verdict"]) for r in url_rules.judge_urls(df, rules).collect()]
+    want = [(n, "example.com/en/", "block") for n in range(1500)] + [(2000, None, "block"), (2001, "net/es/", "block"), (2001, "com/", "allow")]
+    assert sorted(found, key=str) == sorted(want, key=str)
+    assert len(url_rules._cuts(df.selectExpr("'k' key", "url path", "page_id number"))) > 5
