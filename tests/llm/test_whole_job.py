@@ -46,6 +46,27 @@ def test_held_out_score_is_that_of_a_document_without_a_label(spark):
     assert score([1, 2, 3], "held_out")[5] == score([1, 2, 3], "score")[5]
 
 
+def test_every_trusted_document_gives_counts(spark):
+    # Where all are trusted, the target is the corpus itself and no bucket weighs anything.
+    df = spark.range(25_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 5000).alias("text"))
+    trust = df.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    for shift in (0, -9_000):
+        moved, known = (x.withColumn("doc_id", F.col("doc_id") + shift) for x in (df, trust))
+        scores = quality.judge_quality(moved, known, min_score=0.0).select("score").distinct().collect()
+        assert [r[0] for r in scores] == [0.0]
+
+
+def test_labels_of_neighbours_sparse_ids_and_texts_as_ids(spark):
+    labels = [(n, n % 2, n % 3 == 0) for n in (-65, -64, -1, 0, 63, 64, 2**40 + 1, 2**62)]
+    rows = spark.createDataFrame([(n, int(q), int(t)) for n, q, t in labels] + [(None, 1, 0)], "doc bigint, quality int, toxic int")
+    want = {n: (q == 1 and not t, q == 0) for n, q, t in labels} | {1: (False, False), 62: (False, False), None: (False, False)}
+    docs = spark.createDataFrame([(n,) for n in want], "doc bigint")
+    for kind, packed in (("bigint", True), ("string", False)):
+        left, right = (x.withColumn("doc", F.col("doc").cast(kind)) for x in (docs, rows))
+        marked = quality._with_labels(left, quality.label_marks(right, "doc", packed), packed).collect()
+        assert {r[0] and int(r[0]): (r["is_trusted"], r["is_rejected"]) for r in marked} == {k or k: v for k, v in want.items()}
+
+
 # Line dedup
 
 
