@@ -149,32 +149,47 @@ def build_index(
     return PivotIndex(spark, path, tuple(ids), T.StructType([store.schema[i] for i in ids]), ringed.schema)
 
 
-def _scan(index: PivotIndex, asked: DataFrame, query_ids: Sequence[str], k: int, threshold: float | None) -> DataFrame:
-    """Candidates of the queries in ``asked(query_ids, vector, pivot, low, high)``; rings beyond low and high are passed over."""
+def _scan(
+    index: PivotIndex, known: DataFrame, wanted: DataFrame, query_ids: Sequence[str], k: int, threshold: float | None
+) -> DataFrame:
+    """Candidates of the queries ``known(query_ids, vector, home, home_gap)`` in the rings ``wanted(query_ids, pivot, low, high)``.
+
+    A query is packed once, with others next to the same pivot, and the pack carries the rings that any of them wants. So
+    queries travel as often as in a full scan, however many pivots they ask.
+    """
+    ring = F.struct("pivot", "low", "high")
+    asked = written(known.join(wanted.groupBy(*query_ids).agg(F.collect_list(ring).alias("rings")), list(query_ids)), "scan")
     # Bounded: one number per pivot.
-    pivots = [row[0] for row in asked.select("pivot").distinct().collect()]
+    pivots = [row[0] for row in asked.select(F.explode("rings.pivot")).distinct().collect()]
     rows, dim = asked.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
-    order = ["pivot", "low", *query_ids]
+    places = max(pivots, default=-1) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             block = pa.Table.from_batches([batch])
-            pivot = np.asarray(block["pivot"])
-            cuts = [0, *(np.flatnonzero(np.diff(pivot)) + 1), len(pivot)] if len(pivot) else []
+            home = np.asarray(block["home"])
+            cuts = [0, *(np.flatnonzero(np.diff(home)) + 1), len(home)] if len(home) else []
             for first, last in zip(cuts[:-1], cuts[1:], strict=True):
                 for start in range(first, last, ASK_ROWS):
                     part = block.slice(start, min(ASK_ROWS, last - start))
-                    edges = [pa.array([np.asarray(part["low"]).min()]), pa.array([np.asarray(part["high"]).max()])]
+                    rings = part["rings"].combine_chunks().flatten()
+                    pivot, low, high = (np.asarray(rings.field(n)) for n in range(3))
+                    # By pivot, the lowest and the highest distance that a query of the pack looks at.
+                    lows, highs = np.full(places, np.inf), np.full(places, -np.inf)
+                    np.minimum.at(lows, pivot, low)
+                    np.maximum.at(highs, pivot, high)
+                    edges = [pa.array([x.tolist()], pa.list_(pa.float64())) for x in (lows, highs)]
                     pack = search.one_pack(part, query_ids, "vector")
-                    names = ["pivot", "low", "high", "asked", "vectors"]
-                    yield pa.RecordBatch.from_arrays([part["pivot"].combine_chunks().slice(0, 1), *edges, *pack], names=names)
+                    yield pa.RecordBatch.from_arrays([*edges, *pack], names=["lows", "highs", "asked", "vectors"])
 
-    fields = [asked.schema[c] for c in ("pivot", "low", "high")]
     packed = [T.StructField(n, f.dataType) for n, f in zip(("asked", "vectors"), search.pack_type(asked, query_ids), strict=True)]
-    dealt = asked.repartition("pivot").sortWithinPartitions(*order).select("pivot", "low", "high", "vector", *query_ids)
-    packs = dealt.mapInArrow(run, T.StructType([*fields, *packed])).withColumn("pack", F.monotonically_increasing_id())
-    met = search.meet(index.packs(pivots), packs, 8 * rows * (dim or 0), ["pivot"])
-    pairs = met.where((F.col("far") >= F.col("low")) & (F.col("near") <= F.col("high")))
+    edges = [T.StructField(n, T.ArrayType(T.DoubleType())) for n in ("lows", "highs")]
+    size = 8 * rows * (dim or 0) + 16 * places * -(-rows // ASK_ROWS)
+    order = ["home", "home_gap", *query_ids]
+    dealt = asked.repartitionByRange(max(1, -(-size // search.PACK_BYTES)), *order).sortWithinPartitions(*order)
+    packs = dealt.select("home", "rings", "vector", *query_ids).mapInArrow(run, T.StructType([*edges, *packed]))
+    met = search.meet(index.packs(pivots), packs.withColumn("pack", F.monotonically_increasing_id()), size)
+    pairs = met.where((F.col("far") >= F.get("lows", "pivot")) & (F.col("near") <= F.get("highs", "pivot")))
     fields = [*[asked.schema[q] for q in query_ids], *index.fields, T.StructField(search.SCORE, T.DoubleType())]
     return search.best_of_pairs(pairs, T.StructType(fields), k, threshold)
 
@@ -215,14 +230,18 @@ def nearest_pruned(
     known = queries.where(F.size(vector) > 0).select(*query_ids, F.col(vector).cast("array<double>").alias("vector"))
     known = written(known, "asked")
     gaps = written(query_gaps(index, known, query_ids, k, "vector"), "gaps")
+    nearest = gaps.groupBy(*query_ids).agg(F.min(F.struct("gap", "pivot")).alias("n"))
+    known = known.join(nearest, list(query_ids)).select(
+        *query_ids, "vector", F.col("n.pivot").alias("home"), F.col("n.gap").alias("home_gap")
+    )
     edge = F.lit(float("inf"))
     homes = gaps.where("home").select(*query_ids, "pivot", (-edge).alias("low"), edge.alias("high"))
-    found = written(_scan(index, homes.join(known, list(query_ids)), query_ids, k, threshold), "home_hits")
+    found = written(_scan(index, known, homes, query_ids, k, threshold), "home_hits")
     # The k-th distance at home; a query with fewer rows there is not bound by it.
     kth = search.ranked_hits(found, query_ids, ids, k).where(F.col("rank") == k)
     bounds = kth.select(*query_ids, F.sqrt(search.SCORE).alias("kth"))
     bound = F.least(F.coalesce("kth", edge), F.lit(float("inf") if threshold is None else threshold**0.5))
     open_gaps = gaps.join(bounds, list(query_ids), "left").withColumn("bound", bound)
     rest = scanned_rows(open_gaps).where("not home").select(*query_ids, "pivot", "low", "high")
-    more = _scan(index, written(rest.join(known, list(query_ids)), "rest"), query_ids, k, threshold)
+    more = _scan(index, known, rest, query_ids, k, threshold)
     return search.ranked_hits(found.union(more), query_ids, ids, k).select(*query_ids, *ids, search.SCORE, "rank")

@@ -32,8 +32,9 @@ ROW_TILE = 2048
 QUERY_TILE = 1024
 # Slots that a large query side is dealt to at most.
 MOST_SLOTS = 64
-# Packs of queries whose best rows a task holds at the same time.
-OPEN_PACKS = 64
+# Bytes of the query vectors whose best rows a task holds at the same time: all of a broadcast, so that a query has at
+# most k candidates per task.
+OPEN_BYTES = BROADCAST_BYTES
 # Parts of the store in the first of two rankings.
 RANK_PARTS = 64
 # Names of the working columns.
@@ -185,15 +186,18 @@ def best_of_pairs(pairs: DataFrame, schema: T.StructType, k: int, threshold: flo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, Best] = {}
+        held = 0
         for batch in batches:
             packs = batch.column("pack").to_pylist()
             for at, pack in enumerate(packs):
                 if pack not in best:
-                    if len(best) == OPEN_PACKS:
+                    asked, queries = unpack(batch.column("asked"), batch.column("vectors"), at)
+                    if held + queries.nbytes > OPEN_BYTES:
                         for each in best.values():
                             yield from each.result(names)
                         best.clear()
-                    asked, queries = unpack(batch.column("asked"), batch.column("vectors"), at)
+                        held = 0
+                    held += queries.nbytes
                     # A copy: the batch goes, the queries stay.
                     best[pack] = Best(asked, queries.copy(), k, threshold)
                 best[pack].add(*unpack(batch.column("rows"), batch.column("matrix"), at))
@@ -215,10 +219,8 @@ def query_packs(queries: DataFrame, ids: Sequence[str], vector: str, tile_rows:
     return packs, rows, size
 
 
-def meet(
-    store: DataFrame, packs: DataFrame, size: int, on: Sequence[str] = (), broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Every pack of the store with every pack of queries, or with those that agree on the columns ``on``.
+def meet(store: DataFrame, packs: DataFrame, size: int, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Every pack of the store with every pack of queries.
 
     Queries of up to ``broadcast_bytes`` are broadcast. Beyond that they are dealt to slots and the store to
     blocks, and each slot meets each block: queries are copied to all blocks, the store to all slots.
@@ -232,11 +234,11 @@ def meet(
     slots = max(1, min(MOST_SLOTS, math.ceil(size / max(broadcast_bytes, 1))))
     left, right = store.select("*", each(slots).alias("_slot")), packs.withColumn("_slot", dealt("asked", slots))
     if size <= broadcast_bytes:
-        return left.join(F.broadcast(right), ["_slot", *on])
+        return left.join(F.broadcast(right), "_slot")
     blocks = max(1, 2 * int(store.sparkSession.conf.get("spark.sql.shuffle.partitions")) // slots)
     left = left.withColumn("_block", dealt("rows", blocks))
     right = right.select("*", each(blocks).alias("_block")).hint("shuffle_merge")
-    return left.join(right, ["_block", "_slot", *on])
+    return left.join(right, ["_block", "_slot"])
 
 
 def _ranked(found: DataFrame, keys: Sequence[str], ids: Sequence[str], k: int) -> DataFrame:

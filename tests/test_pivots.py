@@ -75,3 +75,23 @@ def test_empty_store_and_bad_k(spark, tmp_path):
     assert pivots.nearest_pruned(index, query, 3, ["query_id"]).collect() == []
     with pytest.raises(ValueError):
         pivots.nearest_pruned(index, query, 0, ["query_id"])
+
+
+def test_a_query_is_packed_once_whatever_its_pivots(spark, tmp_path, monkeypatch):
+    sizes = []
+    meet = search.meet
+
+    def watched(store, packs, size, *more, **named):
+        # Vectors of the queries, not of the pivots.
+        if "lows" in packs.columns:
+            sizes.append((size, packs.select(F.explode("asked.query_id")).count()))
+        return meet(store, packs, size, *more, **named)
+
+    monkeypatch.setattr(search, "meet", watched)
+    generator = np.random.default_rng(5)
+    store = generator.normal(0, 1, (400, 16))
+    index = pivots.build_index(frame(spark, store), str(tmp_path / "index"), ["id"], pivots=16)
+    asked = frame(spark, store[::4], "query_id")
+    assert hits(pivots.nearest_pruned(index, asked, 4, ["query_id"])) == hits(search.nearest(frame(spark, store), asked, 4, ["id"], ["query_id"]))
+    # Nearly every query asks nearly every pivot here.
+    assert len(sizes) == 2 and all(n <= 100 and size <= 2 * 8 * 16 * 100 for size, n in sizes)
