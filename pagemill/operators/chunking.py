@@ -7,9 +7,12 @@ import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pagemill.functions.slabs import slabs
 from pagemill.functions.text import strip
 
 
@@ -180,17 +183,20 @@ def recursive_chunks(
     """Recursive splitting; only the text column travels to Python.
 
     ``size`` and ``overlap`` are numbers of ``count``: ``chars``, ``words``, or tokens of a vocabulary file, whose path all executors
-    can open. A text is encoded once.
+    can open. A text is encoded once. The chunks of a slab of texts leave before the next is split.
     """
     separators = list(separators)
 
-    @F.pandas_udf("array<string>")
-    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def split(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         units = unit_finder(count)
         for texts in batches:
-            yield texts.map(
-                lambda t: split_text(t, separators, size, overlap, keep_separator, units(t)) if t else []
-            )
+            for first, rows in slabs(np.asarray(pc.binary_length(texts).fill_null(0)).tolist()):
+                chunks = [
+                    split_text(t, separators, size, overlap, keep_separator, units(t)) if t else []
+                    for t in texts.slice(first, rows).to_pylist()
+                ]
+                yield pa.array(chunks, pa.list_(pa.string()))
 
     return _explode_chunks(df, split(F.col(text)), text)
 

@@ -4,7 +4,10 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from pagemill.functions import formats, text as tx, tokens, vectors
+from pagemill.functions import formats, slabs as slab_module, text as tx, tokens, vectors
+from pagemill.operators import chunking
+from pagemill.operators.embedding import HashEmbedder
+from pagemill.sources import parsing
 from pagemill.sources.files import file_type
 
 
@@ -94,3 +97,41 @@ def test_vectors(spark):
         vectors.squared_l2(F.col("a"), F.col("b")).alias("l2"),
     ).first()
     assert row.unit == [0.6, 0.8] and row.zero == [0.0, 0.0] and row.to_zero == 1.0 and row.l2 == 25.0
+
+
+def test_slabs_are_bounded_and_cover_all_rows(monkeypatch):
+    monkeypatch.setattr(slab_module, "SLAB_ROWS", 3)
+    monkeypatch.setattr(slab_module, "SLAB_BYTES", 10)
+    assert list(slab_module.slabs([])) == []
+    assert list(slab_module.slabs([0, 0, 0, 0, 50, 4, 6, 1])) == [(0, 3), (3, 1), (4, 1), (5, 2), (7, 1)]
+
+
+def test_python_functions_answer_row_by_row_across_slabs(spark):
+    n = 1300
+    df = spark.range(n, numPartitions=1).select("id", F.concat(F.lit("a b"), F.col("id")).alias("t"))
+    chunks = chunking.recursive_chunks(df, "t", 2, 0, [" "]).collect()
+    assert sorted((r["id"], r["chunk"]) for r in chunks) == sorted((i, c) for i in range(n) for c in ("a", f"b{i}"))
+    found = {r["id"]: r["embedding"] for r in HashEmbedder(8, normalize=False).embed(df, "t").collect()}
+    assert len(found) == n and all(sum(v) == 2 for v in found.values())
+    alone = HashEmbedder(8, normalize=False).embed(df.where("id in (3, 700, 1299)"), "t").collect()
+    assert all(found[r["id"]] == r["embedding"] for r in alone)
+
+
+def test_pages_of_a_batch_are_not_held_together(spark):
+    class Live(str):
+        """A text that knows how many like it there are."""
+        count = 0
+
+        def __del__(self):
+            Live.count -= 1
+
+    def parser(content, path):
+        Live.count += 1
+        return [{"text": Live(Live.count)}]
+
+    files = spark.range(4000, numPartitions=1).select(
+        F.col("id").cast("string").alias("file_path"), F.lit("x").cast("binary").alias("content")
+    )
+    rows = parsing.parse_files(files, [("p", parser)], F.lit(None).cast("timestamp")).collect()
+    assert len({r["file_path"] for r in rows}) == 4000
+    assert max(int(r["pages"][0]["text"]) for r in rows) <= 3 * slab_module.SLAB_ROWS
