@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pagemill.llm.columns import WHITE, let, whole_text, words_of
 from pagemill.session import written
 
-SYMBOLS = "#*$%&|<>"
+SYMBOL = "[#*$%&|<>]"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 BUCKETS = 1 << 15
@@ -88,17 +88,26 @@ def repeated_words(word_hashes: Column) -> Column:
     return F.when(F.size(word_hashes) < NGRAM, F.lit(0).cast("long")).otherwise(let(windows(word_hashes), count))
 
 
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda word: F.xxhash64(word))
+
+
 def hashed_words(text: Column) -> Column:
-    return F.transform(words_of(text), lambda word: F.xxhash64(word))
+    return _hashes(words_of(text))
 
 
 def buckets_of(word_hashes: Column, buckets: int = BUCKETS) -> Column:
     """Buckets of all words and all pairs of neighbouring words."""
+    n_pairs = F.greatest(F.size(word_hashes) - 1, F.lit(0))
     pairs = F.zip_with(
-        word_hashes, F.slice(word_hashes, 2, F.greatest(F.size(word_hashes) - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b)
+        F.slice(word_hashes, 1, n_pairs), F.slice(word_hashes, 2, n_pairs), lambda a, b: F.xxhash64(a, b)
     )
-    pairs = F.slice(pairs, 1, F.greatest(F.size(word_hashes) - 1, F.lit(0)))
-    return F.transform(F.concat(word_hashes, pairs), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+
+    def bucket(h: Column) -> Column:
+        # The same number as pmod, where the low bits hold it.
+        return h.bitwiseAND(buckets - 1) if buckets & (buckets - 1) == 0 else F.pmod(h, F.lit(buckets))
+
+    return F.transform(F.concat(word_hashes, pairs), lambda h: bucket(h).cast("int"))
 
 
 def _packed(*rows: DataFrame, id_column: str) -> bool:
@@ -171,6 +180,11 @@ def ratio_weights(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     )
 
 
+def _whole(value: Column) -> Column:
+    """The nearest whole number, halves up; ``round`` would write every value as a decimal."""
+    return F.floor(value + 0.5)
+
+
 def _own_part(buckets: Column) -> Column:
     """What the score of a trusted document loses, before the division, without its own counts in ``good``.
 
@@ -179,7 +193,7 @@ def _own_part(buckets: Column) -> Column:
     def lost(s: Column) -> Column:
         def run(good: Column, start: Column, end: Column) -> Column:
             n = end - start
-            return n * F.round(-F.log1p(-n / F.get(good, F.get(s, start))) * SCORE_SCALE).cast("long")
+            return n * _whole(-F.log1p(-n / F.get(good, F.get(s, start))) * SCORE_SCALE)
 
         def runs(starts: Column) -> Column:
             parts = let(
@@ -190,7 +204,7 @@ def _own_part(buckets: Column) -> Column:
 
         places = F.sequence(F.lit(0), F.size(s) - 1)
         firsts = F.filter(places, lambda i: (i == 0) | (F.get(s, F.greatest(i - 1, F.lit(0))) != F.get(s, i)))
-        gained = F.round(-F.log1p(-F.size(s) / F.col("good_total")) * SCORE_SCALE).cast("long")
+        gained = _whole(-F.log1p(-F.size(s) / F.col("good_total")) * SCORE_SCALE)
         return let(firsts, runs) - F.size(s) * gained
 
     return F.when(F.size(buckets) == 0, F.lit(0).cast("long")).otherwise(let(F.sort_array(buckets), lost))
@@ -288,34 +302,37 @@ def judge_quality(
     if min_score is None:
         min_score = held_out_cut(prepared.drop("input"), model, buckets)
 
-    def measures(h: Column) -> Column:
+    def measures(words: Column) -> Column:
         return F.struct(
-            F.size(h).cast("long").alias("n_words"),
-            repeated_words(h).alias("n_repeat_words"),
-            _scores(h, buckets).alias("s"),
+            F.size(words).cast("long").alias("n_words"),
+            # Joined, since translate looks up every character of the text.
+            F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+            let(
+                _hashes(words),
+                lambda h: F.struct(repeated_words(h).alias("n_repeat_words"), _scores(h, buckets).alias("s")),
+            ).alias("h"),
         )
 
     lines = F.filter(F.split("text", "\n", -1), lambda line: F.btrim(line, F.lit(WHITE)) != "")
-    passed = F.lit(True) if min_score is None else F.coalesce(F.col("m.s.held_out") >= min_score, F.lit(False))
+    passed = F.lit(True) if min_score is None else F.coalesce(F.col("m.h.s.held_out") >= min_score, F.lit(False))
     measured = _with_model(prepared, model).select(
         "input",
-        let(hashed_words(F.col("text")), measures).alias("m"),
-        F.length(F.translate("text", WHITE, "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        let(words_of(F.col("text")), measures).alias("m"),
+        (F.size(F.split("text", SYMBOL, -1)) - 1).cast("long").alias("n_symbols"),
         let(lines, lambda l: F.size(l) - F.size(F.array_distinct(l))).cast("long").alias("n_dup_lines"),
     )
     failed = (F.col("m.n_words") < MIN_WORDS) | (
-        F.col("m.n_repeat_words") * 100 > F.col("m.n_words") * MAX_REPEAT_PERCENT
+        F.col("m.h.n_repeat_words") * 100 > F.col("m.n_words") * MAX_REPEAT_PERCENT
     )
     return measured.select(
         "input",
         "m.n_words",
-        "word_chars",
+        "m.word_chars",
         "n_symbols",
         "n_dup_lines",
-        "m.n_repeat_words",
-        "m.s.score",
-        "m.s.held_out",
+        "m.h.n_repeat_words",
+        "m.h.s.score",
+        "m.h.s.held_out",
         failed.alias("base_failed"),
         (~failed & passed).alias("kept"),
     )

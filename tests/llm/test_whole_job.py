@@ -13,6 +13,7 @@ from pagemill.llm.mixing import profile, rake
 from pagemill.llm.pii import replace_entities
 from pagemill.session import table
 from tests.llm.conftest import LINE
+from tests.llm.test_operators import spark_hash
 
 # Quality rules
 
@@ -67,6 +68,27 @@ def test_labels_of_neighbours_sparse_ids_and_texts_as_ids(spark):
         assert {r[0] and int(r[0]): (r["is_trusted"], r["is_rejected"]) for r in marked} == {k or k: v for k, v in want.items()}
 
 
+def test_no_text_is_looked_up_by_character_and_no_value_written_as_a_decimal(spark, labels):
+    texts = ["", "#", "#*a$%\n&|<>", " \x0b\x0c\r\t\n", "a\x0bb\u00a0c\x1cd", "😀 é#\n 中 文|", "# " * 3, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    judged = quality.judge_quality(df, labels, min_score=0.0)
+    plan = judged._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert not re.findall(r"translate\(|round\(|pmod\(", plan)
+    for r in judged.select("input.text", "word_chars", "n_symbols").collect():
+        text = r["text"] or ""
+        words = re.findall(r"[^\x20\x09-\x0D]", text)
+        assert (r["word_chars"], r["n_symbols"]) == (len(words), len(re.findall(r"[#*$%&|<>]", text)))
+
+
+@pytest.mark.parametrize("buckets", [64, 1000])
+def test_bucket_is_the_remainder_of_the_hash(spark, buckets):
+    df = spark.range(40).select(F.transform(F.sequence(F.lit(1), "id"), lambda n: F.xxhash64(n)).alias("h"))
+    df = df.unionAll(spark.createDataFrame([([],)], "h array<bigint>"))
+    for h, found in df.select("h", quality.buckets_of(F.col("h"), buckets).alias("b")).collect():
+        pairs = [spark_hash(b, spark_hash(a) & (2**64 - 1)) for a, b in zip(h, h[1:], strict=False)]
+        assert found == [x % buckets for x in h + pairs]
+
+
 # Line dedup
 
 
