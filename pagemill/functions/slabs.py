@@ -8,11 +8,12 @@ SLAB_ROWS = 512
 SLAB_BYTES = 2 << 20
 
 
-def slabs(sizes: Iterable[int]) -> Iterator[tuple[int, int]]:
+def slabs(sizes: Iterable[int], most_rows: int | None = None) -> Iterator[tuple[int, int]]:
     """First row and number of rows of each slab, given the size of every row; a larger row is a slab of its own."""
+    most_rows = most_rows or SLAB_ROWS
     first, rows, held = 0, 0, 0
     for size in sizes:
-        if rows and (rows == SLAB_ROWS or held + size > SLAB_BYTES):
+        if rows and (rows == most_rows or held + size > SLAB_BYTES):
             yield first, rows
             first, rows, held = first + rows, 0, 0
         rows, held = rows + 1, held + size

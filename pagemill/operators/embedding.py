@@ -12,8 +12,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pagemill.functions.slabs import slabs
 from pagemill.functions.tokens import words
 
+# Texts of a slab: more than elsewhere, since each slab hashes its distinct words anew.
+EMBED_ROWS = 2048
+
 
 class Embedder(Protocol):
     name: str
@@ -61,7 +65,7 @@ def _as_lists(matrix: np.ndarray) -> pa.Array:
 class HashEmbedder:
     """Token counts hashed into ``dim`` buckets: lexical, reproducible, needs no model.
 
-    The JVM splits the text; an Arrow function hashes the distinct words of a batch and
+    The JVM splits the text; an Arrow function hashes the distinct words of a slab of texts and
     counts them into a dense matrix.
     """
 
@@ -73,9 +77,12 @@ class HashEmbedder:
         dim, normalize = self.dim, self.normalize
 
         @F.arrow_udf("array<float>")
-        def count(lists: pa.Array) -> pa.Array:
-            counts = bucket_counts(*hashed_words(lists, dim), dim).astype(np.float64)
-            return _as_lists(_unit_rows(counts) if normalize else counts)
+        def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for lists in batches:
+                sizes = 8 * np.asarray(lists.value_lengths().fill_null(0))
+                for first, rows in slabs(sizes.tolist(), EMBED_ROWS):
+                    counts = bucket_counts(*hashed_words(lists.slice(first, rows), dim), dim).astype(np.float64)
+                    yield _as_lists(_unit_rows(counts) if normalize else counts)
 
         return df.withColumn(output, count(words(F.col(text))))
 

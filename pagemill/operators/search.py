@@ -1,10 +1,10 @@
 """Exact nearest-neighbour search by squared Euclidean distance as a join of two tables of blocks.
 
 Vectors are packed, without a shuffle, into rows that hold a matrix of bounded size and the identifiers of its
-vectors. Store and queries meet as packs: every pack of the store is joined with every tile of the queries, and a
-task turns each pair of matrices into at most ``k`` identifiers per query. A query side of checked size is broadcast by
-the join, so that the store is scanned where it lies; a larger one is dealt, with the store, to the blocks of a grid. No
-vector passes through the driver. The candidates are ranked per query and part of the store first and per query then, and what
+vectors. Packs of queries of checked size are broadcast by a join that hands them to the first row of each partition of
+the store, so that the store is scanned where it lies, in batches of plain rows. A larger query side is dealt, with the
+store, to the blocks of a grid: every pack of the store is joined with every pack of the queries. A task turns each pair
+of matrices into at most ``k`` identifiers per query. The candidates are ranked per query and part of the store first and per query then, and what
 else the store holds is joined to the winners at the end.
 """
 
@@ -56,9 +56,14 @@ def pack_type(df: DataFrame, ids: Sequence[str]) -> list[T.StructField]:
     return [T.StructField("rows", T.ArrayType(kinds)), T.StructField("matrix", T.BinaryType())]
 
 
+def _by_id(part: pa.Table, ids: Sequence[str]) -> pa.Table:
+    """Sorted by identifier, so that a row number breaks ties."""
+    return part.take(pc.sort_indices(part, [(name, "ascending") for name in ids]))
+
+
 def one_pack(part: pa.Table, ids: Sequence[str], vector: str) -> list[pa.Array]:
-    """Identifiers and matrix of some rows, sorted by identifier so that a row number breaks ties."""
-    part = part.take(pc.sort_indices(part, [(name, "ascending") for name in ids]))
+    """Identifiers and matrix of some rows, sorted by identifier."""
+    part = _by_id(part, ids)
     named = pa.StructArray.from_arrays([part[name].combine_chunks() for name in ids], names=list(ids))
     rows = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), named)
     return [rows, pa.array([_matrix(part[vector].combine_chunks()).tobytes()], pa.binary())]
@@ -207,6 +212,70 @@ def best_of_pairs(pairs: DataFrame, schema: T.StructType, k: int, threshold: flo
     return pairs.select("pack", "asked", "vectors", "rows", "matrix").mapInArrow(run, schema)
 
 
+def with_queries(store: DataFrame, packs: DataFrame, ids: Sequence[str], vector: str) -> DataFrame:
+    """Rows of the store as ``row, vector``, the first of each partition once with each of the broadcast packs of queries.
+
+    All other rows have NULL there. Nothing is shuffled, and the join keeps the order of a partition.
+    """
+    # The number of a row inside of its partition is in the low bits.
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    rows = store.select(
+        F.struct(*ids).alias("row"), F.col(vector).alias("vector"), F.when(place == 0, F.lit(0)).alias("_slot")
+    )
+    packs = packs.withColumn("_slot", F.pmod(F.xxhash64("asked"), F.lit(1)).cast("int"))
+    return rows.join(F.broadcast(packs), "_slot", "left").select("pack", "asked", "vectors", "row", "vector")
+
+
+def best_of_rows(rows: DataFrame, schema: T.StructType, n_queries: int, k: int, threshold: float | None) -> DataFrame:
+    """Candidates from the rows of :func:`with_queries`, for that many queries.
+
+    A task holds all queries and one batch of plain rows; only a pack of them at a time becomes a matrix of doubles.
+    """
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[Best] = []
+        first, begun = None, False
+        for batch in batches:
+            asks = pc.is_valid(batch.column("pack"))
+            for at in np.flatnonzero(np.asarray(asks)).tolist():
+                asked, queries = unpack(batch.column("asked"), batch.column("vectors"), at)
+                # A copy: the batch goes, the queries stay.
+                best.append(Best(asked, queries.copy(), k, threshold))
+                # It came once with each pack, and may come over more batches than one.
+                first = batch.slice(at, 1) if first is None else first
+            others = batch if asks.true_count == 0 else batch.filter(pc.invert(asks))
+            if not others.num_rows:
+                continue
+            if sum(len(each.queries) for each in best) != n_queries:
+                raise ValueError("all queries have to come before the rows of a partition")
+            if not begun and first is not None:
+                meet_rows(best, first)
+            begun = True
+            meet_rows(best, others)
+        if not begun and first is not None:
+            meet_rows(best, first)
+        for each in best:
+            yield from each.result(names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def meet_rows(best: Sequence[Best], batch: pa.RecordBatch) -> None:
+    """Show the rows of a batch, a pack of them at a time, to all queries."""
+    named = batch.column("row")
+    ids = [f"id{n}" for n in range(named.type.num_fields)]
+    block = pa.table([*named.flatten(), batch.column("vector")], names=[*ids, "vector"])
+    if block["vector"].null_count:
+        block = block.filter(pc.is_valid(block["vector"]))
+    size = rows_per_pack(block, "vector", PACK_ROWS) if block.num_rows else 1
+    for start in range(0, block.num_rows if best else 0, size):
+        part = _by_id(block.slice(start, size), ids)
+        matrix = _matrix(part["vector"].combine_chunks())
+        for each in best:
+            each.add(part.select(ids), matrix)
+
+
 def query_packs(queries: DataFrame, ids: Sequence[str], vector: str, tile_rows: int) -> tuple[DataFrame, int, int]:
     """Packs of queries with a number each, the number of queries, and the bytes of their matrices."""
     rows, dim = queries.agg(F.count(vector), F.max(F.size(vector))).first()
@@ -301,8 +370,13 @@ def nearest(
         raise ValueError("k must be positive")
     queries = queries.select(*query_ids, query_vector)
     packs, rows, size = query_packs(queries, query_ids, query_vector, tile_rows)
-    pairs = meet(pack_vectors(store, ids, vector, PACK_ROWS), packs, size, broadcast_bytes=broadcast_bytes)
-    found = best_of_pairs(pairs, hit_schema(store, queries, ids, query_ids), k, threshold)
+    schema = hit_schema(store, queries, ids, query_ids)
+    if size <= broadcast_bytes:
+        # Plain rows go to the queries: packs would be batches of many megabytes, in one more worker a task.
+        found = best_of_rows(with_queries(store, packs, ids, vector), schema, rows, k, threshold)
+    else:
+        pairs = meet(pack_vectors(store, ids, vector, PACK_ROWS), packs, size, broadcast_bytes=broadcast_bytes)
+        found = best_of_pairs(pairs, schema, k, threshold)
     winners = ranked_hits(found, query_ids, ids, k)
     return with_payload(winners, store, query_ids, ids, vector, rows * k <= WINNER_ROWS)
 

@@ -431,6 +431,31 @@ def test_search_in_one_and_many_tiles_equals_brute_force(spark, monkeypatch, k,
         assert hit_rows(found) == want
 
 
+def test_broadcast_queries_meet_plain_rows(spark):
+    generator = np.random.default_rng(8)
+    store, queries = generator.integers(0, 3, (60, 4)), generator.integers(0, 3, (9, 4))
+    # The first row of each partition, which comes with the queries, has a vector in one of them only.
+    gone = {0, 40}
+    rows = [(i, None if i in gone else [float(x) for x in v]) for i, v in enumerate(store)]
+    left = spark.createDataFrame(rows, "id int, embedding array<float>").coalesce(1).repartitionByRange(3, "id").sortWithinPartitions("id")
+    want = []
+    for q, query in enumerate(queries):
+        scored = sorted((float(((v - query) ** 2).sum()), i) for i, v in enumerate(store) if i not in gone)
+        want += [(q, rank, i, score) for rank, (score, i) in enumerate(scored[:3], 1)]
+    for batch in (1, 2, 7, 10_000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            found = search.nearest(left, vectors(spark, queries, "query_id"), 3, ["id"], ["query_id"], tile_rows=2)
+            assert hit_rows(found) == want
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    asked = vectors(spark, queries, "query_id")
+    rows = search.with_queries(left, search.query_packs(asked, ["query_id"], "embedding", 2)[0], ["id"], "embedding")
+    schema = search.hit_schema(left, asked, ["id"], ["query_id"])
+    with pytest.raises(Exception, match="queries have to come before"):
+        search.best_of_rows(rows.where("pack IS NULL"), schema, 9, 3, None).collect()
+
+
 def test_equal_vectors_need_little_memory():
     rows, queries = 10_000, 1024
     ids = np.random.default_rng(3).permutation(rows)
