@@ -30,6 +30,11 @@ PACK_BYTES = 4 * 1024 * 1024
 WINNER_ROWS = 200_000
 ROW_TILE = 2048
 QUERY_TILE = 1024
+# Groups of rows, at least, whose least scores bound the k-th score of a tile.
+GROUPS = 128
+# Bytes of either side that a cell of a grid holds, about, and cells that there are at least.
+CELL_BYTES = 32 * 1024 * 1024
+CELLS_PER_CORE = 2
 # Slots that a large query side is dealt to at most.
 MOST_SLOTS = 64
 # Bytes of the query vectors whose best rows a task holds at the same time: all of a broadcast, so that a query has at
@@ -69,20 +74,44 @@ def one_pack(part: pa.Table, ids: Sequence[str], vector: str) -> list[pa.Array]:
     return [rows, pa.array([_matrix(part[vector].combine_chunks()).tobytes()], pa.binary())]
 
 
+def within_k_copies(part: pa.Table, ids: Sequence[str], vector: str, k: int) -> pa.Table:
+    """Rows sorted by identifier, less those that follow ``k`` rows with the same vector.
+
+    These score the same for every query and come before it, so it is never among the ``k`` best.
+    """
+    part = _by_id(part, ids)
+    if part.num_rows <= k:
+        return part
+    words = _matrix(part[vector].combine_chunks()).view(np.uint64)
+    # Rows with different sums differ; if any two are equal, all are compared in full.
+    odd = 2 * np.arange(words.shape[1], dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+    if len(np.unique((words * odd).sum(axis=1, dtype=np.uint64))) == len(words):
+        return part
+    _, group = np.unique(words.view(f"V{8 * words.shape[1]}").ravel(), return_inverse=True)
+    order = np.argsort(group, kind="stable")
+    grouped = group[order]
+    kept = np.sort(order[np.arange(len(order)) - np.searchsorted(grouped, grouped) < k])
+    return part.take(pa.array(kept))
+
+
 def rows_per_pack(block: pa.Table, vector: str, most: int) -> int:
     """As many rows as a pack may hold, by rows and bytes."""
     return max(1, min(most, PACK_BYTES // (8 * max(1, len(block[vector][0])))))
 
 
-def pack_vectors(df: DataFrame, ids: Sequence[str], vector: str, pack_rows: int) -> DataFrame:
-    """Rows that lie together as packs; nothing is shuffled, and rows without a vector are left out."""
+def pack_vectors(df: DataFrame, ids: Sequence[str], vector: str, pack_rows: int, most: int | None = None) -> DataFrame:
+    """Rows that lie together as packs; nothing is shuffled, and rows without a vector are left out.
+
+    Of ``most`` best rows that are looked for, those that cannot be one are left out, see :func:`within_k_copies`.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             block = pa.Table.from_batches([batch])
             block = block.filter(pc.is_valid(block[vector]))
             size = rows_per_pack(block, vector, pack_rows) if block.num_rows else 1
             for start in range(0, block.num_rows, size):
-                pack = one_pack(block.slice(start, size), ids, vector)
+                part = block.slice(start, size)
+                pack = one_pack(part if most is None else within_k_copies(part, ids, vector, most), ids, vector)
                 yield pa.RecordBatch.from_arrays(pack, names=["rows", "matrix"])
 
     return df.select(*ids, vector).mapInArrow(run, T.StructType(pack_type(df, ids)))
@@ -106,11 +135,20 @@ def _candidates(
     """
     square = (store * store).sum(axis=1)
     query_square = (queries * queries).sum(axis=1)
-    rough = square[None, :] - 2.0 * (queries @ store.T) + query_square[:, None]
+    # Scores less the query's own square, as one product: only a comparison passes over all pairs once more.
+    rough = np.column_stack([-2.0 * queries, np.ones(len(queries))]) @ np.column_stack([store, square]).T
     margin = 1e-8 * (1.0 + square.max(initial=0.0) + query_square)
-    if k < store.shape[0]:
-        border = np.minimum(border, np.partition(rough, k - 1, axis=1)[:, k - 1])
-    query, row = np.nonzero(rough <= (border + margin)[:, None])
+    limit = border - query_square + margin
+    found = np.flatnonzero(rough <= limit[:, None])
+    if k < store.shape[0] and len(found) > 2 * k * len(queries):
+        # The border is far off, as it is at first. Of so many groups of rows, the k-th least minimum is not below the
+        # block's k-th score, and is near it.
+        groups = min(store.shape[0], max(GROUPS, 4 * k))
+        whole = store.shape[0] // groups * groups
+        least = rough[:, :whole].reshape(len(queries), -1, groups).min(axis=1)
+        kth = np.partition(least, k - 1, axis=1)[:, k - 1]
+        found = np.flatnonzero(rough <= np.minimum(limit, kth + margin)[:, None])
+    query, row = np.divmod(found, max(1, store.shape[0]))
     score = np.empty(len(query))
     for start in range(0, len(query), ROW_TILE):
         part = slice(start, start + ROW_TILE)
@@ -270,7 +308,7 @@ def meet_rows(best: Sequence[Best], batch: pa.RecordBatch) -> None:
         block = block.filter(pc.is_valid(block["vector"]))
     size = rows_per_pack(block, "vector", PACK_ROWS) if block.num_rows else 1
     for start in range(0, block.num_rows if best else 0, size):
-        part = _by_id(block.slice(start, size), ids)
+        part = within_k_copies(block.slice(start, size), ids, "vector", best[0].k)
         matrix = _matrix(part["vector"].combine_chunks())
         for each in best:
             each.add(part.select(ids), matrix)
@@ -280,7 +318,7 @@ def query_packs(queries: DataFrame, ids: Sequence[str], vector: str, tile_rows:
     """Packs of queries with a number each, the number of queries, and the bytes of their matrices."""
     rows, dim = queries.agg(F.count(vector), F.max(F.size(vector))).first()
     size = 8 * rows * (dim or 0)
-    parts = max(1, math.ceil(rows / tile_rows), math.ceil(size / PACK_BYTES))
+    parts = max(1, math.ceil(size / PACK_BYTES))
     packs = pack_vectors(queries.repartition(parts, *ids), ids, vector, tile_rows)
     packs = packs.select(
         F.monotonically_increasing_id().alias("pack"), F.col("rows").alias("asked"), F.col("matrix").alias("vectors")
@@ -310,6 +348,76 @@ def meet(store: DataFrame, packs: DataFrame, size: int, broadcast_bytes: int = B
     return left.join(right, ["_block", "_slot"])
 
 
+def cells(size: int, stored: int, tasks: int) -> tuple[int, int]:
+    """Slots of queries and blocks of the store of so many bytes: small enough for a task, enough for ``tasks``.
+
+    The store is copied to all slots and the queries to all blocks; as near to the fewest bytes as that allows.
+    """
+    slots, blocks = (max(1, math.ceil(each / CELL_BYTES)) for each in (size, stored))
+    if slots * blocks < tasks:
+        slots = max(slots, round(math.sqrt(tasks * max(size, 1) / max(stored, 1))))
+        blocks = max(blocks, math.ceil(tasks / slots))
+    return slots, blocks
+
+
+def in_cells(store: DataFrame, packs: DataFrame, slots: int, blocks: int) -> DataFrame:
+    """Packs of the store and of queries, each once in every cell that it belongs to, and the rows of a cell together.
+
+    Every cell has one row without a pack of the store, and that is joined with the cell's queries. So a pack crosses to
+    Python once for a cell, not once for each of its partners.
+    """
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    def dealt(rows: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(rows), F.lit(n)).cast("int")
+
+    left = store.select("rows", "matrix", dealt("rows", blocks).alias("_block"), each(slots).alias("_slot"))
+    cell = [(F.col("id") / slots).cast("int").alias("_block"), (F.col("id") % slots).cast("int").alias("_slot")]
+    left = left.unionByName(store.sparkSession.range(slots * blocks).select(*cell), allowMissingColumns=True)
+    right = packs.select("pack", "asked", "vectors", dealt("asked", slots).alias("_slot_asked"), each(blocks).alias("_block_asked"))
+    here = (F.col("_block") == F.col("_block_asked")) & (F.col("_slot") == F.col("_slot_asked")) & F.col("rows").isNull()
+    return left.join(right.hint("shuffle_merge"), here, "left").select(
+        "_block", "_slot", "pack", "asked", "vectors", "rows", "matrix"
+    )
+
+
+def best_of_cells(rows: DataFrame, schema: T.StructType, k: int, threshold: float | None) -> DataFrame:
+    """Candidates from the rows of :func:`in_cells`: in a cell, all its packs of the store meet all its queries.
+
+    A task holds one cell, whichever side of it comes first.
+    """
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[Best] = []
+        store: list[tuple[pa.Table, np.ndarray]] = []
+        cell, done = None, set()
+        for batch in batches:
+            places = zip(*(batch.column(name).to_pylist() for name in ("_block", "_slot", "pack")), strict=True)
+            for at, (block, slot, pack) in enumerate(places):
+                if (block, slot) != cell:
+                    for each in best:
+                        yield from each.result(names)
+                    best, store = [], []
+                    done.add(cell)
+                    cell = (block, slot)
+                    if cell in done:
+                        raise ValueError("the rows of a cell have to come together")
+                if pack is not None:
+                    best.append(Best(*unpack(batch.column("asked"), batch.column("vectors"), at), k, threshold))
+                    for part in store:
+                        best[-1].add(*part)
+                elif batch.column("rows")[at].is_valid:
+                    store.append(unpack(batch.column("rows"), batch.column("matrix"), at))
+                    for each in best:
+                        each.add(*store[-1])
+        for each in best:
+            yield from each.result(names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def _ranked(found: DataFrame, keys: Sequence[str], ids: Sequence[str], k: int) -> DataFrame:
     ranking = Window.partitionBy(*keys).orderBy(F.round("score", SCORE_DECIMALS), *ids)
     return found.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= k)
@@ -375,8 +483,9 @@ def nearest(
         # Plain rows go to the queries: packs would be batches of many megabytes, in one more worker a task.
         found = best_of_rows(with_queries(store, packs, ids, vector), schema, rows, k, threshold)
     else:
-        pairs = meet(pack_vectors(store, ids, vector, PACK_ROWS), packs, size, broadcast_bytes=broadcast_bytes)
-        found = best_of_pairs(pairs, schema, k, threshold)
+        stored, dim = store.agg(F.count(vector), F.max(F.size(vector))).first()
+        dealt = cells(size, 8 * stored * (dim or 0), CELLS_PER_CORE * store.sparkSession.sparkContext.defaultParallelism)
+        found = best_of_cells(in_cells(pack_vectors(store, ids, vector, PACK_ROWS, k), packs, *dealt), schema, k, threshold)
     winners = ranked_hits(found, query_ids, ids, k)
     return with_payload(winners, store, query_ids, ids, vector, rows * k <= WINNER_ROWS)
 

@@ -3,8 +3,11 @@
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from pagemill.operators import search
 from pagemill.plans.oracles import ORACLES
 from pagemill.plans.queries import QUERIES
 from tests.compare import connect
@@ -74,3 +77,78 @@ def test_statistics_of_the_hits_of_every_row(spark, scores):
 def test_every_row_asks_in_the_sql_twin(duck, scores, name):
     asked = duck.execute(f"SELECT DISTINCT query_id FROM ({ORACLES[name]}) ORDER BY 1").fetchall()
     assert [row[0] for row in asked] == scores[0]
+
+
+def vectors(spark, matrix, name="id"):
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(matrix)]
+    return spark.createDataFrame(rows, f"{name} int, embedding array<float>")
+
+
+def test_packs_cross_once_for_a_cell_and_every_pair_meets(spark, monkeypatch):
+    store, queries = np.random.default_rng(1).random((300, 3)), np.random.default_rng(2).random((90, 3))
+    left, right = vectors(spark, store).repartition(3), vectors(spark, queries, "query_id")
+    packs = search.query_packs(right, ["query_id"], "embedding", 7)[0].persist()
+    stored = search.pack_vectors(left, ["id"], "embedding", 50).persist()
+    met = search.in_cells(stored, packs, 3, 4)
+    assert met.where("rows IS NOT NULL").count() == 3 * stored.count()
+    assert met.where("asked IS NOT NULL").count() == 4 * packs.count()
+    schema = search.hit_schema(left, right, ["id"], ["query_id"])
+    # As many candidates as there are rows: every pair is among them, once.
+    pairs = search.best_of_cells(met, schema, 300, None)
+    assert pairs.count() == pairs.distinct().count() == 300 * 90
+    with pytest.raises(Exception, match="come together"):
+        search.best_of_cells(met.orderBy(F.xxhash64("_block", "_slot", "rows", "asked")).coalesce(1), schema, 3, None).count()
+
+
+def test_cells_are_small_and_enough():
+    mb = 1 << 20
+    for size, stored, tasks in ((26 * mb, 26 * mb, 12), (1, 500 * mb, 12), (9000 * mb, 3000 * mb, 12), (0, 0, 5)):
+        slots, blocks = search.cells(size, stored, tasks)
+        assert slots * blocks >= tasks
+        assert size / slots <= search.CELL_BYTES and stored / blocks <= search.CELL_BYTES
+    # A search of a store in itself copies either side about as often.
+    assert search.cells(26 * mb, 26 * mb, 16) == (4, 4) and search.cells(1, 500 * mb, 16) == (1, 16)
+
+
+@pytest.mark.parametrize("k", [1, 4, 30])
+def test_of_equal_vectors_the_first_stay(spark, k):
+    generator = np.random.default_rng(4)
+    store = generator.integers(0, 2, (200, 3)).astype(float)
+    ids = generator.permutation(200)
+    part = pa.table({"id": ids, "v": pa.array(list(store))})
+    kept = search.within_k_copies(part, ["id"], "v", k)["id"].to_pylist()
+    place = {n: sorted(ids[(store == store[at]).all(axis=1)]).index(n) for at, n in enumerate(ids)}
+    assert kept == sorted(n for n in ids if place[n] < k)
+    want = []
+    for q in range(200):
+        order = sorted((((v - store[q]) ** 2).sum(), n) for n, v in enumerate(store))[:k]
+        want += [(q, rank, n) for rank, (_, n) in enumerate(order, 1)]
+    left, right = vectors(spark, store), vectors(spark, store, "query_id")
+    for size in (search.BROADCAST_BYTES, 0):
+        found = search.nearest(left, right, k, ["id"], ["query_id"], tile_rows=40, broadcast_bytes=size)
+        assert sorted((r["query_id"], r["rank"], r["id"]) for r in found.collect()) == want
+
+
+@pytest.mark.parametrize("rows", [5, 129, 1000])
+@pytest.mark.parametrize("k", [1, 4, 300])
+def test_candidates_are_few_and_hold_the_best(rows, k):
+    generator = np.random.default_rng(6)
+    store, queries = generator.normal(size=(rows, 8)) + 5, generator.normal(size=(20, 8)) + 5
+    query, row, score = search._candidates(store, queries, k, np.full(20, np.inf))
+    exact = ((store[None] - queries[:, None]) ** 2).sum(axis=2)
+    assert np.array_equal(score, exact[query, row])
+    for n in range(20):
+        assert set(np.argsort(exact[n])[:k]) <= set(row[query == n])
+    if k == 4 and rows == 1000:
+        assert len(query) < 3 * k * 20
+
+
+def test_copies_stay_where_they_are(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["knn_ties"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Ten keys would be ten tasks, however many copies there are.
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning(original" not in plan
