@@ -3,7 +3,7 @@
 Vectors are packed, without a shuffle, into rows that hold a matrix of bounded size and the identifiers of its
 vectors. Packs of queries of checked size are broadcast by a join that hands them to the first row of each partition of
 the store, so that the store is scanned where it lies, in batches of plain rows. A larger query side is dealt, with the
-store, to the blocks of a grid: every pack of the store is joined with every pack of the queries. A task turns each pair
+store, to the cells of a grid, in which every pack of the store meets every pack of the queries. A task turns each pair
 of matrices into at most ``k`` identifiers per query. The candidates are ranked per query and part of the store first and per query then, and what
 else the store holds is joined to the winners at the end.
 """
@@ -137,7 +137,8 @@ def _candidates(
     query_square = (queries * queries).sum(axis=1)
     # Scores less the query's own square, as one product: only a comparison passes over all pairs once more.
     rough = np.column_stack([-2.0 * queries, np.ones(len(queries))]) @ np.column_stack([store, square]).T
-    margin = 1e-8 * (1.0 + square.max(initial=0.0) + query_square)
+    # Vectors with a NaN are nobody's neighbours, and make no other row one or none.
+    margin = 1e-8 * (1.0 + square.max(initial=0.0, where=np.isfinite(square)) + query_square)
     limit = border - query_square + margin
     found = np.flatnonzero(rough <= limit[:, None])
     if k < store.shape[0] and len(found) > 2 * k * len(queries):
@@ -145,9 +146,9 @@ def _candidates(
         # block's k-th score, and is near it.
         groups = min(store.shape[0], max(GROUPS, 4 * k))
         whole = store.shape[0] // groups * groups
-        least = rough[:, :whole].reshape(len(queries), -1, groups).min(axis=1)
+        least = np.fmin.reduce(rough[:, :whole].reshape(len(queries), -1, groups), axis=1)
         kth = np.partition(least, k - 1, axis=1)[:, k - 1]
-        found = np.flatnonzero(rough <= np.minimum(limit, kth + margin)[:, None])
+        found = np.flatnonzero(rough <= np.fmin(limit, kth + margin)[:, None])
     query, row = np.divmod(found, max(1, store.shape[0]))
     score = np.empty(len(query))
     for start in range(0, len(query), ROW_TILE):

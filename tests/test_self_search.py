@@ -143,6 +143,22 @@ def test_candidates_are_few_and_hold_the_best(rows, k):
         assert len(query) < 3 * k * 20
 
 
+def test_a_vector_with_nan_costs_others_no_hit(spark):
+    generator = np.random.default_rng(11)
+    store = generator.normal(size=(600, 4))
+    store[[3, 200, 599], 1] = np.nan
+    whole = [n for n in range(600) if not np.isnan(store[n]).any()]
+    want = []
+    for q in whole:
+        order = sorted((((store[n] - store[q]) ** 2).sum(), n) for n in whole)[:3]
+        want += [(q, rank, n) for rank, (_, n) in enumerate(order, 1)]
+    left, right = vectors(spark, store).coalesce(1), vectors(spark, store[whole], "query_no")
+    right = right.select(F.element_at(F.lit(whole), F.col("query_no") + 1).alias("query_id"), "embedding")
+    for size in (search.BROADCAST_BYTES, 0):
+        found = search.nearest(left, right, 3, ["id"], ["query_id"], broadcast_bytes=size).collect()
+        assert sorted((r["query_id"], r["rank"], r["id"]) for r in found) == want
+
+
 def test_copies_stay_where_they_are(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
